@@ -8,9 +8,9 @@ from the DataFrame code); shared with the library are only the fixed values
 
 Oracle-side conventions (DuckDB 2.0): integer sums are cast back to BIGINT,
 ``/`` denominators that can be zero are wrapped in ``nullif``, ties of
-``mode`` and first/last pick explicitly, and DOUBLE outputs are rounded to
-six decimals on both sides by ``final_select`` as ``round(x * 1e6) / 1e6``
-(summation order differs).
+``mode`` and first/last pick explicitly, and DOUBLE outputs are snapped to a
+2**-20 grid on both sides by ``final_select`` as ``round(x * 2^20) / 2^20``
+(floating-point sums depend on summation order).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from sitelens.sources.adapter import (
     CHANNEL_BY_PART_MOD7, CITY_BY_NATION_MOD13, COUNTRY_BY_NATION_MOD7, REGION_BY_NATION_MOD7,
 )
 
-ROUND_DIGITS = 6
+ROUND_BITS = 20
 
 # Every DOUBLE-typed output column name (used to round on the oracle side).
 DOUBLE_COLUMNS = set("""
@@ -68,7 +68,7 @@ def case_lookup(expr: str, variants: dict[str, list[str]]) -> str:
 
 def final_select(cte: str, columns: list[str], extra_where: str = "") -> str:
     cols = [c for c in columns if c not in AUDIT_COLUMNS]
-    scale = 10 ** ROUND_DIGITS
+    scale = 2 ** ROUND_BITS
     sel = ", ".join(f"round({c} * {scale}) / {scale} AS {c}" if c in DOUBLE_COLUMNS else c for c in cols)
     return f"SELECT {sel} FROM {cte}{(' WHERE ' + extra_where) if extra_where else ''}"
 

@@ -9,7 +9,7 @@ month) below a shared output folder.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,30 +24,59 @@ from sitelens.plans.traffic import traffic_enhanced
 from sitelens.sources.adapter import load_sources
 
 
-@dataclass
 class Models:
-    stg_organizations: DataFrame
-    stg_traffic: DataFrame
-    organizations_enhanced: DataFrame
-    traffic_enhanced: DataFrame
-    company_traffic: DataFrame
-    company_web_bridge: DataFrame
-    mart_company_performance: DataFrame
-    mart_company_timeseries: DataFrame
-    mart_category_insights: DataFrame
+    """Every model as a lazily built DataFrame; a model (and the models it reads)
+    is planned only when first asked for, so a query runs only its own lineage."""
+
+    def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
+                 broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None):
+        self._raw_orgs, self._raw_traffic = raw_orgs, raw_traffic
+        self._budget = broadcast_budget
+        self._traffic = traffic
+
+    @cached_property
+    def stg_organizations(self) -> DataFrame:
+        return stg_organizations(self._raw_orgs)
+
+    @cached_property
+    def stg_traffic(self) -> DataFrame:
+        return stg_traffic(self._raw_traffic)
+
+    @cached_property
+    def organizations_enhanced(self) -> DataFrame:
+        return organizations_enhanced(self.stg_organizations)
+
+    @cached_property
+    def traffic_enhanced(self) -> DataFrame:
+        return self._traffic if self._traffic is not None else traffic_enhanced(self.stg_traffic)
+
+    @cached_property
+    def company_traffic(self) -> DataFrame:
+        return company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget)
+
+    @cached_property
+    def company_web_bridge(self) -> DataFrame:
+        return bridge_from(self.company_traffic)
+
+    @cached_property
+    def mart_company_performance(self) -> DataFrame:
+        return company_performance(self.company_traffic)
+
+    @cached_property
+    def mart_company_timeseries(self) -> DataFrame:
+        return company_timeseries(self.company_traffic)
+
+    @cached_property
+    def mart_category_insights(self) -> DataFrame:
+        return category_insights(self.company_traffic)
 
 
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
                  traffic: DataFrame | None = None) -> Models:
-    """All models as lazy DataFrames. ``traffic`` may be an already materialized
-    enhanced-traffic table (the incremental target)."""
-    so, st = stg_organizations(raw_orgs), stg_traffic(raw_traffic)
-    orgs = organizations_enhanced(so)
-    tr = traffic if traffic is not None else traffic_enhanced(st)
-    rows = company_traffic(orgs, tr, broadcast_budget)
-    return Models(so, st, orgs, tr, rows, bridge_from(rows), company_performance(rows),
-                  company_timeseries(rows), category_insights(rows))
+    """All models over the given raw inputs. ``traffic`` may be an already
+    materialized enhanced-traffic table (the incremental target)."""
+    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic)
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:

@@ -16,16 +16,20 @@ from sitelens import oracle
 from sitelens.plans.pipeline import models_for
 from sitelens.schemas import AUDIT_COLUMNS
 
-ROUND_DIGITS = oracle.ROUND_DIGITS
+ROUND_BITS = oracle.ROUND_BITS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, Callable[[], str]] = {}
 
 
 def round_double(c) -> F.Column:
-    """Round to ROUND_DIGITS decimals as ``round(x * 10^d) / 10^d`` (half away from
-    zero on the scaled binary value) - the same arithmetic the oracle uses."""
-    scale = float(10 ** ROUND_DIGITS)
+    """Snap to a grid of ``2**-ROUND_BITS`` (~1e-6): ``round(x * 2^b) / 2^b``.
+
+    Scaling by a power of two is exact, so both engines round the same
+    binary value; a grid boundary is a dyadic rational that ratios of the
+    test data practically never hit, unlike decimal boundaries such as
+    0.4909375. The oracle applies the same arithmetic."""
+    scale = float(2 ** ROUND_BITS)
     return F.round(c * F.lit(scale), 0) / F.lit(scale)
 
 

@@ -63,6 +63,16 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as parquet to a new folder in shared storage; return the path."""
+    path = shared_table_path(df.sparkSession, name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet to shared storage and read it back.
 
@@ -70,10 +80,4 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     written table survives executor loss (unlike a cache or a local
     checkpoint) and the read-back plan starts from a plain file scan.
     """
-    spark = df.sparkSession
-    path = shared_table_path(spark, name)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(write_table(df, name, partition_by))
