@@ -473,7 +473,7 @@ def _category_ctes() -> str:
         for n, v, o in modes)
     return f"""
 cct AS (
-  SELECT t.site_main_category, b.organization_id, o.standardized_city, o.standardized_region, o.is_investor,
+  SELECT t.site_main_category, b.organization_id, b.web_traffic_id, o.standardized_city, o.standardized_region, o.is_investor,
          t.total_visits, t.total_unique_visitors, t.total_page_views, t.desktop_visits, t.mobile_visits,
          t.platform_preference, t.overall_quality_score, t.quality_tier,
          t.age_18_24_share, t.age_25_34_share, t.age_35_44_share, t.age_45_54_share, t.age_55_64_share,
@@ -544,3 +544,55 @@ MODEL_CTES = {
     "mart_company_timeseries": ("mart_ts", MART_TIMESERIES),
     "mart_category_insights": ("mart_category", MART_CATEGORY),
 }
+
+
+# Oracle CTE of each checked model (raw inputs included).
+CHECK_CTES = {"organization_summary": "raw_orgs", "global_growth": "raw_traffic",
+              "stg_organizations": "stg_orgs", "stg_traffic": "stg_traffic",
+              "organizations_enhanced": "orgs_enh", "traffic_enhanced": "traffic_enh",
+              "company_web_bridge": "bridge", "mart_company_performance": "mart_company",
+              "mart_company_timeseries": "mart_ts", "mart_category_insights": "mart_category"}
+
+
+def _lit(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return q(v)
+
+
+def check_sql(model: str, c) -> str:
+    """Failure count of one declared check, as SQL over the oracle CTEs."""
+    cte = CHECK_CTES[model]
+    head = (f"SELECT {q(model)} AS model, {q(c.label)} AS check_name, {q(c.column or '')} AS column_name, "
+            f"{q(c.severity)} AS severity, ")
+    if c.column in AUDIT_COLUMNS:  # audit timestamps are current_timestamp(): never NULL
+        return head + "CAST(0 AS BIGINT) AS failures"
+    if c.kind == "unique":
+        return (head + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {cte} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING count(*) > 1)")
+    if c.kind == "relationships":
+        parent = CHECK_CTES[c.to_model]
+        return (head + f"CAST(count(*) AS BIGINT) AS failures FROM {cte} x WHERE x.{c.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{c.field} = x.{c.column})")
+    if c.kind == "not_null":
+        bad = f"{c.column} IS NULL"
+    elif c.kind == "accepted_values":
+        bad = f"NOT ({c.column} IN ({', '.join(_lit(v) for v in c.values)}))"
+    elif c.kind == "accepted_range":
+        conds = []
+        if c.min_value is not None:
+            conds.append(f"{c.column} {'>=' if c.inclusive else '>'} {_lit(c.min_value)}")
+        if c.max_value is not None:
+            conds.append(f"{c.column} {'<=' if c.inclusive else '<'} {_lit(c.max_value)}")
+        bad = "NOT (" + " AND ".join(conds) + ")"
+    else:
+        bad = f"NOT ({c.expression})"
+    where = f"({c.where}) AND ({bad})" if c.where else bad
+    return head + f"CAST(count(*) FILTER (WHERE coalesce({where}, FALSE)) AS BIGINT) AS failures FROM {cte}"
+
+
+def checks_query(suite: dict, kinds: tuple[str, ...]) -> str:
+    parts = [check_sql(m, c) for m, checks in suite.items() for c in checks if c.kind in kinds]
+    return pipeline_sql() + "\nUNION ALL\n".join(parts)
