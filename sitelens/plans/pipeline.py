@@ -21,18 +21,30 @@ from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
 from sitelens.plans.timeseries import company_timeseries
 from sitelens.plans.traffic import traffic_enhanced
+from sitelens.session import materialize
 from sitelens.sources.adapter import load_sources
 
 
 class Models:
     """Every model as a lazily built DataFrame; a model (and the models it reads)
-    is planned only when first asked for, so a query runs only its own lineage."""
+    is planned only when first asked for, so a query runs only its own lineage.
+
+    With ``materialize_tables`` the table-materialized layers (enhanced
+    organizations, enhanced traffic and the wide company x traffic bridge rows)
+    are written once to the shared checkpoint folder on first use and read
+    back, as the source project builds them as tables; marts then start from
+    file scans instead of re-running the layers below."""
 
     def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
-                 broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None):
+                 broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None,
+                 materialize_tables: bool = False):
         self._raw_orgs, self._raw_traffic = raw_orgs, raw_traffic
         self._budget = broadcast_budget
         self._traffic = traffic
+        self._materialize = materialize_tables
+
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self._materialize else df
 
     @cached_property
     def stg_organizations(self) -> DataFrame:
@@ -44,15 +56,18 @@ class Models:
 
     @cached_property
     def organizations_enhanced(self) -> DataFrame:
-        return organizations_enhanced(self.stg_organizations)
+        return self._table(organizations_enhanced(self.stg_organizations), "organizations_enhanced")
 
     @cached_property
     def traffic_enhanced(self) -> DataFrame:
-        return self._traffic if self._traffic is not None else traffic_enhanced(self.stg_traffic)
+        if self._traffic is not None:
+            return self._traffic
+        return self._table(traffic_enhanced(self.stg_traffic), "traffic_enhanced")
 
     @cached_property
     def company_traffic(self) -> DataFrame:
-        return company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget)
+        return self._table(company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget),
+                           "company_traffic")
 
     @cached_property
     def company_web_bridge(self) -> DataFrame:
@@ -73,12 +88,26 @@ class Models:
 
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
-                 traffic: DataFrame | None = None) -> Models:
+                 traffic: DataFrame | None = None, materialize_tables: bool = False) -> Models:
     """All models over the given raw inputs. ``traffic`` may be an already
     materialized enhanced-traffic table (the incremental target)."""
-    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic)
+    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables)
+
+
+_BUILDS: dict[tuple[str, str], Models] = {}
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """The models over the test tables in ``sf_dir``: one build per application,
+    table layers materialized once and shared by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _BUILDS:
+        raw_orgs, raw_traffic = load_sources(spark, sf_dir)
+        _BUILDS[key] = build_models(raw_orgs, raw_traffic, materialize_tables=True)
+    return _BUILDS[key]
+
+
+def lazy_models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """Models planned end to end from the raw inputs, nothing materialized."""
     raw_orgs, raw_traffic = load_sources(spark, sf_dir)
     return build_models(raw_orgs, raw_traffic)

@@ -66,37 +66,32 @@ def raw_traffic(lineitem: DataFrame) -> DataFrame:
     q, d, mob = F.col("q"), F.col("d"), F.col("mob")
     desk = ~mob
 
-    def dev_sum(cond, v):
-        return F.sum(F.when(cond, v))
-
-    def dev_cnt(cond):
-        return F.sum(F.when(cond, 1).otherwise(0))
-
-    aggs = [
-        F.sum(q).alias("_sum_q"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("ln").alias("_sum_ln"),
-        F.sum("d").alias("_sum_d"),
-        F.sum(q * F.col("ln")).alias("_sum_qln"),
-        F.count_distinct("o").alias("deduplicated_audience"),
-        F.sum(F.when(F.col("o") % 2 == 0, q).otherwise(0)).alias("_male_q"),
-        F.sum(F.when(F.col("o") % 2 == 1, q).otherwise(0)).alias("_female_q"),
-    ]
+    # Level 1: one row per (supplier, site, month, order). Its shuffle key
+    # includes the order, so even a supplier-month holding a third of all
+    # lines is spread over many tasks; distinct orders become plain counts.
+    sums = {"_sum_q": q, "_sum_ln": F.col("ln"), "_sum_d": d, "_sum_qln": q * F.col("ln")}
     for dev, cond in (("desktop", desk), ("mobileweb", mob)):
-        aggs += [
-            dev_sum(cond, q).alias(f"_{dev}_q"),
-            dev_sum(cond, q * F.col("ln")).alias(f"_{dev}_qln"),
-            dev_sum(cond, d).alias(f"_{dev}_d"),
-            dev_cnt(cond).alias(f"_{dev}_n"),
-            F.count_distinct(F.when(cond, F.col("o"))).alias(f"{dev}_estimated_unique"),
-        ]
+        sums[f"_{dev}_q"] = F.when(cond, q)
+        sums[f"_{dev}_qln"] = F.when(cond, q * F.col("ln"))
+        sums[f"_{dev}_d"] = F.when(cond, d)
+        sums[f"_{dev}_n"] = F.when(cond, 1).otherwise(0)
     for i, ch in enumerate(CHANNEL_BY_PART_MOD7):
-        aggs.append(F.sum(F.when(desk & (F.col("p") % 7 == i), q).otherwise(0))
-                    .alias(f"desktop_{ch}_estimated_visits"))
+        sums[f"desktop_{ch}_estimated_visits"] = F.when(desk & (F.col("p") % 7 == i), q).otherwise(0)
     for i in range(6):
-        aggs.append(F.sum(F.when(F.col("p") % 6 == i, q).otherwise(0)).alias(f"_age{i}_q"))
-
-    g = li.groupBy("k", "site", "y", "m").agg(*aggs)
+        sums[f"_age{i}_q"] = F.when(F.col("p") % 6 == i, q).otherwise(0)
+    per_order = li.groupBy("k", "site", "y", "m", "o").agg(
+        *[F.sum(e).alias(n) for n, e in sums.items()], F.count(F.lit(1)).alias("_n"))
+
+    # Level 2: one row per (supplier, site, month); partial aggregation first.
+    o = F.col("o")
+    g = per_order.groupBy("k", "site", "y", "m").agg(
+        *[F.sum(n).alias(n) for n in sums], F.sum("_n").alias("_n"),
+        F.count(F.lit(1)).alias("deduplicated_audience"),
+        F.count_if(F.col("_desktop_n") > 0).alias("desktop_estimated_unique"),
+        F.count_if(F.col("_mobileweb_n") > 0).alias("mobileweb_estimated_unique"),
+        F.sum(F.when(o % 2 == 0, F.col("_sum_q")).otherwise(0)).alias("_male_q"),
+        F.sum(F.when(o % 2 == 1, F.col("_sum_q")).otherwise(0)).alias("_female_q"),
+    )
 
     kk, sum_q, n = F.col("k"), F.col("_sum_q"), F.col("_n")
     no_totals = kk % 11 == 0
