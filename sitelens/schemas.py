@@ -157,11 +157,13 @@ def enforce(df: DataFrame, contract: list[str]) -> DataFrame:
 
 
 def check_same_schema(batch: DataFrame, target: DataFrame) -> None:
-    """``on_schema_change='fail'``: names and types must agree exactly."""
-    a = [(f.name, f.dataType.simpleString()) for f in batch.schema.fields]
-    b = [(f.name, f.dataType.simpleString()) for f in target.schema.fields]
+    """``on_schema_change='fail'``: the same column names with the same types
+    (order aside: a month-partitioned table lists its partition columns last)."""
+    a = {f.name: f.dataType.simpleString() for f in batch.schema.fields}
+    b = {f.name: f.dataType.simpleString() for f in target.schema.fields}
     if a != b:
-        raise SchemaDriftError(f"schema of batch {a} differs from target {b}")
+        diff = sorted(set(a.items()) ^ set(b.items()))
+        raise SchemaDriftError(f"schema of batch differs from target: {diff}")
 
 
 def without_audit(df: DataFrame) -> DataFrame:
