@@ -111,3 +111,41 @@ def lazy_models_for(spark: SparkSession, sf_dir: str) -> Models:
     """Models planned end to end from the raw inputs, nothing materialized."""
     raw_orgs, raw_traffic = load_sources(spark, sf_dir)
     return build_models(raw_orgs, raw_traffic)
+
+
+# Materialized models and where they go below the output folder.
+TABLE_MODELS = ["organizations_enhanced", "company_web_bridge", "mart_company_performance",
+                "mart_company_timeseries", "mart_category_insights"]
+
+
+def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source: str, out_dir: str,
+                 run_checks: bool = True, fail_on_error: bool = False) -> DataFrame | None:
+    """Full build (the project's ``run`` + ``test``).
+
+    Staging models stay views (lazy). Enhanced traffic is loaded
+    incrementally into ``out_dir/traffic_enhanced`` (month-partitioned; only
+    months after its high-water mark are processed). Every other table model
+    is rebuilt from the enhanced tables and written to ``out_dir/<model>``.
+    Returns the check results (one row per declared check) when ``run_checks``.
+    """
+    from sitelens.operators.quality import raise_on_errors, run_suite
+    from sitelens.plans.checks import SUITE
+    from sitelens.sources.raw import read_organizations, read_traffic
+    from sitelens.streaming.incremental import load_increment
+
+    out = out_dir.rstrip("/")
+    raw_orgs = read_organizations(spark, organizations_source)
+    raw_traffic = read_traffic(spark, traffic_source)
+    load_increment(spark, raw_traffic, f"{out}/traffic_enhanced")
+    traffic = spark.read.parquet(f"{out}/traffic_enhanced")
+    models = build_models(raw_orgs, raw_traffic, traffic=traffic, materialize_tables=True)
+    written = {"traffic_enhanced": traffic}
+    for name in TABLE_MODELS:
+        getattr(models, name).write.mode("overwrite").parquet(f"{out}/{name}")
+        written[name] = spark.read.parquet(f"{out}/{name}")
+    if not run_checks:
+        return None
+    tables = {"organization_summary": raw_orgs, "global_growth": raw_traffic,
+              "stg_organizations": models.stg_organizations, "stg_traffic": models.stg_traffic, **written}
+    results = materialize(run_suite(tables, SUITE), "check_results")
+    return raise_on_errors(results) if fail_on_error else results

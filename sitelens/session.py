@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system); machine-local folders do not survive executor loss")
         configured = fallback or os.environ.get("SITELENS_CHECKPOINT_DIR", "/tmp/sitelens-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -81,3 +84,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     checkpoint) and the read-back plan starts from a plain file scan.
     """
     return df.sparkSession.read.parquet(write_table(df, name, partition_by))
+
+
+def scale_conf(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Size shuffles for an input of ``input_bytes``: start with one shuffle
+    partition per ``target_partition_bytes`` of input (AQE coalesces the
+    small ones and splits skewed ones), and read files in splits of the same
+    size, so every task's share fits executor memory and spills stay rare."""
+    n = max(int(spark.sparkContext.defaultParallelism), -(-input_bytes // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    return n
