@@ -195,7 +195,7 @@ from sitelens.functions.periods import months_span, period_label, yyyymm  # noqa
 from sitelens.functions.metrics import safe_div, tier  # noqa: E402
 from sitelens.operators.aggregates import first_by, last_by  # noqa: E402
 from sitelens.operators.quality import run_suite  # noqa: E402
-from sitelens.operators.upsert import high_water_mark, newer_than, upsert  # noqa: E402
+from sitelens.operators.upsert import late_rows, newer_than, upsert  # noqa: E402
 from sitelens.plans.bridge import matchable_organizations  # noqa: E402
 from sitelens.plans.checks import SUITE  # noqa: E402
 from sitelens.plans.timeseries import GROWTH_TIERS  # noqa: E402
@@ -391,6 +391,30 @@ def q_incremental_upsert(spark, sf_dir):
     return upsert(target, batch, "web_traffic_id").select(*_UPSERT_COLS)
 
 
+# Late-arrival scenario: sites without a main category were onboarded late, so
+# the target holds only categorized sites up to one year before the newest
+# month; their earlier months arrive after the gate and are reported.
+_LATE_SQL = """,
+late_target AS (SELECT * FROM traffic_enh
+                WHERE site_main_category IS NOT NULL
+                  AND traffic_year * 100 + traffic_month <= (SELECT max(traffic_year * 100 + traffic_month) FROM traffic_enh) - 100)
+SELECT s.web_traffic_id, s.traffic_year, s.traffic_month
+FROM tr_pos s
+WHERE s.traffic_year * 100 + s.traffic_month <= (SELECT max(traffic_year * 100 + traffic_month) FROM late_target)
+  AND NOT EXISTS (SELECT 1 FROM late_target t WHERE t.web_traffic_id = s.web_traffic_id)"""
+
+
+@register("incremental_late_rows", lambda: oracle.pipeline_sql().rstrip() + _LATE_SQL)
+def q_incremental_late_rows(spark, sf_dir):
+    m = models_for(spark, sf_dir)
+    full = m.traffic_enhanced
+    ym = yyyymm("traffic_year", "traffic_month")
+    newest = full.agg(F.max(ym).alias("m")).first()["m"]
+    target = full.filter(F.col("site_main_category").isNotNull() & (ym <= newest - 100))
+    staged = m.stg_traffic.filter(F.col("total_visits") > 0)
+    return late_rows(staged, target, "web_traffic_id").select("web_traffic_id", "traffic_year", "traffic_month")
+
+
 # ------------------------------------------------------------ quality checks
 def _check_models(spark, sf_dir) -> dict[str, DataFrame]:
     m = models_for(spark, sf_dir)
