@@ -25,18 +25,21 @@ _FIXED_WIDTH = {"long": 8, "double": 8, "int": 4, "boolean": 1, "timestamp_ntz":
                 "date": 4, "string": 8}
 
 
-def fits_broadcast(df: DataFrame, budget_bytes: int) -> bool:
-    """Measure the side (row count and string bytes, one job that stops early
-    once the row budget is exceeded) and compare with ``budget_bytes``."""
+def measure_bytes(df: DataFrame) -> int:
+    """Rows x fixed widths + actual string bytes: one distributed aggregate
+    (partial counts per task), only the single total reaches the driver."""
     fields = df.schema.fields
     fixed = 16 + sum(_FIXED_WIDTH.get(f.dataType.simpleString(), 16) for f in fields)
-    max_rows = budget_bytes // fixed
-    strings = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    strings = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long")
                for f in fields if f.dataType.simpleString() == "string"]
-    text = sum(strings, F.lit(0)) if strings else F.lit(0)
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
-    n, b = row["n"], row["b"] or 0
-    return n <= max_rows and n * fixed + b <= budget_bytes
+    text = sum(strings, F.lit(0).cast("long")) if strings else F.lit(0).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
+    return int(row["n"]) * fixed + int(row["b"] or 0)
+
+
+def fits_broadcast(df: DataFrame, budget_bytes: int) -> bool:
+    """Is the measured size of ``df`` within ``budget_bytes``?"""
+    return measure_bytes(df) <= budget_bytes
 
 
 def domain_join(small: DataFrame, small_domain, big: DataFrame, big_domain,
