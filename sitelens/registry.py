@@ -13,8 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from sitelens import oracle
+from sitelens.functions.domains import root_domain, standardize_domain
+from sitelens.functions.metrics import safe_div, tier
+from sitelens.functions.periods import months_span, period_label, yyyymm
+from sitelens.operators.aggregates import first_by, last_by
+from sitelens.operators.quality import run_suite
+from sitelens.operators.upsert import late_rows, newer_than, upsert
+from sitelens.plans.bridge import matchable_organizations
+from sitelens.plans.checks import SUITE
 from sitelens.plans.pipeline import models_for
-from sitelens.schemas import AUDIT_COLUMNS
+from sitelens.plans.timeseries import GROWTH_TIERS
+from sitelens.plans.traffic import enhance_traffic
+from sitelens.schemas import AUDIT_COLUMNS, ORG_RAW, TRAFFIC_RAW
+from sitelens.sources.adapter import load_sources, read_table
 
 ROUND_BITS = oracle.ROUND_BITS
 
@@ -190,17 +201,6 @@ for _name, (_model_name, _cols) in PROJECTIONS.items():
 
 
 # ---------------------------------------------------------- other keys
-from sitelens.functions.domains import root_domain, standardize_domain  # noqa: E402
-from sitelens.functions.periods import months_span, period_label, yyyymm  # noqa: E402
-from sitelens.functions.metrics import safe_div, tier  # noqa: E402
-from sitelens.operators.aggregates import first_by, last_by  # noqa: E402
-from sitelens.operators.quality import run_suite  # noqa: E402
-from sitelens.operators.upsert import late_rows, newer_than, upsert  # noqa: E402
-from sitelens.plans.bridge import matchable_organizations  # noqa: E402
-from sitelens.plans.checks import SUITE  # noqa: E402
-from sitelens.plans.timeseries import GROWTH_TIERS  # noqa: E402
-from sitelens.schemas import ORG_RAW, TRAFFIC_RAW, TRAFFIC_ENHANCED  # noqa: E402
-from sitelens.sources.adapter import load_sources, read_table  # noqa: E402
 
 
 def _sql(body: str) -> Callable[[], str]:
@@ -385,7 +385,6 @@ _UPSERT_COLS = ["web_traffic_id", "traffic_year", "traffic_month", "total_visits
     "FROM (SELECT * FROM inc_target UNION ALL SELECT * FROM inc_new)"))
 def q_incremental_upsert(spark, sf_dir):
     """Target + gated, enhanced batch merged on the key = the full build."""
-    from sitelens.plans.traffic import enhance_traffic
     _, target, staged = _incremental_parts(spark, sf_dir)
     batch = enhance_traffic(newer_than(staged, target))
     return upsert(target, batch, "web_traffic_id").select(*_UPSERT_COLS)
