@@ -46,6 +46,17 @@ class Models:
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if self._materialize else df
 
+    def table(self, name: str) -> DataFrame:
+        """Model ``name`` as a written table (the state tests run against, after a
+        build); written once per ``Models``, lazy models stay as they are."""
+        if not self._materialize:
+            return getattr(self, name)
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            df = getattr(self, name)
+            cache[name] = df if name in ("organizations_enhanced", "traffic_enhanced") else materialize(df, name)
+        return cache[name]
+
     @cached_property
     def stg_organizations(self) -> DataFrame:
         return stg_organizations(self._raw_orgs)

@@ -419,10 +419,11 @@ def _check_models(spark, sf_dir) -> dict[str, DataFrame]:
     m = models_for(spark, sf_dir)
     raw_orgs, raw_traffic = load_sources(spark, sf_dir)
     out = {"organization_summary": raw_orgs, "global_growth": raw_traffic}
-    for name in ("stg_organizations", "stg_traffic", "organizations_enhanced", "traffic_enhanced",
-                 "company_web_bridge", "mart_company_performance", "mart_company_timeseries",
-                 "mart_category_insights"):
-        out[name] = getattr(m, name)
+    for name in ("stg_organizations", "stg_traffic"):
+        out[name] = getattr(m, name)  # views in the source project: checked as views
+    for name in ("organizations_enhanced", "traffic_enhanced", "company_web_bridge", "mart_company_performance",
+                 "mart_company_timeseries", "mart_category_insights"):
+        out[name] = m.table(name)  # tables in the source project: checked after the build
     return out
 
 
