@@ -17,6 +17,9 @@ from __future__ import annotations
 
 from sitelens.functions.geo import CITY_VARIANTS, REGION_VARIANTS
 from sitelens.functions.keys import SURROGATE_NULL
+from sitelens.plans.category import CONCENTRATION_TIERS, SIZE_TIERS
+from sitelens.plans.timeseries import GROWTH_TIERS, MOMENTUM_TIERS, QUALITY_TRENDS, RANK_TRENDS
+from sitelens.plans.traffic import QUALITY_TIERS
 from sitelens.schemas import (
     COMPANY_WEB_BRIDGE, MART_CATEGORY, MART_COMPANY, MART_TIMESERIES, ORGANIZATIONS_ENHANCED,
     STG_ORGANIZATIONS, STG_TRAFFIC, TRAFFIC_ENHANCED, AUDIT_COLUMNS,
@@ -66,6 +69,15 @@ def case_lookup(expr: str, variants: dict[str, list[str]]) -> str:
     return f"CASE {arms} ELSE {expr} END"
 
 
+def sql_tier(expr: str, thresholds, default: str, inclusive: bool = False, null_label: str | None = None) -> str:
+    """CASE over (bound, label) pairs; ``null_label`` for a NULL value, else ``default``."""
+    op = ">=" if inclusive else ">"
+    arms = " ".join(f"WHEN {expr} {op} {b} THEN {q(label)}" for b, label in thresholds)
+    tail = (f"WHEN {expr} IS NOT NULL THEN {q(default)} ELSE {q(null_label)}" if null_label is not None
+            else f"ELSE {q(default)}")
+    return f"CASE {arms} {tail} END"
+
+
 def final_select(cte: str, columns: list[str], extra_where: str = "") -> str:
     cols = [c for c in columns if c not in AUDIT_COLUMNS]
     scale = 2 ** ROUND_BITS
@@ -260,10 +272,7 @@ tr_s AS (
   SELECT *, CAST(({qsum}) AS DOUBLE) / nullif({qcnt}, 0) AS overall_quality_score FROM tr_q),
 traffic_enh AS (
   SELECT *,
-    CASE WHEN overall_quality_score >= 0.8 THEN 'High-Quality'
-         WHEN overall_quality_score >= 0.6 THEN 'Medium-Quality'
-         WHEN overall_quality_score >= 0.4 THEN 'Low-Quality'
-         ELSE 'Unknown-Quality' END AS quality_tier,
+    {sql_tier('overall_quality_score', QUALITY_TIERS, 'Unknown-Quality', inclusive=True)} AS quality_tier,
     {std_domain('site_domain')} AS standardized_domain,
     {root_dom('site_domain')} AS root_domain
   FROM tr_s WHERE site_domain IS NOT NULL),
@@ -429,19 +438,10 @@ ts_g AS (
   FROM ts_b),
 mart_ts AS (
   SELECT *,
-    CASE WHEN visits_growth_rate > 0.5 THEN 'High Growth' WHEN visits_growth_rate > 0.2 THEN 'Moderate Growth'
-         WHEN visits_growth_rate > -0.05 THEN 'Stable' WHEN visits_growth_rate > -0.2 THEN 'Declining'
-         WHEN visits_growth_rate IS NOT NULL THEN 'Significant Decline' ELSE 'Insufficient Data' END AS growth_category,
-    CASE WHEN quality_score_change > 0.1 THEN 'Quality Improving' WHEN quality_score_change > -0.05 THEN 'Quality Stable'
-         WHEN quality_score_change IS NOT NULL THEN 'Quality Declining' ELSE 'Quality Unknown' END AS quality_trend,
-    CASE WHEN global_rank_change > 100 THEN 'Rank Significantly Improved' WHEN global_rank_change > 20 THEN 'Rank Improved'
-         WHEN global_rank_change > -20 THEN 'Rank Stable' WHEN global_rank_change > -100 THEN 'Rank Declined'
-         WHEN global_rank_change IS NOT NULL THEN 'Rank Significantly Declined' ELSE 'Rank Unknown' END AS ranking_trend,
-    CASE WHEN current_vs_peak_visits_ratio > 0.9 THEN 'Near Peak Performance'
-         WHEN current_vs_peak_visits_ratio > 0.7 THEN 'Strong Performance'
-         WHEN current_vs_peak_visits_ratio > 0.5 THEN 'Moderate Performance'
-         WHEN current_vs_peak_visits_ratio IS NOT NULL THEN 'Below Peak Performance'
-         ELSE 'Performance Unknown' END AS performance_momentum,
+    {sql_tier('visits_growth_rate', GROWTH_TIERS, 'Significant Decline', null_label='Insufficient Data')} AS growth_category,
+    {sql_tier('quality_score_change', QUALITY_TRENDS, 'Quality Declining', null_label='Quality Unknown')} AS quality_trend,
+    {sql_tier('global_rank_change', RANK_TRENDS, 'Rank Significantly Declined', null_label='Rank Unknown')} AS ranking_trend,
+    {sql_tier('current_vs_peak_visits_ratio', MOMENTUM_TIERS, 'Below Peak Performance', null_label='Performance Unknown')} AS performance_momentum,
     CASE WHEN visits_growth_rate IS NOT NULL AND quality_score_change IS NOT NULL
            THEN least(100, greatest(0, 50 + visits_growth_rate * 30 + quality_score_change * 20))
          WHEN visits_growth_rate IS NOT NULL THEN least(100, greatest(0, 50 + visits_growth_rate * 40))
@@ -514,11 +514,8 @@ mart_category AS (
     CASE WHEN a.total_companies > 0 THEN a.investor_companies / a.total_companies END AS investor_ratio,
     {mode_sel},
     m.traffic_concentration_cv, m.top_company_traffic_share, m.companies_per_million_visits,
-    CASE WHEN m.top_company_traffic_share > 0.7 THEN 'Highly Concentrated'
-         WHEN m.top_company_traffic_share > 0.4 THEN 'Moderately Concentrated'
-         WHEN m.top_company_traffic_share > 0.2 THEN 'Somewhat Concentrated' ELSE 'Fragmented' END AS market_concentration_tier,
-    CASE WHEN a.total_companies >= 10 THEN 'Large Market' WHEN a.total_companies >= 5 THEN 'Medium Market'
-         WHEN a.total_companies >= 3 THEN 'Small Market' ELSE 'Niche Market' END AS market_size_tier,
+    {sql_tier('m.top_company_traffic_share', CONCENTRATION_TIERS, 'Fragmented')} AS market_concentration_tier,
+    {sql_tier('a.total_companies', SIZE_TIERS, 'Niche Market', inclusive=True)} AS market_size_tier,
     {age_case('a.category_')} AS primary_age_segment,
     {gender_case('a.category_male_share', 'a.category_female_share')} AS primary_gender_segment
   FROM cat_agg a LEFT JOIN conc m ON a.main_category = m.site_main_category

@@ -259,9 +259,7 @@ SELECT o_custkey, ym_first AS first_month, ym_last AS last_month, months_availab
        round(last_month_total * 1048576) / 1048576 AS last_month_total,
        round(peak_month_total * 1048576) / 1048576 AS peak_month_total,
        round(growth_rate * 1048576) / 1048576 AS growth_rate,
-       CASE WHEN growth_rate > 0.5 THEN 'High Growth' WHEN growth_rate > 0.2 THEN 'Moderate Growth'
-            WHEN growth_rate > -0.05 THEN 'Stable' WHEN growth_rate > -0.2 THEN 'Declining'
-            WHEN growth_rate IS NOT NULL THEN 'Significant Decline' ELSE 'Insufficient Data' END AS growth_category
+       {oracle.sql_tier('growth_rate', GROWTH_TIERS, 'Significant Decline', null_label='Insufficient Data')} AS growth_category
 FROM cr"""
 
 
