@@ -3,8 +3,9 @@
 All row-wise checks of one model (not_null, accepted_values,
 accepted_range, expression, each with an optional ``where``) become one
 ``agg`` of ``count_if`` columns - a single scan with map-side partial
-counts. ``unique`` is one grouped count per column and ``relationships`` one
-anti join per check. The result is a DataFrame, never collected here:
+counts. ``unique`` is one grouped count per column and ``relationships`` a
+grouped count per child key followed by an anti join of unique keys. The
+result is a DataFrame, never collected here:
 ``(model, check_name, column_name, severity, failures)``.
 """
 
@@ -90,10 +91,13 @@ def run_checks(model: str, df: DataFrame, checks: Sequence[Check],
             parts.append(dup.agg(F.count(F.lit(1)).alias("n")).select(_result(model, c, F.col("n")).alias("r"))
                          .select("r.*"))
         elif c.kind == "relationships":
+            # Count child rows per key first (map-side combined, so a key holding a
+            # third of all rows is one row per task), then anti-join unique keys.
             parent = (parents or {})[c.to_model].select(F.col(c.field).alias("_parent_key"))
-            orphans = (df.select(c.column).filter(F.col(c.column).isNotNull())
-                       .join(parent, F.col(c.column) == F.col("_parent_key"), "left_anti"))
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("n"))
+            per_key = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column)
+                       .agg(F.count(F.lit(1)).alias("_rows")))
+            orphans = per_key.join(parent, F.col(c.column) == F.col("_parent_key"), "left_anti")
+            parts.append(orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
                          .select(_result(model, c, F.col("n")).alias("r")).select("r.*"))
         elif c.kind not in ROW_KINDS:
             raise ValueError(f"unknown check kind {c.kind}")
