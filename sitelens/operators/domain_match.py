@@ -50,3 +50,15 @@ def domain_join(small: DataFrame, small_domain, big: DataFrame, big_domain,
     if fits_broadcast(s, budget_bytes):
         s = F.broadcast(s)
     return b.join(s, MATCH_KEY, how).drop(MATCH_KEY)
+
+
+def keep_matching(big: DataFrame, big_domain, keys: DataFrame,
+                  budget_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``big`` whose ``lower(trim(domain))`` is one of ``keys[MATCH_KEY]``
+    (a semi join: each row at most once, whatever the number of matching
+    companies). The distinct keys are broadcast only after measuring them."""
+    b = big.withColumn(MATCH_KEY, match_key(big_domain))
+    k = keys.select(MATCH_KEY).distinct()
+    if fits_broadcast(k, budget_bytes):
+        k = F.broadcast(k)
+    return b.join(k, MATCH_KEY, "left_semi")

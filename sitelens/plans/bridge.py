@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.keys import surrogate_key
-from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES, domain_join
+from sitelens.operators.domain_match import (
+    DEFAULT_BROADCAST_BYTES, MATCH_KEY, domain_join, keep_matching, match_key,
+)
 from sitelens.schemas import COMPANY_WEB_BRIDGE, enforce
 
 # Domains that never identify a business, and match metadata.
@@ -66,3 +68,17 @@ def bridge_from(company_rows: DataFrame) -> DataFrame:
 def company_web_bridge(orgs: DataFrame, traffic: DataFrame,
                        broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     return bridge_from(company_traffic(orgs, traffic, broadcast_budget))
+
+
+def keyed_organizations(orgs: DataFrame) -> DataFrame:
+    """Matchable companies with their match key and the bridge's company columns."""
+    return (matchable_organizations(orgs)
+            .withColumn(MATCH_KEY, match_key("standardized_domain"))
+            .withColumnRenamed("standardized_domain", "organization_domain")
+            .withColumn("match_confidence_score", F.lit(EXACT_MATCH_CONFIDENCE).cast("double")))
+
+
+def matched_traffic(keyed_orgs: DataFrame, traffic: DataFrame,
+                    broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Traffic rows that match at least one company, each once, with the match key."""
+    return keep_matching(matchable_traffic(traffic), "cleaned_site_domain", keyed_orgs, broadcast_budget)

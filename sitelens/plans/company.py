@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import argmax_label, ratio_if_positive
 from sitelens.functions.periods import yyyymm
+from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.operators.aggregates import dominant, first_row, traffic_row_order
 from sitelens.schemas import MART_COMPANY, enforce
 
@@ -22,7 +23,7 @@ COMPANY_ATTRS = ["organization_name", "organization_permalink", "organization_do
 FIRST_ROW_RENAMES = {"site_domain": "site_domain", "site_main_category": "industry_category",
                      "site_category": "industry_subcategory", "site_country": "traffic_country",
                      "match_confidence_score": "match_confidence_score"}
-FIRST_ROW_TRAFFIC = list(FIRST_ROW_RENAMES)
+FIRST_ROW_TRAFFIC_ONLY = ["site_domain", "site_main_category", "site_category", "site_country"]
 SUMMED = ["total_visits", "total_unique_visitors", "total_page_views", "desktop_visits", "mobile_visits",
           "desktop_direct_visits", "desktop_organic_search_visits", "desktop_paid_search_visits",
           "desktop_referral_visits", "desktop_social_visits", "desktop_display_visits", "desktop_email_visits"]
@@ -57,14 +58,11 @@ def age_segment(prefix: str = "") -> F.Column:
     return argmax_label([(label, prefix + col) for label, col in AGE_SEGMENTS], "Unknown")
 
 
-def company_performance(rows: DataFrame) -> DataFrame:
-    """``rows`` = company_traffic (one row per company x traffic row)."""
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
-    aggs = (
-        [first_row(COMPANY_ATTRS + FIRST_ROW_TRAFFIC, order),
-           F.min(period).alias("_first"), F.max(period).alias("_last"),
-           F.count_distinct(period).alias("months_available")]
+def _traffic_aggs(order, period) -> list:
+    return (
+        [first_row(FIRST_ROW_TRAFFIC_ONLY, order, "_first_traffic"),
+         F.min(period).alias("_first"), F.max(period).alias("_last"),
+         F.count_distinct(period).alias("months_available")]
         + [F.min(c).alias(c) for c in RANKS]
         + [F.avg("overall_quality_score").alias("digital_performance_score"),
            dominant("quality_tier").alias("performance_tier"),
@@ -73,10 +71,12 @@ def company_performance(rows: DataFrame) -> DataFrame:
         + [F.sum(c).alias(c) for c in SUMMED]
         + [F.avg(c).alias(c) for c in AVERAGED]
     )
-    g = rows.groupBy("organization_id").agg(*aggs)
-    g = g.select("*", *[F.col("_first_row")[c].alias(c) for c in COMPANY_ATTRS],
-                 *[F.col("_first_row")[src].alias(dst) for src, dst in FIRST_ROW_RENAMES.items()])
-    out = g.withColumns({
+
+
+def _finish(g: DataFrame) -> DataFrame:
+    out = g.select("*", *[F.col("_first_traffic")[src].alias(dst)
+                          for src, dst in FIRST_ROW_RENAMES.items() if src in FIRST_ROW_TRAFFIC_ONLY])
+    out = out.withColumns({
         "period_start": period_text("_first"),
         "period_end": period_text("_last"),
         **{share: ratio_if_positive(num, "desktop_visits") for share, num in CHANNEL_SHARES},
@@ -85,3 +85,27 @@ def company_performance(rows: DataFrame) -> DataFrame:
         "_mart_created_at": F.current_timestamp(),
     })
     return enforce(out, MART_COMPANY)
+
+
+def company_performance(rows: DataFrame) -> DataFrame:
+    """From company x traffic rows (the bridge form): group by company."""
+    order = traffic_row_order()
+    period = yyyymm("traffic_year", "traffic_month")
+    g = rows.groupBy("organization_id").agg(
+        first_row(COMPANY_ATTRS + ["match_confidence_score"], order, "_company"), *_traffic_aggs(order, period))
+    g = g.select("*", *[F.col("_company")[c].alias(c) for c in COMPANY_ATTRS + ["match_confidence_score"]])
+    return _finish(g)
+
+
+def company_performance_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> DataFrame:
+    """Same mart without forming company x traffic pairs.
+
+    Every company's rows are exactly the traffic rows of its match key, so
+    the per-company aggregate equals the per-key aggregate: aggregate the
+    matched traffic once per key (map-side combined, skew-safe), then attach
+    the companies to their key's single row."""
+    order = traffic_row_order()
+    period = yyyymm("traffic_year", "traffic_month")
+    per_key = matched.groupBy(MATCH_KEY).agg(*_traffic_aggs(order, period))
+    companies = keyed_orgs.select("organization_id", *COMPANY_ATTRS, "match_confidence_score", MATCH_KEY)
+    return _finish(companies.join(per_key, MATCH_KEY, "inner"))

@@ -14,12 +14,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES
-from sitelens.plans.bridge import bridge_from, company_traffic
+from sitelens.plans.bridge import bridge_from, company_traffic, keyed_organizations, matched_traffic
 from sitelens.plans.category import category_insights
-from sitelens.plans.company import company_performance
+from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
-from sitelens.plans.timeseries import company_timeseries
+from sitelens.plans.timeseries import company_timeseries_by_domain
 from sitelens.plans.traffic import traffic_enhanced
 from sitelens.session import materialize
 from sitelens.sources.adapter import load_sources
@@ -80,17 +80,25 @@ class Models:
         return self._table(company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget),
                            "company_traffic")
 
+    @cached_property
+    def keyed_organizations(self) -> DataFrame:
+        return keyed_organizations(self.organizations_enhanced)
+
+    @cached_property
+    def matched_traffic(self) -> DataFrame:
+        return matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget)
+
     @cached_property
     def company_web_bridge(self) -> DataFrame:
         return bridge_from(self.company_traffic)
 
     @cached_property
     def mart_company_performance(self) -> DataFrame:
-        return company_performance(self.company_traffic)
+        return company_performance_by_domain(self.keyed_organizations, self.matched_traffic)
 
     @cached_property
     def mart_company_timeseries(self) -> DataFrame:
-        return company_timeseries(self.company_traffic)
+        return company_timeseries_by_domain(self.keyed_organizations, self.matched_traffic)
 
     @cached_property
     def mart_category_insights(self) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.metrics import clamp, safe_div, tier
 from sitelens.functions.periods import months_span, yyyymm
 from sitelens.operators.aggregates import dominant, first_row, traffic_row_order
+from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.plans.company import period_text
 from sitelens.schemas import MART_TIMESERIES, enforce
 
@@ -23,6 +24,7 @@ BOUNDARY_METRICS = {"total_visits": "visits", "overall_quality_score": "quality"
 PRESENCE = {"site_domain": "site_domain", "site_main_category": "industry_category",
             "site_category": "industry_subcategory", "site_country": "traffic_country",
             "match_confidence_score": "match_confidence_score"}
+PRESENCE_TRAFFIC = ["site_domain", "site_main_category", "site_category", "site_country"]
 
 # Trend bounds (strictly greater than) and labels.
 GROWTH_TIERS = [(0.5, "High Growth"), (0.2, "Moderate Growth"), (-0.05, "Stable"), (-0.2, "Declining")]
@@ -42,12 +44,10 @@ def growth_health(g, q) -> F.Column:
             .when(q.isNotNull(), clamp(F.lit(HEALTH_BASE) + q * HEALTH_QUALITY_ONLY_W, 0.0, 100.0)))
 
 
-def timeseries_boundaries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
+def _boundary_aggs(order, period) -> list:
     metrics = list(BOUNDARY_METRICS)
-    g = rows.groupBy(*GROUP_KEYS).agg(
-        first_row(list(PRESENCE), order, "_presence"),
+    return [
+        first_row(PRESENCE_TRAFFIC, order, "_presence"),
         F.min(period).alias("_first"), F.max(period).alias("_last"),
         F.count_distinct(period).alias("months_available"),
         F.min_by(F.struct(*metrics), order).alias("_first_vals"),
@@ -59,10 +59,14 @@ def timeseries_boundaries(rows: DataFrame, min_months: int = MIN_MONTHS) -> Data
         F.avg("overall_quality_score").alias("avg_quality_score"),
         dominant("platform_preference").alias("dominant_platform_preference"),
         dominant("quality_tier").alias("dominant_quality_tier"),
-    ).filter(F.col("months_available") >= min_months)
+    ]
+
+
+def _boundary_columns(g: DataFrame) -> DataFrame:
     return g.select(
         *GROUP_KEYS,
-        *[F.col("_presence")[src].alias(dst) for src, dst in PRESENCE.items()],
+        *[F.col("_presence")[src].alias(dst) for src, dst in PRESENCE.items() if src in PRESENCE_TRAFFIC],
+        "match_confidence_score",
         period_text("_first").alias("first_month"), period_text("_last").alias("last_month"),
         "months_available", months_span("_first", "_last").alias("months_span"),
         "dominant_platform_preference", "dominant_quality_tier", "avg_visits", "avg_quality_score",
@@ -72,6 +76,28 @@ def timeseries_boundaries(rows: DataFrame, min_months: int = MIN_MONTHS) -> Data
     )
 
 
+def timeseries_boundaries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
+    """From company x traffic rows (the bridge form): group by the company columns."""
+    order = traffic_row_order()
+    period = yyyymm("traffic_year", "traffic_month")
+    g = rows.groupBy(*GROUP_KEYS).agg(
+        first_row(["match_confidence_score"], order, "_conf"), *_boundary_aggs(order, period))
+    g = g.withColumn("match_confidence_score", F.col("_conf")["match_confidence_score"])
+    return _boundary_columns(g.filter(F.col("months_available") >= min_months))
+
+
+def timeseries_boundaries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
+                                    min_months: int = MIN_MONTHS) -> DataFrame:
+    """Same boundaries without company x traffic pairs: aggregate matched traffic
+    once per match key, keep keys with enough months, attach companies."""
+    order = traffic_row_order()
+    period = yyyymm("traffic_year", "traffic_month")
+    per_key = (matched.groupBy(MATCH_KEY).agg(*_boundary_aggs(order, period))
+               .filter(F.col("months_available") >= min_months))
+    companies = keyed_orgs.select(*GROUP_KEYS, "match_confidence_score", MATCH_KEY)
+    return _boundary_columns(companies.join(per_key, MATCH_KEY, "inner"))
+
+
 def add_growth(b: DataFrame) -> DataFrame:
     fv, lv = F.col("first_month_visits"), F.col("last_month_visits")
     fq, lq = F.col("first_month_quality"), F.col("last_month_quality")
@@ -108,3 +134,9 @@ def add_growth(b: DataFrame) -> DataFrame:
 
 def company_timeseries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
     return enforce(add_growth(timeseries_boundaries(rows, min_months)), MART_TIMESERIES)
+
+
+def company_timeseries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
+                                 min_months: int = MIN_MONTHS) -> DataFrame:
+    return enforce(add_growth(timeseries_boundaries_by_domain(keyed_orgs, matched, min_months)),
+                   MART_TIMESERIES)
