@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import ratio_if_positive, safe_div, tier, weighted_avg
 from sitelens.operators.aggregates import dominant
+from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.plans.company import age_segment, gender_segment
 from sitelens.schemas import MART_CATEGORY, enforce
 
@@ -64,6 +65,12 @@ def category_insights(rows: DataFrame) -> DataFrame:
         F.when(sum_v > 0, safe_div(companies, sum_v / F.lit(VISITS_PER_UNIT))).alias("_density"),
     ).filter(F.col("total_companies") >= 1)
 
+    return _finish(g)
+
+
+def _finish(g: DataFrame) -> DataFrame:
+    """Concentration columns (NULL for the NULL category, as its left join
+    never matched in the source rules), ratios, tiers and segments."""
     has_key = F.col("main_category").isNotNull()
     out = g.withColumns({
         "traffic_concentration_cv": F.when(has_key, F.col("_cv")),
@@ -78,3 +85,113 @@ def category_insights(rows: DataFrame) -> DataFrame:
         "_mart_created_at": F.current_timestamp(),
     })
     return enforce(out, MART_CATEGORY)
+
+
+# Closed label sets of the two label columns whose mode is taken (fixed values:
+# the labels produced by the traffic model), sorted so that ties go to the
+# smallest label as in ``dominant``.
+PLATFORM_LABELS = sorted(["Mobile-Dominant", "Desktop-Dominant", "Balanced", "Mixed"])
+QUALITY_LABELS = sorted(["High-Quality", "Medium-Quality", "Low-Quality", "Unknown-Quality"])
+
+
+def _label_counts(col: str, labels: list[str], prefix: str) -> list:
+    return [F.count_if(F.col(col) == lab).alias(f"{prefix}{i}") for i, lab in enumerate(labels)]
+
+
+def _weighted_label(prefix: str, labels: list[str]) -> F.Column:
+    """Label with the largest weighted count; the smallest label wins a tie."""
+    counts = [F.col(f"{prefix}{i}") for i in range(len(labels))]
+    top = F.greatest(*counts)
+    expr = None
+    for lab, c in zip(labels, counts):
+        cond = (c == top) & (c > 0)
+        expr = F.when(cond, lab) if expr is None else expr.when(cond, lab)
+    return expr
+
+
+def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str) -> DataFrame:
+    """Per category, the non-NULL ``value`` with the largest total ``weight``
+    (smallest value on a tie): one small aggregate per (category, value)."""
+    totals = (pairs.filter(F.col(value).isNotNull()).groupBy("main_category", value)
+              .agg(F.sum(weight).alias("_w")))
+    return totals.groupBy("main_category").agg(
+        F.min_by(F.col(value), F.struct((-F.col("_w")).alias("w"), F.col(value).alias("v"))).alias(out))
+
+
+def category_insights_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> DataFrame:
+    """The category mart without forming company x traffic pairs.
+
+    A traffic row of match key k stands for m_k pairs (m_k = companies with
+    key k). Traffic is aggregated once per (key, category); sums, counts,
+    label counts and the sum of squares (exact, DECIMAL) are scaled by m_k,
+    and company-level figures come from (company, category) rows. All inputs
+    of the joins here have one row per key, company or category."""
+    v = F.col("total_visits")
+    cat = F.col("site_main_category").alias("main_category")
+    per_key = matched.groupBy(MATCH_KEY, cat).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(c) for c in list(TOTALS) + list(CHANNELS)],
+        *[F.sum(F.col(c) * v).alias(f"_wx_{c}") for c in WEIGHTED],
+        F.max(v).alias("_max"), F.min(v).alias("_min"),
+        F.sum(v.cast("decimal(38,0)") * v.cast("decimal(38,0)")).alias("_sq"),
+        *_label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
+        *_label_counts("quality_tier", QUALITY_LABELS, "_qt"),
+    )
+    m = keyed_orgs.groupBy(MATCH_KEY).agg(F.count(F.lit(1)).alias("_m"))
+    weighted = per_key.join(m, MATCH_KEY, "inner")
+    w = F.col("_m")
+
+    def msum(c):
+        return F.sum(F.col(c) * w)
+
+    sum_v, sum_desk, n = msum("total_visits"), msum("desktop_visits"), msum("_n")
+    market = weighted.groupBy("main_category").agg(
+        *[msum(src).alias(dst) for src, dst in TOTALS.items()],
+        F.when(sum_v > 0, safe_div(msum("mobile_visits"), sum_v)).alias("category_mobile_ratio"),
+        F.when(sum_v > 0, safe_div(msum("desktop_visits"), sum_v)).alias("category_desktop_ratio"),
+        *[F.when(sum_v > 0, safe_div(msum(f"_wx_{src}"), sum_v)).alias(dst) for src, dst in WEIGHTED.items()],
+        *[F.when(sum_desk > 0, safe_div(msum(src), sum_desk)).alias(dst) for src, dst in CHANNELS.items()],
+        F.max("_max").alias("largest_company_visits"), F.min("_min").alias("smallest_company_visits"),
+        safe_div(sum_v, n).alias("avg_company_visits"),
+        n.alias("_pairs"), sum_v.alias("_sum_v"),
+        F.sum(F.col("_sq") * w.cast("decimal(38,0)")).alias("_sum_sq"),
+        *[msum(f"_pp{i}").alias(f"_pp{i}") for i in range(len(PLATFORM_LABELS))],
+        *[msum(f"_qt{i}").alias(f"_qt{i}") for i in range(len(QUALITY_LABELS))],
+    )
+    # Sample variance over the pairs from exact moments: (S2 - S1^2 / W) / (W - 1).
+    s1 = F.col("_sum_v").cast("decimal(38,0)")
+    var = (F.col("_sum_sq") - s1 * s1 / F.col("_pairs")) / (F.col("_pairs") - 1)
+    market = market.withColumns({
+        "dominant_platform_preference": _weighted_label("_pp", PLATFORM_LABELS),
+        "dominant_quality_tier": _weighted_label("_qt", QUALITY_LABELS),
+        "_std": F.when(F.col("_pairs") > 1, F.sqrt(var.cast("double"))),
+    })
+
+    # Company-level figures: one row per (company, category) with its pair count.
+    comp = per_key.select(MATCH_KEY, "main_category", "_n").join(
+        keyed_orgs.select(MATCH_KEY, "organization_id", "standardized_city", "standardized_region", "is_investor"),
+        MATCH_KEY, "inner")
+    companies = comp.groupBy("main_category").agg(
+        F.count(F.lit(1)).alias("total_companies"),
+        F.count_if(F.col("is_investor")).alias("investor_companies"),
+        F.count_distinct("standardized_city").alias("unique_cities"),
+        F.count_distinct("standardized_region").alias("unique_regions"),
+    )
+    region = _weighted_mode(comp, "standardized_region", "_n", "dominant_region")
+    city = _weighted_mode(comp, "standardized_city", "_n", "dominant_city")
+
+    def on_category(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+        b = b.withColumnRenamed("main_category", "_c")
+        return a.join(b, a["main_category"].eqNullSafe(b["_c"]), how).drop("_c")
+
+    g = on_category(on_category(on_category(market, companies, "inner"), region, "left"), city, "left")
+    g = g.filter(F.col("total_companies") >= 1)
+    avg_v = F.col("avg_company_visits")
+    companies_n = F.col("total_companies")
+    g = g.withColumns({
+        "_cv": F.when((companies_n > 1) & (avg_v > 0), safe_div(F.col("_std"), avg_v)),
+        "_top_share": F.when(F.col("_sum_v") > 0, safe_div(F.col("largest_company_visits"), F.col("_sum_v"))),
+        "_density": F.when(F.col("_sum_v") > 0,
+                           safe_div(companies_n, F.col("_sum_v") / F.lit(VISITS_PER_UNIT))),
+    })
+    return _finish(g)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES
 from sitelens.plans.bridge import bridge_from, company_traffic, keyed_organizations, matched_traffic
-from sitelens.plans.category import category_insights
+from sitelens.plans.category import category_insights_by_domain
 from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
@@ -30,10 +30,16 @@ class Models:
     is planned only when first asked for, so a query runs only its own lineage.
 
     With ``materialize_tables`` the table-materialized layers (enhanced
-    organizations, enhanced traffic and the wide company x traffic bridge rows)
-    are written once to the shared checkpoint folder on first use and read
-    back, as the source project builds them as tables; marts then start from
-    file scans instead of re-running the layers below."""
+    organizations, enhanced traffic, the matched traffic rows and the wide
+    company x traffic bridge rows) are written once to the shared checkpoint
+    folder on first use and read back, as the source project builds them as
+    tables; marts then start from file scans instead of re-running the layers
+    below.
+
+    The three marts read ``matched_traffic`` (traffic rows whose domain
+    matches a company, each row once) and attach companies after
+    aggregating per domain, so they never form company x traffic pairs; only
+    the bridge model, whose rows are those pairs, does."""
 
     def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None,
@@ -86,7 +92,8 @@ class Models:
 
     @cached_property
     def matched_traffic(self) -> DataFrame:
-        return matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget)
+        return self._table(matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget),
+                           "matched_traffic")
 
     @cached_property
     def company_web_bridge(self) -> DataFrame:
@@ -102,7 +109,7 @@ class Models:
 
     @cached_property
     def mart_category_insights(self) -> DataFrame:
-        return category_insights(self.company_traffic)
+        return category_insights_by_domain(self.keyed_organizations, self.matched_traffic)
 
 
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,

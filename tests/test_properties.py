@@ -43,13 +43,15 @@ def test_mart_invariants_on_test_data(spark):
 
 
 def test_pair_and_per_domain_marts_agree(spark):
+    from sitelens.plans.category import category_insights
     from sitelens.plans.company import company_performance
     from sitelens.plans.pipeline import lazy_models_for
     from sitelens.plans.timeseries import company_timeseries
     from sitelens.registry import comparable
     m = lazy_models_for(spark, SF_SMALL)
     for by_pairs, by_domain in ((company_performance(m.company_traffic), m.mart_company_performance),
-                                (company_timeseries(m.company_traffic), m.mart_company_timeseries)):
+                                (company_timeseries(m.company_traffic), m.mart_company_timeseries),
+                                (category_insights(m.company_traffic), m.mart_category_insights)):
         a, b = comparable(by_pairs), comparable(by_domain)
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
