@@ -55,11 +55,14 @@ def late_rows(batch: DataFrame, target: DataFrame, key: str,
     return batch.filter(~after(hwm, year, month)).join(target.select(key), key, "left_anti")
 
 
-def assert_unique(batch: DataFrame, key: str) -> None:
-    """Refuse a batch with duplicate keys (a merge would be ambiguous)."""
-    dup = batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
+def assert_unique(batch: DataFrame, key: str) -> int:
+    """Refuse a batch with duplicate keys (a merge would be ambiguous); return
+    its row count. One grouped count (map-side combined), one result row."""
+    row = (batch.groupBy(key).count()
+           .agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first())
+    if row["most"] is not None and row["most"] > 1:
         raise DuplicateKeyError(f"batch has duplicate {key} values")
+    return int(row["rows"] or 0)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, check_schema: bool = True) -> DataFrame:

@@ -49,8 +49,7 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
     if target is not None:
         check_same_schema(batch.select(*target.columns), target)
     batch = materialize(batch, "traffic_batch")
-    assert_unique(batch, KEY)
-    n = batch.count()
+    n = assert_unique(batch, KEY)
     if n == 0:
         return 0
     if target is None:
