@@ -17,6 +17,7 @@ from sitelens.functions.domains import root_domain, standardize_domain
 from sitelens.functions.metrics import safe_div, tier
 from sitelens.functions.periods import months_span, period_label, yyyymm
 from sitelens.operators.aggregates import first_by, last_by
+from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.operators.quality import run_suite
 from sitelens.operators.upsert import late_rows, newer_than, upsert
 from sitelens.plans.bridge import matchable_organizations
@@ -298,11 +299,14 @@ def q_org_matchable(spark, sf_dir):
     "SELECT lower(trim(organization_domain)) AS match_domain, count(DISTINCT organization_id) AS organizations, "
     "count(DISTINCT web_traffic_id) AS traffic_rows, count(*) AS bridge_rows FROM bridge GROUP BY 1"))
 def q_fanout(spark, sf_dir):
-    rows = models_for(spark, sf_dir).company_traffic
-    return rows.groupBy(F.lower(F.trim("organization_domain")).alias("match_domain")).agg(
-        F.count_distinct("organization_id").alias("organizations"),
-        F.count_distinct("web_traffic_id").alias("traffic_rows"),
-        F.count(F.lit(1)).alias("bridge_rows"))
+    """Companies, traffic rows and bridge rows per match domain, from one count
+    per side (bridge rows = companies x traffic rows; no pairs are formed)."""
+    m = models_for(spark, sf_dir)
+    orgs = m.keyed_organizations.groupBy(MATCH_KEY).agg(F.count(F.lit(1)).alias("organizations"))
+    rows = m.matched_traffic.groupBy(MATCH_KEY).agg(F.count(F.lit(1)).alias("traffic_rows"))
+    return orgs.join(rows, MATCH_KEY, "inner").select(
+        F.col(MATCH_KEY).alias("match_domain"), "organizations", "traffic_rows",
+        (F.col("organizations") * F.col("traffic_rows")).alias("bridge_rows"))
 
 
 _CT_COLS = ["organization_id", "web_traffic_id", "site_domain", "traffic_year", "traffic_month", "total_visits",
@@ -337,10 +341,13 @@ def q_null_group(spark, sf_dir):
     "SELECT organization_id, count(DISTINCT ym) AS months_available FROM ct GROUP BY organization_id "
     "HAVING count(DISTINCT ym) >= 2"))
 def q_min_periods(spark, sf_dir):
-    rows = models_for(spark, sf_dir).company_traffic
-    return (rows.groupBy("organization_id")
-            .agg(F.count_distinct(yyyymm("traffic_year", "traffic_month")).alias("months_available"))
-            .filter(F.col("months_available") >= 2))
+    """Companies with at least two months: months counted once per match domain."""
+    m = models_for(spark, sf_dir)
+    per_key = (m.matched_traffic.groupBy(MATCH_KEY)
+               .agg(F.count_distinct(yyyymm("traffic_year", "traffic_month")).alias("months_available"))
+               .filter(F.col("months_available") >= 2))
+    return m.keyed_organizations.select("organization_id", MATCH_KEY).join(per_key, MATCH_KEY).select(
+        "organization_id", "months_available")
 
 
 # Incremental scenario: the target already holds every month up to one year
