@@ -17,10 +17,12 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--out", required=True, help="output folder on shared storage")
     b.add_argument("--no-checks", action="store_true")
     b.add_argument("--fail-on-error", action="store_true")
+    b.add_argument("--input-gb", type=float, default=None, help="traffic input size, to size shuffles")
     args = ap.parse_args(argv)
     spark = get_session()
     res = run_pipeline(spark, args.organizations, args.traffic, args.out,
-                       run_checks=not args.no_checks, fail_on_error=args.fail_on_error)
+                       run_checks=not args.no_checks, fail_on_error=args.fail_on_error,
+                       input_bytes=int(args.input_gb * 2**30) if args.input_gb else None)
     if res is not None:
         res.filter("failures > 0").show(300, truncate=False)
 

@@ -40,11 +40,6 @@ def last_by(c, order: Column) -> Column:
     return F.max_by(_col(c), order)
 
 
-def stable_any(c, order: Column) -> Column:
-    """Deterministic stand-in for ``any_value``: the value of the first row."""
-    return first_by(c, order)
-
-
 def first_row(cols: list[str], order: Column, name: str = "_first_row") -> Column:
     """Several columns of the first row as one struct: a single aggregate buffer
     instead of one (value, order key) buffer per column."""

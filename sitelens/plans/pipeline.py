@@ -21,7 +21,7 @@ from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
 from sitelens.plans.timeseries import company_timeseries_by_domain
 from sitelens.plans.traffic import traffic_enhanced
-from sitelens.session import materialize
+from sitelens.session import materialize, scale_conf
 from sitelens.sources.adapter import load_sources
 
 
@@ -145,7 +145,8 @@ TABLE_MODELS = ["organizations_enhanced", "company_web_bridge", "mart_company_pe
 
 
 def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source: str, out_dir: str,
-                 run_checks: bool = True, fail_on_error: bool = False) -> DataFrame | None:
+                 run_checks: bool = True, fail_on_error: bool = False,
+                 input_bytes: int | None = None) -> DataFrame | None:
     """Full build (the project's ``run`` + ``test``).
 
     Staging models stay views (lazy). Enhanced traffic is loaded
@@ -153,12 +154,15 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     months after its high-water mark are processed). Every other table model
     is rebuilt from the enhanced tables and written to ``out_dir/<model>``.
     Returns the check results (one row per declared check) when ``run_checks``.
+    ``input_bytes`` (size of the traffic input) sizes shuffles and file splits.
     """
     from sitelens.operators.quality import raise_on_errors, run_suite
     from sitelens.plans.checks import SUITE
     from sitelens.sources.raw import read_organizations, read_traffic
     from sitelens.streaming.incremental import load_increment
 
+    if input_bytes:
+        scale_conf(spark, input_bytes)
     out = out_dir.rstrip("/")
     raw_orgs = read_organizations(spark, organizations_source)
     raw_traffic = read_traffic(spark, traffic_source)
