@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.functions import (
+    SURROGATE_NULL,
     canonical_city, canonical_region, months_span, root_domain, standardize_domain, surrogate_key, tier,
     weighted_avg, yyyymm,
 )
@@ -47,7 +48,7 @@ def test_surrogate_key(spark):
     df = spark.createDataFrame([("a", None)], "a string, b string")
     got = df.select(surrogate_key("a", "b")).first()[0]
     assert got == "6231b1e7ffe3b9d15edc44e40e6f694c"
-    assert got == hashlib.md5(b"a-_dbt_utils_surrogate_key_null_").hexdigest()
+    assert got == hashlib.md5(f"a-{SURROGATE_NULL}".encode()).hexdigest()
 
 
 @pytest.mark.parametrize("m,d,expected", [
