@@ -30,18 +30,30 @@ def after(hwm, year: str = "traffic_year", month: str = "traffic_month") -> Colu
     return (F.col(year) > F.lit(y)) | ((F.col(year) == F.lit(y)) & (F.col(month) > F.lit(m)))
 
 
+def months_back(hwm, n: int):
+    """The (year, month) ``n`` months before ``hwm``."""
+    y, m = hwm
+    idx = y * 12 + (m - 1) - n
+    return idx // 12, idx % 12 + 1
+
+
 def newer_than(batch: DataFrame, target: DataFrame | None, strict: bool = False,
-               year: str = "traffic_year", month: str = "traffic_month") -> DataFrame:
+               year: str = "traffic_year", month: str = "traffic_month",
+               lookback_months: int = 0) -> DataFrame:
     """Keep the batch rows after the target's high-water mark.
 
     No target: everything loads (first run). An empty target loads
     everything too, unless ``strict`` (then nothing loads - the NULL mark of
-    the source rules compares false)."""
+    the source rules compares false). ``lookback_months=n`` also reprocesses
+    the last n loaded months, so late rows and corrections of those months
+    are merged instead of being dropped."""
     if target is None:
         return batch
     hwm = high_water_mark(target, year, month)
     if hwm is None:
         return batch.limit(0) if strict else batch
+    if lookback_months:
+        hwm = months_back(hwm, lookback_months)
     return batch.filter(after(hwm, year, month))
 
 

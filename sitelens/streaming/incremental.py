@@ -35,17 +35,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def enhance_batch(raw_batch: DataFrame, target: DataFrame | None, strict: bool = False) -> DataFrame:
+def enhance_batch(raw_batch: DataFrame, target: DataFrame | None, strict: bool = False,
+                  lookback_months: int = 0) -> DataFrame:
     """Stage, gate by the target's high-water mark, and enhance a raw batch."""
     staged = with_traffic(stg_traffic(raw_batch))
-    return enhance_traffic(newer_than(staged, target, strict))
+    return enhance_traffic(newer_than(staged, target, strict, lookback_months=lookback_months))
 
 
-def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False) -> int:
-    """One incremental run into the table at ``target_path``; returns rows loaded."""
+def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False,
+                   lookback_months: int = 0) -> int:
+    """One incremental run into the table at ``target_path``; returns rows loaded
+    (with ``lookback_months``, re-merged rows of recent months count too)."""
     exists = table_exists(spark, target_path)
     target = spark.read.parquet(target_path) if exists else None
-    batch = enhance_batch(raw_batch, target, strict)
+    batch = enhance_batch(raw_batch, target, strict, lookback_months)
     if target is not None:
         check_same_schema(batch.select(*target.columns), target)
     batch = materialize(batch, "traffic_batch")
