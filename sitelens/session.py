@@ -60,6 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (``checkpoint()`` data goes to a
+    per-application subfolder of it); used for data several applications reuse."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return ensure_checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
+
+
 def shared_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for a materialized table in the shared folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
