@@ -81,7 +81,7 @@ def sql_tier(expr: str, thresholds, default: str, inclusive: bool = False, null_
 def final_select(cte: str, columns: list[str], extra_where: str = "") -> str:
     cols = [c for c in columns if c not in AUDIT_COLUMNS]
     scale = 2 ** ROUND_BITS
-    sel = ", ".join(f"round({c} * {scale}) / {scale} AS {c}" if c in DOUBLE_COLUMNS else c for c in cols)
+    sel = ", ".join(f"round({c} * {scale}) / {scale} + 0.0 AS {c}" if c in DOUBLE_COLUMNS else c for c in cols)
     return f"SELECT {sel} FROM {cte}{(' WHERE ' + extra_where) if extra_where else ''}"
 
 

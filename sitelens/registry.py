@@ -42,7 +42,7 @@ def round_double(c) -> F.Column:
     test data practically never hit, unlike decimal boundaries such as
     0.4909375. The oracle applies the same arithmetic."""
     scale = float(2 ** ROUND_BITS)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+    return F.round(c * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -256,10 +256,10 @@ cr AS (
          CASE WHEN first_month_total > 0 THEN (last_month_total - first_month_total) / first_month_total END AS growth_rate
   FROM cg)
 SELECT o_custkey, ym_first AS first_month, ym_last AS last_month, months_available, months_span, orders,
-       round(first_month_total * 1048576) / 1048576 AS first_month_total,
-       round(last_month_total * 1048576) / 1048576 AS last_month_total,
-       round(peak_month_total * 1048576) / 1048576 AS peak_month_total,
-       round(growth_rate * 1048576) / 1048576 AS growth_rate,
+       round(first_month_total * 1048576) / 1048576 + 0.0 AS first_month_total,
+       round(last_month_total * 1048576) / 1048576 + 0.0 AS last_month_total,
+       round(peak_month_total * 1048576) / 1048576 + 0.0 AS peak_month_total,
+       round(growth_rate * 1048576) / 1048576 + 0.0 AS growth_rate,
        {oracle.sql_tier('growth_rate', GROWTH_TIERS, 'Significant Decline', null_label='Insufficient Data')} AS growth_category
 FROM cr"""
 
@@ -386,7 +386,7 @@ _UPSERT_COLS = ["web_traffic_id", "traffic_year", "traffic_month", "total_visits
 
 @register("incremental_upsert", _inc_sql(
     "SELECT web_traffic_id, traffic_year, traffic_month, total_visits, "
-    "round(overall_quality_score * 1048576) / 1048576 AS overall_quality_score, quality_tier, platform_preference "
+    "round(overall_quality_score * 1048576) / 1048576 + 0.0 AS overall_quality_score, quality_tier, platform_preference "
     "FROM (SELECT * FROM inc_target UNION ALL SELECT * FROM inc_new)"))
 def q_incremental_upsert(spark, sf_dir):
     """Target + gated, enhanced batch merged on the key = the full build."""
