@@ -16,6 +16,7 @@ from sitelens.operators.aggregates import dominant
 from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.plans.company import age_segment, gender_segment
 from sitelens.schemas import MART_CATEGORY, enforce
+from sitelens.session import ensure_checkpoint_dir
 
 # Tier bounds and labels.
 CONCENTRATION_TIERS = [(0.7, "Highly Concentrated"), (0.4, "Moderately Concentrated"),
@@ -137,6 +138,11 @@ def category_insights_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> Da
         *_label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
         *_label_counts("quality_tier", QUALITY_LABELS, "_qt"),
     )
+    # Four consumers below read these per-(key, category) rows; freeze them once
+    # (reliable checkpoint in the shared folder) instead of re-aggregating the
+    # matched traffic for each. One row per (domain, category): small.
+    ensure_checkpoint_dir(per_key.sparkSession)
+    per_key = per_key.checkpoint(eager=True)
     m = keyed_orgs.groupBy(MATCH_KEY).agg(F.count(F.lit(1)).alias("_m"))
     weighted = per_key.join(m, MATCH_KEY, "inner")
     w = F.col("_m")
