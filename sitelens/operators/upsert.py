@@ -39,17 +39,18 @@ def months_back(hwm, n: int):
 
 def newer_than(batch: DataFrame, target: DataFrame | None, strict: bool = False,
                year: str = "traffic_year", month: str = "traffic_month",
-               lookback_months: int = 0) -> DataFrame:
+               lookback_months: int = 0, known_mark: tuple[int, int] | None = None) -> DataFrame:
     """Keep the batch rows after the target's high-water mark.
 
     No target: everything loads (first run). An empty target loads
     everything too, unless ``strict`` (then nothing loads - the NULL mark of
     the source rules compares false). ``lookback_months=n`` also reprocesses
     the last n loaded months, so late rows and corrections of those months
-    are merged instead of being dropped."""
+    are merged instead of being dropped. ``known_mark`` is a mark already
+    known (e.g. recorded at the target's last commit), saving the aggregate."""
     if target is None:
         return batch
-    hwm = high_water_mark(target, year, month)
+    hwm = known_mark if known_mark is not None else high_water_mark(target, year, month)
     if hwm is None:
         return batch.limit(0) if strict else batch
     if lookback_months:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.operators.upsert import assert_unique, merge_partitions, newer_than
+from sitelens.operators.upsert import assert_unique, high_water_mark, merge_partitions, newer_than
 from sitelens.plans.staging import stg_traffic
 from sitelens.plans.traffic import enhance_traffic, with_traffic
 from sitelens.schemas import TRAFFIC_RAW, check_same_schema
@@ -36,32 +36,66 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def enhance_batch(raw_batch: DataFrame, target: DataFrame | None, strict: bool = False,
-                  lookback_months: int = 0) -> DataFrame:
+                  lookback_months: int = 0, known_mark: tuple[int, int] | None = None) -> DataFrame:
     """Stage, gate by the target's high-water mark, and enhance a raw batch."""
     staged = with_traffic(stg_traffic(raw_batch))
-    return enhance_traffic(newer_than(staged, target, strict, lookback_months=lookback_months))
+    return enhance_traffic(newer_than(staged, target, strict, lookback_months=lookback_months,
+                                      known_mark=known_mark))
+
+
+# The mark recorded at each commit, in a folder Spark's file listing skips
+# (leading underscore), so reading the target never sees it.
+MARK_DIR = "_high_water_mark"
+
+
+def recorded_mark(spark: SparkSession, target_path: str) -> tuple[int, int] | None:
+    """The (year, month) recorded at the target's last commit, if any (one-row read)."""
+    try:
+        row = spark.read.parquet(f"{target_path.rstrip('/')}/{MARK_DIR}").first()
+    except Exception:  # noqa: BLE001 - never recorded
+        return None
+    return None if row is None else (row["traffic_year"], row["traffic_month"])
+
+
+def _record_mark(spark: SparkSession, target_path: str, mark: tuple[int, int]) -> None:
+    (spark.createDataFrame([mark], "traffic_year int, traffic_month int").coalesce(1)
+     .write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{MARK_DIR}"))
 
 
 def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False,
                    lookback_months: int = 0) -> int:
     """One incremental run into the table at ``target_path``; returns rows loaded
-    (with ``lookback_months``, re-merged rows of recent months count too)."""
+    (with ``lookback_months``, re-merged rows of recent months count too).
+
+    The high-water mark comes from the mark recorded at the last commit (a
+    one-row read instead of touching every file of a large target); without
+    one it is aggregated from the target. The mark is recorded after the data
+    commit, so a crash in between leaves an older mark: the next run then
+    re-merges rows it already holds, which the key merge makes harmless."""
     exists = table_exists(spark, target_path)
     target = spark.read.parquet(target_path) if exists else None
-    batch = enhance_batch(raw_batch, target, strict, lookback_months)
+    mark = None
+    if exists:
+        mark = recorded_mark(spark, target_path)
+        if mark is None:
+            mark = high_water_mark(target)
+    batch = enhance_batch(raw_batch, target, strict, lookback_months, known_mark=mark)
     if target is not None:
         check_same_schema(batch.select(*target.columns), target)
     batch = materialize(batch, "traffic_batch")
     n = assert_unique(batch, KEY)
     if n == 0:
         return 0
+    newest = high_water_mark(batch)
     if target is None:
         batch.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(target_path)
+        _record_mark(spark, target_path, newest)
         return n
     merged = materialize(merge_partitions(target, batch.select(*target.columns), KEY, PARTITIONS),
                          "traffic_merged")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS).parquet(target_path))
+    _record_mark(spark, target_path, max(newest, mark) if mark is not None else newest)
     return n
 
 

@@ -119,3 +119,25 @@ def test_lookback_merges_late_rows(spark, scratch):
     expect = raw.filter((ym == newest) & (F.col("site") == late_site) & (F.col("total_estimated_visits") > 0)).count()
     assert after.count() == before + expect and loaded >= expect
     assert after.groupBy("web_traffic_id").count().filter("count > 1").count() == 0
+
+
+def test_recorded_mark_missing_or_stale(spark, scratch):
+    from sitelens.streaming.incremental import MARK_DIR, _record_mark, recorded_mark
+    raw = load_sources(spark, SF_SMALL)[1]
+    ym = F.col("year") * 100 + F.col("month")
+    months = sorted(r[0] for r in raw.select(ym).distinct().collect())
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[-3]), target)
+    assert recorded_mark(spark, target) == divmod(months[-3], 100)
+    # A target written without a mark: the mark is aggregated from the data.
+    plain = os.path.join(scratch, "plain")
+    spark.read.parquet(target).write.partitionBy("traffic_year", "traffic_month").parquet(plain)
+    assert load_increment(spark, raw, plain) > 0
+    assert recorded_mark(spark, plain) == divmod(months[-1], 100)
+    # A stale mark (crash after the data commit): rows are re-merged, never duplicated.
+    _record_mark(spark, target, divmod(months[-4], 100))
+    load_increment(spark, raw, target)
+    t = spark.read.parquet(target)
+    assert t.count() == t.select("web_traffic_id").distinct().count()
+    assert t.count() == spark.read.parquet(plain).count()
+    assert MARK_DIR not in t.columns
