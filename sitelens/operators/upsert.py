@@ -68,14 +68,25 @@ def late_rows(batch: DataFrame, target: DataFrame, key: str,
     return batch.filter(~after(hwm, year, month)).join(target.select(key), key, "left_anti")
 
 
-def assert_unique(batch: DataFrame, key: str) -> int:
+def assert_unique(batch: DataFrame, key: str, year: str | None = None,
+                  month: str | None = None):
     """Refuse a batch with duplicate keys (a merge would be ambiguous); return
-    its row count. One grouped count (map-side combined), one result row."""
-    row = (batch.groupBy(key).count()
-           .agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first())
+    its row count, and with ``year``/``month`` also its newest (year, month).
+    One grouped count (map-side combined), one result row."""
+    per_key = [F.count(F.lit(1)).alias("n")]
+    if year and month:
+        per_key.append(F.max(F.struct(F.col(year).alias("y"), F.col(month).alias("m"))).alias("p"))
+    totals = [F.sum("n").alias("rows"), F.max("n").alias("most")]
+    if year and month:
+        totals.append(F.max("p").alias("newest"))
+    row = batch.groupBy(key).agg(*per_key).agg(*totals).first()
     if row["most"] is not None and row["most"] > 1:
         raise DuplicateKeyError(f"batch has duplicate {key} values")
-    return int(row["rows"] or 0)
+    rows = int(row["rows"] or 0)
+    if not (year and month):
+        return rows
+    newest = None if row["newest"] is None else (row["newest"]["y"], row["newest"]["m"])
+    return rows, newest
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, check_schema: bool = True) -> DataFrame:

@@ -83,10 +83,9 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
     if target is not None:
         check_same_schema(batch.select(*target.columns), target)
     batch = materialize(batch, "traffic_batch")
-    n = assert_unique(batch, KEY)
+    n, newest = assert_unique(batch, KEY, *PARTITIONS)
     if n == 0:
         return 0
-    newest = high_water_mark(batch)
     if target is None:
         batch.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(target_path)
         _record_mark(spark, target_path, newest)
