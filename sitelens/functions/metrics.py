@@ -60,14 +60,16 @@ def argmax_label(pairs: Sequence[tuple[str, object]], fallback: str) -> Column:
     return expr.otherwise(fallback)
 
 
-def weighted_avg(value, weight) -> Column:
+def weighted_avg(value, weight, skip_null_weights: bool = False) -> Column:
     """Aggregate ``sum(value*weight)/sum(weight)`` when ``sum(weight) > 0``.
 
     As in the source rules, a NULL value drops out of the numerator while its
-    weight stays in the denominator.
+    weight stays in the denominator; ``skip_null_weights=True`` drops it from
+    both.
     """
-    w = F.sum(_col(weight))
-    return F.when(w > 0, safe_div(F.sum(_col(value) * _col(weight)), w))
+    v, wt = _col(value), _col(weight)
+    w = F.sum(F.when(v.isNotNull(), wt)) if skip_null_weights else F.sum(wt)
+    return F.when(w > 0, safe_div(F.sum(v * wt), w))
 
 
 def clamp(c, lo: float, hi: float) -> Column:

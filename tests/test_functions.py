@@ -138,3 +138,15 @@ def test_growth_health(spark):
 def test_weighted_avg(spark):
     df = spark.createDataFrame([(1.0, 1), (None, 3)], "v double, w long")
     assert df.agg(weighted_avg("v", "w")).first()[0] == pytest.approx(0.25)
+
+
+def test_domain_options(spark):
+    assert one_col(spark, ["HTTP://WWW.Example.com/a"], lambda c: standardize_domain(c, fold_case_first=True)) == [
+        "example.com"]
+    got = one_col(spark, ["blog.ex.com", "ex.com", "localhost"], lambda c: root_domain(c, keep_two_labels=True))
+    assert got == ["ex.com", "ex.com", "localhost"]
+
+
+def test_weighted_avg_skip_null_weights(spark):
+    df = spark.createDataFrame([(1.0, 1), (None, 3)], "v double, w long")
+    assert df.agg(weighted_avg("v", "w", skip_null_weights=True)).first()[0] == pytest.approx(1.0)
