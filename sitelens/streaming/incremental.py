@@ -15,7 +15,6 @@ target, so it lives in ``foreachBatch`` rather than in a watermark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sitelens.operators.upsert import assert_unique, high_water_mark, merge_partitions, newer_than
 from sitelens.plans.staging import stg_traffic

@@ -1,7 +1,6 @@
 """Declared checks: counts, seeded defects, severities."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sitelens.operators.quality import Check, CheckFailed, raise_on_errors, run_checks
