@@ -420,7 +420,7 @@ def q_incremental_late_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------------ quality checks
-def _check_models(spark, sf_dir) -> dict[str, DataFrame]:
+def check_models(spark, sf_dir) -> dict[str, DataFrame]:
     m = models_for(spark, sf_dir)
     raw_orgs, raw_traffic = load_sources(spark, sf_dir)
     out = {"organization_summary": raw_orgs, "global_growth": raw_traffic}
@@ -434,5 +434,5 @@ def _check_models(spark, sf_dir) -> dict[str, DataFrame]:
 
 for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepted_range", "expression"):
     def _run(spark, sf_dir, kinds=(_kind,)):
-        return run_suite(_check_models(spark, sf_dir), SUITE, kinds)
+        return run_suite(check_models(spark, sf_dir), SUITE, kinds)
     register(f"dq_{_kind}", (lambda k: (lambda: oracle.checks_query(SUITE, (k,))))(_kind))(_run)
