@@ -41,3 +41,21 @@ def test_suite_on_test_data_finds_known_gaps(spark):
     # NULL cities pass through canonicalisation and NULL categories form a group.
     assert res[("organizations_enhanced", "not_null", "standardized_city")] >= 0
     assert res[("company_web_bridge", "not_null", "organization_id")] == 0
+
+
+def test_known_failures_on_test_data(spark):
+    """Defects the rules let through, found by the declared checks (sf0.01):
+    the NULL category group of the category mart, and the out-of-range
+    bounce rate (1.5) averaged into the company and time-series marts."""
+    from sitelens.registry import QUERIES
+    sf = "/root/testdata/sf0.01"
+    failing = {(r.model, r.check_name, r.column_name): r.failures
+               for kind in ("dq_not_null", "dq_accepted_range", "dq_unique", "dq_relationships",
+                            "dq_accepted_values", "dq_expression")
+               for r in QUERIES[kind](spark, sf).filter("failures > 0").collect()}
+    assert failing == {
+        ("mart_category_insights", "not_null", "main_category"): 1,
+        ("mart_company_performance", "accepted_range", "total_bounce_rate"): 8,
+        ("mart_company_timeseries", "accepted_range", "first_month_bounce_rate"): 8,
+        ("mart_company_timeseries", "accepted_range", "last_month_bounce_rate"): 8,
+    }
