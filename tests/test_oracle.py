@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from sitelens.registry import QUERIES
 from tools.check_oracle import TABLES, canon, digest
 
-SQL = E.oracle_sql()
-QS = E.queries()
+SQL = {name: sql for name, sql in E.oracle_sql().items() if name in QUERIES}
+QS = {name: fn for name, fn in E.queries().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
