@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_sql, chunk_dedup, mixture, url_rules
+from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, langid, line_templates, mixture, url_rules
+from sitelens.llm.textops import remainder
 
 #: The vocabulary that op10 and the pipeline use.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -57,6 +59,15 @@ FROM placed
 """
 
 
+@_register
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = langid.train(docs.filter(~held_out))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 @_register
 def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -95,6 +106,17 @@ FROM places LEFT JOIN fits USING (page_id)
 """
 
 
+@_register
+def op8_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_templates.drop_recurring_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_register
 def op10_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe_sql.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY))
