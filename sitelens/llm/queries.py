@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, langid, line_templates, mixture, url_rules
+from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, langid, line_templates, mixture, suffix_dedup, url_rules, voronoi_knn
 from sitelens.llm.textops import remainder
 
 #: The vocabulary that op10 and the pipeline use.
@@ -59,6 +59,12 @@ FROM placed
 """
 
 
+@_register
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_register
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -68,6 +74,23 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+@_register
+def op5_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.knn_join(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op5_voronoi_knn"] = """
+WITH v AS (
+    SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 @_register
 def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
