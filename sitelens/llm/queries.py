@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, langid, line_templates, mixture, suffix_dedup, url_rules, voronoi_knn
+from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, katz, langid, line_templates, mixture, suffix_dedup, url_rules, voronoi_knn
 from sitelens.llm.textops import remainder
 
 #: The vocabulary that op10 and the pipeline use.
@@ -27,6 +27,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_register
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 5) == 1
+    model = katz.train(docs.filter(~held_out))
+    found = katz.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                        "base_score", "score")
+
+
 @_register
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture.mixed(_table(spark, sf_dir, "documents"))

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.session import write_table
+
 #: A word is a run of bytes other than ASCII white space; ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into numpy arrays at once.
@@ -47,3 +49,19 @@ def remainder(id_col: str, modulus: int):
 
 def id_type(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
+
+
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to a new table in shared storage and read it back (also if it is
+    empty). Spark then drops the shuffle files that led to the table at once
+    instead of when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, "false")
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name, partition_by))
+    finally:
+        conf.set(_CLEAN_UP, before)
