@@ -28,9 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitelens.llm.textops import WORD
+from sitelens.llm.textops import WORD, staged
 from sitelens.operators.ranking import grouped_row_number
-from sitelens.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
@@ -58,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
     repeating the reshare: each round is one aggregate over the sources."""
     kinds = F.array(*[F.lit(float(w)) for w in weights])
     rank = grouped_row_number(sizes, [], [F.col("source").asc_nulls_last()], "_rank")
-    table = materialize(rank.withColumn("weight_class", ((F.col("_rank") - 1) % len(weights)).cast("int"))
+    table = staged(rank.withColumn("weight_class", ((F.col("_rank") - 1) % len(weights)).cast("int"))
                         .withColumn("weight", kinds[F.col("weight_class")]).drop("_rank"), "mix_sources")
     limit = F.col("source_size") * float(cap)
 
@@ -109,14 +108,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), word_count(F.col(text_col)).alias("_n"),
                        order_key(F.col(id_col)).alias("_key"), *kept)
-    if kept:
-        rows = materialize(rows, "mix_rows")
-    else:
-        rows = materialize(rows.withColumn("_src", F.col("_src")), "mix_sizes")
-    n = rows.count()
+    if not kept:  # counted once; rows that carry more are too wide to be worth a copy
+        rows = staged(rows, "mix_sizes")
+    n = docs.count()
     bits = max(0, min(_MOST_BUCKET_BITS, math.ceil(math.log2(max(1, n / _ROWS_A_BUCKET)))))
     rows = rows.withColumn("_bucket", F.shiftright("_key", 60 - bits))
-    sums = materialize(rows.groupBy("_src", "_bucket").agg(F.sum("_n").alias("_sum")), "mix_buckets")
+    sums = staged(rows.groupBy("_src", "_bucket").agg(F.sum("_n").alias("_sum")), "mix_buckets")
     sizes = sums.groupBy(F.col("_src").alias("source")).agg(F.sum("_sum").alias("source_size"))
     targets = source_targets(sizes, weights, cap)
     earlier = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,7 +133,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         last = F.when(F.col("_at") + F.col("_n") / 2 < rest, F.col("_n")).otherwise(0)
 
     def use(number: Column, words: Column) -> Column:
-        share = (number * F.col("source_size") + F.col("_at")) / F.col("target")
+        share = F.when(F.col("target") > 0, (number * F.col("source_size") + F.col("_at")) / F.col("target")).otherwise(0.0)
         return F.struct(number.cast("int").alias("pass"), words.cast("long").alias("words"),
                         position(share, F.col("weight_class"), schedules).alias("position"))
 
