@@ -18,8 +18,8 @@ tokens: a contraction never makes a pair of lower rank in a vocabulary whose
 every token encodes to itself.
 
 The vocabulary (one line a token, at most ``MAX_VOCABULARY``) is read by the
-driver and broadcast, so tasks open no file. Memory per task: blocks of 2 MB of text and
-a cache of ``CACHE`` pieces that is emptied when full.
+driver and broadcast, so tasks open no file. Memory per task: blocks of 1 MB of text and
+two generations of at most about ``CACHE`` pieces: when the younger is full the older is dropped.
 
 Defined cases: null text counts as empty and has no tokens; an empty table
 gives an empty result; ids may repeat or be null; other columns are not read.
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from sitelens.llm.textops import as_bytes, blocks, id_type
 
 MAX_VOCABULARY = 1_000_000
-CACHE = 300_000
+CACHE = 500_000
+BLOCK = 1 << 20
 LONG_PIECE = 64
 _SPAN = 1 << 31  # rank and position share one integer: rank * _SPAN + position
 
@@ -76,7 +77,7 @@ WHERE NOT EXISTS (SELECT 1 FROM taken x WHERE x.piece = s.piece AND x.pos = s.po
 """
 
 _DECODE = """
-SELECT t.row, string_agg(v.hex, '' ORDER BY t.pos) AS hex
+SELECT t.row, array_to_string(list(v.bytes ORDER BY t.pos), '') AS bytes
 FROM tokens t JOIN vocabulary v ON v.tok = t.tok GROUP BY t.row
 """
 
@@ -98,16 +99,18 @@ class Codec:
         import regex
 
         self.split = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, bytes] = {}  # pieces and their tokens, as int32
+        self.old: dict[str, bytes] = {}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
         cuts = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t))
                 if t[:k] in ranks and t[k:] in ranks]
         self._table("merges", ["a", "b", "rank"], [np.array(x, np.int32) for x in zip(*cuts)] or [np.zeros(0, np.int32)] * 3)
-        self._table("vocabulary", ["tok", "hex"], [np.array(list(ranks.values()), np.int32), [t.hex() for t in ranks]])
+        # A token's bytes as the 256 first code points, so that any bytes make a string.
+        self._table("vocabulary", ["tok", "bytes"], [np.array(list(ranks.values()), np.int32), [t.decode("latin-1") for t in ranks]])
 
     def _table(self, name: str, columns: list[str], values: list) -> None:
         self.db.register("given", pa.table(dict(zip(columns, values))))
@@ -122,7 +125,7 @@ class Codec:
                          "pos": (np.arange(len(flat)) - np.repeat(starts, sizes)).astype(np.int32),
                          "tok": self.byte_rank[flat]})
 
-    def _merged(self, pieces: list[bytes], long: bool) -> list[tuple[int, ...]]:
+    def _merged(self, pieces: list[bytes], long: bool) -> list[bytes]:
         self.db.register("start", self._start(pieces))
         if long:
             self.db.execute("CREATE OR REPLACE TABLE long_state AS SELECT * FROM start")
@@ -135,26 +138,28 @@ class Codec:
         else:
             got = self.db.execute(_ENCODE).fetchnumpy()
         self.db.unregister("start")
-        ends = np.cumsum(np.bincount(got["piece"], minlength=len(pieces))).tolist()
-        toks = np.asarray(got["tok"]).tolist()
-        return [tuple(toks[a:b]) for a, b in zip([0, *ends], ends)]
+        ends = (4 * np.cumsum(np.bincount(got["piece"], minlength=len(pieces)))).tolist()
+        toks = np.asarray(got["tok"], np.int32).tobytes()
+        return [toks[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, pieces: list[str]) -> None:
-        """Put the tokens of these distinct pieces into the cache."""
+        """Put the tokens of these distinct pieces into the younger cache."""
         raw = {p: p.encode() for p in pieces}
         short = [p for p in pieces if len(raw[p]) <= LONG_PIECE]
         long = [p for p in pieces if len(raw[p]) > LONG_PIECE]
         for group, is_long in ((short, False), (long, True)):
             for a, b in blocks([len(raw[p]) for p in group], 1 << 18):
-                self.cache.update(zip(group[a:b], self._merged([raw[p] for p in group[a:b]], is_long)))
+                self.young.update(zip(group[a:b], self._merged([raw[p] for p in group[a:b]], is_long)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.split(t) for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        if len(self.cache) + len(wanted) > CACHE:
-            self.cache.clear()
-        self.learn(list(wanted - self.cache.keys()))
-        return [np.fromiter(chain.from_iterable(map(self.cache.__getitem__, c)), np.int32) for c in cut]
+        new = set(chain.from_iterable(cut)) - self.young.keys()
+        self.young.update({p: self.old[p] for p in new if p in self.old})
+        self.learn([p for p in new if p not in self.young])
+        out = [np.frombuffer(b"".join(map(self.young.__getitem__, c)), np.int32) for c in cut]
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        return out
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
         sizes = np.array([len(r) for r in rows], np.int64)
@@ -163,7 +168,7 @@ class Codec:
                                              "pos": np.arange(len(flat), dtype=np.int64), "tok": flat.astype(np.int32)}))
         got = dict(self.db.execute(_DECODE).fetchall())
         self.db.unregister("tokens")
-        return [bytes.fromhex(got.get(i, "")) for i in range(len(rows))]
+        return [got.get(i, "").encode("latin-1") for i in range(len(rows))]
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}
@@ -182,22 +187,25 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
-def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, token_ids array<int>."""
+def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per document: doc_id, token_ids array<int>; with ``decoded`` also
+    the bytes that the tokens decode to, found by the same process."""
+    names = ["doc_id", "token_ids"] + ["decoded"] * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary, pattern)
         for b in batches:
             texts = as_bytes(b.column(1))
-            for i, j in blocks([len(t) for t in texts]):
+            for i, j in blocks([len(t) for t in texts], BLOCK):
                 ids = codec.encode([t.decode("utf-8", "replace") for t in texts[i:j]])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))],
-                    ["doc_id", "token_ids"])
+                columns = [b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))]
+                if decoded:
+                    columns.append(pa.array(codec.decode(ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {id_type(docs, id_col)}, token_ids array<int>")
+    schema = f"doc_id {id_type(docs, id_col)}, token_ids array<int>" + ", decoded binary" * decoded
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary, pattern: str) -> DataFrame:
@@ -207,7 +215,7 @@ def decode(encoded: DataFrame, vocabulary, pattern: str) -> DataFrame:
         codec = _codec(vocabulary, pattern)
         for b in batches:
             rows = [np.asarray(x.values, np.int32) if x.is_valid else np.zeros(0, np.int32) for x in b.column(1)]
-            for i, j in blocks([4 * len(r) for r in rows]):
+            for i, j in blocks([4 * len(r) for r in rows], BLOCK):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(codec.decode(rows[i:j]), pa.binary())],
                     ["doc_id", "token_ids", "decoded"])
