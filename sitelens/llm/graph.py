@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.session import materialize
+from sitelens.llm.textops import staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     the smallest of them, until every component is a star. Each round is two
     grouped minima (combined before the shuffle) and joins on the node, and
     ends in a written table; the driver sees two sums."""
-    now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
+    now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.inline(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
-        now = materialize(small.filter("u <> v").distinct(), "edges")
+        now = staged(small.filter("u <> v").distinct(), "edges")
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

@@ -2,8 +2,10 @@
 
 A document is its set of distinct word shingles; two documents link when
 100 * |intersection| >= threshold * |union|. The shingles are hashed into
-``GROUPS`` groups, and a set's point holds how many of its shingles fall in
-each. The coordinate minima of two points, summed, are an upper bound of the
+groups, and a set's point holds how many of its shingles fall in each. A set
+has 32 groups, or more if it is larger (one for 4 to 8 shingles), up to
+``MOST_GROUPS``; groups are nested, so points of different size classes are
+compared by adding up the finer one's groups. The coordinate minima of two points, summed, are an upper bound of the
 intersection, of two bounding boxes' upper corners an upper bound for all
 pairs in them: an R-tree over the points skips box pairs whose bound is too
 low, and only surviving pairs are compared shingle by shingle.
@@ -44,10 +46,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm.graph import components
-from sitelens.llm.textops import as_bytes, id_type, mix64
-from sitelens.session import materialize
+from sitelens.llm.textops import as_bytes, id_type, mix64, staged
 
-GROUPS = 32
+LEAST_GROUPS, MOST_GROUPS = 32, 4096
+LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
@@ -79,6 +81,25 @@ def rarest(grams: np.ndarray, frequencies: np.ndarray, threshold: int) -> np.nda
     return grams[order[:len(grams) - needed(len(grams), threshold) + 1]]
 
 
+def level_of(n: int) -> int:
+    """The size class of a set: the first whose largest size, 8 * LEAST_GROUPS << level, is not below it."""
+    return min(LEVELS, ((max(n, 1) - 1) // (8 * LEAST_GROUPS)).bit_length())
+
+
+def level_column(n: Column) -> Column:
+    return sum(((n > (8 * LEAST_GROUPS << i)).cast("int") for i in range(LEVELS)), F.lit(0))
+
+
+def point(grams: np.ndarray) -> np.ndarray:
+    groups = LEAST_GROUPS << level_of(len(grams))
+    return np.bincount((grams >> np.uint64(32)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
+
+
+def folded(counts: bytes, groups: int) -> np.ndarray:
+    """A point with its groups added up to ``groups``."""
+    return np.frombuffer(counts, np.int32).reshape(-1, groups).sum(0, dtype=np.int32)
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt: bytes) -> DataFrame:
     """Rows of documents (doc_id, n, sid, check, text_hash, counts), and after
     each task's documents its shingle counts (bucket, seen)."""
@@ -94,24 +115,24 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt:
                 n.append(len(g))
                 sid.append(int.from_bytes(d[:8], "little", signed=True))
                 check.append(int.from_bytes(d[8:], "little", signed=True))
-                counts.append(np.bincount((g >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS))
+                counts.append(point(g).tobytes())
                 every.append((g % np.uint64(FREQUENCIES)).astype(np.int32))
             for g in every:
                 seen += np.bincount(g, minlength=FREQUENCIES) if len(g) > 20000 else 0
             seen += np.bincount(np.concatenate([np.zeros(0, np.int32), *[g for g in every if len(g) <= 20000]]), minlength=FREQUENCIES)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(check, pa.int64()),
-                 pa.array([c.tolist() for c in counts], pa.list_(pa.int32())), pa.nulls(len(n), pa.int32()),
+                 pa.array(counts, pa.binary()), pa.nulls(len(n), pa.int32()),
                  pa.nulls(len(n), pa.int64())], names)
         at = np.flatnonzero(seen)
-        none = [pa.nulls(len(at), f) for f in (id_arrow, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+        none = [pa.nulls(len(at), f) for f in (id_arrow, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
         yield pa.RecordBatch.from_arrays([*none, pa.array(at.astype(np.int32)), pa.array(seen[at])], names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(docs.schema[id_col].dataType)
     rows = docs.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)))
-    return rows.mapInArrow(run, f"doc_id {id_type(docs, id_col)}, text_hash long, n long, sid long, check long, counts array<int>, "
+    return rows.mapInArrow(run, f"doc_id {id_type(docs, id_col)}, text_hash long, n long, sid long, check long, counts binary, "
                                 "bucket int, seen long")
 
 
@@ -148,11 +169,22 @@ def shingle_store(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "sid long, grams binary")
 
 
-def bound_holds(a: str, b: str, threshold: int) -> Column:
-    """Whether sizes and summed coordinate minima allow a link of the sets in structs ``a`` and ``b``."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    shared = F.aggregate(F.zip_with(f"{a}.counts", f"{b}.counts", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    return ((100 * F.least(na, nb) >= threshold * F.greatest(na, nb)) & (shared * (100 + threshold) >= (na + nb) * threshold))
+def within_bound(pairs: DataFrame, threshold: int) -> DataFrame:
+    """Of (a, b, na, ca, nb, cb) the pairs whose sizes and summed coordinate minima allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, ca, nb, cb in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                fits = 100 * min(na, nb) >= threshold * max(na, nb)
+                if fits:
+                    groups = min(len(ca), len(cb)) // 4
+                    shared = int(np.minimum(folded(ca, groups), folded(cb, groups)).sum())
+                    fits = shared * (100 + threshold) >= (na + nb) * threshold
+                keep.append(fits)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "na", "ca", "nb", "cb").mapInArrow(run, "a long, b long")
 
 
 class Tree:
@@ -202,30 +234,32 @@ class Tree:
 
 
 def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """(tree, sid, root, n, counts) -> candidate pairs (a, b) of different roots."""
+    """(tree, level, sid, root, n, counts) -> candidate pairs (a, b) of different
+    roots, the smaller set being of the tree's level."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("sid")
-        sid, root = part["sid"].to_numpy(), part["root"].to_numpy()
-        found = []
-        if len(set(root)) > 1:
-            for i, j in Tree(np.array(part["counts"].tolist(), np.int64), part["n"].to_numpy()).pairs(threshold):
-                apart = root[i] != root[j]
-                found.append(np.stack([sid[i][apart], sid[j][apart]], 1))
-        both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": both.min(1), "b": both.max(1)} if len(both) else {"a": both[:, 0], "b": both[:, 0]})
+        sid, root, own = part["sid"].to_numpy(), part["root"].to_numpy(), part["own_level"].to_numpy()
+        level, found = part["level"].iloc[0], [np.zeros((0, 2), np.int64)]
+        if len(set(root)) > 1 and (own == level).any():
+            points = np.array([folded(c, LEAST_GROUPS << level) for c in part["counts"]])
+            for i, j in Tree(points, part["n"].to_numpy()).pairs(threshold):
+                keep = (root[i] != root[j]) & ((own[i] == level) | (own[j] == level))
+                found.append(np.stack([sid[i][keep], sid[j][keep]], 1))
+        both = np.concatenate(found)
+        return pd.DataFrame({"a": np.minimum(both[:, 0], both[:, 1]), "b": np.maximum(both[:, 0], both[:, 1])})
 
-    return members.groupBy("tree_a", "tree_b", "tree_c").applyInPandas(run, "a long, b long")
+    return members.groupBy("tree_a", "tree_b", "tree_c", "level").applyInPandas(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) that link, compared shingle by shingle."""
-    pairs = materialize(pairs, "jaccard_pairs")
+    pairs = staged(pairs, "jaccard_pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     holders = classes.join(wanted, "sid").select("sid", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash"))
     texts = (docs.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)).alias("_own"))
              .join(holders, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash"))).select("sid", text_col))
-    store = materialize(shingle_store(texts, width), "jaccard_sets").dropDuplicates(["sid"])
+    store = staged(shingle_store(texts, width), "jaccard_sets").dropDuplicates(["sid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -246,36 +280,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        salt: bytes = b"") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (links of
     its set that were looked at and hold; copies and pairs that others already connect are not counted)."""
-    rows = materialize(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents")
+    rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents")
     sets = rows.filter("bucket IS NULL").drop("bucket", "seen")
     frequencies = np.zeros(FREQUENCIES, np.int64)
     for bucket, n in rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("seen")).collect():  # FREQUENCIES rows at most
         frequencies[bucket] = n
     spark = docs.sparkSession
-    classes = materialize(
+    classes = staged(
         sets.filter("n > 0").groupBy("sid", "check", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"),
                                                              F.first("counts").alias("counts")), "jaccard_classes")
     if not classes.groupBy("sid").count().filter("count > 1").isEmpty():
         raise ValueError("two different shingle sets have the same 64-bit digest; give another salt")
 
-    rare = materialize(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare")
+    rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare")
     held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).filter("pivot < last").select("key", "pivot")
-    shared = materialize(rare.join(held, "key").distinct(), "jaccard_shared")
+    shared = staged(rare.join(held, "key").distinct(), "jaccard_shared")
 
-    point = classes.select("sid", F.struct("n", "counts").alias("p"))
-    star = (shared.filter("sid <> pivot").select("sid", "pivot").distinct()
-            .join(point, "sid").join(point.select(F.col("sid").alias("pivot"), F.col("p").alias("q")), "pivot")
-            .filter(bound_holds("p", "q", threshold)).select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
-    links = materialize(verified(star, classes, docs, id_col, text_col, width, threshold), "jaccard_links")
+    left = classes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
+    right = classes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
+    star = shared.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
+    star = within_bound(star.join(left, "a").join(right, "b"), threshold)
+    links = staged(verified(star, classes, docs, id_col, text_col, width, threshold), "jaccard_links")
 
     up = links.groupBy(F.col("b").alias("sid")).agg(F.min("a").alias("up"))
     top = up.select(F.col("sid").alias("up"), F.col("up").alias("top"))
     roots = up.join(top, "up", "left").select("sid", F.coalesce("top", "up").alias("root"))
     rooted = shared.join(roots, "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-    rooted = materialize(rooted, "jaccard_rooted")
+    rooted = staged(rooted, "jaccard_rooted")
     open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("holders"))
                  .filter("lo < hi").select("key", "holders"))
-    members = materialize(rooted.join(open_keys, "key").join(classes.select("sid", "counts"), "sid"), "jaccard_members")
+    members = staged(rooted.join(open_keys, "key"), "jaccard_members")
     trees = max(1, -(-members.count() // _TREE_ROWS))
     parts = F.ceil(F.col("holders") / _TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
@@ -284,17 +318,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                .withColumn("tree_a", F.when(F.col("parts") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(trees))))
                .withColumn("tree_b", F.least("own", "other")).withColumn("tree_c", F.greatest("own", "other"))
-               .withColumn("tree_b", F.when(F.col("parts") > 1, F.col("tree_b")).otherwise(-1)))
-    candidates = tree_pairs(members.select("tree_a", "tree_b", "tree_c", "sid", "root", "n", "counts"), threshold).distinct()
+               .withColumn("tree_b", F.when(F.col("parts") > 1, F.col("tree_b")).otherwise(-1))
+               .select("tree_a", "tree_b", "tree_c", "sid", "root", "n"))
+    # A set also goes to the trees of the next smaller size class if a partner may be of it.
+    own_level = level_column(F.col("n"))
+    below = level_column(F.ceil(F.col("n") * threshold / 100)) < F.col("own_level")
+    levels = F.when(below, F.array(F.col("own_level"), F.col("own_level") - 1)).otherwise(F.array("own_level"))
+    members = (members.withColumn("own_level", own_level).withColumn("level", F.explode(levels))
+               .select("tree_a", "tree_b", "tree_c", "level", "sid", "root", "own_level").distinct()
+               .join(classes.select("sid", "n", "counts"), "sid"))
+    candidates = tree_pairs(members, threshold).distinct()
     more = verified(candidates, classes, docs, id_col, text_col, width, threshold)
-    links = materialize(links.unionByName(more).distinct(), "jaccard_links")
+    links = staged(links.unionByName(more).distinct(), "jaccard_links")
 
     of_set = classes.select("sid", F.col("rep.doc_id").alias("least_id"))
     found = components(links)
     least = found.join(of_set.withColumnRenamed("sid", "node"), "node").groupBy("root").agg(F.min("least_id").alias("component"))
     named = found.join(least, "root").select(F.col("node").alias("sid"), "component")
     degree = links.select(F.col("a").alias("sid")).unionByName(links.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("links"))
-    answer = materialize(of_set.join(named, "sid", "left").join(degree, "sid", "left")
+    answer = staged(of_set.join(named, "sid", "left").join(degree, "sid", "left")
                          .select("sid", F.coalesce("component", "least_id").alias("component"), F.coalesce("links", F.lit(0)).alias("links")),
                          "jaccard_answer")
     return (sets.join(answer, "sid", "left")
