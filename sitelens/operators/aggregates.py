@@ -21,6 +21,24 @@ def dominant(c) -> Column:
     return F.mode(_col(c), deterministic=True)
 
 
+def label_counts(column: str, labels: list[str], prefix: str) -> list[Column]:
+    """Rows of each label of a closed set: plain counts, so the mode of such a
+    column needs no map of values in the aggregate."""
+    return [F.count_if(F.col(column) == label).alias(f"{prefix}{i}") for i, label in enumerate(labels)]
+
+
+def top_label(prefix: str, labels: list[str]) -> Column:
+    """The label with the largest of its ``label_counts``; the first label wins a
+    tie (give them sorted for the rule of ``dominant``), NULL without any."""
+    counts = [F.col(f"{prefix}{i}") for i in range(len(labels))]
+    top = F.greatest(*counts)
+    expr = None
+    for label, c in zip(labels, counts):
+        cond = (c == top) & (c > 0)
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+    return expr
+
+
 def row_order(year: str, month: str, tie_breaker: str) -> Column:
     """Total order of traffic rows inside a company: (period, row key)."""
     return F.struct(yyyymm(year, month).alias("p"), F.col(tie_breaker).alias("k"))

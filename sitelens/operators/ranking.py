@@ -72,34 +72,9 @@ def grouped_row_number(df: DataFrame, group_cols: Sequence[str], order_by: Seque
         *[f"_o_{i}" for i in range(len(group_cols))])
 
 
-# Largest group a single task may sort for a plain window (rows).
-WINDOW_GROUP_LIMIT = 5_000_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the biggest group (one aggregate job; its output has one row per group)."""
-    if not group_cols:
-        return df.count()
-    top = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(top["m"] or 0)
-
-
-def add_row_numbers(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]], order_by: Sequence[Column],
-                    max_window_rows: int = WINDOW_GROUP_LIMIT) -> DataFrame:
-    """Add several row-number columns ``(out_col, group_cols)`` sharing one ordering.
-
-    The groups are measured once on the coarsest grouping all specs share
-    (every group of every spec lies inside one of its groups). If that
-    bound fits in one task, plain window functions are used; otherwise each
-    number is computed by the range-partitioned ``grouped_row_number``.
-    ``df`` should be materialized, since it is read by the size check too.
-    """
-    common = [c for c in specs[0][1] if all(c in g for _, g in specs)]
-    if largest_group(df, common) <= max_window_rows:
-        for out, groups in specs:
-            df = df.withColumn(out, F.row_number().over(
-                Window.partitionBy(*groups).orderBy(*order_by)).cast("long"))
-        return df
+def add_row_numbers(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]], order_by: Sequence[Column]) -> DataFrame:
+    """Add several row-number columns ``(out_col, group_cols)`` sharing one
+    ordering, each by ``grouped_row_number``."""
     for out, groups in specs:
         df = grouped_row_number(df, groups, order_by, out)
     return df

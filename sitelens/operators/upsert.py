@@ -58,14 +58,39 @@ def newer_than(batch: DataFrame, target: DataFrame | None, strict: bool = False,
     return batch.filter(after(hwm, year, month))
 
 
+def in_months(months: Sequence[tuple[int, int]], year: str = "traffic_year", month: str = "traffic_month") -> Column:
+    """Rows of the given (year, month) pairs, as literals: a month-partitioned
+    table is pruned to these partitions before its files are listed."""
+    by_year: dict[int, list[int]] = {}
+    for y, m in months:
+        by_year.setdefault(y, []).append(m)
+    expr = F.lit(False)
+    for y in sorted(by_year):
+        expr = expr | ((F.col(year) == F.lit(y)) & F.col(month).isin(*sorted(by_year[y])))
+    return expr
+
+
+def batch_months(batch: DataFrame, key: str, year: str, month: str) -> tuple[int, list[tuple[int, int]]]:
+    """Row count and months of a batch; refuses duplicate keys. One aggregate per
+    key and one per month; a row for each month reaches the driver."""
+    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col(year).alias("y"), F.col(month).alias("m"))).alias("p"))
+    rows = per_key.groupBy("p.y", "p.m").agg(F.sum("n").alias("rows"), F.max("n").alias("most")).collect()
+    if any(r["most"] > 1 for r in rows):
+        raise DuplicateKeyError(f"batch has duplicate {key} values")
+    return sum(r["rows"] for r in rows), sorted((r["y"], r["m"]) for r in rows)
+
+
 def late_rows(batch: DataFrame, target: DataFrame, key: str,
-              year: str = "traffic_year", month: str = "traffic_month") -> DataFrame:
+              year: str = "traffic_year", month: str = "traffic_month",
+              known_mark: tuple[int, int] | None = None) -> DataFrame:
     """Batch rows at or before the mark that the target does not hold: they
-    will never be loaded by the month gate (reported, not dropped silently)."""
-    hwm = high_water_mark(target, year, month)
+    will never be loaded by the month gate (reported, not dropped silently).
+    The target is read up to the mark only."""
+    hwm = known_mark if known_mark is not None else high_water_mark(target, year, month)
     if hwm is None:
         return batch.limit(0)
-    return batch.filter(~after(hwm, year, month)).join(target.select(key), key, "left_anti")
+    held = target.filter(~after(hwm, year, month)).select(key)
+    return batch.filter(~after(hwm, year, month)).join(held, key, "left_anti")
 
 
 def assert_unique(batch: DataFrame, key: str, year: str | None = None,

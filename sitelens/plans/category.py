@@ -1,8 +1,8 @@
 """Category insights mart (J3-J4, A11-A18, M26-M28): one row per main category.
 
 The source rules aggregate the same rows by category twice (market
-aggregates and concentration) and left-join the two. Here both are one
-``groupBy``: the concentration columns are NULLed for the NULL category,
+aggregates and concentration) and left-join the two. Here both come from one
+aggregate: the concentration columns are NULLed for the NULL category,
 which is exactly what the left join produced (a NULL key never matches).
 """
 
@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.metrics import ratio_if_positive, safe_div, tier, weighted_avg
-from sitelens.operators.aggregates import dominant
+from sitelens.functions.metrics import ratio_if_positive, safe_div, tier
+from sitelens.operators.aggregates import label_counts, top_label
 from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.plans.company import age_segment, gender_segment
+from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_CATEGORY, enforce
-from sitelens.session import ensure_checkpoint_dir
 
 # Tier bounds and labels.
 CONCENTRATION_TIERS = [(0.7, "Highly Concentrated"), (0.4, "Moderately Concentrated"),
@@ -39,36 +39,6 @@ TOTALS = {"total_visits": "total_category_visits", "total_unique_visitors": "tot
           "mobile_visits": "total_mobile_visits"}
 
 
-def category_insights(rows: DataFrame) -> DataFrame:
-    """``rows`` = company_traffic (company-month rows carry city/region/investor)."""
-    v = F.col("total_visits")
-    sum_v, sum_desk = F.sum(v), F.sum("desktop_visits")
-    companies = F.count_distinct("organization_id")
-    g = rows.groupBy(F.col("site_main_category").alias("main_category")).agg(
-        companies.alias("total_companies"),
-        F.count_distinct(F.when(F.col("is_investor"), F.col("organization_id"))).alias("investor_companies"),
-        F.count_distinct("standardized_city").alias("unique_cities"),
-        F.count_distinct("standardized_region").alias("unique_regions"),
-        *[F.sum(src).alias(dst) for src, dst in TOTALS.items()],
-        F.when(sum_v > 0, safe_div(F.sum("mobile_visits"), sum_v)).alias("category_mobile_ratio"),
-        F.when(sum_v > 0, safe_div(F.sum("desktop_visits"), sum_v)).alias("category_desktop_ratio"),
-        dominant("platform_preference").alias("dominant_platform_preference"),
-        dominant("quality_tier").alias("dominant_quality_tier"),
-        *[weighted_avg(src, "total_visits").alias(dst) for src, dst in WEIGHTED.items()],
-        *[F.when(sum_desk > 0, safe_div(F.sum(src), sum_desk)).alias(dst) for src, dst in CHANNELS.items()],
-        dominant("standardized_region").alias("dominant_region"),
-        dominant("standardized_city").alias("dominant_city"),
-        F.max(v).alias("largest_company_visits"),
-        F.min(v).alias("smallest_company_visits"),
-        F.avg(v).alias("avg_company_visits"),
-        F.when((companies > 1) & (F.avg(v) > 0), safe_div(F.stddev_samp(v), F.avg(v))).alias("_cv"),
-        F.when(sum_v > 0, safe_div(F.max(v), sum_v)).alias("_top_share"),
-        F.when(sum_v > 0, safe_div(companies, sum_v / F.lit(VISITS_PER_UNIT))).alias("_density"),
-    ).filter(F.col("total_companies") >= 1)
-
-    return _finish(g)
-
-
 def _finish(g: DataFrame) -> DataFrame:
     """Concentration columns (NULL for the NULL category, as its left join
     never matched in the source rules), ratios, tiers and segments."""
@@ -88,28 +58,6 @@ def _finish(g: DataFrame) -> DataFrame:
     return enforce(out, MART_CATEGORY)
 
 
-# Closed label sets of the two label columns whose mode is taken (fixed values:
-# the labels produced by the traffic model), sorted so that ties go to the
-# smallest label as in ``dominant``.
-PLATFORM_LABELS = sorted(["Mobile-Dominant", "Desktop-Dominant", "Balanced", "Mixed"])
-QUALITY_LABELS = sorted(["High-Quality", "Medium-Quality", "Low-Quality", "Unknown-Quality"])
-
-
-def _label_counts(col: str, labels: list[str], prefix: str) -> list:
-    return [F.count_if(F.col(col) == lab).alias(f"{prefix}{i}") for i, lab in enumerate(labels)]
-
-
-def _weighted_label(prefix: str, labels: list[str]) -> F.Column:
-    """Label with the largest weighted count; the smallest label wins a tie."""
-    counts = [F.col(f"{prefix}{i}") for i in range(len(labels))]
-    top = F.greatest(*counts)
-    expr = None
-    for lab, c in zip(labels, counts):
-        cond = (c == top) & (c > 0)
-        expr = F.when(cond, lab) if expr is None else expr.when(cond, lab)
-    return expr
-
-
 def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str) -> DataFrame:
     """Per category, the non-NULL ``value`` with the largest total ``weight``
     (smallest value on a tie): one small aggregate per (category, value)."""
@@ -119,30 +67,30 @@ def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str) -> DataF
         F.min_by(F.col(value), F.struct((-F.col("_w")).alias("w"), F.col(value).alias("v"))).alias(out))
 
 
-def category_insights_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> DataFrame:
-    """The category mart without forming company x traffic pairs.
-
-    A traffic row of match key k stands for m_k pairs (m_k = companies with
-    key k). Traffic is aggregated once per (key, category); sums, counts,
-    label counts and the sum of squares (exact, DECIMAL) are scaled by m_k,
-    and company-level figures come from (company, category) rows. All inputs
-    of the joins here have one row per key, company or category."""
+def domain_categories(matched: DataFrame) -> DataFrame:
+    """Matched traffic aggregated once per (match key, category)."""
     v = F.col("total_visits")
     cat = F.col("site_main_category").alias("main_category")
-    per_key = matched.groupBy(MATCH_KEY, cat).agg(
+    return matched.groupBy(MATCH_KEY, cat).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(c) for c in list(TOTALS) + list(CHANNELS)],
         *[F.sum(F.col(c) * v).alias(f"_wx_{c}") for c in WEIGHTED],
         F.max(v).alias("_max"), F.min(v).alias("_min"),
         F.sum(v.cast("decimal(38,0)") * v.cast("decimal(38,0)")).alias("_sq"),
-        *_label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
-        *_label_counts("quality_tier", QUALITY_LABELS, "_qt"),
+        *label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
+        *label_counts("quality_tier", QUALITY_LABELS, "_qt"),
     )
-    # Four consumers below read these per-(key, category) rows; freeze them once
-    # (reliable checkpoint in the shared folder) instead of re-aggregating the
-    # matched traffic for each. One row per (domain, category): small.
-    ensure_checkpoint_dir(per_key.sparkSession)
-    per_key = per_key.checkpoint(eager=True)
+
+
+def category_insights_by_domain(keyed_orgs: DataFrame, per_key: DataFrame) -> DataFrame:
+    """The category mart from ``domain_categories`` rows, without forming
+    company x traffic pairs.
+
+    A traffic row of match key k stands for m_k pairs (m_k = companies with
+    key k). Traffic is aggregated once per (key, category); sums, counts,
+    label counts and the sum of squares (exact, DECIMAL) are scaled by m_k,
+    and company-level figures come from (company, category) rows. All inputs
+    of the joins here have one row per key, company or category."""
     m = keyed_orgs.groupBy(MATCH_KEY).agg(F.count(F.lit(1)).alias("_m"))
     weighted = per_key.join(m, MATCH_KEY, "inner")
     w = F.col("_m")
@@ -168,8 +116,8 @@ def category_insights_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> Da
     s1 = F.col("_sum_v").cast("decimal(38,0)")
     var = (F.col("_sum_sq") - s1 * s1 / F.col("_pairs")) / (F.col("_pairs") - 1)
     market = market.withColumns({
-        "dominant_platform_preference": _weighted_label("_pp", PLATFORM_LABELS),
-        "dominant_quality_tier": _weighted_label("_qt", QUALITY_LABELS),
+        "dominant_platform_preference": top_label("_pp", PLATFORM_LABELS),
+        "dominant_quality_tier": top_label("_qt", QUALITY_LABELS),
         "_std": F.when(F.col("_pairs") > 1, F.sqrt(var.cast("double"))),
     })
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sitelens.functions.metrics import argmax_label, ratio_if_positive
 from sitelens.functions.periods import yyyymm
 from sitelens.operators.domain_match import MATCH_KEY
-from sitelens.operators.aggregates import dominant, first_row, traffic_row_order
+from sitelens.operators.aggregates import first_row, label_counts, top_label, traffic_row_order
+from sitelens.plans.traffic import LEADER_LABELS, PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_COMPANY, enforce
 
 # Segment labels in tie-break order.
@@ -58,25 +59,33 @@ def age_segment(prefix: str = "") -> F.Column:
     return argmax_label([(label, prefix + col) for label, col in AGE_SEGMENTS], "Unknown")
 
 
-def _traffic_aggs(order, period) -> list:
+def numeric_aggs() -> list:
+    """Aggregates with numeric buffers only (a hash aggregate without fallback)."""
     return (
-        [first_row(FIRST_ROW_TRAFFIC_ONLY, order, "_first_traffic"),
-         F.min(period).alias("_first"), F.max(period).alias("_last"),
-         F.count_distinct(period).alias("months_available")]
-        + [F.min(c).alias(c) for c in RANKS]
-        + [F.avg("overall_quality_score").alias("digital_performance_score"),
-           dominant("quality_tier").alias("performance_tier"),
-           dominant("platform_preference").alias("platform_preference"),
-           dominant("platform_engagement_leader").alias("platform_engagement_leader")]
+        [F.min(c).alias(c) for c in RANKS]
+        + [F.avg("overall_quality_score").alias("digital_performance_score")]
+        + label_counts("quality_tier", QUALITY_LABELS, "_qt")
+        + label_counts("platform_preference", PLATFORM_LABELS, "_pp")
+        + label_counts("platform_engagement_leader", LEADER_LABELS, "_el")
         + [F.sum(c).alias(c) for c in SUMMED]
         + [F.avg(c).alias(c) for c in AVERAGED]
     )
 
 
+def period_aggs(order, period) -> list:
+    """First row and months: a narrow aggregate of its own."""
+    return [first_row(FIRST_ROW_TRAFFIC_ONLY, order, "_first_traffic"),
+            F.min(period).alias("_first"), F.max(period).alias("_last"),
+            F.count_distinct(period).alias("months_available")]
+
+
 def _finish(g: DataFrame) -> DataFrame:
     out = g.select("*", *[F.col("_first_traffic")[src].alias(dst)
                           for src, dst in FIRST_ROW_RENAMES.items() if src in FIRST_ROW_TRAFFIC_ONLY])
     out = out.withColumns({
+        "performance_tier": top_label("_qt", QUALITY_LABELS),
+        "platform_preference": top_label("_pp", PLATFORM_LABELS),
+        "platform_engagement_leader": top_label("_el", LEADER_LABELS),
         "period_start": period_text("_first"),
         "period_end": period_text("_last"),
         **{share: ratio_if_positive(num, "desktop_visits") for share, num in CHANNEL_SHARES},
@@ -87,25 +96,16 @@ def _finish(g: DataFrame) -> DataFrame:
     return enforce(out, MART_COMPANY)
 
 
-def company_performance(rows: DataFrame) -> DataFrame:
-    """From company x traffic rows (the bridge form): group by company."""
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
-    g = rows.groupBy("organization_id").agg(
-        first_row(COMPANY_ATTRS + ["match_confidence_score"], order, "_company"), *_traffic_aggs(order, period))
-    g = g.select("*", *[F.col("_company")[c].alias(c) for c in COMPANY_ATTRS + ["match_confidence_score"]])
-    return _finish(g)
-
-
 def company_performance_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> DataFrame:
     """Same mart without forming company x traffic pairs.
 
     Every company's rows are exactly the traffic rows of its match key, so
     the per-company aggregate equals the per-key aggregate: aggregate the
     matched traffic once per key (map-side combined, skew-safe), then attach
-    the companies to their key's single row."""
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
-    per_key = matched.groupBy(MATCH_KEY).agg(*_traffic_aggs(order, period))
+    the companies to their key's single row. The wide numeric columns and the
+    first row are two aggregates over the same partitioning."""
+    by_key = matched.groupBy(MATCH_KEY)
+    per_key = (by_key.agg(*numeric_aggs())
+               .join(by_key.agg(*period_aggs(traffic_row_order(), yyyymm("traffic_year", "traffic_month"))), MATCH_KEY))
     companies = keyed_orgs.select("organization_id", *COMPANY_ATTRS, "match_confidence_score", MATCH_KEY)
     return _finish(companies.join(per_key, MATCH_KEY, "inner"))

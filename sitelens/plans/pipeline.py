@@ -14,14 +14,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES
-from sitelens.plans.bridge import bridge_from, company_traffic, keyed_organizations, matched_traffic
-from sitelens.plans.category import category_insights_by_domain
+from sitelens.plans.bridge import company_traffic, company_web_bridge, keyed_organizations, matched_traffic
+from sitelens.plans.category import category_insights_by_domain, domain_categories
 from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
 from sitelens.plans.timeseries import company_timeseries_by_domain
 from sitelens.plans.traffic import traffic_enhanced
-from sitelens.session import materialize, scale_conf
+from sitelens.session import materialize, scale_conf, write_table
 from sitelens.sources.adapter import load_sources
 
 
@@ -43,14 +43,19 @@ class Models:
 
     def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None,
-                 materialize_tables: bool = False):
+                 materialize_tables: bool = False, organizations: DataFrame | None = None):
         self._raw_orgs, self._raw_traffic = raw_orgs, raw_traffic
         self._budget = broadcast_budget
-        self._traffic = traffic
+        self._traffic, self._organizations = traffic, organizations
         self._materialize = materialize_tables
+        self.scratch: list[str] = []  # folders of the layers written so far
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self._materialize else df
+        if not self._materialize:
+            return df
+        path = write_table(df, name)
+        self.scratch.append(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def table(self, name: str) -> DataFrame:
         """Model ``name`` as a written table (the state tests run against, after a
@@ -60,7 +65,7 @@ class Models:
         cache = self.__dict__.setdefault("_tables", {})
         if name not in cache:
             df = getattr(self, name)
-            cache[name] = df if name in ("organizations_enhanced", "traffic_enhanced") else materialize(df, name)
+            cache[name] = df if name in ("organizations_enhanced", "traffic_enhanced") else self._table(df, name)
         return cache[name]
 
     @cached_property
@@ -73,6 +78,8 @@ class Models:
 
     @cached_property
     def organizations_enhanced(self) -> DataFrame:
+        if self._organizations is not None:
+            return self._organizations
         return self._table(organizations_enhanced(self.stg_organizations), "organizations_enhanced")
 
     @cached_property
@@ -97,7 +104,8 @@ class Models:
 
     @cached_property
     def company_web_bridge(self) -> DataFrame:
-        return bridge_from(self.company_traffic)
+        """Planned from the enhanced tables, so only its own columns pass the join."""
+        return company_web_bridge(self.organizations_enhanced, self.traffic_enhanced, self._budget)
 
     @cached_property
     def mart_company_performance(self) -> DataFrame:
@@ -107,17 +115,24 @@ class Models:
     def mart_company_timeseries(self) -> DataFrame:
         return company_timeseries_by_domain(self.keyed_organizations, self.matched_traffic)
 
+    @cached_property
+    def domain_categories(self) -> DataFrame:
+        """Matched traffic per (match key, category): what the category mart reads four times."""
+        return self._table(domain_categories(self.matched_traffic), "domain_categories")
+
     @cached_property
     def mart_category_insights(self) -> DataFrame:
-        return category_insights_by_domain(self.keyed_organizations, self.matched_traffic)
+        return category_insights_by_domain(self.keyed_organizations, self.domain_categories)
 
 
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
-                 traffic: DataFrame | None = None, materialize_tables: bool = False) -> Models:
+                 traffic: DataFrame | None = None, materialize_tables: bool = False,
+                 organizations: DataFrame | None = None) -> Models:
     """All models over the given raw inputs. ``traffic`` may be an already
-    materialized enhanced-traffic table (the incremental target)."""
-    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables)
+    materialized enhanced-traffic table (the incremental target), and
+    ``organizations`` the enhanced organizations."""
+    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables, organizations)
 
 
 _BUILDS: dict[tuple[str, str], Models] = {}
@@ -145,17 +160,22 @@ TABLE_MODELS = ["organizations_enhanced", "company_web_bridge", "mart_company_pe
 
 
 def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source: str, out_dir: str,
-                 run_checks: bool = True, fail_on_error: bool = False,
-                 input_bytes: int | None = None) -> DataFrame | None:
+                 run_checks: bool = True, fail_on_error: bool = False, input_bytes: int | None = None,
+                 strict: bool = False, lookback_months: int = 0, full_refresh: bool = False) -> DataFrame | None:
     """Full build (the project's ``run`` + ``test``).
 
     Staging models stay views (lazy). Enhanced traffic is loaded
     incrementally into ``out_dir/traffic_enhanced`` (month-partitioned; only
-    months after its high-water mark are processed). Every other table model
-    is rebuilt from the enhanced tables and written to ``out_dir/<model>``.
+    months after its high-water mark are processed, or all with
+    ``full_refresh``); rows that came too late are written to
+    ``out_dir/late_traffic``. Every other table model is rebuilt from the
+    enhanced tables, written once to a new folder and then put in the place of
+    ``out_dir/<model>``, so readers keep the former table until the new one is
+    complete. Scratch layers are removed at the end.
     Returns the check results (one row per declared check) when ``run_checks``.
     ``input_bytes`` (size of the traffic input) sizes shuffles and file splits.
     """
+    from sitelens.operators.tables import remove_table, replace_table
     from sitelens.operators.quality import raise_on_errors, run_suite
     from sitelens.plans.checks import SUITE
     from sitelens.sources.raw import read_organizations, read_traffic
@@ -166,13 +186,19 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     out = out_dir.rstrip("/")
     raw_orgs = read_organizations(spark, organizations_source)
     raw_traffic = read_traffic(spark, traffic_source)
-    load_increment(spark, raw_traffic, f"{out}/traffic_enhanced")
+    done = load_increment(spark, raw_traffic, f"{out}/traffic_enhanced", strict, lookback_months, full_refresh)
+    if done.late is not None:
+        replace_table(done.late, f"{out}/late_traffic")
     traffic = spark.read.parquet(f"{out}/traffic_enhanced")
-    models = build_models(raw_orgs, raw_traffic, traffic=traffic, materialize_tables=True)
-    written = {"traffic_enhanced": traffic}
-    for name in TABLE_MODELS:
-        getattr(models, name).write.mode("overwrite").parquet(f"{out}/{name}")
+    replace_table(organizations_enhanced(stg_organizations(raw_orgs)), f"{out}/organizations_enhanced")
+    models = build_models(raw_orgs, raw_traffic, traffic=traffic, materialize_tables=True,
+                          organizations=spark.read.parquet(f"{out}/organizations_enhanced"))
+    written = {"traffic_enhanced": traffic, "organizations_enhanced": models.organizations_enhanced}
+    for name in TABLE_MODELS[1:]:
+        replace_table(getattr(models, name), f"{out}/{name}")
         written[name] = spark.read.parquet(f"{out}/{name}")
+    for path in models.scratch:
+        remove_table(spark, path)
     if not run_checks:
         return None
     tables = {"organization_summary": raw_orgs, "global_growth": raw_traffic,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import clamp, safe_div, tier
 from sitelens.functions.periods import months_span, yyyymm
-from sitelens.operators.aggregates import dominant, first_row, traffic_row_order
+from sitelens.operators.aggregates import first_row, label_counts, top_label, traffic_row_order
 from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.plans.company import period_text
+from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_TIMESERIES, enforce
 
 MIN_MONTHS = 2
@@ -44,7 +45,21 @@ def growth_health(g, q) -> F.Column:
             .when(q.isNotNull(), clamp(F.lit(HEALTH_BASE) + q * HEALTH_QUALITY_ONLY_W, 0.0, 100.0)))
 
 
-def _boundary_aggs(order, period) -> list:
+def numeric_aggs() -> list:
+    """Aggregates with numeric buffers only (a hash aggregate without fallback)."""
+    return [
+        F.max("total_visits").alias("peak_visits"),
+        F.min("site_global_rank").alias("best_global_rank"),
+        F.max("overall_quality_score").alias("peak_quality_score"),
+        F.avg("total_visits").alias("avg_visits"),
+        F.avg("overall_quality_score").alias("avg_quality_score"),
+        *label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
+        *label_counts("quality_tier", QUALITY_LABELS, "_qt"),
+    ]
+
+
+def period_aggs(order, period) -> list:
+    """First and last row and months: a narrow aggregate of its own."""
     metrics = list(BOUNDARY_METRICS)
     return [
         first_row(PRESENCE_TRAFFIC, order, "_presence"),
@@ -52,13 +67,6 @@ def _boundary_aggs(order, period) -> list:
         F.count_distinct(period).alias("months_available"),
         F.min_by(F.struct(*metrics), order).alias("_first_vals"),
         F.max_by(F.struct(*metrics), order).alias("_last_vals"),
-        F.max("total_visits").alias("peak_visits"),
-        F.min("site_global_rank").alias("best_global_rank"),
-        F.max("overall_quality_score").alias("peak_quality_score"),
-        F.avg("total_visits").alias("avg_visits"),
-        F.avg("overall_quality_score").alias("avg_quality_score"),
-        dominant("platform_preference").alias("dominant_platform_preference"),
-        dominant("quality_tier").alias("dominant_quality_tier"),
     ]
 
 
@@ -69,31 +77,24 @@ def _boundary_columns(g: DataFrame) -> DataFrame:
         "match_confidence_score",
         period_text("_first").alias("first_month"), period_text("_last").alias("last_month"),
         "months_available", months_span("_first", "_last").alias("months_span"),
-        "dominant_platform_preference", "dominant_quality_tier", "avg_visits", "avg_quality_score",
+        top_label("_pp", PLATFORM_LABELS).alias("dominant_platform_preference"),
+        top_label("_qt", QUALITY_LABELS).alias("dominant_quality_tier"), "avg_visits", "avg_quality_score",
         *[F.col("_first_vals")[m].alias(f"first_month_{n}") for m, n in BOUNDARY_METRICS.items()],
         *[F.col("_last_vals")[m].alias(f"last_month_{n}") for m, n in BOUNDARY_METRICS.items()],
         "peak_visits", "best_global_rank", "peak_quality_score",
     )
 
 
-def timeseries_boundaries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    """From company x traffic rows (the bridge form): group by the company columns."""
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
-    g = rows.groupBy(*GROUP_KEYS).agg(
-        first_row(["match_confidence_score"], order, "_conf"), *_boundary_aggs(order, period))
-    g = g.withColumn("match_confidence_score", F.col("_conf")["match_confidence_score"])
-    return _boundary_columns(g.filter(F.col("months_available") >= min_months))
-
-
 def timeseries_boundaries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
                                     min_months: int = MIN_MONTHS) -> DataFrame:
     """Same boundaries without company x traffic pairs: aggregate matched traffic
-    once per match key, keep keys with enough months, attach companies."""
-    order = traffic_row_order()
-    period = yyyymm("traffic_year", "traffic_month")
-    per_key = (matched.groupBy(MATCH_KEY).agg(*_boundary_aggs(order, period))
+    once per match key, keep keys with enough months, attach companies. The
+    wide numeric columns and the boundary rows are two aggregates over the same
+    partitioning."""
+    by_key = matched.groupBy(MATCH_KEY)
+    periods = (by_key.agg(*period_aggs(traffic_row_order(), yyyymm("traffic_year", "traffic_month")))
                .filter(F.col("months_available") >= min_months))
+    per_key = by_key.agg(*numeric_aggs()).join(periods, MATCH_KEY)
     companies = keyed_orgs.select(*GROUP_KEYS, "match_confidence_score", MATCH_KEY)
     return _boundary_columns(companies.join(per_key, MATCH_KEY, "inner"))
 
@@ -132,10 +133,6 @@ def add_growth(b: DataFrame) -> DataFrame:
     })
 
 
-def company_timeseries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    return enforce(add_growth(timeseries_boundaries(rows, min_months)), MART_TIMESERIES)
-
-
 def company_timeseries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
                                  min_months: int = MIN_MONTHS) -> DataFrame:
     return enforce(add_growth(timeseries_boundaries_by_domain(keyed_orgs, matched, min_months)),

@@ -19,6 +19,10 @@ QUALITY_UNKNOWN = "Unknown-Quality"
 PAGES_FOR_FULL_SCORE = 10.0
 SECONDS_FOR_FULL_SCORE = 300.0
 DOMINANCE_FACTOR = 2
+# Closed label sets, sorted so that ties of their modes go to the smallest label.
+PLATFORM_LABELS = ["Balanced", "Desktop-Dominant", "Mixed", "Mobile-Dominant"]
+QUALITY_LABELS = ["High-Quality", "Low-Quality", "Medium-Quality", "Unknown-Quality"]
+LEADER_LABELS = ["Desktop-Better-Engagement", "Mobile-Better-Engagement", "Similar-Engagement"]
 BALANCE_BAND = (3, 10)  # |m - d| <= 0.3 * max(m, d), kept in exact integer arithmetic
 
 

@@ -19,7 +19,7 @@ from sitelens.functions.periods import months_span, period_label, yyyymm
 from sitelens.operators.aggregates import first_by, last_by
 from sitelens.operators.domain_match import MATCH_KEY
 from sitelens.operators.quality import run_suite
-from sitelens.operators.upsert import late_rows, newer_than, upsert
+from sitelens.operators.upsert import newer_than, upsert
 from sitelens.plans.bridge import matchable_organizations
 from sitelens.plans.checks import SUITE
 from sitelens.plans.pipeline import models_for
@@ -410,13 +410,47 @@ WHERE s.traffic_year * 100 + s.traffic_month <= (SELECT max(traffic_year * 100 +
 
 @register("incremental_late_rows", lambda: oracle.pipeline_sql().rstrip() + _LATE_SQL)
 def q_incremental_late_rows(spark, sf_dir):
-    m = models_for(spark, sf_dir)
-    full = m.traffic_enhanced
-    ym = yyyymm("traffic_year", "traffic_month")
-    newest = full.agg(F.max(ym).alias("m")).first()["m"]
-    target = full.filter(F.col("site_main_category").isNotNull() & (ym <= newest - 100))
-    staged = m.stg_traffic.filter(F.col("total_visits") > 0)
-    return late_rows(staged, target, "web_traffic_id").select("web_traffic_id", "traffic_year", "traffic_month")
+    """The late rows that a run of the loader reports."""
+    from sitelens.session import shared_table_path
+    from sitelens.streaming.incremental import load_increment
+    raw = load_sources(spark, sf_dir)[1]
+    ym = F.col("year") * 100 + F.col("month")
+    newest = raw.filter("total_estimated_visits > 0").agg(F.max(ym).alias("m")).first()["m"]
+    path = shared_table_path(spark, "incremental_late")
+    load_increment(spark, raw.filter(F.col("main_category").isNotNull() & (ym <= newest - 100)), path)
+    report = load_increment(spark, raw.filter(ym <= newest - 100), path)
+    return report.late.select("web_traffic_id", "traffic_year", "traffic_month")
+
+
+# The loader itself, over the derived source: a first load of all months but the
+# newest year, then a run over the whole source; and a refresh that corrects an old month.
+_LOADED_COLS = _UPSERT_COLS
+
+
+@register("incremental_load", lambda: oracle.pipeline_sql().rstrip() + oracle.final_select("traffic_enh", _LOADED_COLS))
+def q_incremental_load(spark, sf_dir):
+    """Two runs of the loader equal the full build."""
+    from sitelens.session import shared_table_path
+    from sitelens.streaming.incremental import load_increment
+    raw = load_sources(spark, sf_dir)[1]
+    ym = F.col("year") * 100 + F.col("month")
+    newest = raw.agg(F.max(ym).alias("m")).first()["m"]
+    path = shared_table_path(spark, "incremental_load")
+    load_increment(spark, raw.filter(ym <= newest - 100), path)
+    load_increment(spark, raw, path)
+    return spark.read.parquet(path).select(*_LOADED_COLS)
+
+
+@register("incremental_full_refresh", lambda: oracle.pipeline_sql().rstrip() + oracle.final_select("traffic_enh", _LOADED_COLS))
+def q_incremental_full_refresh(spark, sf_dir):
+    """A target whose loaded months hold wrong visits is reloaded from the corrected source."""
+    from sitelens.session import shared_table_path
+    from sitelens.streaming.incremental import load_increment
+    raw = load_sources(spark, sf_dir)[1]
+    path = shared_table_path(spark, "incremental_refresh")
+    load_increment(spark, raw.withColumn("total_estimated_visits", F.col("total_estimated_visits") * 2), path)
+    load_increment(spark, raw, path, full_refresh=True)
+    return spark.read.parquet(path).select(*_LOADED_COLS)
 
 
 # ------------------------------------------------------------ quality checks

@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return _shared(sc.master, current)
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
@@ -56,10 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
                                "distributed file system); machine-local folders do not survive executor loss")
         configured = fallback or os.environ.get("SITELENS_CHECKPOINT_DIR", "/tmp/sitelens-checkpoints")
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(_shared(sc.master, configured))
     return sc.getCheckpointDir()
 
 
+def _shared(master: str, folder: str) -> str:
+    """The folder, unless it is local to each machine of a cluster (a master that
+    starts with ``local`` has all its executors on this machine)."""
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}; executors on other machines do not see it")
+    return folder
+
+
 def shared_root(spark: SparkSession) -> str:
     """The configured shared folder itself (``checkpoint()`` data goes to a
     per-application subfolder of it); used for data several applications reuse."""

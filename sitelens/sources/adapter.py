@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import safe_div
 from sitelens.operators.ranking import add_row_numbers
+from sitelens.operators.tables import data_files, read_if_exists, replace_table
 from sitelens.session import ensure_checkpoint_dir, shared_root
 from sitelens.schemas import CHANNELS, ORG_RAW, TRAFFIC_RAW
 
@@ -187,37 +188,29 @@ _MATERIALIZED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def _derivation_key(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of one derivation: input folder, input row counts (parquet
-    footers, one small job) and the text of these rules."""
-    counts = [read_table(spark, sf_dir, t).count() for t in ("supplier", "lineitem")]
+    """Identity of one derivation: path, length and modification time of every
+    input file (a listing; no content is read) and the text of these rules."""
+    files = [tuple(map(str, r)) for t in ("supplier", "lineitem") for r in data_files(spark, f"{sf_dir}/{t}.parquet").collect()]
     with open(__file__, "rb") as fh:
         rules = hashlib.sha1(fh.read()).hexdigest()
-    return hashlib.sha1(f"{sf_dir}|{counts}|{rules}".encode()).hexdigest()[:20]
-
-
-def _readable(spark: SparkSession, path: str, schema) -> bool:
-    try:
-        spark.read.schema(schema).parquet(path).limit(1).count()
-        return True
-    except Exception:  # noqa: BLE001 - not written yet (or an unfinished write)
-        return False
+    return hashlib.sha1(f"{sf_dir}|{sorted(files)}|{rules}".encode()).hexdigest()[:20]
 
 
 def load_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The derived raw tables, written to the shared checkpoint folder (like
     the source tables of a warehouse) and read back, so every query that
-    starts from them scans parquet. A later application with the same inputs
-    and rules reuses a completed earlier derivation (a write becomes readable
-    only at job commit)."""
+    starts from them scans parquet. A later application with the same input
+    files and rules reuses a completed earlier derivation (a table appears
+    under its name only when it is complete)."""
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MATERIALIZED:
         base = f"{shared_root(spark)}/derived/{_derivation_key(spark, sf_dir)}"
         orgs_path, traffic_path = f"{base}/raw_organizations", f"{base}/raw_traffic"
-        if not (_readable(spark, orgs_path, ORG_RAW) and _readable(spark, traffic_path, TRAFFIC_RAW)):
-            orgs, traffic = derive_sources(spark, sf_dir)
-            orgs.write.mode("overwrite").parquet(orgs_path)
-            traffic.write.mode("overwrite").parquet(traffic_path)
+        if read_if_exists(spark, orgs_path) is None:
+            replace_table(raw_organizations(read_table(spark, sf_dir, "supplier")), orgs_path)
+        if read_if_exists(spark, traffic_path) is None:
+            replace_table(raw_traffic(read_table(spark, sf_dir, "lineitem")), traffic_path)
         _MATERIALIZED[key] = (orgs_path, traffic_path)
     orgs_path, traffic_path = _MATERIALIZED[key]
     return (spark.read.schema(ORG_RAW).parquet(orgs_path),

@@ -2,9 +2,17 @@
 
 ``load_increment`` is one incremental run: month gate against the target's
 high-water mark, per-row enhancement, merge on ``web_traffic_id``. The
-target is a parquet table partitioned by (traffic_year, traffic_month);
-only the partitions a batch touches are rewritten (dynamic partition
-overwrite), so history is never copied.
+target is a parquet table partitioned by (traffic_year, traffic_month).
+
+* No error ever means "no target": only a missing path or a folder without
+  data files does. The first write refuses an existing folder.
+* A month the target does not hold yet is appended: its rows are written once
+  and history is not read. Months it holds (reprocessed by
+  ``lookback_months``, or left by a run that broke off before its mark was
+  recorded) are read by literal partition filters, merged and replaced.
+* ``full_refresh`` ignores the mark, builds the whole table at a new location
+  and then puts it in the target's place.
+* Rows the gate will never load are returned, not dropped silently.
 
 ``start_stream`` is the same run driven by Structured Streaming: a file
 source over arriving monthly extracts and ``foreachBatch`` with
@@ -14,24 +22,29 @@ target, so it lives in ``foreachBatch`` rather than in a watermark.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitelens.operators.upsert import assert_unique, high_water_mark, merge_partitions, newer_than
+from sitelens.operators.tables import read_if_exists, recover, replace_table
+from sitelens.operators.upsert import batch_months, high_water_mark, in_months, late_rows, newer_than, upsert
 from sitelens.plans.staging import stg_traffic
 from sitelens.plans.traffic import enhance_traffic, with_traffic
 from sitelens.schemas import TRAFFIC_RAW, check_same_schema
-from sitelens.session import materialize
+from sitelens.session import materialize, write_table
 
 KEY = "web_traffic_id"
 PARTITIONS = ["traffic_year", "traffic_month"]
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - missing path or empty folder
-        return False
+class LoadResult(NamedTuple):
+    """Rows written, their months, and the batch's rows at or before the former
+    mark that the target still does not hold (staged columns; None for a first load or a refresh)."""
+
+    loaded: int
+    months: list[tuple[int, int]]
+    late: DataFrame | None
 
 
 def enhance_batch(raw_batch: DataFrame, target: DataFrame | None, strict: bool = False,
@@ -49,10 +62,8 @@ MARK_DIR = "_high_water_mark"
 
 def recorded_mark(spark: SparkSession, target_path: str) -> tuple[int, int] | None:
     """The (year, month) recorded at the target's last commit, if any (one-row read)."""
-    try:
-        row = spark.read.parquet(f"{target_path.rstrip('/')}/{MARK_DIR}").first()
-    except Exception:  # noqa: BLE001 - never recorded
-        return None
+    marks = read_if_exists(spark, f"{target_path.rstrip('/')}/{MARK_DIR}", "traffic_year int, traffic_month int")
+    row = None if marks is None else marks.first()
     return None if row is None else (row["traffic_year"], row["traffic_month"])
 
 
@@ -62,56 +73,84 @@ def _record_mark(spark: SparkSession, target_path: str, mark: tuple[int, int]) -
 
 
 def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False,
-                   lookback_months: int = 0) -> int:
-    """One incremental run into the table at ``target_path``; returns rows loaded
-    (with ``lookback_months``, re-merged rows of recent months count too).
+                   lookback_months: int = 0, full_refresh: bool = False) -> LoadResult:
+    """One incremental run into the table at ``target_path``.
 
     The high-water mark comes from the mark recorded at the last commit (a
     one-row read instead of touching every file of a large target); without
     one it is aggregated from the target. The mark is recorded after the data
     commit, so a crash in between leaves an older mark: the next run then
-    re-merges rows it already holds, which the key merge makes harmless."""
-    exists = table_exists(spark, target_path)
-    target = spark.read.parquet(target_path) if exists else None
+    merges rows it already holds, which the key merge makes harmless."""
+    recover(spark, target_path)
+    target = None if full_refresh else read_if_exists(spark, target_path)
     mark = None
-    if exists:
-        mark = recorded_mark(spark, target_path)
-        if mark is None:
-            mark = high_water_mark(target)
-    batch = enhance_batch(raw_batch, target, strict, lookback_months, known_mark=mark)
     if target is not None:
-        check_same_schema(batch.select(*target.columns), target)
-    batch = materialize(batch, "traffic_batch")
-    n, newest = assert_unique(batch, KEY, *PARTITIONS)
-    if n == 0:
-        return 0
-    if target is None:
-        batch.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(target_path)
-        _record_mark(spark, target_path, newest)
-        return n
-    merged = materialize(merge_partitions(target, batch.select(*target.columns), KEY, PARTITIONS),
-                         "traffic_merged")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS).parquet(target_path))
-    _record_mark(spark, target_path, max(newest, mark) if mark is not None else newest)
-    return n
+        mark = recorded_mark(spark, target_path) or high_water_mark(target)
+    staged = with_traffic(stg_traffic(raw_batch))
+    gated = newer_than(staged, target, strict, lookback_months=lookback_months, known_mark=mark)
+    batch = enhance_traffic(gated)
+    if target is not None:
+        check_same_schema(batch, target)
+    rows, months = batch_months(gated, KEY, *PARTITIONS)
+    if full_refresh:
+        replace_table(batch, target_path, PARTITIONS)
+    elif target is None:
+        mode = "errorifexists" if _missing(spark, target_path) else "append"  # an empty folder may stand there
+        batch.write.mode(mode).partitionBy(*PARTITIONS).parquet(target_path)
+    elif rows:
+        _merge_months(spark, target, batch, months, target_path)
+    if rows:
+        _record_mark(spark, target_path, max(max(months), mark or max(months)))
+    late = None
+    if mark is not None:  # written, so that the report outlives later runs
+        rows_late = late_rows(staged, spark.read.parquet(target_path), KEY, known_mark=mark)
+        late = spark.read.schema(rows_late.schema).parquet(write_table(rows_late, "late_traffic"))
+    return LoadResult(rows, months, late)
+
+
+def _missing(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return True
+        raise
+    return False
+
+
+def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, months: list[tuple[int, int]], path: str) -> None:
+    """Append the months the target lacks; merge and replace the others."""
+    batch = batch.select(*target.columns)
+    touched = target.filter(in_months(months, *PARTITIONS))
+    held = sorted(tuple(r) for r in touched.select(*PARTITIONS).distinct().collect())  # partition values only
+    new = [m for m in months if m not in set(held)]
+    if held:
+        merged = upsert(target.filter(in_months(held, *PARTITIONS)), batch.filter(in_months(held, *PARTITIONS)), KEY)
+        merged = materialize(merged, "traffic_merged")  # it reads the partitions it will replace
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+    if new:
+        batch.filter(in_months(new, *PARTITIONS)).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def start_stream(spark: SparkSession, source_dir: str, target_path: str, checkpoint_location: str,
-                 strict: bool = False):
-    """Process every raw monthly file that has arrived in ``source_dir`` and stop."""
+                 strict: bool = False, lookback_months: int = 0, full_refresh: bool = False, late_path: str | None = None):
+    """Process every raw monthly file that has arrived in ``source_dir`` and stop.
+
+    Late rows of each batch are added to ``late_path`` if given. With
+    ``full_refresh`` the first batch replaces the target."""
     stream = spark.readStream.schema(TRAFFIC_RAW).parquet(source_dir)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        load_increment(batch_df.sparkSession, batch_df, target_path, strict)
+        done = load_increment(batch_df.sparkSession, batch_df, target_path, strict, lookback_months,
+                              full_refresh and batch_id == 0)
+        if late_path and done.late is not None:
+            done.late.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(late_path)
 
     return (stream.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
 
 
-def months_of(df: DataFrame) -> DataFrame:
-    return df.select("traffic_year", "traffic_month").distinct()
-
-
-__all__ = ["enhance_batch", "load_increment", "start_stream", "table_exists", "months_of"]
+__all__ = ["LoadResult", "enhance_batch", "load_increment", "start_stream"]

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sitelens.operators.aggregates import dominant, first_by, last_by, row_order
+from sitelens.operators.aggregates import dominant, first_by, label_counts, last_by, row_order, top_label
 from sitelens.operators.ranking import add_row_numbers, grouped_row_number
 
 
@@ -39,12 +39,20 @@ def test_grouped_row_number_matches_window_with_hot_group(spark):
     assert got == _reference_numbers(df, ["g"], order)
 
 
-def test_add_row_numbers_both_strategies_agree(spark):
+def test_add_row_numbers_equals_windows(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(i, f"c{i % 4}", i % 2, rnd.randint(0, 9)) for i in range(500)],
                                "id long, c string, y int, v long")
-    specs = [("r1", ["y"]), ("r2", ["c", "y"])]
     order = [F.col("v").desc(), F.col("id")]
-    a = {r["id"]: (r["r1"], r["r2"]) for r in add_row_numbers(df, specs, order).collect()}
-    b = {r["id"]: (r["r1"], r["r2"]) for r in add_row_numbers(df, specs, order, max_window_rows=10).collect()}
-    assert a == b
+    got = add_row_numbers(df, [("r1", ["y"]), ("r2", ["c", "y"])], order).collect()
+    assert {r["id"]: r["r1"] for r in got} == _reference_numbers(df, ["y"], order)
+    assert {r["id"]: r["r2"] for r in got} == _reference_numbers(df, ["c", "y"], order)
+
+
+def test_top_label_is_the_mode_of_a_closed_set(spark):
+    rows = [(1, v) for v in ["b", "a", "a", "b", None]] + [(2, None), (3, "c")]
+    df = spark.createDataFrame(rows, "g int, v string")
+    labels = ["a", "b", "c"]
+    got = df.groupBy("g").agg(*label_counts("v", labels, "n")).select("g", top_label("n", labels).alias("m"))
+    want = df.groupBy("g").agg(dominant("v").alias("m"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

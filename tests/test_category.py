@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from sitelens.operators.domain_match import MATCH_KEY
-from sitelens.plans.category import CHANNELS, TOTALS, WEIGHTED, category_insights, category_insights_by_domain
+from pair_forms import category_insights
+from sitelens.plans.category import CHANNELS, TOTALS, WEIGHTED, category_insights_by_domain, domain_categories
 from sitelens.registry import comparable
 
 TRAFFIC_COLS = sorted(set(TOTALS) | set(CHANNELS) | {"total_visits"})
@@ -34,7 +35,7 @@ def _frames(spark):
 def test_category_forms_agree_and_edge_rules(spark):
     orgs, matched, pairs = _frames(spark)
     a = comparable(category_insights(pairs))
-    b = comparable(category_insights_by_domain(orgs, matched)).select(*a.columns)
+    b = comparable(category_insights_by_domain(orgs, domain_categories(matched))).select(*a.columns)
     assert a.count() == b.count() == 3
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     rows = {r["main_category"]: r for r in b.collect()}

@@ -53,7 +53,7 @@ def test_month_by_month_equals_full_build(spark, scratch):
     assert loaded.count() == full.count()
     assert loaded.exceptAll(full).count() == 0 and full.exceptAll(loaded).count() == 0
     # Re-running with the same input loads nothing.
-    assert load_increment(spark, raw, target) == 0
+    assert load_increment(spark, raw, target).loaded == 0
 
 
 def test_late_rows_are_reported(spark):
@@ -113,8 +113,11 @@ def test_lookback_merges_late_rows(spark, scratch):
     late_site = "supplier1.example.com"
     load_increment(spark, raw.filter(~((ym == newest) & (F.col("site") == late_site))), target)
     before = spark.read.parquet(target).count()
-    assert load_increment(spark, raw, target) == 0  # month gate: late rows dropped
-    loaded = load_increment(spark, raw, target, lookback_months=1)  # reprocess the newest month
+    gated = load_increment(spark, raw, target)  # month gate: late rows stay out, and are reported
+    assert gated.loaded == 0 and {r["site_domain"] for r in gated.late.collect()} == {late_site}
+    again = load_increment(spark, raw, target, lookback_months=1)  # reprocess the newest month
+    loaded = again.loaded
+    assert again.late.count() == 0
     after = spark.read.parquet(target)
     expect = raw.filter((ym == newest) & (F.col("site") == late_site) & (F.col("total_estimated_visits") > 0)).count()
     assert after.count() == before + expect and loaded >= expect
@@ -132,7 +135,7 @@ def test_recorded_mark_missing_or_stale(spark, scratch):
     # A target written without a mark: the mark is aggregated from the data.
     plain = os.path.join(scratch, "plain")
     spark.read.parquet(target).write.partitionBy("traffic_year", "traffic_month").parquet(plain)
-    assert load_increment(spark, raw, plain) > 0
+    assert load_increment(spark, raw, plain).loaded > 0
     assert recorded_mark(spark, plain) == divmod(months[-1], 100)
     # A stale mark (crash after the data commit): rows are re-merged, never duplicated.
     _record_mark(spark, target, divmod(months[-4], 100))
@@ -141,3 +144,138 @@ def test_recorded_mark_missing_or_stale(spark, scratch):
     assert t.count() == t.select("web_traffic_id").distinct().count()
     assert t.count() == spark.read.parquet(plain).count()
     assert MARK_DIR not in t.columns
+
+
+def _small(spark):
+    raw = load_sources(spark, SF_SMALL)[1]
+    ym = F.col("year") * 100 + F.col("month")
+    return raw, ym, sorted(r[0] for r in raw.select(ym).distinct().collect())
+
+
+def test_an_unreadable_file_is_not_an_empty_target(spark, scratch):
+    import glob
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[20]), target)
+    files = sorted(glob.glob(f"{target}/*/*/*.parquet"))
+    before = {f: open(f, "rb").read() for f in files}
+    for damaged in files:  # whichever file Spark reads the schema from
+        with open(damaged, "wb") as fh:
+            fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        load_increment(spark, raw.filter(ym == months[21]), target)
+    for f, content in before.items():
+        with open(f, "wb") as fh:
+            fh.write(content)
+    for f in glob.glob(f"{target}/*/*/.*.crc"):
+        os.remove(f)
+    spark.catalog.clearCache()
+    spark.catalog.refreshByPath(target)
+    assert sorted(glob.glob(f"{target}/*/*/*.parquet")) == files
+    assert spark.read.parquet(target).filter(F.col("traffic_year") * 100 + F.col("traffic_month") <= months[20]).count() == raw.filter(
+        (ym <= months[20]) & (F.col("total_estimated_visits") > 0)).count()
+
+
+def test_an_unreadable_folder_raises(spark, scratch, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    from sitelens.operators import tables
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[3]), target)
+    rows = spark.read.parquet(target).count()
+
+    class Denied(AnalysisException):
+        def __init__(self):
+            Exception.__init__(self, "permission denied")
+
+        def getCondition(self):
+            return "FAILED_READ_FILE.NO_HINT"
+
+    class Reader:
+        def parquet(self, path):
+            raise Denied()
+
+    class Session:
+        read = Reader()
+
+    with pytest.raises(Denied):
+        tables.read_if_exists(Session(), target)
+    assert spark.read.parquet(target).count() == rows
+
+
+def test_schema_drift_raises_both_ways(spark, scratch):
+    raw, ym, months = _small(spark)
+    good = os.path.join(scratch, "good")
+    load_increment(spark, raw.filter(ym <= months[2]), good)
+    t = spark.read.parquet(good)
+    for name, changed in (("less", t.drop("male_share")), ("more", t.withColumn("surplus", F.lit(1))),
+                          ("type", t.withColumn("total_visits", F.col("total_visits").cast("string")))):
+        path = os.path.join(scratch, name)
+        changed.write.partitionBy("traffic_year", "traffic_month").parquet(path)
+        with pytest.raises(SchemaDriftError):
+            load_increment(spark, raw.filter(ym == months[3]), path)
+        assert spark.read.parquet(path).count() == t.count()
+
+
+def test_new_months_are_written_once_and_history_stays(spark, scratch):
+    import glob
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[-3]), target)
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{target}/traffic_year=*/*/*.parquet")}
+    done = load_increment(spark, raw.filter(ym <= months[-1]), target)
+    assert [y * 100 + m for y, m in done.months] == months[-2:]
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{target}/traffic_year=*/*/*.parquet")}
+    assert before.items() <= after.items() and len(after) > len(before)
+
+
+def test_the_merge_reads_touched_months_only(spark, scratch):
+    from sitelens.operators.upsert import in_months
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw, target)
+    plan = spark.read.parquet(target).filter(in_months([divmod(m, 100) for m in months[-2:]]))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters"):text.index("PushedFilters")]
+    assert str(months[-1] // 100) in filters and len(plan.inputFiles()) >= 1
+
+
+def test_full_refresh_reloads_old_months(spark, scratch):
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    wrong = raw.withColumn("total_estimated_visits", F.when(ym == months[0], F.col("total_estimated_visits") + 1000)
+                           .otherwise(F.col("total_estimated_visits")))
+    load_increment(spark, wrong, target)
+    assert load_increment(spark, raw, target).loaded == 0
+    done = load_increment(spark, raw, target, full_refresh=True)
+    good = without_audit(lazy_models_for(spark, SF_SMALL).traffic_enhanced)
+    now = without_audit(spark.read.parquet(target)).select(*good.columns)
+    assert done.loaded == good.count() and now.exceptAll(good).count() == 0 and good.exceptAll(now).count() == 0
+    assert not [d for d in os.listdir(scratch) if d != "t"]
+
+
+def test_replaced_table_survives_a_broken_run(spark, scratch):
+    from sitelens.operators.tables import recover, replace_table
+    path = os.path.join(scratch, "t")
+    replace_table(spark.range(5).toDF("x"), path)
+    with pytest.raises(Exception):  # the write fails: the former table is untouched
+        replace_table(spark.range(5).selectExpr("raise_error('x') AS x"), path)
+    assert spark.read.parquet(path).count() == 5
+    os.rename(path, path + ".former")  # as if killed between the two renames
+    recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    replace_table(spark.read.parquet(path).filter("x > 1"), path)  # may read what it replaces
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_stream_reports_late_rows(spark, scratch):
+    raw, ym, months = _small(spark)
+    src, target, late = (os.path.join(scratch, x) for x in ("in", "t", "late"))
+    site = "supplier1.example.com"
+    raw.filter((ym <= months[5]) & (F.col("site") != site)).write.parquet(os.path.join(src, "a"))
+    start_stream(spark, src + "/*", target, os.path.join(scratch, "c"), late_path=late).awaitTermination(300)
+    raw.filter(ym <= months[6]).write.parquet(os.path.join(src, "b"))
+    start_stream(spark, src + "/*", target, os.path.join(scratch, "c"), late_path=late).awaitTermination(300)
+    expect = raw.filter((ym <= months[5]) & (F.col("site") == site) & (F.col("total_estimated_visits") > 0)).count()
+    assert spark.read.parquet(late).count() == expect > 0

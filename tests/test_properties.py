@@ -43,10 +43,8 @@ def test_mart_invariants_on_test_data(spark):
 
 
 def test_pair_and_per_domain_marts_agree(spark):
-    from sitelens.plans.category import category_insights
-    from sitelens.plans.company import company_performance
+    from pair_forms import category_insights, company_performance, company_timeseries
     from sitelens.plans.pipeline import lazy_models_for
-    from sitelens.plans.timeseries import company_timeseries
     from sitelens.registry import comparable
     m = lazy_models_for(spark, SF_SMALL)
     for by_pairs, by_domain in ((company_performance(m.company_traffic), m.mart_company_performance),
