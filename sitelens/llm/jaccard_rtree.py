@@ -17,11 +17,13 @@ all documents, so a passage that a third of the documents share comes last
 everywhere. This loses no link whatever the counts are, for all documents
 use the same order.
 
-Large groups of near copies: each set is first compared with one pivot for
-each of its rare shingles, the smallest set that has it. A shingle whose
-holders all hang on one pivot needs no more comparisons; the trees only look
-for pairs between different pivots' sets. Shingles with very many holders
-are dealt to several trees, a tree for each pair of parts.
+Large groups of near copies: each set is first compared with a pivot for
+each of its rare shingles, the smallest set that has it, then (where many
+sets hold a shingle and are not yet connected) with a few other pivots. A
+shingle whose holders are all in one component needs no more comparisons; the
+trees only look for pairs between different components. A holder for which no
+other is of a fitting size is left out. Shingles with very many holders are
+dealt to several trees, a tree for each pair of parts.
 
 Sets are known by 64 bits of a digest, checked against 64 other bits (a
 clash raises; another ``salt`` avoids it). Shingles are compared as 64-bit hashes.
@@ -42,7 +44,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.graph import components
@@ -53,6 +55,8 @@ LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
+#: Rounds of comparisons with further pivots, pivots for each shingle in a round, and the holders it takes.
+_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 2, 4, 8
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -75,6 +79,12 @@ def needed(sizes, threshold: int):
     return (threshold * sizes + 99) // 100
 
 
+def first_of_smaller(sizes, threshold: int):
+    """How many of its rarest shingles a set needs for partners that are not
+    smaller; a shared shingle must be among these of the smaller set."""
+    return sizes - (2 * threshold * sizes + 99 + threshold) // (100 + threshold) + 1
+
+
 def rarest(grams: np.ndarray, frequencies: np.ndarray, threshold: int) -> np.ndarray:
     """The set's rarest shingles, one of which every partner has."""
     order = np.lexsort((grams, frequencies[(grams % np.uint64(len(frequencies))).astype(np.int64)]))
@@ -137,11 +147,12 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt:
 
 
 def rare_rows(docs: DataFrame, text_col: str, width: int, threshold: int, salt: bytes, frequencies) -> DataFrame:
-    """(key, sid, n): each set's rarest shingles."""
+    """(key, sid, n, first): each set's rarest shingles, and whether the shingle is
+    among those a partner that is not smaller must share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sids, sizes = [], [], []
+            keys, sids, sizes, first = [], [], [], []
             for t in as_bytes(b.column(0)):
                 g = shingles(t, width)
                 if len(g):
@@ -149,13 +160,14 @@ def rare_rows(docs: DataFrame, text_col: str, width: int, threshold: int, salt:
                     keys.append(rarest(g, frequencies.value, threshold))
                     sids.append(int.from_bytes(d[:8], "little", signed=True))
                     sizes.append(len(g))
+                    first.append(np.arange(len(keys[-1])) < first_of_smaller(len(g), threshold))
             if keys:
                 times = [len(k) for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(sids, np.int64), times)),
-                     pa.array(np.repeat(np.array(sizes, np.int64), times))], ["key", "sid", "n"])
+                     pa.array(np.repeat(np.array(sizes, np.int64), times)), pa.array(np.concatenate(first))], ["key", "sid", "n", "first"])
 
-    return docs.select(text_col).mapInArrow(run, "key long, sid long, n long")
+    return docs.select(text_col).mapInArrow(run, "key long, sid long, n long, first boolean")
 
 
 def shingle_store(texts: DataFrame, width: int) -> DataFrame:
@@ -279,7 +291,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 85,
                        salt: bytes = b"") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (links of
-    its set that were looked at and hold; copies and pairs that others already connect are not counted)."""
+    its set that were looked at and hold; copies and pairs that others already connect are not counted),
+    text_hash (xxhash64 of the text) and component (a number of the component, null without words)."""
     rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents")
     sets = rows.filter("bucket IS NULL").drop("bucket", "seen")
     frequencies = np.zeros(FREQUENCIES, np.int64)
@@ -287,29 +300,50 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         frequencies[bucket] = n
     spark = docs.sparkSession
     classes = staged(
-        sets.filter("n > 0").groupBy("sid", "check", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"),
+        sets.filter("n > 0").groupBy("sid", "check", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("rep"),
                                                              F.first("counts").alias("counts")), "jaccard_classes")
     if not classes.groupBy("sid").count().filter("count > 1").isEmpty():
         raise ValueError("two different shingle sets have the same 64-bit digest; give another salt")
 
     rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare")
-    held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).filter("pivot < last").select("key", "pivot")
-    shared = staged(rare.join(held, "key").distinct(), "jaccard_shared")
-
+    held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last"), F.max("first").alias("first"))
+    held = held.filter("pivot < last AND first").select("key", "pivot")
+    shared = staged(rare.select("key", "sid", "n").join(held, "key").distinct(), "jaccard_shared")
     left = classes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     right = classes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-    star = shared.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
-    star = within_bound(star.join(left, "a").join(right, "b"), threshold)
-    links = staged(verified(star, classes, docs, id_col, text_col, width, threshold), "jaccard_links")
-
-    up = links.groupBy(F.col("b").alias("sid")).agg(F.min("a").alias("up"))
-    top = up.select(F.col("sid").alias("up"), F.col("up").alias("top"))
-    roots = up.join(top, "up", "left").select("sid", F.coalesce("top", "up").alias("root"))
-    rooted = shared.join(roots, "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-    rooted = staged(rooted, "jaccard_rooted")
-    open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("holders"))
-                 .filter("lo < hi").select("key", "holders"))
-    members = staged(rooted.join(open_keys, "key"), "jaccard_members")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        fitting = within_bound(pairs.join(left, "a").join(right, "b"), threshold)
+        return staged(verified(fitting, classes, docs, id_col, text_col, width, threshold), "jaccard_links")
+
+    def rooted(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Shared shingles with the root of each holder's component, and the
+        shingles whose holders are of several components."""
+        found = components(links).withColumnRenamed("node", "sid")
+        rows = staged(shared.join(found, "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root")), "jaccard_rooted")
+        keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("holders"))
+        return rows, keys.filter("lo < hi").select("key", "holders")
+
+    def pairs_of(x: str, y: str) -> list[Column]:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    links = linked(shared.filter("sid <> pivot").select(*pairs_of("sid", "pivot")).distinct())
+    for n_round in range(_STAR_ROUNDS):
+        rows, open_keys = rooted(links)
+        rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
+        seeds = range(n_round * _STAR_PIVOTS, (n_round + 1) * _STAR_PIVOTS)
+        picks = rows.groupBy("key").agg(F.array(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")) for i in seeds]).alias("picks"))
+        star = rows.join(picks.select("key", F.explode("picks").alias("pick")), "key").filter("root <> pick.root")
+        links = staged(links.unionByName(linked(star.select(*pairs_of("sid", "pick.sid")).distinct())).distinct(), "jaccard_links")
+
+    rows, open_keys = rooted(links)
+    rows = rows.join(open_keys, "key")
+    by_size = Window.partitionBy("key").orderBy("n")
+    near = lambda other: threshold * F.greatest("n", other) <= 100 * F.least("n", other)
+    few = (rows.filter(F.col("holders") <= _TREE_ROWS)
+           .withColumn("fits", F.coalesce(near(F.lag("n").over(by_size)), F.lit(False)) | F.coalesce(near(F.lead("n").over(by_size)), F.lit(False)))
+           .filter("fits").drop("fits"))
+    members = staged(few.unionByName(rows.filter(F.col("holders") > _TREE_ROWS)), "jaccard_members")
     trees = max(1, -(-members.count() // _TREE_ROWS))
     parts = F.ceil(F.col("holders") / _TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
@@ -334,12 +368,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of_set = classes.select("sid", F.col("rep.doc_id").alias("least_id"))
     found = components(links)
     least = found.join(of_set.withColumnRenamed("sid", "node"), "node").groupBy("root").agg(F.min("least_id").alias("component"))
-    named = found.join(least, "root").select(F.col("node").alias("sid"), "component")
+    named = found.join(least, "root").select(F.col("node").alias("sid"), "root", "component")
     degree = links.select(F.col("a").alias("sid")).unionByName(links.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("links"))
     answer = staged(of_set.join(named, "sid", "left").join(degree, "sid", "left")
-                         .select("sid", F.coalesce("component", "least_id").alias("component"), F.coalesce("links", F.lit(0)).alias("links")),
+                         .select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component", "least_id").alias("component"),
+                                 F.coalesce("links", F.lit(0)).alias("links")),
                          "jaccard_answer")
     return (sets.join(answer, "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("links", F.lit(0)).alias("n_links")))
+                    F.coalesce("links", F.lit(0)).alias("n_links"), "text_hash", F.col("root").alias("component")))

@@ -141,7 +141,8 @@ FROM places LEFT JOIN fits USING (page_id)
 
 @_register
 def op8_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
+    found = jaccard_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @_register
@@ -154,5 +155,4 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe_sql.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY))
     docs = _table(spark, sf_dir, "documents")
-    encoded = bpe_sql.encode(docs, vocabulary, public_tokenizers.PATTERN)
-    return bpe_sql.token_digests(bpe_sql.decode(encoded, vocabulary, public_tokenizers.PATTERN))
+    return bpe_sql.token_digests(bpe_sql.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True))
