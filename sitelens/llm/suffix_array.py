@@ -90,20 +90,22 @@ def _induce_buckets(sa: np.ndarray, s: np.ndarray, smaller: np.ndarray, starts:
 
 def _induce_elements(sa: np.ndarray, s: np.ndarray, smaller: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
     """Both scans, an element at a time."""
-    out, text, small = sa.tolist(), s.tolist(), smaller.tolist()
-    head = starts.tolist()
+    out, head, tail = sa.tolist(), starts.tolist(), ends.tolist()
+    # For each suffix the bucket its left neighbour belongs to in a scan, -1 for none (also read for the empty place -1).
+    larger_of = np.append(np.append(-1, np.where(smaller[:-1], -1, s[:-1]))[:len(s)], -1).tolist()
+    smaller_of = np.append(np.append(-1, np.where(smaller[:-1], s[:-1], -1))[:len(s)], -1).tolist()
     for j in out:
-        if j > 0 and not small[j - 1]:
-            c = text[j - 1]
-            out[head[c]] = j - 1
-            head[c] += 1
-    tail = ends.tolist()
-    for i in range(len(out) - 1, -1, -1):
-        j = out[i]
-        if j > 0 and small[j - 1]:
-            c = text[j - 1]
-            out[tail[c]] = j - 1
-            tail[c] -= 1
+        c = larger_of[j]
+        if c >= 0:
+            h = head[c]
+            out[h] = j - 1
+            head[c] = h + 1
+    for j in reversed(out):
+        c = smaller_of[j]
+        if c >= 0:
+            t = tail[c]
+            out[t] = j - 1
+            tail[c] = t - 1
     sa[:] = out
 
 

@@ -8,8 +8,10 @@ with one minimizer travel as one stretch of text, of about ``1.4 * width`` bytes
 
 Minimizers that occur once need no more work. Stretches with equal content
 are counted by a 128-bit digest; all windows of a stretch that occurs twice
-repeat, and its text moves once. What remains, different stretches with a
-common minimizer, goes to shards of bounded size, whose suffix arrays
+repeat, and its text moves once. Different stretches with a common minimizer
+can share a window only if they agree on half of what a window has besides
+it, to its left or to its right; a hash of either side tells those that
+cannot. What remains goes to shards of bounded size, whose suffix arrays
 (induced sorting, permuted common prefixes) show which windows repeat.
 A minimizer that more than ``HOT`` different stretches share would outgrow its
 shard; its windows are counted one by one instead, by 128-bit digests with
@@ -32,12 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm.suffix_array import repeated_starts
-from sitelens.llm.textops import as_bytes, blocks, id_type, mix64
-from sitelens.session import materialize
+from sitelens.llm.textops import as_bytes, blocks, id_type, mix64, staged
 
 WIDTH = 200
 GRAM = 32
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 SHARD_BYTES = 1 << 20
 HOT = 4096
 MAX_WINDOWS = 2048
@@ -66,31 +67,50 @@ def _gram_hashes(buf: np.ndarray) -> np.ndarray:
 
 def stretches(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     """Stretches of windows with one minimizer in a block of texts: text number,
-    start in the text, number of windows, minimizer, and whether the minimizer
-    comes up at two places in it (only then can a stretch repeat itself)."""
+    start in the text, number of windows, minimizer, whether the minimizer comes
+    up at two places in it (only then can a stretch repeat itself), and
+    hashes of what is left and right of the minimizer, 0 where too little is there."""
     sizes = np.array([len(t) for t in texts], np.int64)
     buf = np.frombuffer(b"".join(texts), np.uint8)
     if len(buf) < width:
-        return (np.zeros(0, np.int64),) * 5
+        return (np.zeros(0, np.int64),) * 7
     h = _gram_hashes(buf)
-    packed = (h >> _POS_BITS << _POS_BITS) | np.arange(len(h), dtype=np.uint64)
+    packed = h >> _POS_BITS << _POS_BITS
+    packed |= np.arange(len(h), dtype=np.uint64)
     least = _sliding_minimum(packed, width - GRAM + 1)
-    value, place = (least >> _POS_BITS).astype(np.int64), (least & np.uint64((1 << 22) - 1)).astype(np.int64)
+    value = least >> _POS_BITS
+    # A run ends where the minimizer changes, and where windows begin or cease to lie in one text.
     ends = np.cumsum(sizes)
-    text = np.searchsorted(ends, np.arange(len(least)), side="right")
-    ok = np.flatnonzero(np.arange(len(least)) + width <= ends[text])
-    if not len(ok):
-        return (np.zeros(0, np.int64),) * 5
-    v, t = value[ok], text[ok]
-    new = np.append(True, (v[1:] != v[:-1]) | (t[1:] != t[:-1]))
-    run = np.cumsum(new) - 1
-    since = np.arange(len(ok)) - np.flatnonzero(new)[run]
-    first = np.flatnonzero(new | (since % MAX_WINDOWS == 0))
-    count = np.diff(np.append(first, len(ok)))
-    whole = np.append(np.flatnonzero(new), len(ok))[run[first] + 1] - 1  # last window of the whole run
-    begin = np.flatnonzero(new)[run[first]]
-    several = place[ok[begin]] != place[ok[whole]]
-    return t[first], ok[first] - (ends - sizes)[t[first]], count, v[first], several.astype(np.int64)
+    new = np.append(True, value[1:] != value[:-1])
+    edges = np.concatenate([ends - sizes, np.maximum(ends - width + 1, ends - sizes)])
+    new[edges[edges < len(new)]] = True
+    begin = np.flatnonzero(new)
+    after = np.append(begin[1:], len(new))
+    text = np.searchsorted(ends, begin, side="right")
+    inside = np.flatnonzero(begin + width <= ends[text])
+    if not len(inside):
+        return (np.zeros(0, np.int64),) * 7
+    begin, after, text = begin[inside], after[inside], text[inside]
+    several = (least[begin] ^ least[after - 1]) & np.uint64((1 << 22) - 1) != 0
+    # Long runs are cut.
+    cuts = -(-(after - begin) // MAX_WINDOWS)
+    run = np.repeat(np.arange(len(begin)), cuts)
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    first = begin[run] + nth * MAX_WINDOWS
+    count = np.minimum(after[run] - first, MAX_WINDOWS)
+    text, several = text[run], several[run]
+    # Half of a window's bytes besides the minimizer, hashed by grams that cover them.
+    half, last = (width - GRAM + 1) // 2, first + count + width - 1
+    at = (least[first] & np.uint64((1 << 22) - 1)).astype(np.int64)
+    sides = []
+    for origin, there in ((at - half, at - half >= first), (at + GRAM, at + GRAM + half <= last)):
+        steps = [*range(0, half - GRAM, GRAM), half - GRAM] if half >= GRAM else [0]
+        side = np.zeros(len(first), np.uint64)
+        with np.errstate(over="ignore"):
+            for step in steps:
+                side = mix64(side + h[np.clip(origin + step, 0, len(h) - 1)])
+        sides.append(np.where(there if half >= GRAM else True, (side >> np.uint64(33)).astype(np.int64) + 1, 0))
+    return text, first - (ends - sizes)[text], count, value[first].astype(np.int64), several.astype(np.int64), *sides
 
 
 def _segments(texts: list[bytes], width: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -115,7 +135,7 @@ def minimizers(keyed: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, parts in _segments(as_bytes(b.column(0)), width):
-                _, _, _, value, several = stretches(parts, width)
+                _, _, _, value, several, _, _ = stretches(parts, width)
                 if len(value):
                     yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(several)], ["minimizer", "several"])
 
@@ -124,13 +144,14 @@ def minimizers(keyed: DataFrame, width: int) -> DataFrame:
 
 
 def all_stretches(keyed: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_hash, minimizer, content, start, windows, several)."""
-    schema = (f"doc_id {id_type(keyed, 'doc_id')}, text_hash long, minimizer long, content binary, start long, windows long, several long")
+    """(doc_id, text_hash, minimizer, content, start, windows, several, before, after)."""
+    schema = (f"doc_id {id_type(keyed, 'doc_id')}, text_hash long, minimizer long, content binary, start long, windows long, several long, "
+              "before int, after int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for rows, offsets, parts in _segments(as_bytes(b.column(1)), width):
-                part, start, count, value, several = stretches(parts, width)
+                part, start, count, value, several, before, after = stretches(parts, width)
                 if not len(part):
                     continue
                 content = [hashlib.blake2b(parts[p][s:s + n + width - 1], digest_size=16).digest()
@@ -138,8 +159,9 @@ def all_stretches(keyed: DataFrame, width: int) -> DataFrame:
                 own = pa.array(np.array(rows)[part])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(own), b.column(2).take(own), pa.array(value), pa.array(content, pa.binary()),
-                     pa.array(start + np.array(offsets)[part]), pa.array(count), pa.array(several)],
-                    ["doc_id", "text_hash", "minimizer", "content", "start", "windows", "several"])
+                     pa.array(start + np.array(offsets)[part]), pa.array(count), pa.array(several),
+                     pa.array((before & 0x7FFFFFFF).astype(np.int32)), pa.array((after & 0x7FFFFFFF).astype(np.int32))],
+                    ["doc_id", "text_hash", "minimizer", "content", "start", "windows", "several", "before", "after"])
 
     return keyed.select("doc_id", "body", "text_hash").mapInArrow(run, schema)
 
@@ -158,19 +180,27 @@ def _bodies(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     """(doc_id, text_hash, a, b): byte ranges of the documents to be removed (they may overlap)."""
     live = minimizers(keyed, width).filter("n > 1 OR several > 0").select("minimizer")
-    found = materialize(all_stretches(keyed, width).join(live, "minimizer", "left_semi"), "repeat_stretches")
-    contents = materialize(found.groupBy("minimizer", "content").agg(F.count(F.lit(1)).alias("copies"), F.max("several").alias("self")),
-                           "repeat_contents")
-    sharing = contents.groupBy("minimizer").agg(F.count(F.lit(1)).alias("kinds"), F.max("self").alias("self"))
-    sharing = sharing.filter("kinds > 1 OR self > 0").select("minimizer", "kinds")
+    found = staged(all_stretches(keyed, width).join(live, "minimizer", "left_semi"), "repeat_stretches")
+    contents = staged(found.groupBy("minimizer", "content").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("several").alias("self"), F.max("before").alias("before"), F.max("after").alias("after")),
+        "repeat_contents")
+    sides = contents.select("minimizer", "content", "copies", "self", F.explode(F.array(
+        F.struct(F.lit(0).alias("which"), F.col("before").alias("side")), F.struct(F.lit(1).alias("which"), F.col("after").alias("side")))).alias("s"))
+    agreeing = (sides.filter("s.side <> 0").groupBy("minimizer", "s.which", "s.side").agg(F.count(F.lit(1)).alias("kinds"))
+                .filter("kinds > 1").select("minimizer", F.struct("which", "side").alias("s")))
+    able = sides.join(agreeing, ["minimizer", "s"], "left_semi").select("minimizer", "content", "copies")
     copied = (found.join(contents.filter("copies > 1").select("minimizer", "content"), ["minimizer", "content"], "left_semi")
               .select("doc_id", "text_hash", F.col("start").alias("a"), (F.col("start") + F.col("windows") + width - 1).alias("b")))
 
+    # Beside a stretch that may repeat itself, all others of its minimizer are compared.
+    selves = contents.filter("self > 0").select("minimizer").distinct()
+    able = able.unionByName(contents.join(selves, "minimizer", "left_semi").select("minimizer", "content", "copies")).distinct()
+    kinds = able.groupBy("minimizer").agg(F.count(F.lit(1)).alias("kinds"))
     one = F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("one")
-    wanted = (found.join(contents.join(sharing, "minimizer").select("minimizer", "content", "copies", "kinds"), ["minimizer", "content"])
+    wanted = (found.join(able.join(kinds, "minimizer"), ["minimizer", "content"])
               .groupBy("minimizer", "content", "copies", "kinds").agg(one)
               .select("minimizer", "copies", "kinds", "one.*"))
-    wanted = materialize(wanted, "repeat_wanted")
+    wanted = staged(wanted, "repeat_wanted")
     amount = wanted.filter(F.col("kinds") <= HOT).agg(F.sum(F.col("windows") + width)).first()[0] or 0
     shards = max(1, -(-amount // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("minimizer"), F.lit(shards))
@@ -204,7 +234,7 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
                     ["doc_id", "text_hash", "a", "copies", "content"])
 
     hot = _bodies(keyed, wanted.filter(F.col("kinds") > HOT), width).select("doc_id", "text_hash", "start", "copies", "windows", "bytes")
-    hot = materialize(hot.mapInArrow(windows, f"doc_id {id_type(keyed, 'doc_id')}, text_hash long, a long, copies long, content binary"),
+    hot = staged(hot.mapInArrow(windows, f"doc_id {id_type(keyed, 'doc_id')}, text_hash long, a long, copies long, content binary"),
                       "repeat_hot_windows")
     again = hot.groupBy("content").agg(F.sum("copies").alias("n")).filter("n > 1").select("content")
     counted = (hot.filter("copies = 1").join(again, "content", "left_semi")
