@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, katz, langid, line_templates, mixture, suffix_dedup, url_rules, voronoi_knn
-from sitelens.llm.textops import remainder
+from sitelens.llm.textops import remainder, ship_package
 
 #: The vocabulary that op10 and the pipeline use.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -24,6 +24,7 @@ def _register(fn):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

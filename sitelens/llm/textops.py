@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
+import tempfile
+import weakref
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.session import write_table
+from sitelens.operators.tables import remove_table
+from sitelens.session import shared_table_path
 
 #: A word is a run of bytes other than ASCII white space; ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,16 +59,53 @@ def id_type(df: DataFrame, col: str) -> str:
 
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: list[str] | None = None, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to a new table in shared storage and read it back (also if it is
     empty). Spark then drops the shuffle files that led to the table at once
-    instead of when the driver next collects garbage."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEAN_UP, "false")
-    conf.set(_CLEAN_UP, "true")
+    instead of when the driver next collects garbage. ``batch_rows`` bounds the
+    rows that Python gets at a time meanwhile."""
+    spark = df.sparkSession
+    path = shared_table_path(spark, name)
+    settings = {_CLEAN_UP: "true"} | ({_BATCH_ROWS: str(batch_rows)} if batch_rows else {})
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name, partition_by))
+        df.write.option("compression", "zstd").partitionBy(*partition_by or []).parquet(path)
     finally:
-        conf.set(_CLEAN_UP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_PATHS: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``staged`` tables that nothing will read any more."""
+    for df in tables:
+        ref, path = _PATHS.pop(id(df), (lambda: None, ""))
+        if ref() is df:
+            remove_table(df.sparkSession, path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark send this package to the executors, once per application, unless
+    their Python finds it anyway: installed, on PYTHONPATH, or in the working folder."""
+    package = Path(__file__).resolve().parents[1]
+    root = str(package.parent)
+    found = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages()]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or root in {os.path.realpath(p) for p in found if p}:
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), package.name), "zip", root, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
