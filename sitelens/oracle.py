@@ -3,8 +3,9 @@
 Used only as the correctness oracle: the driver registers the raw test
 tables as views, so each text embeds the test-data rules and all model
 layers as CTEs. It is written from the model rules directly (not generated
-from the DataFrame code); shared with the library are only the fixed values
-(label lists, bounds) and the output column names.
+from the DataFrame code) with bounds and labels of its own, so a wrong bound
+in the library shows; shared with it are only the city and region variants
+and the output columns.
 
 Oracle-side conventions (DuckDB 2.0): integer sums are cast back to BIGINT,
 ``/`` denominators that can be zero are wrapped in ``nullif``, ties of
@@ -17,42 +18,29 @@ from __future__ import annotations
 
 from sitelens.functions.geo import CITY_VARIANTS, REGION_VARIANTS
 from sitelens.functions.keys import SURROGATE_NULL
-from sitelens.plans.category import CONCENTRATION_TIERS, SIZE_TIERS
-from sitelens.plans.timeseries import GROWTH_TIERS, MOMENTUM_TIERS, QUALITY_TRENDS, RANK_TRENDS
-from sitelens.plans.traffic import QUALITY_TIERS
 from sitelens.schemas import (
     COMPANY_WEB_BRIDGE, MART_CATEGORY, MART_COMPANY, MART_TIMESERIES, ORGANIZATIONS_ENHANCED,
-    STG_ORGANIZATIONS, STG_TRAFFIC, TRAFFIC_ENHANCED, AUDIT_COLUMNS,
+    STG_ORGANIZATIONS, STG_TRAFFIC, TRAFFIC_ENHANCED, AUDIT_COLUMNS, TRAFFIC_RAW,
 )
+from sitelens.schemas import DOUBLE_COLUMNS as MODEL_DOUBLES
 from sitelens.sources.adapter import (
     CHANNEL_BY_PART_MOD7, CITY_BY_NATION_MOD13, COUNTRY_BY_NATION_MOD7, REGION_BY_NATION_MOD7,
 )
 
 ROUND_BITS = 20
 
-# Every DOUBLE-typed output column name (used to round on the oracle side).
-DOUBLE_COLUMNS = set("""
-desktop_pages_per_visit desktop_visit_duration_seconds desktop_bounce_rate mobile_pages_per_visit
-mobile_visit_duration_seconds mobile_bounce_rate total_pages_per_visit total_visit_duration_seconds
-total_bounce_rate age_18_24_share age_25_34_share age_35_44_share age_45_54_share age_55_64_share
-age_65_plus_share male_share female_share mobile_traffic_ratio desktop_traffic_ratio overall_quality_score
-bounce_quality_score pages_quality_score duration_quality_score uniqueness_quality_score
-match_confidence_score digital_performance_score desktop_direct_share desktop_organic_share
-desktop_paid_share desktop_referral_share desktop_social_share desktop_display_share desktop_email_share
-avg_visits avg_quality_score first_month_quality first_month_bounce_rate last_month_quality
-last_month_bounce_rate peak_quality_score visits_growth_rate visits_monthly_growth_rate
-quality_score_change quality_score_change_rate current_vs_peak_visits_ratio current_vs_peak_quality_ratio
-growth_health_score investor_ratio category_mobile_ratio category_desktop_ratio category_avg_quality_score
-traffic_concentration_cv top_company_traffic_share companies_per_million_visits avg_company_visits
-category_age_18_24_share category_age_25_34_share category_age_35_44_share category_age_45_54_share
-category_age_55_64_share category_age_65_plus_share category_male_share category_female_share
-category_direct_share category_organic_share category_paid_share category_referral_share
-category_social_share total_pages_per_visit total_visits_duration total_bounce_rate
-desktop_visits_duration mobileweb_pages_per_visit mobileweb_visits_duration mobileweb_bounce_rate
-total_males_share total_females_share total_ages_18_to_24_share total_ages_25_to_34_share
-total_ages_35_to_44_share total_ages_45_to_54_share total_ages_55_to_64_share total_ages_65_plus_share
-quality_score avg_share weighted_quality value_share
-""".split())
+# Every DOUBLE-typed output column: those of the models, of the raw traffic, and of single queries.
+DOUBLE_COLUMNS = {*MODEL_DOUBLES, *(f.name for f in TRAFFIC_RAW.fields if f.dataType.simpleString() == "double"),
+                  "quality_score", "avg_share", "weighted_quality", "value_share"}
+
+# Fixed values of the model rules: (bound, label), in the order they are tried.
+QUALITY_TIERS = [(0.8, "High-Quality"), (0.6, "Medium-Quality"), (0.4, "Low-Quality")]
+GROWTH_TIERS = [(0.5, "High Growth"), (0.2, "Moderate Growth"), (-0.05, "Stable"), (-0.2, "Declining")]
+QUALITY_TRENDS = [(0.1, "Quality Improving"), (-0.05, "Quality Stable")]
+RANK_TRENDS = [(100, "Rank Significantly Improved"), (20, "Rank Improved"), (-20, "Rank Stable"), (-100, "Rank Declined")]
+MOMENTUM_TIERS = [(0.9, "Near Peak Performance"), (0.7, "Strong Performance"), (0.5, "Moderate Performance")]
+CONCENTRATION_TIERS = [(0.7, "Highly Concentrated"), (0.4, "Moderately Concentrated"), (0.2, "Somewhat Concentrated")]
+SIZE_TIERS = [(10, "Large Market"), (5, "Medium Market"), (3, "Small Market")]
 
 
 def q(s: str | None) -> str:

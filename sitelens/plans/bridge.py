@@ -3,8 +3,11 @@
 ``company_traffic`` joins the filtered companies to the *wide* enhanced
 traffic rows once. The bridge and all three marts are projections or
 aggregates of it, so the separate key join back to traffic (J2/J3 in the
-source rules) is not needed: with a unique ``web_traffic_id`` (enforced by
-the upsert and checked by the unique test) both forms give the same rows.
+source rules) is not needed: with a unique ``web_traffic_id`` both forms give
+the same rows. Duplicates of that key (the same site and month for two
+countries, say), which the join back would multiply, are refused: by the
+loader before it writes, and by a build once it has written the enhanced
+traffic (``DuplicateKeyError``).
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES
+from sitelens.operators.upsert import assert_unique
 from sitelens.plans.bridge import company_traffic, company_web_bridge, keyed_organizations, matched_traffic
 from sitelens.plans.category import category_insights_by_domain, domain_categories
 from sitelens.plans.company import company_performance_by_domain
@@ -86,7 +87,10 @@ class Models:
     def traffic_enhanced(self) -> DataFrame:
         if self._traffic is not None:
             return self._traffic
-        return self._table(traffic_enhanced(self.stg_traffic), "traffic_enhanced")
+        table = self._table(traffic_enhanced(self.stg_traffic), "traffic_enhanced")
+        if self._materialize:
+            assert_unique(table, "web_traffic_id")  # the marts join traffic by this key (see the bridge)
+        return table
 
     @cached_property
     def company_traffic(self) -> DataFrame:

@@ -260,7 +260,7 @@ SELECT o_custkey, ym_first AS first_month, ym_last AS last_month, months_availab
        round(last_month_total * 1048576) / 1048576 + 0.0 AS last_month_total,
        round(peak_month_total * 1048576) / 1048576 + 0.0 AS peak_month_total,
        round(growth_rate * 1048576) / 1048576 + 0.0 AS growth_rate,
-       {oracle.sql_tier('growth_rate', GROWTH_TIERS, 'Significant Decline', null_label='Insufficient Data')} AS growth_category
+       {oracle.sql_tier('growth_rate', oracle.GROWTH_TIERS, 'Significant Decline', null_label='Insufficient Data')} AS growth_category
 FROM cr"""
 
 

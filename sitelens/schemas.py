@@ -48,6 +48,7 @@ def _cols(text: str) -> list[str]:
     return [c.strip() for c in text.split(",") if c.strip()]
 
 
+# Names and order of the output columns.
 STG_ORGANIZATIONS = _cols("""
 organization_id, organization_name, organization_permalink, organization_domain, organization_type,
 organization_roles, organization_description, organization_city, organization_region,
@@ -144,16 +145,68 @@ _mart_created_at""")
 AUDIT_COLUMNS = ("_loaded_at", "_enhanced_at", "_bridged_at", "_mart_created_at")
 
 
+# A column has one type in every model; those not listed are strings.
+LONG_COLUMNS = _cols("""
+site_global_rank, site_country_rank, site_main_category_rank, site_category_rank, desktop_visits,
+desktop_unique_visitors, desktop_page_views, desktop_direct_visits, desktop_organic_search_visits,
+desktop_paid_search_visits, desktop_referral_visits, desktop_social_visits, desktop_display_visits,
+desktop_email_visits, mobile_visits, mobile_unique_visitors, mobile_page_views, total_visits,
+total_unique_visitors, total_page_views, deduplicated_audience, months_available, months_span,
+first_month_visits, first_month_global_rank, first_month_country_rank, first_month_unique_visitors,
+last_month_visits, last_month_global_rank, last_month_country_rank, last_month_unique_visitors,
+peak_visits, best_global_rank, visits_absolute_change, global_rank_change, country_rank_change,
+total_companies, investor_companies, unique_cities, unique_regions, total_category_visits,
+total_category_unique_visitors, total_category_page_views, total_desktop_visits, total_mobile_visits,
+largest_company_visits, smallest_company_visits""")
+DOUBLE_COLUMNS = _cols("""
+desktop_pages_per_visit, desktop_visit_duration_seconds, desktop_bounce_rate, mobile_pages_per_visit,
+mobile_visit_duration_seconds, mobile_bounce_rate, total_pages_per_visit, total_visit_duration_seconds,
+total_bounce_rate, age_18_24_share, age_25_34_share, age_35_44_share, age_45_54_share, age_55_64_share,
+age_65_plus_share, male_share, female_share, mobile_traffic_ratio, desktop_traffic_ratio,
+overall_quality_score, bounce_quality_score, pages_quality_score, duration_quality_score,
+uniqueness_quality_score, match_confidence_score, digital_performance_score, desktop_direct_share,
+desktop_organic_share, desktop_paid_share, desktop_referral_share, desktop_social_share,
+desktop_display_share, desktop_email_share, avg_visits, avg_quality_score, first_month_quality,
+first_month_bounce_rate, last_month_quality, last_month_bounce_rate, peak_quality_score,
+visits_growth_rate, visits_monthly_growth_rate, quality_score_change, quality_score_change_rate,
+current_vs_peak_visits_ratio, current_vs_peak_quality_ratio, growth_health_score, investor_ratio,
+category_mobile_ratio, category_desktop_ratio, category_avg_quality_score, traffic_concentration_cv,
+top_company_traffic_share, companies_per_million_visits, avg_company_visits, category_age_18_24_share,
+category_age_25_34_share, category_age_35_44_share, category_age_45_54_share, category_age_55_64_share,
+category_age_65_plus_share, category_male_share, category_female_share, category_direct_share,
+category_organic_share, category_paid_share, category_referral_share, category_social_share""")
+OTHER_TYPES = {"traffic_year": I, "traffic_month": I, "is_investor": B, "is_domain_match": B,
+               "organization_created_at": TS, "organization_updated_at": TS,
+               **{c: T.TimestampType() for c in AUDIT_COLUMNS}}
+
+
+def column_type(name: str) -> T.DataType:
+    if name in OTHER_TYPES:
+        return OTHER_TYPES[name]
+    return L if name in LONG_COLUMNS else D if name in DOUBLE_COLUMNS else S
+
+
+def typed(contract: list[str]) -> T.StructType:
+    """A contract as a schema: names, order and types."""
+    return T.StructType([T.StructField(c, column_type(c)) for c in contract])
+
+
 class SchemaDriftError(ValueError):
     """Raised when a batch does not have the columns of its target."""
 
 
 def enforce(df: DataFrame, contract: list[str]) -> DataFrame:
-    """Project ``df`` onto ``contract`` (exact column order); raise on missing columns."""
+    """Project ``df`` onto ``contract`` (exact column order); raise on missing
+    columns and on columns of another type."""
     missing = [c for c in contract if c not in df.columns]
     if missing:
         raise SchemaDriftError(f"missing columns: {missing}")
-    return df.select(*contract)
+    out = df.select(*contract)
+    wrong = [f"{f.name}: {f.dataType.simpleString()} instead of {column_type(f.name).simpleString()}"
+             for f in out.schema.fields if f.dataType != column_type(f.name)]
+    if wrong:
+        raise SchemaDriftError(f"columns of another type: {wrong}")
+    return out
 
 
 def check_same_schema(batch: DataFrame, target: DataFrame) -> None:

@@ -69,7 +69,7 @@ def test_engagement_leader(spark, m, d, expected):
 
 def test_quality_scores(spark):
     from sitelens.plans.traffic import enhance_traffic
-    from sitelens.schemas import STG_TRAFFIC
+    from sitelens.schemas import STG_TRAFFIC, column_type
     rows = [  # bounce, pages, seconds, uniques, visits -> score, tier
         (0.5, None, None, None, 10, 0.5, "Low-Quality"),
         (1.0, None, None, None, 10, 0.0, "Unknown-Quality"),
@@ -84,8 +84,7 @@ def test_quality_scores(spark):
         "total_visits long")
     for c in STG_TRAFFIC:
         if c not in base.columns:
-            base = base.withColumn(c, F.lit(None).cast("long" if c.endswith("visits") else "double")
-                                   if c != "_loaded_at" else F.current_timestamp())
+            base = base.withColumn(c, F.lit(None).cast(column_type(c)))
     out = enhance_traffic(base).orderBy("web_traffic_id").select(
         "overall_quality_score", "quality_tier", "bounce_quality_score").collect()
     assert [(r[0], r[1]) for r in out] == [(e[5], e[6]) for e in rows]

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from sitelens.registry import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
@@ -19,7 +20,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_or_python_operators(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     assert not [op for op in FORBIDDEN if op in text]
