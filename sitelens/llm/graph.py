@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.textops import staged
+from sitelens.llm.textops import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.inline(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
-        now = staged(small.filter("u <> v").distinct(), "edges")
+        last, now = now, staged(small.filter("u <> v").distinct(), "edges")
+        discard(last)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

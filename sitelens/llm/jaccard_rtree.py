@@ -48,15 +48,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.graph import components
-from sitelens.llm.textops import as_bytes, id_type, mix64, staged
+from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
 
 LEAST_GROUPS, MOST_GROUPS = 32, 4096
 LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
-#: Rounds of comparisons with further pivots, pivots for each shingle in a round, and the holders it takes.
-_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 2, 4, 8
+#: Rounds of comparisons with further pivots, pivots for each set in a round, and the holders a shingle must have.
+_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 1, 6, 8
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -200,11 +200,12 @@ def within_bound(pairs: DataFrame, threshold: int) -> DataFrame:
 
 
 class Tree:
-    """An R-tree over count vectors: boxes are halved along their widest
-    coordinate down to ``LEAF`` points."""
+    """An R-tree over count vectors: boxes are halved by size while their sizes
+    differ too much for a link, then along their widest coordinate, down to
+    ``LEAF`` points."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, threshold: int):
+        self.points, self.sizes, self.threshold = points, sizes, threshold
         self.boxes: list[tuple] = []  # (upper corner, least size, largest size, children or rows)
         self.root = self._build(np.arange(len(points)))
 
@@ -212,15 +213,19 @@ class Tree:
         part = self.points[rows]
         below: object = rows
         if len(rows) > LEAF:
-            axis = np.argmax(part.max(0) - part.min(0))
-            order = rows[np.argsort(part[:, axis], kind="stable")]
+            own = self.sizes[rows]
+            if 100 * own.min() < self.threshold * own.max():  # sizes that can't link part first
+                order = rows[np.argsort(own, kind="stable")]
+            else:
+                axis = np.argmax(part.max(0) - part.min(0))
+                order = rows[np.argsort(part[:, axis], kind="stable")]
             below = (self._build(order[:len(rows) // 2]), self._build(order[len(rows) // 2:]))
         self.boxes.append((part.max(0), self.sizes[rows].min(), self.sizes[rows].max(), below))
         return len(self.boxes) - 1
 
-    def pairs(self, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows (i, j) of point pairs whose bound allows a link."""
-        todo = [(self.root, self.root)]
+        todo, threshold = [(self.root, self.root)], self.threshold
         while todo:
             x, y = todo.pop()
             (hi_x, least_x, most_x, below_x), (hi_y, least_y, most_y, below_y) = self.boxes[x], self.boxes[y]
@@ -246,8 +251,9 @@ class Tree:
 
 
 def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """(tree, level, sid, root, n, counts) -> candidate pairs (a, b) of different
-    roots, the smaller set being of the tree's level."""
+    """(tree, level, sid, root, n, counts, trees) -> candidate pairs (a, b) of
+    different roots, the smaller set being of the tree's level. Two sets often
+    meet in many trees; the pair comes from the first of them."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("sid")
@@ -255,9 +261,12 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
         level, found = part["level"].iloc[0], [np.zeros((0, 2), np.int64)]
         if len(set(root)) > 1 and (own == level).any():
             points = np.array([folded(c, LEAST_GROUPS << level) for c in part["counts"]])
-            for i, j in Tree(points, part["n"].to_numpy()).pairs(threshold):
+            here, trees = part["tree_a"].iloc[0], [frozenset(t) for t in part["trees"]]
+            for i, j in Tree(points, part["n"].to_numpy(), threshold).pairs():
                 keep = (root[i] != root[j]) & ((own[i] == level) | (own[j] == level))
-                found.append(np.stack([sid[i][keep], sid[j][keep]], 1))
+                i, j = i[keep], j[keep]
+                first = np.array([min(trees[x] & trees[y]) == here for x, y in zip(i.tolist(), j.tolist())], bool)
+                found.append(np.stack([sid[i][first], sid[j][first]], 1))
         both = np.concatenate(found)
         return pd.DataFrame({"a": np.minimum(both[:, 0], both[:, 1]), "b": np.maximum(both[:, 0], both[:, 1])})
 
@@ -271,7 +280,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     holders = classes.join(wanted, "sid").select("sid", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash"))
     texts = (docs.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)).alias("_own"))
              .join(holders, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash"))).select("sid", text_col))
-    store = staged(shingle_store(texts, width), "jaccard_sets").dropDuplicates(["sid"])
+    sets = staged(shingle_store(texts, width), "jaccard_sets", batch_rows=1000)
+    store = sets.dropDuplicates(["sid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -285,7 +295,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     left = store.select(F.col("sid").alias("a"), F.col("grams").alias("x"))
     right = store.select(F.col("sid").alias("b"), F.col("grams").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long")
+    links = staged(both.mapInArrow(run, "a long, b long"), "jaccard_links", batch_rows=1000)
+    discard(pairs, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 85,
@@ -293,7 +305,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: doc_id, n_shingles, component_id, n_links (links of
     its set that were looked at and hold; copies and pairs that others already connect are not counted),
     text_hash (xxhash64 of the text) and component (a number of the component, null without words)."""
-    rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents")
+    rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents", batch_rows=2000)
     sets = rows.filter("bucket IS NULL").drop("bucket", "seen")
     frequencies = np.zeros(FREQUENCIES, np.int64)
     for bucket, n in rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("seen")).collect():  # FREQUENCIES rows at most
@@ -305,16 +317,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not classes.groupBy("sid").count().filter("count > 1").isEmpty():
         raise ValueError("two different shingle sets have the same 64-bit digest; give another salt")
 
-    rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare")
+    rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare",
+                  batch_rows=2000)
     held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last"), F.max("first").alias("first"))
     held = held.filter("pivot < last AND first").select("key", "pivot")
     shared = staged(rare.select("key", "sid", "n").join(held, "key").distinct(), "jaccard_shared")
+    discard(rare)
     left = classes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     right = classes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         fitting = within_bound(pairs.join(left, "a").join(right, "b"), threshold)
-        return staged(verified(fitting, classes, docs, id_col, text_col, width, threshold), "jaccard_links")
+        return verified(fitting, classes, docs, id_col, text_col, width, threshold)
 
     def rooted(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Shared shingles with the root of each holder's component, and the
@@ -332,8 +346,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rows, open_keys = rooted(links)
         rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
         seeds = range(n_round * _STAR_PIVOTS, (n_round + 1) * _STAR_PIVOTS)
-        picks = rows.groupBy("key").agg(F.array(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")) for i in seeds]).alias("picks"))
-        star = rows.join(picks.select("key", F.explode("picks").alias("pick")), "key").filter("root <> pick.root")
+        picks = rows.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
+        # Of its shingles' pivots a set takes one for each seed, so a set has few pairs however many shingles it shares.
+        own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
+            F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
+        star = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
         links = staged(links.unionByName(linked(star.select(*pairs_of("sid", "pick.sid")).distinct())).distinct(), "jaccard_links")
 
     rows, open_keys = rooted(links)
@@ -350,7 +367,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # Small keys share trees; a key of several parts has a tree for each pair of its parts.
     members = (members.withColumn("parts", parts).withColumn("own", own)
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-               .withColumn("tree_a", F.when(F.col("parts") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(trees))))
+               .withColumn("tree_a", F.when(F.col("parts") > 1, F.shiftrightunsigned("key", 1).bitwiseOR(F.lit(1 << 62)))
+                           .otherwise(F.pmod("key", F.lit(trees))))
                .withColumn("tree_b", F.least("own", "other")).withColumn("tree_c", F.greatest("own", "other"))
                .withColumn("tree_b", F.when(F.col("parts") > 1, F.col("tree_b")).otherwise(-1))
                .select("tree_a", "tree_b", "tree_c", "sid", "root", "n"))
@@ -359,9 +377,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     below = level_column(F.ceil(F.col("n") * threshold / 100)) < F.col("own_level")
     levels = F.when(below, F.array(F.col("own_level"), F.col("own_level") - 1)).otherwise(F.array("own_level"))
     members = (members.withColumn("own_level", own_level).withColumn("level", F.explode(levels))
-               .select("tree_a", "tree_b", "tree_c", "level", "sid", "root", "own_level").distinct()
-               .join(classes.select("sid", "n", "counts"), "sid"))
-    candidates = tree_pairs(members, threshold).distinct()
+               .select("tree_a", "tree_b", "tree_c", "level", "sid", "root", "own_level").distinct())
+    visited = members.groupBy("sid").agg(F.collect_set("tree_a").alias("trees"))
+    described = classes.select("sid", "n", "counts").join(visited, "sid")
+    candidates = tree_pairs(members.join(described, "sid"), threshold).distinct()
     more = verified(candidates, classes, docs, id_col, text_col, width, threshold)
     links = staged(links.unionByName(more).distinct(), "jaccard_links")
 

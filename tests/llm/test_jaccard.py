@@ -80,7 +80,7 @@ def test_tree_finds_all_pairs_within_the_bound():
     points = rng.poisson(3, (200, 32))
     points[100:] = points[:100] + rng.integers(0, 2, (100, 32)) * (rng.random((100, 32)) < 0.2)
     sizes = points.sum(1)
-    got = {tuple(sorted(x)) for i, j in jaccard_rtree.Tree(points, sizes).pairs(85) for x in zip(i.tolist(), j.tolist())}
+    got = {tuple(sorted(x)) for i, j in jaccard_rtree.Tree(points, sizes, 85).pairs() for x in zip(i.tolist(), j.tolist())}
     want = {(i, j) for i in range(200) for j in range(i + 1, 200)
             if 185 * np.minimum(points[i], points[j]).sum() >= 85 * (sizes[i] + sizes[j]) and 100 * min(sizes[i], sizes[j]) >= 85 * max(sizes[i], sizes[j])}
     assert got == want and len(want) > 50
