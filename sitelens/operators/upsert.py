@@ -120,14 +120,3 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, check_schema: bool = T
     if check_schema:
         check_same_schema(batch, target)
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)
-
-
-def merge_partitions(target: DataFrame, batch: DataFrame, key: str, partition_cols: Sequence[str]) -> DataFrame:
-    """The rows of the partitions the batch touches, after the merge.
-
-    When the key determines the partition (the traffic key contains year and
-    month), merging partition by partition is exact, so only these
-    partitions need rewriting."""
-    touched = batch.select(*partition_cols).distinct()
-    old = target.join(F.broadcast(touched), list(partition_cols), "left_semi")
-    return upsert(old, batch, key)

@@ -47,14 +47,6 @@ class LoadResult(NamedTuple):
     late: DataFrame | None
 
 
-def enhance_batch(raw_batch: DataFrame, target: DataFrame | None, strict: bool = False,
-                  lookback_months: int = 0, known_mark: tuple[int, int] | None = None) -> DataFrame:
-    """Stage, gate by the target's high-water mark, and enhance a raw batch."""
-    staged = with_traffic(stg_traffic(raw_batch))
-    return enhance_traffic(newer_than(staged, target, strict, lookback_months=lookback_months,
-                                      known_mark=known_mark))
-
-
 # The mark recorded at each commit, in a folder Spark's file listing skips
 # (leading underscore), so reading the target never sees it.
 MARK_DIR = "_high_water_mark"
@@ -153,4 +145,4 @@ def start_stream(spark: SparkSession, source_dir: str, target_path: str, checkpo
             .trigger(availableNow=True).start())
 
 
-__all__ = ["LoadResult", "enhance_batch", "load_increment", "start_stream"]
+__all__ = ["LoadResult", "load_increment", "start_stream"]
