@@ -10,8 +10,9 @@ columns they came with:
   text or letter, or a score below one half); the classifier learns from the
   labels of its own input.
 * ``drop_template_lines`` takes lines of recurring templates out of the texts.
-* ``drop_near_duplicates`` keeps of each group of linked documents the one
-  with the smallest id (null last; of equal ids one); documents without words
+* ``drop_near_duplicates`` links documents that share four fifths of their
+  five-word shingles and keeps of each group of linked ones the one with the
+  smallest id (null last; of equal ids one); documents without words
   link with nothing and stay.
 * ``mix_sources`` takes whole documents towards each source's target, repeats
   as repeated rows, and leaves the others out. Rows come in training order.
@@ -42,7 +43,7 @@ def drop_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = staged(jaccard_rtree.jaccard_components(docs), "near_duplicate_groups")
+    groups = staged(jaccard_rtree.jaccard_components(docs, width=5, threshold=80), "near_duplicate_groups")
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     leaders = (groups.filter("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("row"))
                .select(F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_text")))
