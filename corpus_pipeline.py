@@ -21,6 +21,8 @@ columns they came with:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +35,35 @@ from sitelens.llm.textops import ship_package, staged
 ORACLE_SQL = None
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
-    return langid.accepted(langid.predict(docs, langid.train(docs))).select(*docs.columns)
+def _named_apart(stage: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage over documents whose other columns have names that no operator
+    uses; they get their own names back."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        apart = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang", "source")}
+        out = stage(docs.select(*[F.col(f"`{c}`").alias(apart.get(c, c)) for c in docs.columns]))
+        return out.select(*[F.col(apart.get(c, c)).alias(c) for c in docs.columns])
+
+    run_stage.__doc__ = stage.__doc__
+    return run_stage
 
 
-def drop_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_templates.drop_recurring_lines(docs).select(*docs.columns)
+@_named_apart
+def identify_language(docs: DataFrame) -> DataFrame:
+    """Drop documents whose language can't be told."""
+    return langid.accepted(langid.predict(docs, langid.train(docs)))
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_named_apart
+def drop_template_lines(docs: DataFrame) -> DataFrame:
+    """Take lines of recurring templates out of the texts."""
+    return line_templates.drop_recurring_lines(docs)
+
+
+@_named_apart
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """Keep one document of each group of linked ones."""
     groups = staged(jaccard_rtree.jaccard_components(docs, width=5, threshold=80), "near_duplicate_groups")
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     leaders = (groups.filter("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("row"))
@@ -56,12 +77,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return leading.select(*docs.columns).unionByName(hashed.join(wordless, same, "left_semi").select(*docs.columns))
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_named_apart
+def mix_sources(docs: DataFrame) -> DataFrame:
+    """Take whole documents towards each source's target, in training order."""
     own = [c for c in docs.columns if c not in ("doc_id", "source")]
-    return mixture.training_order(mixture.mixed(docs, cut=False, keep=own)).select(*docs.columns)
+    return mixture.training_order(mixture.mixed(docs, cut=False, keep=own))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests."""
+    ship_package(spark)
     vocabulary = bpe_sql.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY))
     return bpe_sql.token_digests(bpe_sql.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True))
 
