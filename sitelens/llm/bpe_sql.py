@@ -171,15 +171,17 @@ class Codec:
         return [got.get(i, "").encode("latin-1") for i in range(len(rows))]
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
+_CODECS: dict[tuple[int, str], tuple[object, Codec]] = {}
 
 
 def _codec(shared, pattern: str) -> Codec:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
+    """This process's codec for a broadcast vocabulary. The entry keeps the
+    broadcast alive, so its identity stands for no other one."""
+    key = (id(shared), pattern)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(shared.value, pattern)
-    return _CODECS[key]
+        _CODECS[key] = (shared, Codec(shared.value, pattern))
+    return _CODECS[key][1]
 
 
 def broadcast_vocabulary(spark: SparkSession, path: str):
