@@ -19,8 +19,9 @@ use the same order.
 
 Large groups of near copies: each set is first compared with a pivot for
 each of its rare shingles, the smallest set that has it, then (where many
-sets hold a shingle and are not yet connected) with a few other pivots. A
-shingle whose holders are all in one component needs no more comparisons; the
+sets hold a shingle and are not yet connected) with a few other pivots: some
+drawn by a hash, then those with most links so far, which are the ones nearest to the
+middle of their group. A shingle whose holders are all in one component needs no more comparisons; the
 trees only look for pairs between different components. A holder for which no
 other is of a fitting size is left out. Shingles with very many holders are
 dealt to several trees, a tree for each pair of parts.
@@ -56,7 +57,7 @@ FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
 #: Rounds of comparisons with further pivots, pivots for each set in a round, and the holders a shingle must have.
-_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 1, 6, 8
+_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 2, 5, 8
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -68,9 +69,11 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     span = min(width, len(h))
     n = len(h) - span + 1
     with np.errstate(over="ignore"):
-        out = mix64(h[:n] + np.uint64(span))
+        out = h[:n] + np.uint64(span)
         for i in range(1, span):
-            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
+            out = out * np.uint64(0x9E3779B97F4A7C15)
+            out += h[i:i + n]
+        out = mix64(out)
     return np.unique(out)
 
 
@@ -320,8 +323,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare",
                   batch_rows=2000)
     held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last"), F.max("first").alias("first"))
-    held = held.filter("pivot < last AND first").select("key", "pivot")
-    shared = staged(rare.select("key", "sid", "n").join(held, "key").distinct(), "jaccard_shared")
+    held = held.filter("pivot < last AND first").select("key", "pivot")  # all holders have different sets
+    shared = staged(rare.join(held, "key").distinct(), "jaccard_shared")
     discard(rare)
     left = classes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     right = classes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
@@ -334,7 +337,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         """Shared shingles with the root of each holder's component, and the
         shingles whose holders are of several components."""
         found = components(links).withColumnRenamed("node", "sid")
-        rows = staged(shared.join(found, "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root")), "jaccard_rooted")
+        rows = staged(shared.join(found, "sid", "left").select("key", "sid", "n", "first", F.coalesce("root", "sid").alias("root")),
+                      "jaccard_rooted")
         keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("holders"))
         return rows, keys.filter("lo < hi").select("key", "holders")
 
@@ -345,8 +349,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for n_round in range(_STAR_ROUNDS):
         rows, open_keys = rooted(links)
         rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
-        seeds = range(n_round * _STAR_PIVOTS, (n_round + 1) * _STAR_PIVOTS)
-        picks = rows.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
+        if n_round:
+            degree = links.select(F.inline(F.array(F.struct(F.col("a").alias("sid")), F.struct(F.col("b").alias("sid")))))
+            rows = rows.join(degree.groupBy("sid").agg(F.count(F.lit(1)).alias("degree")), "sid", "left")
+        seeds = range(_STAR_PIVOTS)
+        share = F.pmod(F.xxhash64("sid"), F.lit(_STAR_PIVOTS))  # each seed takes the most linked set of its share
+        rank = [F.when(share == i, -F.coalesce("degree", F.lit(0))).otherwise(0) if n_round else F.lit(0) for i in seeds]
+        picks = rows.groupBy("key").agg(*[F.min(F.struct(
+            rank[i].alias("rank"), F.xxhash64("sid", F.lit(i)).alias("draw"), "sid", "root")).alias(f"pick{i}") for i in seeds])
         # Of its shingles' pivots a set takes one for each seed, so a set has few pairs however many shingles it shares.
         own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
             F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
@@ -356,11 +366,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows, open_keys = rooted(links)
     rows = rows.join(open_keys, "key")
     by_size = Window.partitionBy("key").orderBy("n")
-    near = lambda other: threshold * F.greatest("n", other) <= 100 * F.least("n", other)
+    several = F.col("holders") > 2  # of two holders, the smaller one must have the shingle among its first
+
+    def fits(other, first: Column) -> Column:
+        n, its = other("n").over(by_size), F.coalesce(first, F.lit(False))
+        equal_first = (n == F.col("n")) & (F.col("first") | F.coalesce(other("first").over(by_size), F.lit(False)))
+        return F.coalesce((threshold * F.greatest("n", n) <= 100 * F.least("n", n)) & (several | its | equal_first), F.lit(False))
+
     few = (rows.filter(F.col("holders") <= _TREE_ROWS)
-           .withColumn("fits", F.coalesce(near(F.lag("n").over(by_size)), F.lit(False)) | F.coalesce(near(F.lead("n").over(by_size)), F.lit(False)))
-           .filter("fits").drop("fits"))
-    members = staged(few.unionByName(rows.filter(F.col("holders") > _TREE_ROWS)), "jaccard_members")
+           .withColumn("fits", fits(F.lag, F.lag("first").over(by_size)) | fits(F.lead, F.col("first")))
+           .filter("fits").drop("fits", "first"))
+    members = staged(few.unionByName(rows.filter(F.col("holders") > _TREE_ROWS).drop("first")), "jaccard_members")
     trees = max(1, -(-members.count() // _TREE_ROWS))
     parts = F.ceil(F.col("holders") / _TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
