@@ -19,9 +19,8 @@ use the same order.
 
 Large groups of near copies: each set is first compared with a pivot for
 each of its rare shingles, the smallest set that has it, then (where many
-sets hold a shingle and are not yet connected) with a few other pivots: some
-drawn by a hash, then those with most links so far, which are the ones nearest to the
-middle of their group. A shingle whose holders are all in one component needs no more comparisons; the
+sets hold a shingle and are not yet connected) with a few other pivots drawn
+by a hash, at most ``_STAR_PIVOTS`` a set in either round. A shingle whose holders are all in one component needs no more comparisons; the
 trees only look for pairs between different components. A holder for which no
 other is of a fitting size is left out. Shingles with very many holders are
 dealt to several trees, a tree for each pair of parts.
@@ -56,8 +55,8 @@ LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
-#: Rounds of comparisons with further pivots, pivots for each set in a round, and the holders a shingle must have.
-_STAR_ROUNDS, _STAR_PIVOTS, _STAR_HOLDERS = 2, 5, 8
+#: Pivots that a set is compared with in a round, and the holders a shingle must have for the second round.
+_STAR_PIVOTS, _STAR_HOLDERS = 5, 8
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -88,10 +87,21 @@ def first_of_smaller(sizes, threshold: int):
     return sizes - (2 * threshold * sizes + 99 + threshold) // (100 + threshold) + 1
 
 
-def rarest(grams: np.ndarray, frequencies: np.ndarray, threshold: int) -> np.ndarray:
-    """The set's rarest shingles, one of which every partner has."""
-    order = np.lexsort((grams, frequencies[(grams % np.uint64(len(frequencies))).astype(np.int64)]))
-    return grams[order[:len(grams) - needed(len(grams), threshold) + 1]]
+def ranks(frequencies: np.ndarray) -> np.ndarray:
+    """The place of each hashed count among all, rarest first."""
+    out = np.empty(len(frequencies), np.uint64)
+    out[np.argsort(frequencies, kind="stable")] = np.arange(len(frequencies), dtype=np.uint64)
+    return out
+
+
+def rarest(grams: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarray:
+    """The set's rarest shingles, rarest first, one of which every partner has.
+
+    A shingle is shown as the rank of its hashed count followed by its other
+    48 bits; its count is found by the lowest 16 bits, so nothing is lost."""
+    n = len(grams) - needed(len(grams), threshold) + 1
+    keys = rank[(grams & np.uint64(FREQUENCIES - 1)).astype(np.int64)] << np.uint64(48) | grams >> np.uint64(16)
+    return np.sort(np.partition(keys, n - 1)[:n])
 
 
 def level_of(n: int) -> int:
@@ -129,7 +139,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt:
                 sid.append(int.from_bytes(d[:8], "little", signed=True))
                 check.append(int.from_bytes(d[8:], "little", signed=True))
                 counts.append(point(g).tobytes())
-                every.append((g % np.uint64(FREQUENCIES)).astype(np.int32))
+                every.append((g & np.uint64(FREQUENCIES - 1)).astype(np.int32))
             for g in every:
                 seen += np.bincount(g, minlength=FREQUENCIES) if len(g) > 20000 else 0
             seen += np.bincount(np.concatenate([np.zeros(0, np.int32), *[g for g in every if len(g) <= 20000]]), minlength=FREQUENCIES)
@@ -149,7 +159,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt:
                                 "bucket int, seen long")
 
 
-def rare_rows(docs: DataFrame, text_col: str, width: int, threshold: int, salt: bytes, frequencies) -> DataFrame:
+def rare_rows(docs: DataFrame, text_col: str, width: int, threshold: int, salt: bytes, rank) -> DataFrame:
     """(key, sid, n, first): each set's rarest shingles, and whether the shingle is
     among those a partner that is not smaller must share."""
 
@@ -160,7 +170,7 @@ def rare_rows(docs: DataFrame, text_col: str, width: int, threshold: int, salt:
                 g = shingles(t, width)
                 if len(g):
                     d = hashlib.blake2b(g.tobytes(), digest_size=16, salt=salt).digest()
-                    keys.append(rarest(g, frequencies.value, threshold))
+                    keys.append(rarest(g, rank.value, threshold))
                     sids.append(int.from_bytes(d[:8], "little", signed=True))
                     sizes.append(len(g))
                     first.append(np.arange(len(keys[-1])) < first_of_smaller(len(g), threshold))
@@ -320,7 +330,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not classes.groupBy("sid").count().filter("count > 1").isEmpty():
         raise ValueError("two different shingle sets have the same 64-bit digest; give another salt")
 
-    rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(frequencies)), "jaccard_rare",
+    rare = staged(rare_rows(docs, text_col, width, threshold, salt, spark.sparkContext.broadcast(ranks(frequencies))), "jaccard_rare",
                   batch_rows=2000)
     held = rare.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last"), F.max("first").alias("first"))
     held = held.filter("pivot < last AND first").select("key", "pivot")  # all holders have different sets
@@ -345,23 +355,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def pairs_of(x: str, y: str) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    links = linked(shared.filter("sid <> pivot").select(*pairs_of("sid", "pivot")).distinct())
-    for n_round in range(_STAR_ROUNDS):
-        rows, open_keys = rooted(links)
-        rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
-        if n_round:
-            degree = links.select(F.inline(F.array(F.struct(F.col("a").alias("sid")), F.struct(F.col("b").alias("sid")))))
-            rows = rows.join(degree.groupBy("sid").agg(F.count(F.lit(1)).alias("degree")), "sid", "left")
-        seeds = range(_STAR_PIVOTS)
-        share = F.pmod(F.xxhash64("sid"), F.lit(_STAR_PIVOTS))  # each seed takes the most linked set of its share
-        rank = [F.when(share == i, -F.coalesce("degree", F.lit(0))).otherwise(0) if n_round else F.lit(0) for i in seeds]
-        picks = rows.groupBy("key").agg(*[F.min(F.struct(
-            rank[i].alias("rank"), F.xxhash64("sid", F.lit(i)).alias("draw"), "sid", "root")).alias(f"pick{i}") for i in seeds])
-        # Of its shingles' pivots a set takes one for each seed, so a set has few pairs however many shingles it shares.
-        own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
-            F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
-        star = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
-        links = staged(links.unionByName(linked(star.select(*pairs_of("sid", "pick.sid")).distinct())).distinct(), "jaccard_links")
+    # The rounds with pivots only save work for the trees, so a set's first few pivots will do.
+    pivots = shared.filter("sid <> pivot").groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, _STAR_PIVOTS).alias("pivots"))
+    links = linked(pivots.select("sid", F.explode("pivots").alias("pivot")).select(*pairs_of("sid", "pivot")).distinct())
+    rows, open_keys = rooted(links)
+    rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
+    seeds = range(_STAR_PIVOTS)
+    picks = rows.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
+    own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
+        F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
+    star = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
+    links = staged(links.unionByName(linked(star.select(*pairs_of("sid", "pick.sid")).distinct())).distinct(), "jaccard_links")
 
     rows, open_keys = rooted(links)
     rows = rows.join(open_keys, "key")
