@@ -41,12 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sitelens.llm.textops import as_bytes, id_type, mix64, staged
+from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
 
 MAX_DISCOUNTED = 5
 MIN_COUNT = 2
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 4 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+#: Rows of documents, and of chunks with their answers, that a task's Python gets at a time.
+DOCUMENT_ROWS, CHUNK_ROWS = 1000, 2
 START = np.uint64(0x5B3C9D1E2F4A6B71)
 END = np.uint64(0xA4D6E1F20B3C5D79)
 
@@ -54,7 +56,8 @@ END = np.uint64(0xA4D6E1F20B3C5D79)
 @dataclass
 class Katz:
     """words: (bucket, word, n, log_p, total, log_alpha); bigrams: (bucket, pair, n);
-    both partitioned by bucket. discounts: d(c) of bigrams for c up to MAX_DISCOUNTED."""
+    both partitioned by bucket. discounts: d(c) of words and of bigrams for c up
+    to MAX_DISCOUNTED; over: what a word's discounted count is divided by."""
 
     words: DataFrame
     bigrams: DataFrame
@@ -62,6 +65,8 @@ class Katz:
     tokens: int
     vocabulary: int
     log_unknown: float
+    over: float
+    word_discounts: list[float]
     discounts: list[float]
 
 
@@ -144,17 +149,18 @@ class Chunk:
 def _gathered(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[list, list[bytes]]]:
     """Rows of a task in groups of about CHUNK_BYTES of text: Arrow slices of the ids, texts."""
     ids, texts, size = [], [], 0
-    for b in batches:
-        at = 0
-        for i, t in enumerate(as_bytes(b.column(text_at))):
-            texts.append(t)
-            size += len(t)
-            if size >= CHUNK_BYTES:
-                ids.append(b.column(0).slice(at, i + 1 - at))
-                yield ids, texts
-                ids, texts, size, at = [], [], 0, i + 1
-        if at < b.num_rows:
-            ids.append(b.column(0).slice(at))
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            b, at = batch.slice(start, 256), 0
+            for i, t in enumerate(as_bytes(b.column(text_at))):
+                texts.append(t)
+                size += len(t)
+                if size >= CHUNK_BYTES:
+                    ids.append(b.column(0).slice(at, i + 1 - at))
+                    yield ids, texts
+                    ids, texts, size, at = [], [], 0, i + 1
+            if at < b.num_rows:
+                ids.append(b.column(0).slice(at))
     if texts:
         yield ids, texts
 
@@ -191,7 +197,8 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
             yield pa.RecordBatch.from_arrays([pa.array(chunk.vocabulary.view(np.int64)), pa.array(n)], ["word", "n"])
 
     texts = docs.select(text_col)
-    counted = staged(texts.mapInArrow(words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "katz_words")
+    counted = staged(texts.mapInArrow(words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "katz_words",
+                     batch_rows=DOCUMENT_ROWS)
     total = counted.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     tokens, types = total["tokens"] or 0, total["types"]
     starts = counted.filter(F.col("word") == int(END.view(np.int64))).agg(F.sum("n")).first()[0] or 0
@@ -242,7 +249,7 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
 
     grams = (texts.mapInArrow(pairs, "bucket long, book binary, context binary, word binary, n binary").groupBy("bucket")
              .applyInPandas(add, "bucket long, context long, word long, pair long, n long, kinds long"))
-    grams = staged(grams, "katz_grams")
+    grams = staged(grams, "katz_grams", batch_rows=DOCUMENT_ROWS)
     kinds = {r["n"]: r["kinds"] for r in grams.filter(few).groupBy("n").agg(F.sum("kinds").alias("kinds")).collect()}
     d2 = _good_turing(kinds, min_count)
     kept = grams.filter(F.col("n") >= min_count)
@@ -260,7 +267,9 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
                      "log_p", "total", F.coalesce("log_alpha", F.lit(0.0)).alias("log_alpha")))
     words_table = staged(table.repartition("bucket"), "katz_unigrams", ["bucket"])
     pairs_table = staged(kept.select("bucket", "pair", "n").repartition("bucket"), "katz_bigrams", ["bucket"])
-    return Katz(words_table, pairs_table, buckets, tokens, types, float(np.log10(1 - used / over)) if over else 0.0, d2)
+    discard(counted, grams)
+    return Katz(words_table, pairs_table, buckets, tokens, types, float(np.log10(1 - used / over)) if over else 0.0,
+                float(over), d1, d2)
 
 
 # ---------------------------------------------------------------- scoring
@@ -268,7 +277,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
     """One row per document: doc_id, n_tokens, n_known, base_score, score."""
     arrow_id = to_arrow_type(docs.schema[id_col].dataType)
     buckets, tokens, vocabulary = model.buckets, model.tokens, model.vocabulary
-    log_unknown, discounts = model.log_unknown, model.discounts
+    log_unknown, over, word_discounts, discounts = model.log_unknown, model.over, model.word_discounts, model.discounts
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -283,7 +292,8 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                  pa.array([pack_sorted(c.vocabulary)], pa.binary())], ["chunk", "ids", "lengths", "tokens", "vocabulary"])
 
     chunks = staged(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        cut, f"chunk long, ids array<{id_type(docs, id_col)}>, lengths binary, tokens binary, vocabulary binary"), "katz_chunks")
+        cut, f"chunk long, ids array<{id_type(docs, id_col)}>, lengths binary, tokens binary, vocabulary binary"), "katz_chunks",
+        batch_rows=DOCUMENT_ROWS)
 
     def unpacked(batch: pa.RecordBatch, i: int) -> Chunk:
         return Chunk(unpack_sorted(batch.column(4)[i].as_py()), unplanes(batch.column(3)[i].as_py(), np.int32),
@@ -320,26 +330,30 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
     def answer_words(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         table = table.iloc[np.argsort(table["word"].to_numpy().view(np.uint64))]
         own = table["word"].to_numpy().view(np.uint64)
-        columns = {"n": np.int64, "log_p": np.float64, "total": np.float64, "log_alpha": np.float64}
-        out: dict[str, list[bytes]] = {c: [] for c in columns}
+        n, alpha = table["n"].to_numpy(), table["log_alpha"].to_numpy()
+        more = np.nan_to_num(table["total"].to_numpy().astype(float)).astype(np.int64) - n  # 0 or 1, but for the start
+        out: dict[str, list[bytes]] = {"n": [], "more": [], "log_alpha": []}
         for keys in asked["keys"]:
             at, there = found(own, keys)
-            for c, kind in columns.items():
-                values = np.zeros(len(at), kind)
-                values[there] = np.nan_to_num(table[c].to_numpy().astype(kind))[at[there]]
+            for c, column in (("n", n), ("more", more), ("log_alpha", alpha)):
+                values = np.zeros(len(at), column.dtype)
+                values[there] = column[at[there]]
                 out[c].append(planes(values.view(np.int64)))
         return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], **out})
 
     pair_answers = staged(asks(True).groupBy("bucket").cogroup(model.bigrams.select("bucket", "pair", "n").groupBy("bucket"))
                           .applyInPandas(answer_pairs, "chunk long, bucket long, n binary"), "katz_pair_answers")
-    word_answers = staged(asks(False).groupBy("bucket").cogroup(model.words.groupBy("bucket"))
-                          .applyInPandas(answer_words, "chunk long, bucket long, n binary, log_p binary, total binary, log_alpha binary"),
+    word_answers = staged(asks(False).groupBy("bucket").cogroup(model.words.select("bucket", "word", "n", "total", "log_alpha").groupBy("bucket"))
+                          .applyInPandas(answer_words, "chunk long, bucket long, n binary, more binary, log_alpha binary"),
                           "katz_word_answers")
     of_pairs = pair_answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("pairs"))
     of_words = word_answers.groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "n", "log_p", "total", "log_alpha"))).alias("words"))
+        F.array_sort(F.collect_list(F.struct("bucket", "n", "more", "log_alpha"))).alias("words"))
     rows = chunks.join(of_pairs, "chunk").join(of_words, "chunk").select("chunk", "ids", "lengths", "tokens", "vocabulary", "pairs", "words")
-    table = np.array(discounts)
+
+    def weighted(n: np.ndarray, d: list[float]) -> np.ndarray:
+        """d(c) c of each count."""
+        return np.where(n <= MAX_DISCOUNTED, np.array(d)[np.minimum(n, MAX_DISCOUNTED)] * n, n)
 
     def joined(cell, name: str, kind) -> np.ndarray:
         return np.concatenate([unplanes(x[name], np.int64) for x in cell]).view(kind)
@@ -352,16 +366,15 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                 _, left, _, right, of = c.pair_keys()
                 held = joined(pairs, "n", np.int64)
                 asked = np.sort(np.append(c.vocabulary, START))
-                count, log_p, total, log_alpha = (joined(words, n, k) for n, k in (
-                    ("n", np.int64), ("log_p", np.float64), ("total", np.float64), ("log_alpha", np.float64)))
+                count, more, log_alpha = (joined(words, n, k) for n, k in (("n", np.int64), ("more", np.int64), ("log_alpha", np.float64)))
+                total = count + more
                 word = np.searchsorted(asked, c.vocabulary)  # place of each word in the answers
                 # The recursion, once for each distinct bigram: its own estimate, or backoff to the word's.
                 context, own = np.searchsorted(asked, left), word[right]
-                lower = np.where(count[own] > 0, log_p[own], log_unknown)
-                weight = np.where(held <= MAX_DISCOUNTED, table[np.minimum(held, MAX_DISCOUNTED)] * held, held)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    upper = np.log10(weight / total[context])
-                log_pair = np.where(held > 0, upper, log_alpha[context] + lower)
+                    lower = np.where(count > 0, np.log10(weighted(count, word_discounts) / over), log_unknown)
+                    upper = np.log10(weighted(held, discounts) / total[context])
+                log_pair = np.where(held > 0, upper, log_alpha[context] + lower[own])
                 log_base = np.log10((count[word] + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
                 begin = np.cumsum(c.lengths) - c.lengths
                 sums = [np.add.reduceat(x, begin) for x in (
@@ -370,4 +383,8 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                     [b.column(1)[i].values, pa.array(c.lengths), *[pa.array(x) for x in sums]],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return rows.mapInArrow(evaluate, f"doc_id {id_type(docs, id_col)}, n_tokens long, n_known long, base_score double, score double")
+    scores = staged(rows.mapInArrow(
+        evaluate, f"doc_id {id_type(docs, id_col)}, n_tokens long, n_known long, base_score double, score double"),
+        "katz_scores", batch_rows=CHUNK_ROWS)
+    discard(chunks, pair_answers, word_answers)
+    return scores

@@ -180,7 +180,7 @@ def _bodies(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     """(doc_id, text_hash, a, b): byte ranges of the documents to be removed (they may overlap)."""
     live = minimizers(keyed, width).filter("n > 1 OR several > 0").select("minimizer")
-    found = staged(all_stretches(keyed, width).join(live, "minimizer", "left_semi"), "repeat_stretches")
+    found = staged(all_stretches(keyed, width).join(live, "minimizer", "left_semi"), "repeat_stretches", batch_rows=2000)
     contents = staged(found.groupBy("minimizer", "content").agg(
         F.count(F.lit(1)).alias("copies"), F.max("several").alias("self"), F.max("before").alias("before"), F.max("after").alias("after")),
         "repeat_contents")
