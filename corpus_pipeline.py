@@ -88,7 +88,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests."""
     ship_package(spark)
     vocabulary = bpe_sql.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY))
-    return bpe_sql.token_digests(bpe_sql.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True))
+    return bpe_sql.token_digests(bpe_sql.encode(
+        docs, vocabulary, public_tokenizers.PATTERN, decoded=True, cache=100_000, keep_codec=False))
 
 
 STAGES = [("language", identify_language), ("lines", drop_template_lines), ("near_duplicates", drop_near_duplicates),
