@@ -94,11 +94,11 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
 class Codec:
     """A vocabulary and pattern in a DuckDB of this process."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = CACHE):
         import duckdb
         import regex
 
-        self.split = regex.compile(pattern).findall
+        self.split, self.limit = regex.compile(pattern).findall, cache
         self.young: dict[str, bytes] = {}  # pieces and their tokens, as int32
         self.old: dict[str, bytes] = {}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
@@ -157,7 +157,7 @@ class Codec:
         self.young.update({p: self.old[p] for p in new if p in self.old})
         self.learn([p for p in new if p not in self.young])
         out = [np.frombuffer(b"".join(map(self.young.__getitem__, c)), np.int32) for c in cut]
-        if len(self.young) > CACHE:
+        if len(self.young) > self.limit:
             self.young, self.old = {}, self.young
         return out
 
@@ -174,13 +174,13 @@ class Codec:
 _CODECS: dict[tuple[int, str], tuple[object, Codec]] = {}
 
 
-def _codec(shared, pattern: str) -> Codec:
+def _codec(shared, pattern: str, cache: int = CACHE) -> Codec:
     """This process's codec for a broadcast vocabulary. The entry keeps the
     broadcast alive, so its identity stands for no other one."""
     key = (id(shared), pattern)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = (shared, Codec(shared.value, pattern))
+        _CODECS[key] = (shared, Codec(shared.value, pattern, cache))
     return _CODECS[key][1]
 
 
@@ -189,13 +189,16 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
-def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, cache: int = CACHE,
+           keep_codec: bool = True) -> DataFrame:
     """One row per document: doc_id, token_ids array<int>; with ``decoded`` also
-    the bytes that the tokens decode to, found by the same process."""
+    the bytes that the tokens decode to, found by the same process. Without
+    ``keep_codec`` a worker forgets its pieces after each task, which leaves
+    its memory to other stages of a long job."""
     names = ["doc_id", "token_ids"] + ["decoded"] * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary, pattern)
+        codec = _codec(vocabulary, pattern, cache)
         for b in batches:
             texts = as_bytes(b.column(1))
             for i, j in blocks([len(t) for t in texts], BLOCK):
@@ -205,6 +208,9 @@ def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", te
                 if decoded:
                     columns.append(pa.array(codec.decode(ids), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        if not keep_codec:
+            codec.db.close()
+            _CODECS.clear()
 
     schema = f"doc_id {id_type(docs, id_col)}, token_ids array<int>" + ", decoded binary" * decoded
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)

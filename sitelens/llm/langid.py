@@ -69,6 +69,12 @@ def grams(text: str) -> Iterator[np.ndarray]:
         yield np.concatenate(out)
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, a few hundred at a time."""
+    for start in range(0, len(column), 256):
+        yield from column.slice(start, 256).to_pylist()
+
+
 def term_counts(text: str) -> np.ndarray:
     counts = np.zeros(BUCKETS, np.int64)
     for g in grams(text):
@@ -83,7 +89,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, rows = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in _texts(b.column(0)):
                 rows += 1
                 for_text = [np.unique(g) for g in grams(t or "")]
                 if for_text:
@@ -117,7 +123,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             where, values = [], []
-            for t in b.column(2).to_pylist():
+            for t in _texts(b.column(2)):
                 counts = term_counts(t or "")
                 at = np.flatnonzero(counts)
                 x = (counts[at] / max(1, counts.sum()) * weights[at] * _SCALE).astype(np.float32)
@@ -209,7 +215,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         m, letter = shared.value, regex.compile(r"\p{L}")
         for b in batches:
             names, scores = [], []
-            for t in b.column(at).to_pylist():
+            for t in _texts(b.column(at)):
                 name, score = UNDETERMINED, 0.0
                 if t and m.labels and letter.search(t):
                     total, n = np.zeros(len(m.labels)), 0

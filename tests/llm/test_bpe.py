@@ -24,9 +24,8 @@ def texts():
 
 
 @pytest.mark.parametrize("cache", [bpe_sql.CACHE, 20])
-def test_codec_equals_the_library(peer, cache, monkeypatch):
-    monkeypatch.setattr(bpe_sql, "CACHE", cache)
-    codec = bpe_sql.Codec(bpe_sql.read_vocabulary(PATH), public_tokenizers.PATTERN)
+def test_codec_equals_the_library(peer, cache):
+    codec = bpe_sql.Codec(bpe_sql.read_vocabulary(PATH), public_tokenizers.PATTERN, cache)
     rows = [t or "" for t in texts()]
     for at in range(0, len(rows), 10):
         ids = codec.encode(rows[at:at + 10])
@@ -39,7 +38,8 @@ def test_frames(spark, frame, peer):
     shared = bpe_sql.broadcast_vocabulary(spark, PATH)
     encoded = bpe_sql.encode(frame(rows), shared, public_tokenizers.PATTERN)
     got = bpe_sql.token_digests(bpe_sql.decode(encoded, shared, public_tokenizers.PATTERN)).collect()
-    same = bpe_sql.token_digests(bpe_sql.encode(frame(rows), shared, public_tokenizers.PATTERN, decoded=True)).collect()
+    same = bpe_sql.token_digests(bpe_sql.encode(frame(rows), shared, public_tokenizers.PATTERN, decoded=True, cache=50,
+                                               keep_codec=False)).collect()
     sha = lambda b: hashlib.sha256(b).hexdigest()
     want = sorted(str((i, len(e), sha(" ".join(map(str, e)).encode()), sha((t or "").encode()))) for i, t in rows
                   for e in [peer.encode_ordinary(t or "")])
