@@ -209,8 +209,7 @@ def encode(docs: DataFrame, vocabulary, pattern: str, id_col: str = "doc_id", te
                     columns.append(pa.array(codec.decode(ids), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
         if not keep_codec:
-            codec.db.close()
-            _CODECS.clear()
+            codec.young, codec.old = {}, {}
 
     schema = f"doc_id {id_type(docs, id_col)}, token_ids array<int>" + ", decoded binary" * decoded
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
