@@ -64,7 +64,7 @@ def drop_template_lines(docs: DataFrame) -> DataFrame:
 @_named_apart
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Keep one document of each group of linked ones."""
-    groups = staged(jaccard_rtree.jaccard_components(docs, width=5, threshold=80), "near_duplicate_groups")
+    groups = staged(jaccard_rtree.jaccard_components(docs, width=5, threshold=80, count_links=False), "near_duplicate_groups")
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     leaders = (groups.filter("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("row"))
                .select(F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_text")))

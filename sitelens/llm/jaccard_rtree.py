@@ -25,6 +25,13 @@ trees only look for pairs between different components. A holder for which no
 other is of a fitting size is left out. Shingles with very many holders are
 dealt to several trees, a tree for each pair of parts.
 
+Number of links: two linked sets are always of one component, so once the
+components are known, each set is compared exactly with the sets of its
+component. A task has the sets of some small components, or two parts of a
+large one (its sets by bands of size, only equal and adjacent bands can link,
+and by a hash within a band), and returns a number for each set, never pairs.
+This takes the square of a component's sets, as the links themselves may.
+
 Sets are known by 64 bits of a digest, checked against 64 other bits (a
 clash raises; another ``salt`` avoids it). Shingles are compared as 64-bit hashes.
 
@@ -38,6 +45,7 @@ empty result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +65,9 @@ LEAF = 32
 _TREE_ROWS = 2000
 #: Pivots that a set is compared with in a round, and the holders a shingle must have for the second round.
 _STAR_PIVOTS, _STAR_HOLDERS = 5, 8
+#: Sets of a part of a component and, but for a single larger set, about how many shingles they have.
+_PART_SETS, _PART_SHINGLES = 512, 1 << 20
+_OVERLAP_COLUMNS = 4096
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -286,14 +297,19 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
     return members.groupBy("tree_a", "tree_b", "tree_c", "level").applyInPandas(run, "a long, b long")
 
 
+def stored_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The wanted sets' (sid, grams); a set may come more than once."""
+    holders = classes.join(wanted, "sid").select("sid", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash"))
+    texts = (docs.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)).alias("_own"))
+             .join(holders, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash"))).select("sid", text_col))
+    return staged(shingle_store(texts, width), "jaccard_sets", batch_rows=1000)
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) that link, compared shingle by shingle."""
     pairs = staged(pairs, "jaccard_pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    holders = classes.join(wanted, "sid").select("sid", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash"))
-    texts = (docs.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)).alias("_own"))
-             .join(holders, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash"))).select("sid", text_col))
-    sets = staged(shingle_store(texts, width), "jaccard_sets", batch_rows=1000)
+    sets = stored_sets(wanted, classes, docs, id_col, text_col, width)
     store = sets.dropDuplicates(["sid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,10 +329,92 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return links
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``."""
+    known = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.int64)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        every, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(known, every), len(known) - 1)
+        there = known[at] == every
+        at, row = at[there], row[there]
+        order = np.argsort(at, kind="stable")
+        return at[order], row[order]
+
+    def ones(at: np.ndarray, row: np.ndarray, rows: int, start: int, end: int) -> np.ndarray:
+        a, b = np.searchsorted(at, (start, end))
+        block = np.zeros((rows, end - start), np.float32)  # sums of up to _OVERLAP_COLUMNS ones are exact
+        block[row[a:b], at[a:b] - start] = 1
+        return block
+
+    if len(known):
+        of_left, of_right = places(left), places(right)
+        for start in range(0, len(known), _OVERLAP_COLUMNS):
+            end = min(start + _OVERLAP_COLUMNS, len(known))
+            out += (ones(*of_left, len(left), start, end) @ ones(*of_right, len(right), start, end).T).astype(np.int64)
+    return out
+
+
+def link_counts(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: int) -> DataFrame:
+    """(sid, links): for each set of a component (node, root) the documents whose sets link with it."""
+    spread = max(math.log(100 / threshold) * (1 + 1e-9), 1e-9)  # sets of bands further apart than 1 differ too much in size
+    members = staged(found.withColumnRenamed("node", "sid").join(classes.select("sid", "n", "copies"), "sid")
+                     .withColumn("band", F.floor(F.log("n") / spread).cast("long")), "jaccard_component_sets")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / _PART_SETS), F.ceil(F.sum("n") / _PART_SHINGLES)).cast("int")
+    large = members.groupBy("root").agg(parts.alias("parts")).filter("parts > 1").select("root")
+    small = members.join(large, "root", "left_anti")
+    blocks = small.agg(parts.alias("parts")).first()["parts"] or 1
+    small = small.select(F.pmod(F.xxhash64("root"), F.lit(blocks)).alias("block"), F.lit(-1).cast("long").alias("at"), F.lit(0).alias("x"),
+                         F.lit(0).alias("y"), F.lit(2).alias("side"), "root", "sid", "n", "copies")
+
+    bands = Window.partitionBy("root").orderBy("band")
+    cells = members.join(large, "root", "left_semi").groupBy("root", "band").agg(parts.alias("parts"))
+    beside = lambda f, step: F.when(f("band").over(bands) == F.col("band") + step, f("parts").over(bands)).otherwise(0)
+    cells = cells.select("root", "band", "parts", beside(F.lag, -1).alias("below"), beside(F.lead, 1).alias("above"))
+    own = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
+
+    def met(n: Column, at: Column, x, y, side) -> Column:
+        """Places of the parts that a set's part meets; ``at`` is twice the lower band, and one more for parts of two bands."""
+        every = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda j: F.struct(
+            at.alias("at"), x(j).alias("x"), y(j).alias("y"), side(j).cast("int").alias("side")))
+        return F.slice(every, F.lit(1), n)
+
+    part, zero, one = F.col("own"), F.lit(0), F.lit(1)
+    meets = F.concat(
+        met(F.col("parts"), 2 * F.col("band"), lambda j: F.least(part, j), lambda j: F.greatest(part, j),
+            lambda j: F.when(j == part, 2).when(part < j, 0).otherwise(1)),
+        met(F.col("above"), 2 * F.col("band") + 1, lambda j: part, lambda j: j, lambda j: zero),
+        met(F.col("below"), 2 * F.col("band") - 1, lambda j: j, lambda j: part, lambda j: one))
+    dealt = (members.join(cells, ["root", "band"]).withColumn("own", own).withColumn("m", F.explode(meets))
+             .select(F.col("root").alias("block"), "m.at", "m.x", "m.y", "m.side", "root", "sid", "n", "copies"))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        links, sizes, copies = np.zeros(len(part), np.int64), part["n"].to_numpy(), part["copies"].to_numpy()
+        grams, side = [np.frombuffer(g, np.uint64) for g in part["grams"]], part["side"].to_numpy()
+        for rows in part.groupby("root").indices.values():
+            left, right = rows[side[rows] != 1], rows[side[rows] != 0]
+            if len(left) and len(right):
+                shared = overlaps([grams[i] for i in left], [grams[i] for i in right])
+                holds = 100 * shared >= threshold * (sizes[left][:, None] + sizes[right][None, :] - shared)
+                holds &= left[:, None] != right[None, :]
+                links[left] += holds @ copies[right]
+                if side[rows[0]] != 2:  # else both sides are the same sets
+                    links[right] += copies[left] @ holds
+        return pd.DataFrame({"sid": part["sid"], "links": links})
+
+    sets = stored_sets(members.select("sid"), classes, docs, id_col, text_col, width)
+    rows = small.unionByName(dealt).join(sets.dropDuplicates(["sid"]), "sid")
+    counts = staged(rows.groupBy("block", "at", "x", "y").applyInPandas(run, "sid long, links long")
+                    .groupBy("sid").agg(F.sum("links").alias("links")), "jaccard_link_counts")
+    discard(members, sets)
+    return counts
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 85,
-                       salt: bytes = b"") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links (links of
-    its set that were looked at and hold; copies and pairs that others already connect are not counted),
+                       salt: bytes = b"", count_links: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, n_links (all other
+    documents it links with, copies too; left out without ``count_links``),
     text_hash (xxhash64 of the text) and component (a number of the component, null without words)."""
     rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents", batch_rows=2000)
     sets = rows.filter("bucket IS NULL").drop("bucket", "seen")
@@ -326,7 +424,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     classes = staged(
         sets.filter("n > 0").groupBy("sid", "check", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("rep"),
-                                                             F.first("counts").alias("counts")), "jaccard_classes")
+                                                             F.first("counts").alias("counts"),
+                                                             F.count(F.lit(1)).alias("copies")), "jaccard_classes")
     if not classes.groupBy("sid").count().filter("count > 1").isEmpty():
         raise ValueError("two different shingle sets have the same 64-bit digest; give another salt")
 
@@ -404,16 +503,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = verified(candidates, classes, docs, id_col, text_col, width, threshold)
     links = staged(links.unionByName(more).distinct(), "jaccard_links")
 
-    of_set = classes.select("sid", F.col("rep.doc_id").alias("least_id"))
-    found = components(links)
+    of_set = classes.select("sid", F.col("rep.doc_id").alias("least_id"), "copies")
+    found = staged(components(links), "jaccard_found")
     least = found.join(of_set.withColumnRenamed("sid", "node"), "node").groupBy("root").agg(F.min("least_id").alias("component"))
     named = found.join(least, "root").select(F.col("node").alias("sid"), "root", "component")
-    degree = links.select(F.col("a").alias("sid")).unionByName(links.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("links"))
-    answer = staged(of_set.join(named, "sid", "left").join(degree, "sid", "left")
-                         .select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component", "least_id").alias("component"),
-                                 F.coalesce("links", F.lit(0)).alias("links")),
-                         "jaccard_answer")
+    answer = of_set.join(named, "sid", "left")
+    if count_links:
+        answer = answer.join(link_counts(found, classes, docs, id_col, text_col, width, threshold), "sid", "left")
+    n_links = [(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")] if count_links else []
+    answer = staged(answer.select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component", "least_id").alias("component"), *n_links),
+                    "jaccard_answer")
     return (sets.join(answer, "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("links", F.lit(0)).alias("n_links"), "text_hash", F.col("root").alias("component")))
+                    *[F.coalesce("links", F.lit(0)).alias("n_links") for _ in n_links], "text_hash", F.col("root").alias("component")))

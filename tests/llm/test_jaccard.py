@@ -88,3 +88,23 @@ def test_tree_finds_all_pairs_within_the_bound():
 
 def test_empty_table(spark, frame):
     assert jaccard_rtree.jaccard_components(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("part_sets", [512, 4])
+def test_links_equal_all_pairs(spark, frame, monkeypatch, part_sets):
+    monkeypatch.setattr(jaccard_rtree, "_PART_SETS", part_sets)
+    monkeypatch.setattr(jaccard_rtree, "_OVERLAP_COLUMNS", 50)
+    rng = random.Random(part_sets)
+    base = [f"n{i}" for i in range(160)]
+    near = []
+    for i in range(60):  # one large group of near copies, of several sizes, and copies of some of them
+        words = base[:rng.choice([110, 125, 140, 160])]
+        words[rng.randrange(len(words))] = f"other{i}"
+        near.append((5000 + i, " ".join(words)))
+    rows = corpus(part_sets, 80) + near + [(6000 + i, near[i % 5][1]) for i in range(15)] + AWKWARD
+    sets = [shingle_set(t, 4) for _, t in rows]
+    want = [sum(1 for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 85 * len(a | b)) for i, a in enumerate(sets)]
+    got = jaccard_rtree.jaccard_components(frame(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in got) == sorted(
+        (str(d), len(s), n) for (d, _), s, n in zip(rows, sets, want))
+    assert max(want) > 20
