@@ -9,7 +9,8 @@ columns they came with:
 * ``identify_language`` drops documents whose language can't be told (no
   text or letter, or a score below one half); the classifier learns from the
   labels of its own input.
-* ``drop_template_lines`` takes lines of recurring templates out of the texts.
+* ``drop_template_lines`` takes lines of recurring templates out of the texts but
+  one carrier's.
 * ``drop_near_duplicates`` links documents that share four fifths of their
   five-word shingles and keeps of each group of linked ones the one with the
   smallest id (null last; of equal ids one); documents without words
@@ -58,7 +59,7 @@ def identify_language(docs: DataFrame) -> DataFrame:
 @_named_apart
 def drop_template_lines(docs: DataFrame) -> DataFrame:
     """Take lines of recurring templates out of the texts."""
-    return line_templates.drop_recurring_lines(docs)
+    return line_templates.drop_all_recurring_lines(docs)
 
 
 @_named_apart

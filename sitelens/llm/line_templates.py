@@ -8,9 +8,12 @@ template. A template of which enough tokens are constant and which enough
 different texts share recurs, and its lines are dropped from all documents.
 
 Texts are counted, not documents, so exact copies of one document make
-nothing recur. A document of whose tokens more than ``max_share`` would go is
-a near copy of others rather than a text with boilerplate; it stays whole, for
-document-level deduplication.
+nothing recur. ``drop_all_recurring_lines``, which the query and the pipeline
+use, drops recurring lines whatever their share of a document; each template's
+lines stay in one carrier, the document with the smallest id that has one, so
+of near copies one stays whole and no template leaves the corpus. With a
+``max_share`` there are no carriers, and a document of whose tokens more than
+that would go stays whole.
 
 All of it is DataFrame functions. Line texts leave a task only where their
 leaf recurs; counts of a hot line are combined before they are shuffled, and
@@ -58,7 +61,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
 
 
 def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int) -> DataFrame:
-    """The line hashes whose template recurs."""
+    """The line hashes whose template recurs, and their template."""
     texts = occurrences.select("leaf", "line_hash", "_l_text").distinct()
     per_line = texts.groupBy("leaf", "line_hash").agg(F.count(F.lit(1)).alias("n_texts"))
     leaves = per_line.groupBy("leaf").agg(F.sum("n_texts").alias("n")).filter(F.col("n") >= min_texts).select("leaf")
@@ -82,11 +85,28 @@ def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int) ->
     templates = materialize(templates, "line_templates")
     shared = (texts.join(templates, ["leaf", "line_hash"]).select("leaf", "template", "_l_text").distinct()
               .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_texts))
-    return templates.join(shared, ["leaf", "template"], "left_semi").select("line_hash").distinct()
+    return (templates.join(shared, ["leaf", "template"], "left_semi")
+            .select("line_hash", F.xxhash64("leaf", "template").alias("template")).distinct())
+
+
+def carried_elsewhere(occurrences: DataFrame, recurring: DataFrame) -> DataFrame:
+    """The occurrences of recurring lines that are not in their template's carrier."""
+    recurring = materialize(recurring, "recurring_lines")
+    row = F.struct(F.col("_l_id").isNull().alias("last"), F.col("_l_id").alias("id"), F.col("_l_text").alias("text"))
+    least = occurrences.groupBy("line_hash").agg(F.min(row).alias("least"))  # first of each line, then of the template
+    carriers = recurring.join(least, "line_hash").groupBy("template").agg(F.min("least").alias("carrier"))
+    carried = recurring.join(carriers, "template").select("line_hash", "carrier")
+    own = F.col("_l_id").eqNullSafe(F.col("carrier.id")) & (F.col("_l_text") == F.col("carrier.text"))
+    return occurrences.join(carried, "line_hash").filter(~own)
+
+
+def drop_all_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``drop_recurring_lines`` whatever the lines' share of a document."""
+    return drop_recurring_lines(docs, id_col, text_col, max_share=None)
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE) -> DataFrame:
+                         min_texts: int = MIN_TEXTS, max_share: float | None = MAX_SHARE) -> DataFrame:
     """The documents with recurring lines taken out of the text, and n_lines, n_dropped."""
     own = [c for c in docs.columns if not c.startswith("_l_") and c not in ("n_lines", "n_dropped")]
     body = docs.select(F.col(id_col).alias("_l_id"), F.col(text_col).alias("_l_body")).filter(F.col("_l_body").isNotNull())
@@ -95,7 +115,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     occurrences = materialize(lines.select("_l_id", "_l_text", "pos", _leaf(F.col("line")).alias("leaf"),
                                            F.md5("line").alias("line_hash")), "line_occurrences")
     recurring = recurring_lines(lines, occurrences, min_texts)
-    going = (occurrences.join(recurring, "line_hash", "left_semi").groupBy("_l_id", "_l_text")
+    gone = occurrences.join(recurring, "line_hash", "left_semi") if max_share is not None else carried_elsewhere(occurrences, recurring)
+    going = (gone.groupBy("_l_id", "_l_text")
              .agg(F.collect_set("pos").alias("_l_going"))
              .select(F.col("_l_id").alias("_l_gid"), F.col("_l_text").alias("_l_gtext"), "_l_going"))
     docs = docs.select(*own).withColumn("_l_hash", F.xxhash64(F.col(text_col)))
@@ -106,7 +127,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stays = F.array_except(F.sequence(F.lit(0), F.size("_l_lines") - 1), F.col("_l_going"))
     kept = F.array_join(F.transform(stays, lambda i: F.get("_l_lines", i)), "\n")
     cut = (joined.withColumn("_l_lines", _lines(F.col(text_col)))
-           .withColumn("_l_cut", F.col("_l_going").isNotNull() & (lost <= F.lit(max_share) * total)))
+           .withColumn("_l_cut", F.col("_l_going").isNotNull() & (F.lit(True) if max_share is None else lost <= F.lit(max_share) * total)))
     return cut.select(*[F.when(F.col("_l_cut"), kept).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in own],
                       F.when(F.col("_l_lines").isNull(), 0).otherwise(F.size("_l_lines")).cast("long").alias("n_lines"),
                       F.when(F.col("_l_cut"), F.size("_l_going")).otherwise(0).cast("long").alias("n_dropped"))

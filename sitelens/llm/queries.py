@@ -148,7 +148,7 @@ def op8_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_templates.drop_recurring_lines(_table(spark, sf_dir, "documents"))
+    found = line_templates.drop_all_recurring_lines(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -47,3 +47,23 @@ def test_awkward_rows(spark, frame):
 
 def test_empty_table(spark, frame):
     assert line_templates.drop_recurring_lines(frame([])).count() == 0
+
+
+def drop_all(spark, frame, rows):
+    return {r["doc_id"]: r for r in line_templates.drop_all_recurring_lines(frame(rows)).collect()}
+
+
+def test_recurring_lines_go_from_short_documents_too(spark, frame):
+    passage = " ".join(f"boiler{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'xyz'[i // 26]}" for i in range(55))
+    own = lambda i, n: " ".join(f"own{'abcdefghij'[i]}{'klmnopqrst'[w % 10] * (w // 10 + 1)}" for w in range(n))
+    rows = [(i, f"{own(i, 40 if i < 6 else 200)}\n{passage}") for i in range(9)]
+    got = drop_all(spark, frame, rows)
+    assert got[0]["text"] == rows[0][1] and got[0]["n_dropped"] == 0  # the carrier
+    assert all(got[i]["text"] == rows[i][1].split("\n")[0] and got[i]["n_dropped"] == 1 for i in range(1, 9))
+
+
+def test_one_near_copy_stays_whole(spark, frame):
+    shared = "\n".join(f"common sentence number {w} in all copies" for w in "abcdefgh")
+    rows = [(i, f"{shared}\n{body(i)}") for i in range(9)]
+    got = drop_all(spark, frame, rows)
+    assert got[0]["text"] == rows[0][1] and all(got[i]["text"] == body(i) for i in range(1, 9))
