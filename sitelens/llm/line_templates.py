@@ -2,14 +2,18 @@
 
 A line's place in a tree of fixed depth is its number of tokens and its first
 ``LEAD`` tokens, tokens with digits masked. Within such a leaf a token is
-constant at its position if enough texts have it there; all other tokens are
+constant at its position if enough texts have the very same one there (digits
+included); all other tokens are
 variable fields, shown as ``<*>``. The tokens so generalised are the line's
 template. A template of which enough tokens are constant and which enough
 different texts share recurs, and its lines are dropped from all documents.
+With ``verbatim`` a line that enough texts hold as it is recurs too, however
+short it is and whatever its tokens are.
 
 Texts are counted, not documents, so exact copies of one document make
 nothing recur. ``drop_all_recurring_lines``, which the query and the pipeline
-use, drops recurring lines whatever their share of a document; each template's
+use, drops verbatim lines and templates half of whose tokens, at least two, are
+constant, whatever their share of a document; each template's
 lines stay in one carrier, the document with the smallest id that has one, so
 of near copies one stays whole and no template leaves the corpus. With a
 ``max_share`` there are no carriers, and a document of whose tokens more than
@@ -37,6 +41,8 @@ MIN_TEXTS = 5
 MIN_CONSTANT = 3
 MIN_CONSTANT_SHARE = 0.8
 MAX_SHARE = 0.5
+#: Bounds of ``drop_all_recurring_lines`` for templates with fields; verbatim lines need none.
+LEAST_CONSTANT, LEAST_CONSTANT_SHARE = 2, 0.5
 FIELD = "<*>"
 _FIELD_PATTERN = r"\S*[0-9]\S*"
 
@@ -60,7 +66,8 @@ def _line_rows(docs: DataFrame) -> DataFrame:
     return rows.select("_l_id", "_l_text", "pos", F.trim("raw").alias("line")).filter("line != ''")
 
 
-def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int) -> DataFrame:
+def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int, min_constant: int, min_constant_share: float,
+                    verbatim: bool) -> DataFrame:
     """The line hashes whose template recurs, and their template."""
     texts = occurrences.select("leaf", "line_hash", "_l_text").distinct()
     per_line = texts.groupBy("leaf", "line_hash").agg(F.count(F.lit(1)).alias("n_texts"))
@@ -69,10 +76,8 @@ def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int) ->
     bodies = (lines.withColumn("leaf", _leaf(F.col("line"))).join(leaves, "leaf", "left_semi")
               .select("leaf", "line").distinct().withColumn("line_hash", F.md5("line")))
     found = materialize(bodies.join(per_line, ["leaf", "line_hash"]), "recurring_leaves")
-    tokens = found.select("leaf", "line_hash", "n_texts", F.posexplode(F.split("line", " ")).alias("at", "raw"))
-    token = F.when(F.col("raw").rlike("[0-9]"), FIELD).otherwise(F.col("raw"))
-    tokens = tokens.withColumn("token", token)
-    constants = (tokens.filter(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("n_texts").alias("n"))
+    tokens = found.select("leaf", "line_hash", "n_texts", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    constants = (tokens.groupBy("leaf", "at", "token").agg(F.sum("n_texts").alias("n"))
                  .filter(F.col("n") >= min_texts).select("leaf", "at", "token", F.lit(True).alias("constant")))
     marked = tokens.join(constants, ["leaf", "at", "token"], "left")
     is_constant = F.coalesce("constant", F.lit(False))
@@ -80,13 +85,17 @@ def recurring_lines(lines: DataFrame, occurrences: DataFrame, min_texts: int) ->
     templates = (marked.groupBy("leaf", "line_hash")
                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", shown.alias("t")))), lambda x: x["t"]), " ")
                       .alias("template"), F.sum(is_constant.cast("int")).alias("n_constant"), F.count(F.lit(1)).alias("n_tokens"))
-                 .filter((F.col("n_constant") >= MIN_CONSTANT) & (F.col("n_constant") >= MIN_CONSTANT_SHARE * F.col("n_tokens")))
+                 .filter((F.col("n_constant") >= min_constant) & (F.col("n_constant") >= min_constant_share * F.col("n_tokens")))
                  .select("leaf", "line_hash", F.md5("template").alias("template")))
     templates = materialize(templates, "line_templates")
     shared = (texts.join(templates, ["leaf", "line_hash"]).select("leaf", "template", "_l_text").distinct()
               .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_texts))
-    return (templates.join(shared, ["leaf", "template"], "left_semi")
-            .select("line_hash", F.xxhash64("leaf", "template").alias("template")).distinct())
+    found = (templates.join(shared, ["leaf", "template"], "left_semi")
+             .select("line_hash", F.xxhash64("leaf", "template").alias("template")).distinct())
+    if not verbatim:
+        return found
+    alike = per_line.filter(F.col("n_texts") >= min_texts).join(found, "line_hash", "left_anti")
+    return found.unionByName(alike.select("line_hash", F.xxhash64("leaf", "line_hash").alias("template")))
 
 
 def carried_elsewhere(occurrences: DataFrame, recurring: DataFrame) -> DataFrame:
@@ -101,12 +110,14 @@ def carried_elsewhere(occurrences: DataFrame, recurring: DataFrame) -> DataFrame
 
 
 def drop_all_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``drop_recurring_lines`` whatever the lines' share of a document."""
-    return drop_recurring_lines(docs, id_col, text_col, max_share=None)
+    """``drop_recurring_lines`` with verbatim lines and the least bounds, whatever the lines' share of a document."""
+    return drop_recurring_lines(docs, id_col, text_col, max_share=None, min_constant=LEAST_CONSTANT,
+                                min_constant_share=LEAST_CONSTANT_SHARE, verbatim=True)
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         min_texts: int = MIN_TEXTS, max_share: float | None = MAX_SHARE) -> DataFrame:
+                         min_texts: int = MIN_TEXTS, max_share: float | None = MAX_SHARE, min_constant: int = MIN_CONSTANT,
+                         min_constant_share: float = MIN_CONSTANT_SHARE, verbatim: bool = False) -> DataFrame:
     """The documents with recurring lines taken out of the text, and n_lines, n_dropped."""
     own = [c for c in docs.columns if not c.startswith("_l_") and c not in ("n_lines", "n_dropped")]
     body = docs.select(F.col(id_col).alias("_l_id"), F.col(text_col).alias("_l_body")).filter(F.col("_l_body").isNotNull())
@@ -114,7 +125,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lines = _line_rows(body)
     occurrences = materialize(lines.select("_l_id", "_l_text", "pos", _leaf(F.col("line")).alias("leaf"),
                                            F.md5("line").alias("line_hash")), "line_occurrences")
-    recurring = recurring_lines(lines, occurrences, min_texts)
+    recurring = recurring_lines(lines, occurrences, min_texts, min_constant, min_constant_share, verbatim)
     gone = occurrences.join(recurring, "line_hash", "left_semi") if max_share is not None else carried_elsewhere(occurrences, recurring)
     going = (gone.groupBy("_l_id", "_l_text")
              .agg(F.collect_set("pos").alias("_l_going"))

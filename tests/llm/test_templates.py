@@ -1,3 +1,4 @@
+import pytest
 from conftest import AWKWARD
 
 from sitelens.llm import line_templates
@@ -67,3 +68,24 @@ def test_one_near_copy_stays_whole(spark, frame):
     rows = [(i, f"{shared}\n{body(i)}") for i in range(9)]
     got = drop_all(spark, frame, rows)
     assert got[0]["text"] == rows[0][1] and all(got[i]["text"] == body(i) for i in range(1, 9))
+
+
+@pytest.mark.parametrize("line", ["So be.", "全著作権所有", "Copyright 2024 Example Inc", "Call us 24/7: 555 0123", "2024"])
+def test_verbatim_lines_go_whatever_their_tokens(spark, frame, line):
+    rows = [(i, f"{body(i)}\n{line}") for i in range(8)]
+    got = drop_all(spark, frame, rows)
+    assert got[0]["text"] == rows[0][1] and all(got[i]["text"] == body(i) for i in range(1, 8))
+    rare = drop_all(spark, frame, [(i, f"{body(i)}\n{line}" if i < 4 else body(i)) for i in range(8)])
+    assert all(r["n_dropped"] == 0 for r in rare.values())
+
+
+def test_half_of_a_template_may_be_fields(spark, frame):
+    for line in ("Page {} of {} printed on request", "Page {} of {}"):
+        rows = [(i, body(i) + "\n" + line.format(i, 100 + i)) for i in range(8)]
+        got = drop_all(spark, frame, rows)
+        assert got[0]["text"] == rows[0][1] and all(got[i]["text"] == body(i) for i in range(1, 8))
+
+
+def test_same_digits_are_constant(spark, frame):
+    rows = [(i, f"{body(i)}\nCopyright 2024 Example Inc page {'abcdefgh'[i]}") for i in range(8)]  # 5 of 6 with the year, 4 without
+    assert all(r["text"] == body(i) for i, r in run(spark, frame, rows).items())
