@@ -153,3 +153,10 @@ def training_order(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
     used = mix.select("*", F.inline("uses")).drop("uses")
     keys = [F.col("position"), F.col(id_col).asc_nulls_first(), F.col("pass")]
     return used.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def by_first_use(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``mixed`` range-sorted by the position of their first use, as
+    ``training_order`` first takes them; documents without a use come last."""
+    keys = [F.get("uses", F.lit(0))["position"].asc_nulls_last(), F.col(id_col).asc_nulls_first(), F.col("size")]
+    return mix.repartitionByRange(*keys).sortWithinPartitions(*keys)

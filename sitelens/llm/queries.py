@@ -40,7 +40,7 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = mixture.mixed(_table(spark, sf_dir, "documents"))
+    mix = mixture.by_first_use(mixture.mixed(_table(spark, sf_dir, "documents")))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -67,3 +67,15 @@ def test_empty_and_wordless(spark):
     assert mixture.mixed(none).count() == 0 and mixture.training_order(mixture.mixed(none)).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string")
     assert [(r["size"], r["target"], r["taken"]) for r in mixture.mixed(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_query_rows_come_in_training_order(spark):
+    from conftest import SF_SMALL
+
+    from sitelens.llm.queries import QUERIES
+
+    got = [r["doc_id"] for r in QUERIES["op2_mixture"](spark, SF_SMALL).collect()]
+    mix = mixture.mixed(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    order = list(dict.fromkeys(r["doc_id"] for r in mixture.training_order(mix).select("doc_id").collect()))
+    assert len(order) > 20 and got[:len(order)] == order
+    assert sorted(got[len(order):]) == sorted(r["doc_id"] for r in mix.filter("size(uses) = 0").select("doc_id").collect())
