@@ -6,8 +6,8 @@ Features are the 1- to 3-grams of the lower-cased text, hashed into
 ``BUCKETS`` buckets: term frequency (share of the text's n-grams) times
 inverse document frequency. Document frequencies come from all training
 documents. The classifier itself is fitted on a bounded sample of them:
-about ``SAMPLE`` documents, spread evenly over at most ``MAX_LANGUAGES``
-labels (the most frequent ones) and chosen by a hash of the id; of a sample
+about ``SAMPLE`` documents, spread evenly over all labels but at least
+``PER_LABEL`` for each (or all it has), and chosen by a hash of the id; of a sample
 document's buckets the ``MAX_TERMS`` heaviest count. A fifth of the sample
 is kept from the fit and sets the temperature. Every prediction reads the
 whole text, and only the text.
@@ -34,12 +34,15 @@ from pyspark.sql import types as T
 BUCKETS = 1 << 16
 ORDERS = 3
 SAMPLE = 4000
-MAX_LANGUAGES = 100
+PER_LABEL = 40
+#: More labels than there are languages: the column holds something else.
+MOST_LABELS = 10_000
 MAX_TERMS = 8192
 MIN_SCORE = 0.5
 UNDETERMINED = "und"
 _SCALE = 20.0  # keeps feature values near 1, so the penalties below fit
 _SLAB = 1 << 18
+_TAKEN = 100 * _SLAB  # weights looked up at a time
 _FACTORS = [np.uint32(x) for x in (2654435761, 2246822519, 3266489917)]
 _SALTS = [np.uint32(x) for x in (374761393, 668265263, 1640531527)]
 
@@ -108,16 +111,16 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, idf: np.ndarray,
                     sample: int) -> tuple[list[str], list[tuple[int, np.ndarray, np.ndarray]]]:
     """Labels, and (label, buckets, values) of about ``sample`` documents in the order of their hash."""
-    per_label = {r[0]: r[1] for r in docs.groupBy(lang_col).count()
-                 .orderBy(F.desc("count"), F.col(lang_col)).limit(MAX_LANGUAGES).collect()}
+    per_label = {r[0]: r[1] for r in docs.groupBy(lang_col).count().limit(MOST_LABELS + 1).collect()}
+    if len(per_label) > MOST_LABELS:
+        raise ValueError(f"column {lang_col} has more than {MOST_LABELS} different labels; these can't be languages")
     labels = sorted(per_label)
     if not labels:
         return [], []
-    share = max(1, sample // len(labels))
+    share = max(PER_LABEL, sample // len(labels))
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 30))
-    rate = F.lit(0.0)
-    for label, n in per_label.items():
-        rate = F.when(F.col(lang_col) == label, min(1.0, share / n) * (1 << 30)).otherwise(rate)
+    rates = docs.sparkSession.createDataFrame([(label, min(1.0, share / n) * (1 << 30)) for label, n in per_label.items()],
+                                              "_label string, _rate double")
     weights = idf.astype(np.float32)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +138,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(where, pa.binary()), pa.array(values, pa.binary())],
                                              ["draw", "lang", "buckets", "vals"])
 
-    rows = (docs.withColumn("_draw", draw).filter(F.col("_draw") < rate)
+    rows = (docs.withColumn("_draw", draw).join(F.broadcast(rates), F.col(lang_col) == F.col("_label")).filter(F.col("_draw") < F.col("_rate"))
             .select(F.col("_draw").cast("long"), F.col(lang_col), F.col(text_col))
             .mapInArrow(vectors, "draw long, lang string, buckets binary, vals binary").collect())
     number = {label: i for i, label in enumerate(labels)}
@@ -196,7 +199,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not labels:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
     kept, apart = [r for i, r in enumerate(rows) if i % 5], rows[::5]
-    w, b = ftrl(kept or rows, len(labels))
+    fitted = {r[0] for r in kept}
+    kept += [r for r in apart if r[0] not in fitted]  # no label goes without a document in the fit
+    w, b = ftrl(kept, len(labels))
     logits = np.array([x @ w[at] + b for _, at, x in apart]).reshape(-1, len(labels))
     temperature = fitted_temperature(logits, np.array([r[0] for r in apart], np.int64))
     return Model(labels, (w * idf[:, None] * _SCALE).astype(np.float32), b, temperature)
@@ -206,7 +211,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents with lang_pred and lang_score."""
     import regex
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x MAX_LANGUAGES floats at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats a label
     kept = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "lang_score")])
     names_in = kept.columns
     at = names_in.index(text_col)
@@ -219,8 +224,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 name, score = UNDETERMINED, 0.0
                 if t and m.labels and letter.search(t):
                     total, n = np.zeros(len(m.labels)), 0
+                    step = max(1, _TAKEN // len(m.labels))
                     for g in grams(t):
-                        total += m.table.take(g, axis=0).sum(axis=0, dtype=np.float64)
+                        for start in range(0, len(g), step):
+                            total += m.table.take(g[start:start + step], axis=0).sum(axis=0, dtype=np.float64)
                         n += len(g)
                     p = _softmax((total / n + m.bias) / m.temperature)
                     best = int(p.argmax())

@@ -52,3 +52,13 @@ def test_temperature_lowers_the_loss():
     truth = rng.integers(0, 3, 500)
     logits = 8 * np.eye(3)[np.where(rng.random(500) < 0.7, truth, rng.integers(0, 3, 500))]
     assert langid.fitted_temperature(logits, truth) > 2
+
+
+def test_every_label_is_learnt(spark, monkeypatch):
+    rows = [(i, f"{chr(0x4E00 + i % 120) * 30} text", f"l{i % 120:03}") for i in range(120 * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert sorted(model.labels) == sorted({x for _, _, x in rows})
+    monkeypatch.setattr(langid, "MOST_LABELS", 100)
+    with pytest.raises(ValueError, match="labels"):
+        langid.train(docs)
