@@ -109,7 +109,7 @@ def stretches(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
         with np.errstate(over="ignore"):
             for step in steps:
                 side = mix64(side + h[np.clip(origin + step, 0, len(h) - 1)])
-        sides.append(np.where(there if half >= GRAM else True, (side >> np.uint64(33)).astype(np.int64) + 1, 0))
+        sides.append(np.where(there if half >= GRAM else True, (side >> np.uint64(34)).astype(np.int64) + 1, 0))  # an int, 0 only where nothing is there
     return text, first - (ends - sizes)[text], count, value[first].astype(np.int64), several.astype(np.int64), *sides
 
 
@@ -160,7 +160,7 @@ def all_stretches(keyed: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(own), b.column(2).take(own), pa.array(value), pa.array(content, pa.binary()),
                      pa.array(start + np.array(offsets)[part]), pa.array(count), pa.array(several),
-                     pa.array((before & 0x7FFFFFFF).astype(np.int32)), pa.array((after & 0x7FFFFFFF).astype(np.int32))],
+                     pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32))],
                     ["doc_id", "text_hash", "minimizer", "content", "start", "windows", "several", "before", "after"])
 
     return keyed.select("doc_id", "body", "text_hash").mapInArrow(run, schema)

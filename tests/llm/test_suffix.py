@@ -74,3 +74,13 @@ def test_awkward_rows(spark, frame):
 
 def test_empty_table(spark, frame):
     assert suffix_dedup.remove_repeats(frame([])).count() == 0
+
+
+def test_a_side_is_zero_only_where_nothing_is_there(monkeypatch):
+    import numpy as np
+
+    plain = suffix_dedup.mix64
+    monkeypatch.setattr(suffix_dedup, "mix64", lambda x: plain(x) | np.uint64(0xFFFFFFFE00000000))  # the largest side hash
+    *_, before, after = suffix_dedup.stretches([bytes(random.Random(3).choices(range(97, 123), k=3000))], 200)
+    for side in (before, after):
+        assert (side > 0).any() and (((side & 0x7FFFFFFF) == 0) == (side == 0)).all() and side.max() < 1 << 31
