@@ -8,7 +8,7 @@ counts up to ``MAX_DISCOUNTED`` (1 where it is not between 0 and 1), 1 above.
 alpha(h) is what h's bigrams leave over, divided by what their words leave
 over among the unigrams, so each distribution sums to 1. If nothing
 would be left over, the denominator (N or T) is larger by one. Bigrams seen less than
-``min_count`` times are left to the backoff, as Katz did with single ones.
+``min_count`` times are left to the backoff; by default all are held, single ones by d(1).
 
 Training and scoring work on chunks, some megabytes of whole documents whose
 distinct n-grams a task finds with numpy. A chunk sends its n-grams, packed,
@@ -44,7 +44,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
 
 MAX_DISCOUNTED = 5
-MIN_COUNT = 2
+MIN_COUNT = 1
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 #: Rows of documents, and of chunks with their answers, that a task's Python gets at a time.

@@ -103,3 +103,12 @@ def test_empty_tables(spark, frame):
     assert katz.score(none, model).count() == 0
     only = katz.score(frame([(1, "a b")]), model).first()
     assert only["n_known"] == 0 and only["score"] == 0.0
+
+
+def test_single_bigrams_are_held_by_default(spark, frame):
+    texts = corpus(7, 30)
+    direct = Direct(texts, 1)
+    assert 0 < direct.d2[1] < 1
+    got = {r["doc_id"]: r["score"] for r in katz.score(frame(list(enumerate(texts))), katz.train(frame(list(enumerate(texts))))).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(sum(math.log10(direct.p2(h, w)) for h, w in zip(["<s>", *tokens(t)], tokens(t))), abs=1e-8)
