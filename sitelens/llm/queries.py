@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_sql, chunk_dedup, jaccard_rtree, katz, langid, line_templates, mixture, suffix_dedup, url_rules, voronoi_knn
+from sitelens.llm import (bpe_sql, chunk_dedup, jaccard_rtree, katz, langid, license_scan, line_templates, mixture, periodic_runs,
+                          suffix_dedup, url_rules, voronoi_knn)
 from sitelens.llm.textops import remainder, ship_package
 
 #: The vocabulary that op10 and the pipeline use.
@@ -157,3 +160,110 @@ def op10_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe_sql.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY))
     docs = _table(spark, sf_dir, "documents")
     return bpe_sql.token_digests(bpe_sql.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True))
+
+
+@_register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def bent(doc_id, n: int) -> np.ndarray | None:
+        """The contract's order of words: periodic from some word on in a tenth of the documents."""
+        h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+        if h % 10 or not n:
+            return None
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        i = np.arange(n)
+        return np.where(i < a, i, a + (i - a) % p)
+
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), reorder=bent)
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(periodic_runs.listed(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+ORACLE["op11_periodic_runs"] = r"""
+WITH RECURSIVE octets AS (
+    SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+               lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: ascii(c)::BIGINT)),
+               lambda c, x: CASE WHEN x = 0 THEN c ELSE xor(c >> 8, t[(xor(c, x) & 255) + 1]) END)) AS h
+    FROM documents, octets),
+shaped AS (
+    SELECT row, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) AS g FROM docs),
+bent AS (
+    SELECT row, doc_id, n, CASE WHEN planted THEN
+               list_transform(range(0, n), lambda i: w[CASE WHEN i < g % n THEN i ELSE g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) END + 1])
+           ELSE w END AS w FROM shaped),
+words AS (SELECT row, n, unnest(range(0, n)) AS i, unnest(w) AS word FROM bent),
+matches AS (
+    SELECT x.row, y.i - x.i AS period, y.i FROM words x JOIN words y ON x.row = y.row AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= y.n),
+diagonals AS (
+    SELECT row, period, i, i - row_number() OVER (PARTITION BY row, period ORDER BY i) AS stretch FROM matches),
+repeats AS (
+    SELECT row, period, (min(i) - period)::BIGINT AS start, (count(*) + period)::BIGINT AS length FROM diagonals GROUP BY row, period, stretch
+    HAVING count(*) + period >= greatest(24, 3 * period)),
+runs AS (SELECT row, start, length, min(period)::BIGINT AS period FROM repeats GROUP BY row, start, length),
+listed AS (
+    SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing FROM runs GROUP BY row),
+strongest AS (
+    SELECT row, start, length, period FROM runs r
+    WHERE NOT EXISTS (FROM runs o WHERE o.row = r.row AND (o.length * r.period > r.length * o.period
+                      OR o.length * r.period = r.length * o.period AND (o.start, o.period) < (r.start, r.period)))),
+dropped AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+left_over AS (
+    SELECT w.row, string_agg(word, ' ' ORDER BY w.i) AS collapsed FROM words w ANTI JOIN dropped d ON d.row = w.row AND d.i = w.i GROUP BY w.row)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length, period, (1000 * length // period)::BIGINT AS exponent_milli,
+       sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM bent LEFT JOIN listed USING (row) LEFT JOIN strongest USING (row) LEFT JOIN left_over USING (row)
+"""
+
+
+@_register
+def op13_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["phrase"])
+    starts = F.transform("base", lambda m: m["start"])
+    share = F.when(F.col("n_words") > 0, F.col("covered") / F.col("n_words")).otherwise(0.0)
+    return found.withColumn("base", base).select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), license_scan.labels_of(F.col("base")).alias("base_labels"),
+        license_scan.labels_of(F.col("matches")).alias("labels"), share.alias("score"))
+
+
+def _moves() -> str:
+    literal = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    return ", ".join(f"({', '.join(map(literal, row))})" for row in license_scan.transitions(license_scan.standard()))
+
+
+ORACLE["op13_license_templates"] = r"""
+WITH RECURSIVE moves(template, label, phrase, state, word, next, accepts) AS (VALUES """ + _moves() + r"""),
+texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS MATERIALIZED (SELECT row, unnest(range(0, len(w))) AS i, unnest(w) AS word FROM texts),
+runs(row, template, start, i, state, accepts) AS (
+    SELECT w.row, m.template, w.i, w.i + 1, m.next, m.accepts FROM words w JOIN moves m ON m.state = 0 AND m.word = w.word
+    UNION
+    SELECT r.row, r.template, r.start, w.i + 1, m.next, m.accepts
+    FROM runs r JOIN words w ON w.row = r.row AND w.i = r.i
+    JOIN moves m ON m.template = r.template AND m.state = r.state AND coalesce(m.word, w.word) = w.word WHERE NOT r.accepts),
+accepted AS (
+    SELECT row, template, start, min(i) AS stop FROM runs WHERE accepts GROUP BY row, template, start),
+found AS (
+    SELECT row, label, phrase, start FROM accepted JOIN (SELECT DISTINCT template, label, phrase FROM moves) USING (template)),
+summed AS (
+    SELECT row, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY row),
+spans AS (SELECT DISTINCT row, unnest(range(start, stop)) AS i FROM accepted),
+covers AS (SELECT row, count(*) AS covered FROM spans GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN len(w) > 0 THEN coalesce(covered, 0)::DOUBLE / len(w) ELSE 0.0::DOUBLE END AS score
+FROM texts LEFT JOIN summed USING (row) LEFT JOIN covers USING (row)
+"""

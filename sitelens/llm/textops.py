@@ -22,6 +22,9 @@ from sitelens.session import shared_table_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into numpy arrays at once.
 BLOCK_BYTES = 2 << 20
+#: Bytes of one text that are cut into words at once.
+SLAB_BYTES = 1 << 20
+_BLANK = b" \t\n\v\f\r"
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -29,6 +32,22 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def as_strings(texts: list[bytes]) -> pa.Array:
+    """UTF-8 bytes as an Arrow string column, as they are."""
+    return pa.array(texts, pa.binary()).view(pa.string())
+
+
+def word_slabs(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, those of about ``SLAB_BYTES`` at a time."""
+    at = 0
+    while at < len(text):
+        end = at + SLAB_BYTES
+        while end < len(text) and text[end] not in _BLANK:
+            end += 1
+        yield text[at:end].split()
+        at = end
+
+
 def blocks(sizes: list[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows of at most ``limit`` bytes together (one row at least)."""
     at, total = 0, 0
