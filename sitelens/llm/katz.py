@@ -73,7 +73,7 @@ class Katz:
 # ---------------------------------------------------------------- packing
 def planes(x: np.ndarray) -> bytes:
     """Fixed-width integers with their bytes sorted by place: shuffles compress the empty places away."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
 
 def unplanes(data: bytes, dtype) -> np.ndarray:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm import (bpe_sql, chunk_dedup, jaccard_rtree, katz, langid, license_scan, line_templates, mixture, periodic_runs,
-                          suffix_dedup, url_rules, voronoi_knn)
-from sitelens.llm.textops import remainder, ship_package
+                          suffix_dedup, token_alignment, url_rules, voronoi_knn)
+from sitelens.llm.textops import remainder, ship_package, staged
 
 #: The vocabulary that op10 and the pipeline use.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -222,6 +222,22 @@ FROM bent LEFT JOIN listed USING (row) LEFT JOIN strongest USING (row) LEFT JOIN
 """
 
 
+#: The vocabularies that op12 aligns.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+@_register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tokenizers = token_alignment.read_tokenizers(spark, *map(public_tokenizers.path, ALIGNED))
+    buckets = token_alignment.bucket_count(docs)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256")
+    aligned = token_alignment.align(docs, tokenizers, buckets).select("*", digest).drop("groups")
+    aligned = staged(aligned, "token_alignments", batch_rows=token_alignment.DOCUMENT_ROWS)
+    found = token_alignment.link_counts(aligned, tokenizers, buckets)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @_register
 def op13_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(_table(spark, sf_dir, "documents"))
