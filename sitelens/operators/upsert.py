@@ -70,27 +70,22 @@ def in_months(months: Sequence[tuple[int, int]], year: str = "traffic_year", mon
     return expr
 
 
-def batch_months(batch: DataFrame, key: str, year: str, month: str) -> tuple[int, list[tuple[int, int]]]:
-    """Row count and months of a batch; refuses duplicate keys. One aggregate per
-    key and one per month; a row for each month reaches the driver."""
-    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col(year).alias("y"), F.col(month).alias("m"))).alias("p"))
-    rows = per_key.groupBy("p.y", "p.m").agg(F.sum("n").alias("rows"), F.max("n").alias("most")).collect()
-    if any(r["most"] > 1 for r in rows):
-        raise DuplicateKeyError(f"batch has duplicate {key} values")
-    return sum(r["rows"] for r in rows), sorted((r["y"], r["m"]) for r in rows)
-
-
 def late_rows(batch: DataFrame, target: DataFrame, key: str,
               year: str = "traffic_year", month: str = "traffic_month",
-              known_mark: tuple[int, int] | None = None) -> DataFrame:
+              known_mark: tuple[int, int] | None = None,
+              months: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """Batch rows at or before the mark that the target does not hold: they
     will never be loaded by the month gate (reported, not dropped silently).
-    The target is read up to the mark only."""
+    The target is read up to the mark only, or, where the caller knows the
+    ``months`` that can have such rows, in those months only (literal partition
+    filters; none read if the list is empty)."""
     hwm = known_mark if known_mark is not None else high_water_mark(target, year, month)
     if hwm is None:
         return batch.limit(0)
-    held = target.filter(~after(hwm, year, month)).select(key)
-    return batch.filter(~after(hwm, year, month)).join(held, key, "left_anti")
+    wanted = ~after(hwm, year, month)
+    if months is not None:
+        wanted = wanted & in_months(months, year, month)
+    return batch.filter(wanted).join(target.filter(wanted).select(key), key, "left_anti")
 
 
 def assert_unique(batch: DataFrame, key: str, year: str | None = None,
@@ -116,7 +111,8 @@ def assert_unique(batch: DataFrame, key: str, year: str | None = None,
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, check_schema: bool = True) -> DataFrame:
     """Merge: batch rows replace target rows with the same key, new keys are
-    inserted. A shuffle join on the key against the batch's keys only."""
+    inserted. Where several rows have one key, all rows of the key are replaced
+    together. A shuffle join on the key against the batch's keys only."""
     if check_schema:
         check_same_schema(batch, target)
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)

@@ -12,23 +12,33 @@ target is a parquet table partitioned by (traffic_year, traffic_month).
   recorded) are read by literal partition filters, merged and replaced.
 * ``full_refresh`` ignores the mark, builds the whole table at a new location
   and then puts it in the target's place.
-* Rows the gate will never load are returned, not dropped silently.
+* Rows the gate will never load are returned, not dropped silently. The
+  fingerprints recorded for the target's months (``operators.manifest``) tell
+  which months of the batch can have any; only those are compared with the
+  target, by literal partition filters.
+* Several rows may have one key (a site in several countries): they are
+  loaded, and replaced, together. ``refuse_duplicates`` refuses them instead.
 
 ``start_stream`` is the same run driven by Structured Streaming: a file
 source over arriving monthly extracts and ``foreachBatch`` with
 ``trigger(availableNow=True)``. The month gate is business time held in the
-target, so it lives in ``foreachBatch`` rather than in a watermark.
+target, so it lives in ``foreachBatch`` rather than in a watermark. A batch that
+Spark runs again after a failure has the effect of one run: the merge is by
+key, its late rows have a folder of their own, and the last batch done is
+recorded in the target.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sitelens.operators.tables import read_if_exists, recover, replace_table
-from sitelens.operators.upsert import batch_months, high_water_mark, in_months, late_rows, newer_than, upsert
+from sitelens.operators import manifest
+from sitelens.operators.tables import data_files, read_if_exists, recover, replace_table
+from sitelens.operators.upsert import DuplicateKeyError, after, high_water_mark, in_months, late_rows, newer_than, upsert
 from sitelens.plans.staging import stg_traffic
 from sitelens.plans.traffic import enhance_traffic, with_traffic
 from sitelens.schemas import TRAFFIC_RAW, check_same_schema
@@ -65,14 +75,15 @@ def _record_mark(spark: SparkSession, target_path: str, mark: tuple[int, int]) -
 
 
 def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False,
-                   lookback_months: int = 0, full_refresh: bool = False) -> LoadResult:
+                   lookback_months: int = 0, full_refresh: bool = False, refuse_duplicates: bool = False) -> LoadResult:
     """One incremental run into the table at ``target_path``.
 
     The high-water mark comes from the mark recorded at the last commit (a
     one-row read instead of touching every file of a large target); without
     one it is aggregated from the target. The mark is recorded after the data
     commit, so a crash in between leaves an older mark: the next run then
-    merges rows it already holds, which the key merge makes harmless."""
+    merges rows it already holds, which the key merge makes harmless. The
+    months' fingerprints are recorded between the two."""
     recover(spark, target_path)
     target = None if full_refresh else read_if_exists(spark, target_path)
     mark = None
@@ -83,26 +94,35 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
     batch = enhance_traffic(gated)
     if target is not None:
         check_same_schema(batch, target)
-    rows, months = batch_months(gated, KEY, *PARTITIONS)
+    found = manifest.fingerprints(gated, KEY, *PARTITIONS)
+    rows, months = sum(f.rows for f in found.values()), sorted(found)
+    if refuse_duplicates and any(f.most > 1 for f in found.values()):
+        raise DuplicateKeyError(f"batch has duplicate {KEY} values")
+    held = {} if full_refresh or target is None else manifest.recorded(spark, target_path)
     if full_refresh:
         replace_table(batch, target_path, PARTITIONS)
     elif target is None:
         mode = "errorifexists" if _missing(spark, target_path) else "append"  # an empty folder may stand there
         batch.write.mode(mode).partitionBy(*PARTITIONS).parquet(target_path)
     elif rows:
-        _merge_months(spark, target, batch, months, target_path)
+        found |= _merge_months(spark, target, batch, months, target_path)
     if rows:
+        held |= found
+        manifest.record(spark, target_path, held)
         _record_mark(spark, target_path, max(max(months), mark or max(months)))
     late = None
-    if mark is not None:  # written, so that the report outlives later runs
-        rows_late = late_rows(staged, spark.read.parquet(target_path), KEY, known_mark=mark)
-        late = spark.read.schema(rows_late.schema).parquet(write_table(rows_late, "late_traffic"))
+    if mark is not None:
+        passed = manifest.fingerprints(staged.filter(~after(mark, *PARTITIONS)), KEY, *PARTITIONS)
+        suspects = manifest.differing(passed, held)
+        rows_late = late_rows(staged, spark.read.parquet(target_path), KEY, known_mark=mark, months=suspects)
+        if suspects:  # written, so that the report outlives later runs
+            late = spark.read.schema(rows_late.schema).parquet(write_table(rows_late, "late_traffic"))
+        else:
+            late = spark.createDataFrame([], rows_late.schema)
     return LoadResult(rows, months, late)
 
 
 def _missing(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
     try:
         spark.read.format("binaryFile").load(path)
     except AnalysisException as e:
@@ -112,37 +132,108 @@ def _missing(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, months: list[tuple[int, int]], path: str) -> None:
-    """Append the months the target lacks; merge and replace the others."""
+def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, months: list[tuple[int, int]],
+                  path: str) -> dict[tuple[int, int], manifest.Fingerprint]:
+    """Append the months the target lacks; merge and replace the others, whose
+    fingerprints afterwards are returned."""
     batch = batch.select(*target.columns)
     touched = target.filter(in_months(months, *PARTITIONS))
     held = sorted(tuple(r) for r in touched.select(*PARTITIONS).distinct().collect())  # partition values only
     new = [m for m in months if m not in set(held)]
+    found = {}
     if held:
         merged = upsert(target.filter(in_months(held, *PARTITIONS)), batch.filter(in_months(held, *PARTITIONS)), KEY)
         merged = materialize(merged, "traffic_merged")  # it reads the partitions it will replace
+        found = manifest.fingerprints(merged, KEY, *PARTITIONS)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
     if new:
         batch.filter(in_months(new, *PARTITIONS)).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    return found
+
+
+# ---------------------------------------------------------------- streaming
+# The last batch that a stream has done with this target, in a folder of its own beside the mark.
+STREAM_DIR = "_stream_batch"
+_STREAM_SCHEMA = "stream string, batch_id long, refreshed boolean"
+
+
+class RefreshRefused(ValueError):
+    pass
+
+
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str | None:
+    """The id that Spark gave the stream of a checkpoint when it began, None before."""
+    try:
+        return spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()["value"]
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _recorded_batch(spark: SparkSession, target_path: str):
+    table = read_if_exists(spark, f"{target_path.rstrip('/')}/{STREAM_DIR}", _STREAM_SCHEMA)
+    return None if table is None else table.first()
+
+
+def _record_batch(spark: SparkSession, target_path: str, stream: str | None, batch_id: int, refreshed: bool) -> None:
+    (spark.createDataFrame([(stream, batch_id, refreshed)], _STREAM_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{STREAM_DIR}"))
 
 
 def start_stream(spark: SparkSession, source_dir: str, target_path: str, checkpoint_location: str,
                  strict: bool = False, lookback_months: int = 0, full_refresh: bool = False, late_path: str | None = None):
     """Process every raw monthly file that has arrived in ``source_dir`` and stop.
 
-    Late rows of each batch are added to ``late_path`` if given. With
-    ``full_refresh`` the first batch replaces the target."""
-    stream = spark.readStream.schema(TRAFFIC_RAW).parquet(source_dir)
+    Late rows of each batch go to ``late_path`` if given, to a folder for the
+    stream and the batch, so a batch that runs again replaces them.
 
-    def each(batch_df: DataFrame, batch_id: int) -> None:
-        done = load_increment(batch_df.sparkSession, batch_df, target_path, strict, lookback_months,
-                              full_refresh and batch_id == 0)
-        if late_path and done.late is not None:
-            done.late.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(late_path)
+    With ``full_refresh`` the first batch of a stream replaces the target, also
+    when it runs again after a failure. A checkpoint whose stream has gone on
+    without a refresh is refused (``RefreshRefused``): the files it has passed
+    would not come again, so the new table would lack their rows. Where its own
+    first batch has made the refresh already, the flag is satisfied."""
+    if full_refresh:
+        stream = stream_id(spark, checkpoint_location)
+        done = _recorded_batch(spark, target_path)
+        mine = done is not None and done["stream"] == stream
+        if _committed(spark, checkpoint_location) and not (mine and done["refreshed"]):
+            raise RefreshRefused(f"the stream of {checkpoint_location} has passed files that a refresh would lose; "
+                                 "start it with a new checkpoint")
+    source = spark.readStream.schema(TRAFFIC_RAW).parquet(source_dir)
 
-    return (stream.writeStream.foreachBatch(each)
+    def each(batch_df: DataFrame, batch_id: int) -> None:
+        session = batch_df.sparkSession
+        stream = stream_id(session, checkpoint_location)
+        done = _recorded_batch(session, target_path)
+        mine = done is not None and done["stream"] == stream
+        if mine and done["batch_id"] >= batch_id:
+            return  # it had ended, but for Spark's own record of it
+        refresh = full_refresh and batch_id == 0
+        load = load_increment(session, batch_df, target_path, strict, lookback_months, refresh)
+        if late_path and load.late is not None:
+            (load.late.write.mode("overwrite")
+             .parquet(f"{late_path.rstrip('/')}/stream={_folder_of(stream)}/batch_id={batch_id}"))
+        _record_batch(session, target_path, stream, batch_id, refresh or bool(mine and done["refreshed"]))
+
+    return (source.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
 
 
-__all__ = ["LoadResult", "load_increment", "start_stream"]
+def _folder_of(stream: str | None) -> str:
+    """The stream's id as a folder name."""
+    return hashlib.md5((stream or "").encode()).hexdigest()[:12]
+
+
+def _committed(spark: SparkSession, checkpoint_location: str) -> bool:
+    """Whether a stream of this checkpoint has ended a batch."""
+    try:
+        return not data_files(spark, f"{checkpoint_location.rstrip('/')}/commits").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+__all__ = ["LoadResult", "RefreshRefused", "load_increment", "start_stream"]

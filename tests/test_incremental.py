@@ -279,3 +279,157 @@ def test_stream_reports_late_rows(spark, scratch):
     start_stream(spark, src + "/*", target, os.path.join(scratch, "c"), late_path=late).awaitTermination(300)
     expect = raw.filter((ym <= months[5]) & (F.col("site") == site) & (F.col("total_estimated_visits") > 0)).count()
     assert spark.read.parquet(late).count() == expect > 0
+
+
+def _spied(monkeypatch):
+    """Months and plan of every late report."""
+    from sitelens.streaming import incremental
+    seen, plain = [], incremental.late_rows
+
+    def spy(*args, **kw):
+        rows = plain(*args, **kw)
+        seen.append((kw["months"], rows._jdf.queryExecution().executedPlan().toString()))
+        return rows
+
+    monkeypatch.setattr(incremental, "late_rows", spy)
+    return seen
+
+
+def test_manifest_follows_the_table(spark, scratch):
+    from sitelens.operators import manifest
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[-4]), target)
+    load_increment(spark, raw.filter(ym <= months[-2]), target)
+    load_increment(spark, raw, target, lookback_months=3)
+    table = spark.read.parquet(target)
+    held = manifest.recorded(spark, target)
+    assert held == manifest.fingerprints(table, "web_traffic_id", "traffic_year", "traffic_month")
+    assert sum(f.rows for f in held.values()) == table.count() and {f.most for f in held.values()} == {1}
+    least = table.agg(F.min("web_traffic_id")).first()[0]
+    found = manifest.fingerprints(table.filter(F.col("web_traffic_id") != least), "web_traffic_id", "traffic_year", "traffic_month")
+    assert len(manifest.differing(found, held)) == 1 and manifest.differing(held, held) == []
+
+
+def test_late_report_reads_no_month_that_is_whole(spark, scratch, monkeypatch):
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    load_increment(spark, raw.filter(ym <= months[-3]), target)
+    seen = _spied(monkeypatch)
+    done = load_increment(spark, raw.filter(ym == months[-2]), target)  # one new month
+    assert seen[-1][0] == [] and done.late.isEmpty() and done.loaded > 0
+    done = load_increment(spark, raw, target)  # all history comes again, all of it is held
+    assert seen[-1][0] == [] and done.late.isEmpty()
+
+
+def test_late_report_reads_the_month_that_differs(spark, scratch, monkeypatch):
+    raw, ym, months = _small(spark)
+    target, site = os.path.join(scratch, "t"), "supplier1.example.com"
+    gone = (ym == months[7]) & (F.col("site") == site)
+    load_increment(spark, raw.filter((ym <= months[-3]) & ~gone), target)
+    seen = _spied(monkeypatch)
+    done = load_increment(spark, raw, target)
+    late, plan = seen[-1]
+    assert late == [divmod(months[7], 100)] and done.late.count() == raw.filter(gone).count() > 0
+    filters = [part[:part.index("]")] for part in plan.split("PartitionFilters: ")[1:]]
+    assert any(f"= {months[7] // 100})" in f for f in filters), filters  # the month itself is cut off in the plan's text
+    # Without a record every month is looked at, with the same result.
+    from sitelens.operators import manifest
+    manifest.record(spark, target, {})
+    done = load_increment(spark, raw, target)
+    assert len(seen[-1][0]) == len(months) and done.late.count() == raw.filter(gone).count()
+
+
+def test_several_rows_of_a_key_load_and_merge_together(spark, scratch):
+    raw, ym, months = _small(spark)
+    target = os.path.join(scratch, "t")
+    two = raw.unionByName(raw.filter(F.col("site").endswith("3.example.com")).withColumn("country", F.lit("Elsewhere")))
+    visited = two.filter("total_estimated_visits > 0")
+    load_increment(spark, two.filter(ym <= months[-2]), target)
+    done = load_increment(spark, two, target, lookback_months=2)
+    table = spark.read.parquet(target)
+    assert table.count() == visited.count() and done.late.isEmpty()
+    assert table.groupBy("web_traffic_id", "site_country").count().filter("count > 1").isEmpty()
+    # The corrected month has the site in one country only: both its rows go.
+    load_increment(spark, raw, target, lookback_months=1)
+    assert spark.read.parquet(target).filter(F.col("traffic_year") * 100 + F.col("traffic_month") == months[-1]).count() == raw.filter(
+        (ym == months[-1]) & (F.col("total_estimated_visits") > 0)).count()
+    with pytest.raises(DuplicateKeyError):
+        load_increment(spark, two, os.path.join(scratch, "u"), refuse_duplicates=True)
+
+
+def _commits(ckpt):
+    return sorted((f for f in os.listdir(os.path.join(ckpt, "commits")) if f.isdigit()), key=int)
+
+
+def _forget_last_commit(ckpt):
+    """As if the driver had died before Spark noted the last batch as done."""
+    last = _commits(ckpt)[-1]
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(ckpt, "commits", f)):
+            os.remove(os.path.join(ckpt, "commits", f))
+
+
+@pytest.mark.parametrize("broken", ["before late rows", "before the record", "after all"])
+def test_a_replayed_batch_counts_once(spark, scratch, monkeypatch, broken):
+    from sitelens.streaming import incremental
+    raw, ym, months = _small(spark)
+    src, target, late, ckpt = (os.path.join(scratch, x) for x in ("in", "t", "late", "c"))
+    site = F.col("site") == "supplier1.example.com"
+    raw.filter((ym <= months[5]) & ~site).write.parquet(os.path.join(src, "a"))
+    start_stream(spark, src + "/*", target, ckpt, late_path=late).awaitTermination(300)
+    raw.filter(ym <= months[6]).write.parquet(os.path.join(src, "b"))
+
+    if broken != "after all":
+        name = "_folder_of" if broken == "before late rows" else "_record_batch"
+        plain = getattr(incremental, name)
+
+        def fail(*args):
+            raise RuntimeError("driver lost")
+
+        monkeypatch.setattr(incremental, name, fail)
+        query = start_stream(spark, src + "/*", target, ckpt, late_path=late)
+        with pytest.raises(Exception):
+            query.awaitTermination(300)
+        monkeypatch.setattr(incremental, name, plain)
+    else:
+        start_stream(spark, src + "/*", target, ckpt, late_path=late).awaitTermination(300)
+        _forget_last_commit(ckpt)
+    start_stream(spark, src + "/*", target, ckpt, late_path=late).awaitTermination(300)
+    positive = F.col("total_estimated_visits") > 0
+    assert spark.read.parquet(late).count() == raw.filter((ym <= months[5]) & site & positive).count() > 0
+    table = spark.read.parquet(target)
+    assert table.count() == table.select("web_traffic_id").distinct().count()
+    assert table.count() == raw.filter(positive & (((ym <= months[5]) & ~site) | (ym == months[6]))).count()
+
+
+def test_a_refresh_by_a_stream_is_kept_or_refused(spark, scratch, monkeypatch):
+    from sitelens.streaming import incremental
+    from sitelens.streaming.incremental import RefreshRefused
+    raw, ym, months = _small(spark)
+    src, target, ckpt = (os.path.join(scratch, x) for x in ("in", "t", "c"))
+    wrong = raw.withColumn("total_estimated_visits", F.col("total_estimated_visits") * 2)
+    load_increment(spark, wrong.filter(ym <= months[5]), target)
+    raw.filter(ym <= months[5]).write.parquet(os.path.join(src, "a"))
+
+    def fail(*args):
+        raise RuntimeError("driver lost")
+
+    plain = incremental._record_batch
+    monkeypatch.setattr(incremental, "_record_batch", fail)
+    with pytest.raises(Exception):
+        start_stream(spark, src + "/*", target, ckpt, full_refresh=True).awaitTermination(300)
+    monkeypatch.setattr(incremental, "_record_batch", plain)
+    # The first batch runs again and is still a refresh.
+    start_stream(spark, src + "/*", target, ckpt, full_refresh=True).awaitTermination(300)
+    total = lambda: spark.read.parquet(target).agg(F.sum("total_visits")).first()[0]
+    assert total() == raw.filter(ym <= months[5]).agg(F.sum("total_estimated_visits")).first()[0]
+    # The same command again goes on with new files; the refresh is done.
+    raw.filter(ym == months[6]).write.parquet(os.path.join(src, "b"))
+    start_stream(spark, src + "/*", target, ckpt, full_refresh=True).awaitTermination(300)
+    assert total() == raw.filter(ym <= months[6]).agg(F.sum("total_estimated_visits")).first()[0]
+    # A stream that began without a refresh can't make one.
+    other = os.path.join(scratch, "c2")
+    start_stream(spark, src + "/*", target, other).awaitTermination(300)
+    with pytest.raises(RefreshRefused):
+        start_stream(spark, src + "/*", target, other, full_refresh=True)
