@@ -21,10 +21,29 @@ def dominant(c) -> Column:
     return F.mode(_col(c), deterministic=True)
 
 
-def label_counts(column: str, labels: list[str], prefix: str) -> list[Column]:
+def total(c, weight: str | None = None) -> Column:
+    """Sum of a column; with ``weight`` each row counts that many times."""
+    return F.sum(_col(c)) if weight is None else F.sum(_col(c) * F.col(weight))
+
+
+def mean(c, weight: str | None = None) -> Column:
+    """Mean of the non-NULL values; with ``weight`` each row counts that many times."""
+    if weight is None:
+        return F.avg(_col(c))
+    return total(_col(c).cast("double"), weight) / F.nullif(F.sum(F.when(_col(c).isNotNull(), F.col(weight))), F.lit(0))
+
+
+def rows_of(weight: str | None = None) -> Column:
+    """Number of rows, each counting ``weight`` times."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
+def label_counts(column: str, labels: list[str], prefix: str, weight: str | None = None) -> list[Column]:
     """Rows of each label of a closed set: plain counts, so the mode of such a
     column needs no map of values in the aggregate."""
-    return [F.count_if(F.col(column) == label).alias(f"{prefix}{i}") for i, label in enumerate(labels)]
+    if weight is None:
+        return [F.count_if(F.col(column) == label).alias(f"{prefix}{i}") for i, label in enumerate(labels)]
+    return [F.sum(F.when(F.col(column) == label, F.col(weight)).otherwise(0)).alias(f"{prefix}{i}") for i, label in enumerate(labels)]
 
 
 def top_label(prefix: str, labels: list[str]) -> Column:
@@ -44,8 +63,13 @@ def row_order(year: str, month: str, tie_breaker: str) -> Column:
     return F.struct(yyyymm(year, month).alias("p"), F.col(tie_breaker).alias("k"))
 
 
-def traffic_row_order() -> Column:
-    return row_order("traffic_year", "traffic_month", "web_traffic_id")
+def traffic_row_order(weight: str | None = None) -> Column:
+    """Total order of traffic rows; where several rows have one key (they carry a
+    ``weight``), those go by country and visits."""
+    if weight is None:
+        return row_order("traffic_year", "traffic_month", "web_traffic_id")
+    return F.struct(yyyymm("traffic_year", "traffic_month").alias("p"), F.col("web_traffic_id").alias("k"),
+                    F.col("site_country").alias("c"), F.col("total_visits").alias("v"))
 
 
 def first_by(c, order: Column) -> Column:

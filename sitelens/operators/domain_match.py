@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MATCH_KEY = "_match_key"
+#: How many rows a row stands for, in tables where keys repeat.
+WEIGHT = "_weight"
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
@@ -20,6 +22,11 @@ def match_key(c) -> Column:
     return F.lower(F.trim(c))
 
 
+def weight_of(df: DataFrame) -> str | None:
+    """The weight column, if the table has one (else every row counts once)."""
+    return WEIGHT if WEIGHT in df.columns else None
+
+
 # Fixed per-value widths (bytes) of the hash-table row format; strings add their length.
 _FIXED_WIDTH = {"long": 8, "double": 8, "int": 4, "boolean": 1, "timestamp_ntz": 8, "timestamp": 8,
                 "date": 4, "string": 8}
@@ -62,3 +69,28 @@ def keep_matching(big: DataFrame, big_domain, keys: DataFrame,
     if fits_broadcast(k, budget_bytes):
         k = F.broadcast(k)
     return b.join(k, MATCH_KEY, "left_semi")
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` that several rows have (one map-side combined count)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+
+
+def keep_matching_by_key(big: DataFrame, matchable: DataFrame, big_domain, key: str, repeated: DataFrame,
+                         keys: DataFrame, budget_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``keep_matching`` followed by a join back to ``big`` on ``key``, where
+    several rows may have one key, without forming the pairs.
+
+    Of the n rows of a key that match domain d, each brings all rows of that key
+    along: every row of the key comes once for d, with weight n. Rows whose key
+    no other row has (all but those of ``repeated``) come as they are, with
+    weight 1, and are neither counted nor joined on the key."""
+    ids = repeated.select(key)
+    if fits_broadcast(ids, budget_bytes):
+        ids = F.broadcast(ids)
+    single = keep_matching(matchable.join(ids, key, "left_anti"), big_domain, keys, budget_bytes)
+    partners = (keep_matching(matchable.join(ids, key, "left_semi").select(key, big_domain), big_domain, keys, budget_bytes)
+                .groupBy(key, MATCH_KEY).agg(F.count(F.lit(1)).alias(WEIGHT)))
+    several = big.join(ids, key, "left_semi").join(partners, key)
+    return (single.withColumn(WEIGHT, F.lit(1).cast("long"))
+            .unionByName(several.select(*single.columns, WEIGHT)))

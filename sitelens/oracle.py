@@ -91,7 +91,7 @@ def root_dom(c: str) -> str:
 _AGE_BANDS = ["18_to_24", "25_to_34", "35_to_44", "45_to_54", "55_to_64", "65_plus"]
 
 
-def _adapter_ctes() -> str:
+def _adapter_ctes(by_country: bool = False) -> str:
     dev_cols = []
     for dev, cond in (("desktop", "NOT mob"), ("mobileweb", "mob")):
         dev_cols += [
@@ -124,15 +124,18 @@ def _adapter_ctes() -> str:
         "CASE WHEN k % 5 = 0 THEN CAST(0.5 AS DOUBLE) ELSE sum(CASE WHEN o % 2 = 0 THEN q ELSE 0 END) * CAST(1 AS DOUBLE) / sum(q) END AS total_males_share",
         "CASE WHEN k % 5 = 0 THEN CAST(0.5 AS DOUBLE) ELSE sum(CASE WHEN o % 2 = 1 THEN q ELSE 0 END) * CAST(1 AS DOUBLE) / sum(q) END AS total_females_share",
         *ages,
-        "'C' || CAST(k % 4 AS VARCHAR) AS country",
+        "'C' || CAST(c AS VARCHAR) AS country",
         "y AS year", "m AS month",
     ])
     ranks = ",\n      ".join(
-        f"CAST(row_number() OVER (PARTITION BY {part} ORDER BY total_estimated_visits DESC, site) AS BIGINT) AS {name}"
+        f"CAST(row_number() OVER (PARTITION BY {part} ORDER BY total_estimated_visits DESC, site, country) AS BIGINT) AS {name}"
         for name, part in (("global_rank", "year, month"), ("country_rank", "country, year, month"),
                            ("main_category_rank", "main_category, year, month"),
                            ("category_rank", "site_category, year, month")))
     sk = "CAST(sk AS VARCHAR)"
+    country = "l_suppkey % 4"
+    if by_country:
+        country = f"CASE WHEN l_suppkey % 3 = 0 THEN (l_suppkey + l_orderkey % 2) % 4 ELSE {country} END"
     return f"""
 li AS (
   SELECT l_suppkey AS k, l_orderkey AS o, l_partkey AS p, l_linenumber AS ln,
@@ -141,11 +144,12 @@ li AS (
          (l_linenumber + l_suppkey) % 7 < l_suppkey % 7 AS mob,
          CASE WHEN l_suppkey % 10 = 0 AND l_linenumber % 2 = 1
               THEN 'https://www.supplier' || CAST(l_suppkey AS VARCHAR) || '.example.com/shop'
-              ELSE 'supplier' || CAST(l_suppkey AS VARCHAR) || '.example.com' END AS site
+              ELSE 'supplier' || CAST(l_suppkey AS VARCHAR) || '.example.com' END AS site,
+         {country} AS c
   FROM lineitem),
 tgrouped AS (
   SELECT {grouped}
-  FROM li GROUP BY k, site, y, m),
+  FROM li GROUP BY k, site, y, m, c),
 raw_traffic AS (
   SELECT *,
       {ranks}
@@ -289,7 +293,7 @@ ct AS (
          b.standardized_city, b.standardized_region, b.organization_country_code, b.is_investor,
          b.organization_created_at, b.organization_updated_at, b.match_confidence_score,
          t.*, t.traffic_year * 100 + t.traffic_month AS ym,
-         lpad(CAST(t.traffic_year * 100 + t.traffic_month AS VARCHAR), 6, '0') || t.web_traffic_id AS rowkey
+         lpad(CAST(t.traffic_year * 100 + t.traffic_month AS VARCHAR), 6, '0') || t.web_traffic_id || coalesce(t.site_country, '') AS rowkey
   FROM bridge b JOIN traffic_enh t ON b.web_traffic_id = t.web_traffic_id)"""
 
 
@@ -510,13 +514,13 @@ mart_category AS (
   WHERE a.total_companies >= 1)"""
 
 
-def pipeline_sql() -> str:
-    return ("WITH" + _adapter_ctes() + "," + _model_ctes() + "," + _company_ctes() + ","
+def pipeline_sql(by_country: bool = False) -> str:
+    return ("WITH" + _adapter_ctes(by_country) + "," + _model_ctes() + "," + _company_ctes() + ","
             + _timeseries_ctes() + "," + _category_ctes() + "\n")
 
 
-def model_query(cte: str, columns: list[str], where: str = "") -> str:
-    return pipeline_sql() + final_select(cte, columns, where)
+def model_query(cte: str, columns: list[str], where: str = "", by_country: bool = False) -> str:
+    return pipeline_sql(by_country) + final_select(cte, columns, where)
 
 
 MODEL_CTES = {

@@ -1,13 +1,15 @@
-"""Company <-> traffic bridge.
+"""Company <-> traffic bridge (J1, F7-F10, N10) and the join back to traffic.
 
 ``company_traffic`` joins the filtered companies to the *wide* enhanced
-traffic rows once. The bridge and all three marts are projections or
-aggregates of it, so the separate key join back to traffic (J2/J3 in the
-source rules) is not needed: with a unique ``web_traffic_id`` both forms give
-the same rows. Duplicates of that key (the same site and month for two
-countries, say), which the join back would multiply, are refused: by the
-loader before it writes, and by a build once it has written the enhanced
-traffic (``DuplicateKeyError``).
+traffic rows once. While ``web_traffic_id`` is unique this also is what the
+source rules' separate join of bridge and traffic on that key gives, and the
+marts read it (or ``matched_traffic``, its per-domain form) directly.
+
+Where several rows have one ``web_traffic_id`` (a site in several countries in
+one month), the join back multiplies: each of the n bridge rows of a company
+and key meets every traffic row of the key. ``matched_traffic`` then gives
+each such row once for each domain, with n as its weight, and the marts
+count it n times; ``company_traffic_rows`` writes the rows out.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.keys import surrogate_key
 from sitelens.operators.domain_match import (
-    DEFAULT_BROADCAST_BYTES, MATCH_KEY, domain_join, keep_matching, match_key,
+    DEFAULT_BROADCAST_BYTES, MATCH_KEY, WEIGHT, domain_join, fits_broadcast, keep_matching, keep_matching_by_key, match_key,
 )
 from sitelens.schemas import COMPANY_WEB_BRIDGE, enforce
 
@@ -49,12 +51,26 @@ def company_traffic(orgs: DataFrame, traffic: DataFrame,
     joined = domain_join(matchable_organizations(orgs), "standardized_domain",
                          matchable_traffic(traffic).drop("standardized_domain", "root_domain", "_enhanced_at"),
                          "cleaned_site_domain", broadcast_budget)
-    return (joined.withColumnRenamed("standardized_domain", "organization_domain")
-            .withColumns({
-                "match_confidence_score": F.lit(EXACT_MATCH_CONFIDENCE).cast("double"),
-                "match_method": F.lit(EXACT_MATCH_METHOD),
-                "is_domain_match": F.lit(True),
-            }))
+    return _assessed(joined.withColumnRenamed("standardized_domain", "organization_domain"))
+
+
+def _assessed(joined: DataFrame) -> DataFrame:
+    return joined.withColumns({
+        "match_confidence_score": F.lit(EXACT_MATCH_CONFIDENCE).cast("double"),
+        "match_method": F.lit(EXACT_MATCH_METHOD),
+        "is_domain_match": F.lit(True),
+    })
+
+
+def company_traffic_rows(keyed_orgs: DataFrame, matched: DataFrame,
+                         broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``company_traffic`` from weighted ``matched_traffic``: a row for each
+    (bridge row, traffic row) pair of the join back on ``web_traffic_id``."""
+    companies = keyed_orgs.drop("match_confidence_score")
+    if fits_broadcast(companies, broadcast_budget):
+        companies = F.broadcast(companies)
+    rows = matched.drop("standardized_domain", "root_domain", "_enhanced_at").join(companies, MATCH_KEY).drop(MATCH_KEY)
+    return _assessed(rows.withColumn(WEIGHT, F.explode(F.sequence(F.lit(1).cast("long"), WEIGHT))).drop(WEIGHT))
 
 
 def bridge_from(company_rows: DataFrame) -> DataFrame:
@@ -81,7 +97,12 @@ def keyed_organizations(orgs: DataFrame) -> DataFrame:
             .withColumn("match_confidence_score", F.lit(EXACT_MATCH_CONFIDENCE).cast("double")))
 
 
-def matched_traffic(keyed_orgs: DataFrame, traffic: DataFrame,
-                    broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Traffic rows that match at least one company, each once, with the match key."""
-    return keep_matching(matchable_traffic(traffic), "cleaned_site_domain", keyed_orgs, broadcast_budget)
+def matched_traffic(keyed_orgs: DataFrame, traffic: DataFrame, broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
+                    repeated: DataFrame | None = None) -> DataFrame:
+    """Traffic rows that match at least one company, each once, with the match key.
+    ``repeated``: the values of ``web_traffic_id`` that several rows have, if any;
+    the rows then carry a weight (see the module)."""
+    if repeated is None:
+        return keep_matching(matchable_traffic(traffic), "cleaned_site_domain", keyed_orgs, broadcast_budget)
+    return keep_matching_by_key(traffic, matchable_traffic(traffic), "cleaned_site_domain", "web_traffic_id", repeated,
+                                keyed_orgs, broadcast_budget)

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import ratio_if_positive, safe_div, tier
-from sitelens.operators.aggregates import label_counts, top_label
-from sitelens.operators.domain_match import MATCH_KEY
+from sitelens.operators.aggregates import label_counts, rows_of, top_label, total
+from sitelens.operators.domain_match import MATCH_KEY, weight_of
 from sitelens.plans.company import age_segment, gender_segment
 from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_CATEGORY, enforce
@@ -69,16 +69,19 @@ def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str) -> DataF
 
 def domain_categories(matched: DataFrame) -> DataFrame:
     """Matched traffic aggregated once per (match key, category)."""
-    v = F.col("total_visits")
+    v, weight = F.col("total_visits"), weight_of(matched)
     cat = F.col("site_main_category").alias("main_category")
+    squares = v.cast("decimal(38,0)") * v.cast("decimal(38,0)")
+    if weight is not None:
+        squares = squares * F.col(weight).cast("decimal(38,0)")
     return matched.groupBy(MATCH_KEY, cat).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(c).alias(c) for c in list(TOTALS) + list(CHANNELS)],
-        *[F.sum(F.col(c) * v).alias(f"_wx_{c}") for c in WEIGHTED],
+        rows_of(weight).alias("_n"),
+        *[total(c, weight).alias(c) for c in list(TOTALS) + list(CHANNELS)],
+        *[total(F.col(c) * v, weight).alias(f"_wx_{c}") for c in WEIGHTED],
         F.max(v).alias("_max"), F.min(v).alias("_min"),
-        F.sum(v.cast("decimal(38,0)") * v.cast("decimal(38,0)")).alias("_sq"),
-        *label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
-        *label_counts("quality_tier", QUALITY_LABELS, "_qt"),
+        F.sum(squares).alias("_sq"),
+        *label_counts("platform_preference", PLATFORM_LABELS, "_pp", weight),
+        *label_counts("quality_tier", QUALITY_LABELS, "_qt", weight),
     )
 
 

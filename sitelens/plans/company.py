@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import argmax_label, ratio_if_positive
 from sitelens.functions.periods import yyyymm
-from sitelens.operators.domain_match import MATCH_KEY
-from sitelens.operators.aggregates import first_row, label_counts, top_label, traffic_row_order
+from sitelens.operators.domain_match import MATCH_KEY, weight_of
+from sitelens.operators.aggregates import first_row, label_counts, mean, top_label, total, traffic_row_order
 from sitelens.plans.traffic import LEADER_LABELS, PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_COMPANY, enforce
 
@@ -59,16 +59,17 @@ def age_segment(prefix: str = "") -> F.Column:
     return argmax_label([(label, prefix + col) for label, col in AGE_SEGMENTS], "Unknown")
 
 
-def numeric_aggs() -> list:
-    """Aggregates with numeric buffers only (a hash aggregate without fallback)."""
+def numeric_aggs(weight: str | None = None) -> list:
+    """Aggregates with numeric buffers only (a hash aggregate without fallback);
+    with ``weight`` a row counts as that many."""
     return (
         [F.min(c).alias(c) for c in RANKS]
-        + [F.avg("overall_quality_score").alias("digital_performance_score")]
-        + label_counts("quality_tier", QUALITY_LABELS, "_qt")
-        + label_counts("platform_preference", PLATFORM_LABELS, "_pp")
-        + label_counts("platform_engagement_leader", LEADER_LABELS, "_el")
-        + [F.sum(c).alias(c) for c in SUMMED]
-        + [F.avg(c).alias(c) for c in AVERAGED]
+        + [mean("overall_quality_score", weight).alias("digital_performance_score")]
+        + label_counts("quality_tier", QUALITY_LABELS, "_qt", weight)
+        + label_counts("platform_preference", PLATFORM_LABELS, "_pp", weight)
+        + label_counts("platform_engagement_leader", LEADER_LABELS, "_el", weight)
+        + [total(c, weight).alias(c) for c in SUMMED]
+        + [mean(c, weight).alias(c) for c in AVERAGED]
     )
 
 
@@ -104,8 +105,8 @@ def company_performance_by_domain(keyed_orgs: DataFrame, matched: DataFrame) ->
     matched traffic once per key (map-side combined, skew-safe), then attach
     the companies to their key's single row. The wide numeric columns and the
     first row are two aggregates over the same partitioning."""
-    by_key = matched.groupBy(MATCH_KEY)
-    per_key = (by_key.agg(*numeric_aggs())
-               .join(by_key.agg(*period_aggs(traffic_row_order(), yyyymm("traffic_year", "traffic_month"))), MATCH_KEY))
+    by_key, weight = matched.groupBy(MATCH_KEY), weight_of(matched)
+    per_key = (by_key.agg(*numeric_aggs(weight))
+               .join(by_key.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month"))), MATCH_KEY))
     companies = keyed_orgs.select("organization_id", *COMPANY_ATTRS, "match_confidence_score", MATCH_KEY)
     return _finish(companies.join(per_key, MATCH_KEY, "inner"))

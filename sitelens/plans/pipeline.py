@@ -13,9 +13,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES
-from sitelens.operators.upsert import assert_unique
-from sitelens.plans.bridge import company_traffic, company_web_bridge, keyed_organizations, matched_traffic
+from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES, repeated_keys
+from sitelens.plans.bridge import company_traffic, company_traffic_rows, company_web_bridge, keyed_organizations, matched_traffic
 from sitelens.plans.category import category_insights_by_domain, domain_categories
 from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.organizations import organizations_enhanced
@@ -40,12 +39,14 @@ class Models:
     The three marts read ``matched_traffic`` (traffic rows whose domain
     matches a company, each row once) and attach companies after
     aggregating per domain, so they never form company x traffic pairs; only
-    the bridge model, whose rows are those pairs, does."""
+    the bridge model, whose rows are those pairs, does. ``unique_traffic``
+    says that ``web_traffic_id`` is known to be unique, which saves a count."""
 
     def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None,
-                 materialize_tables: bool = False, organizations: DataFrame | None = None):
+                 materialize_tables: bool = False, organizations: DataFrame | None = None, unique_traffic: bool = False):
         self._raw_orgs, self._raw_traffic = raw_orgs, raw_traffic
+        self._unique_traffic = unique_traffic
         self._budget = broadcast_budget
         self._traffic, self._organizations = traffic, organizations
         self._materialize = materialize_tables
@@ -87,15 +88,24 @@ class Models:
     def traffic_enhanced(self) -> DataFrame:
         if self._traffic is not None:
             return self._traffic
-        table = self._table(traffic_enhanced(self.stg_traffic), "traffic_enhanced")
-        if self._materialize:
-            assert_unique(table, "web_traffic_id")  # the marts join traffic by this key (see the bridge)
-        return table
+        return self._table(traffic_enhanced(self.stg_traffic), "traffic_enhanced")
+
+    @cached_property
+    def repeated_traffic(self) -> DataFrame | None:
+        """The values of ``web_traffic_id`` that several traffic rows have (the marts
+        join traffic by this key, see the bridge); None if the key is unique."""
+        if self._unique_traffic:
+            return None
+        found = self._table(repeated_keys(self.traffic_enhanced, "web_traffic_id"), "repeated_traffic")
+        return None if found.isEmpty() else found
 
     @cached_property
     def company_traffic(self) -> DataFrame:
-        return self._table(company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget),
-                           "company_traffic")
+        if self.repeated_traffic is not None:
+            rows = company_traffic_rows(self.keyed_organizations, self.matched_traffic, self._budget)
+        else:
+            rows = company_traffic(self.organizations_enhanced, self.traffic_enhanced, self._budget)
+        return self._table(rows, "company_traffic")
 
     @cached_property
     def keyed_organizations(self) -> DataFrame:
@@ -103,7 +113,7 @@ class Models:
 
     @cached_property
     def matched_traffic(self) -> DataFrame:
-        return self._table(matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget),
+        return self._table(matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget, self.repeated_traffic),
                            "matched_traffic")
 
     @cached_property
@@ -132,22 +142,23 @@ class Models:
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
                  traffic: DataFrame | None = None, materialize_tables: bool = False,
-                 organizations: DataFrame | None = None) -> Models:
+                 organizations: DataFrame | None = None, unique_traffic: bool = False) -> Models:
     """All models over the given raw inputs. ``traffic`` may be an already
     materialized enhanced-traffic table (the incremental target), and
     ``organizations`` the enhanced organizations."""
-    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables, organizations)
+    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables, organizations, unique_traffic)
 
 
-_BUILDS: dict[tuple[str, str], Models] = {}
+_BUILDS: dict[tuple[str, str, bool], Models] = {}
 
 
-def models_for(spark: SparkSession, sf_dir: str) -> Models:
+def models_for(spark: SparkSession, sf_dir: str, by_country: bool = False) -> Models:
     """The models over the test tables in ``sf_dir``: one build per application,
-    table layers materialized once and shared by every query."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    table layers materialized once and shared by every query. ``by_country``: over
+    traffic of which some sites have a row for each of two countries."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), by_country)
     if key not in _BUILDS:
-        raw_orgs, raw_traffic = load_sources(spark, sf_dir)
+        raw_orgs, raw_traffic = load_sources(spark, sf_dir, by_country)
         _BUILDS[key] = build_models(raw_orgs, raw_traffic, materialize_tables=True)
     return _BUILDS[key]
 
@@ -183,7 +194,7 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     from sitelens.operators.quality import raise_on_errors, run_suite
     from sitelens.plans.checks import SUITE
     from sitelens.sources.raw import read_organizations, read_traffic
-    from sitelens.streaming.incremental import load_increment
+    from sitelens.streaming.incremental import known_unique, load_increment
 
     if input_bytes:
         scale_conf(spark, input_bytes)
@@ -196,7 +207,8 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     traffic = spark.read.parquet(f"{out}/traffic_enhanced")
     replace_table(organizations_enhanced(stg_organizations(raw_orgs)), f"{out}/organizations_enhanced")
     models = build_models(raw_orgs, raw_traffic, traffic=traffic, materialize_tables=True,
-                          organizations=spark.read.parquet(f"{out}/organizations_enhanced"))
+                          organizations=spark.read.parquet(f"{out}/organizations_enhanced"),
+                          unique_traffic=known_unique(spark, f"{out}/traffic_enhanced"))
     written = {"traffic_enhanced": traffic, "organizations_enhanced": models.organizations_enhanced}
     for name in TABLE_MODELS[1:]:
         replace_table(getattr(models, name), f"{out}/{name}")

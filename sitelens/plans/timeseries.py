@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.metrics import clamp, safe_div, tier
 from sitelens.functions.periods import months_span, yyyymm
-from sitelens.operators.aggregates import first_row, label_counts, top_label, traffic_row_order
-from sitelens.operators.domain_match import MATCH_KEY
+from sitelens.operators.aggregates import first_row, label_counts, mean, top_label, traffic_row_order
+from sitelens.operators.domain_match import MATCH_KEY, weight_of
 from sitelens.plans.company import period_text
 from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_TIMESERIES, enforce
@@ -45,16 +45,17 @@ def growth_health(g, q) -> F.Column:
             .when(q.isNotNull(), clamp(F.lit(HEALTH_BASE) + q * HEALTH_QUALITY_ONLY_W, 0.0, 100.0)))
 
 
-def numeric_aggs() -> list:
-    """Aggregates with numeric buffers only (a hash aggregate without fallback)."""
+def numeric_aggs(weight: str | None = None) -> list:
+    """Aggregates with numeric buffers only (a hash aggregate without fallback);
+    with ``weight`` a row counts as that many."""
     return [
         F.max("total_visits").alias("peak_visits"),
         F.min("site_global_rank").alias("best_global_rank"),
         F.max("overall_quality_score").alias("peak_quality_score"),
-        F.avg("total_visits").alias("avg_visits"),
-        F.avg("overall_quality_score").alias("avg_quality_score"),
-        *label_counts("platform_preference", PLATFORM_LABELS, "_pp"),
-        *label_counts("quality_tier", QUALITY_LABELS, "_qt"),
+        mean("total_visits", weight).alias("avg_visits"),
+        mean("overall_quality_score", weight).alias("avg_quality_score"),
+        *label_counts("platform_preference", PLATFORM_LABELS, "_pp", weight),
+        *label_counts("quality_tier", QUALITY_LABELS, "_qt", weight),
     ]
 
 
@@ -91,10 +92,10 @@ def timeseries_boundaries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
     once per match key, keep keys with enough months, attach companies. The
     wide numeric columns and the boundary rows are two aggregates over the same
     partitioning."""
-    by_key = matched.groupBy(MATCH_KEY)
-    periods = (by_key.agg(*period_aggs(traffic_row_order(), yyyymm("traffic_year", "traffic_month")))
+    by_key, weight = matched.groupBy(MATCH_KEY), weight_of(matched)
+    periods = (by_key.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month")))
                .filter(F.col("months_available") >= min_months))
-    per_key = by_key.agg(*numeric_aggs()).join(periods, MATCH_KEY)
+    per_key = by_key.agg(*numeric_aggs(weight)).join(periods, MATCH_KEY)
     companies = keyed_orgs.select(*GROUP_KEYS, "match_confidence_score", MATCH_KEY)
     return _boundary_columns(companies.join(per_key, MATCH_KEY, "inner"))
 

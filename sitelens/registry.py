@@ -73,6 +73,25 @@ for _name, (_cte, _cols) in oracle.MODEL_CTES.items():
     register(_name, (lambda c, cols: (lambda: oracle.model_query(c, cols)))(_cte, _cols))(_model(_name))
 
 
+# Sites with a row for each of several countries in a month: ``web_traffic_id`` is
+# not unique, and the join back of bridge and traffic multiplies.
+def _country_model(attr: str, columns: list[str] | None = None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = getattr(models_for(spark, sf_dir, by_country=True), attr)
+        return found if columns is None else found.select(*columns)
+    return run
+
+
+_COUNTRY_ROWS = ["organization_id", "web_traffic_id", "site_country", "traffic_year", "traffic_month", "total_visits",
+                 "site_country_rank", "overall_quality_score", "match_confidence_score"]
+for _name, _attr in (("several_countries_bridge", "company_web_bridge"), ("several_countries_company", "mart_company_performance"),
+                     ("several_countries_timeseries", "mart_company_timeseries"), ("several_countries_category", "mart_category_insights")):
+    _cte, _cols = oracle.MODEL_CTES[_attr]
+    register(_name, (lambda c, cols: (lambda: oracle.model_query(c, cols, by_country=True)))(_cte, _cols))(_country_model(_attr))
+register("several_countries_rows", lambda: oracle.model_query("ct", _COUNTRY_ROWS, by_country=True))(
+    _country_model("company_traffic", _COUNTRY_ROWS))
+
+
 # ------------------------------------------------------- column-level keys
 _ORG_ATTRS = ["organization_name", "organization_permalink", "organization_domain", "standardized_city",
               "standardized_region", "organization_country_code", "is_investor", "organization_created_at",

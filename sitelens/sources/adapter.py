@@ -50,8 +50,10 @@ def _pick(index: Column, values: list) -> Column:
     return expr
 
 
-def raw_traffic(lineitem: DataFrame) -> DataFrame:
-    """Monthly traffic rows, grain = supplier x site x ship month (45 columns)."""
+def raw_traffic(lineitem: DataFrame, by_country: bool = False) -> DataFrame:
+    """Monthly traffic rows, grain = supplier x site x ship month (45 columns).
+    ``by_country``: every third supplier's sites have two rows a month, one for
+    each of two countries its orders are dealt to."""
     k, o, p, ln = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     sk = k.cast("string")
     li = lineitem.select(
@@ -64,11 +66,12 @@ def raw_traffic(lineitem: DataFrame) -> DataFrame:
         F.when((k % 10 == 0) & (ln % 2 == 1),
                F.concat(F.lit("https://www.supplier"), sk, F.lit(".example.com/shop")))
          .otherwise(F.concat(F.lit("supplier"), sk, F.lit(".example.com"))).alias("site"),
+        (F.when(k % 3 == 0, (k + o % 2) % 4).otherwise(k % 4) if by_country else k % 4).alias("c"),
     )
     q, d, mob = F.col("q"), F.col("d"), F.col("mob")
     desk = ~mob
 
-    # Level 1: one row per (supplier, site, month, order). Its shuffle key
+    # Level 1: one row per (supplier, site, month, country, order). Its shuffle key
     # includes the order, so even a supplier-month holding a third of all
     # lines is spread over many tasks; distinct orders become plain counts.
     sums = {"_sum_q": q, "_sum_ln": F.col("ln"), "_sum_d": d, "_sum_qln": q * F.col("ln")}
@@ -81,12 +84,12 @@ def raw_traffic(lineitem: DataFrame) -> DataFrame:
         sums[f"desktop_{ch}_estimated_visits"] = F.when(desk & (F.col("p") % 7 == i), q).otherwise(0)
     for i in range(6):
         sums[f"_age{i}_q"] = F.when(F.col("p") % 6 == i, q).otherwise(0)
-    per_order = li.groupBy("k", "site", "y", "m", "o").agg(
+    per_order = li.groupBy("k", "site", "y", "m", "c", "o").agg(
         *[F.sum(e).alias(n) for n, e in sums.items()], F.count(F.lit(1)).alias("_n"))
 
-    # Level 2: one row per (supplier, site, month); partial aggregation first.
+    # Level 2: one row per (supplier, site, month, country); partial aggregation first.
     o = F.col("o")
-    g = per_order.groupBy("k", "site", "y", "m").agg(
+    g = per_order.groupBy("k", "site", "y", "m", "c").agg(
         *[F.sum(n).alias(n) for n in sums], F.sum("_n").alias("_n"),
         F.count(F.lit(1)).alias("deduplicated_audience"),
         F.count_if(F.col("_desktop_n") > 0).alias("desktop_estimated_unique"),
@@ -105,7 +108,7 @@ def raw_traffic(lineitem: DataFrame) -> DataFrame:
         "site_category": F.concat(F.lit("cat-"), (kk % 6).cast("string"), F.lit("/sub-"), (kk % 3).cast("string")),
         "main_category": F.when(kk % 23 == 7, F.lit(None).cast("string"))
                           .otherwise(F.concat(F.lit("cat-"), (kk % 6).cast("string"))),
-        "country": F.concat(F.lit("C"), (kk % 4).cast("string")),
+        "country": F.concat(F.lit("C"), F.col("c").cast("string")),
         "year": F.col("y"),
         "month": F.col("m"),
         "total_estimated_visits": F.when((kk % 19 == 3) & (F.col("m") == 2), F.lit(0)).otherwise(sum_q).cast("long"),
@@ -135,8 +138,8 @@ def raw_traffic(lineitem: DataFrame) -> DataFrame:
           for f in TRAFFIC_RAW.fields
           if f.name not in ("global_rank", "country_rank", "main_category_rank", "category_rank")]
     )
-    # Ranks: (visits desc, site) is a total order inside every (.., year, month) group.
-    order = [F.col("total_estimated_visits").desc(), F.col("site").asc()]
+    # Ranks: (visits desc, site, country) is a total order inside every (.., year, month) group.
+    order = [F.col("total_estimated_visits").desc(), F.col("site").asc(), F.col("country").asc()]
     ensure_checkpoint_dir(base.sparkSession)
     ranked = add_row_numbers(base.checkpoint(eager=True), RANKS, order)
     return ranked.select(*[F.col(f.name).cast(f.dataType) for f in TRAFFIC_RAW.fields])
@@ -184,7 +187,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
             raw_traffic(read_table(spark, sf_dir, "lineitem")))
 
 
-_MATERIALIZED: dict[tuple[str, str], tuple[str, str]] = {}
+_MATERIALIZED: dict[tuple[str, str, bool], tuple[str, str]] = {}
 
 
 def _derivation_key(spark: SparkSession, sf_dir: str) -> str:
@@ -196,21 +199,21 @@ def _derivation_key(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1(f"{sf_dir}|{sorted(files)}|{rules}".encode()).hexdigest()[:20]
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def load_sources(spark: SparkSession, sf_dir: str, by_country: bool = False) -> tuple[DataFrame, DataFrame]:
     """The derived raw tables, written to the shared checkpoint folder (like
     the source tables of a warehouse) and read back, so every query that
     starts from them scans parquet. A later application with the same input
     files and rules reuses a completed earlier derivation (a table appears
     under its name only when it is complete)."""
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, by_country)
     if key not in _MATERIALIZED:
         base = f"{shared_root(spark)}/derived/{_derivation_key(spark, sf_dir)}"
-        orgs_path, traffic_path = f"{base}/raw_organizations", f"{base}/raw_traffic"
+        orgs_path, traffic_path = f"{base}/raw_organizations", f"{base}/raw_traffic{'_by_country' if by_country else ''}"
         if read_if_exists(spark, orgs_path) is None:
             replace_table(raw_organizations(read_table(spark, sf_dir, "supplier")), orgs_path)
         if read_if_exists(spark, traffic_path) is None:
-            replace_table(raw_traffic(read_table(spark, sf_dir, "lineitem")), traffic_path)
+            replace_table(raw_traffic(read_table(spark, sf_dir, "lineitem"), by_country), traffic_path)
         _MATERIALIZED[key] = (orgs_path, traffic_path)
     orgs_path, traffic_path = _MATERIALIZED[key]
     return (spark.read.schema(ORG_RAW).parquet(orgs_path),

@@ -122,6 +122,13 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
     return LoadResult(rows, months, late)
 
 
+def known_unique(spark: SparkSession, target_path: str) -> bool:
+    """Whether the records of a loaded table say that its key is unique (partition values are read, no data)."""
+    held = manifest.recorded(spark, target_path)
+    months = {tuple(r) for r in spark.read.parquet(target_path).select(*PARTITIONS).distinct().collect()}
+    return all(m in held and held[m].most == 1 for m in months)
+
+
 def _missing(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
@@ -236,4 +243,4 @@ def _committed(spark: SparkSession, checkpoint_location: str) -> bool:
         raise
 
 
-__all__ = ["LoadResult", "RefreshRefused", "load_increment", "start_stream"]
+__all__ = ["LoadResult", "RefreshRefused", "known_unique", "load_increment", "start_stream"]

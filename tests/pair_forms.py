@@ -16,16 +16,16 @@ from sitelens.plans.timeseries import GROUP_KEYS, MIN_MONTHS
 from sitelens.schemas import MART_TIMESERIES, enforce
 
 
-def company_performance(rows: DataFrame) -> DataFrame:
-    order, period = traffic_row_order(), yyyymm("traffic_year", "traffic_month")
+def company_performance(rows: DataFrame, order=None) -> DataFrame:
+    order, period = traffic_row_order() if order is None else order, yyyymm("traffic_year", "traffic_month")
     g = rows.groupBy("organization_id").agg(
         first_row(COMPANY_ATTRS + ["match_confidence_score"], order, "_company"),
         *company.numeric_aggs(), *company.period_aggs(order, period))
     return company._finish(g.select("*", *[F.col("_company")[c].alias(c) for c in COMPANY_ATTRS + ["match_confidence_score"]]))
 
 
-def company_timeseries(rows: DataFrame, min_months: int = MIN_MONTHS) -> DataFrame:
-    order, period = traffic_row_order(), yyyymm("traffic_year", "traffic_month")
+def company_timeseries(rows: DataFrame, min_months: int = MIN_MONTHS, order=None) -> DataFrame:
+    order, period = traffic_row_order() if order is None else order, yyyymm("traffic_year", "traffic_month")
     g = rows.groupBy(*GROUP_KEYS).agg(first_row(["match_confidence_score"], order, "_conf"),
                                       *timeseries.numeric_aggs(), *timeseries.period_aggs(order, period))
     g = g.withColumn("match_confidence_score", F.col("_conf")["match_confidence_score"])

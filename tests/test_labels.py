@@ -67,14 +67,3 @@ def test_contracts_hold_types(spark):
     assert enforce(good, STG_TRAFFIC).schema == typed(STG_TRAFFIC)
     with pytest.raises(SchemaDriftError):
         enforce(good.withColumn("total_visits", F.lit("7")), STG_TRAFFIC)
-
-
-def test_a_build_refuses_duplicate_traffic(spark):
-    from conftest import SF_SMALL
-    from sitelens.operators.upsert import DuplicateKeyError
-    from sitelens.plans.pipeline import build_models
-    from sitelens.sources.adapter import load_sources
-    orgs, raw = load_sources(spark, SF_SMALL)
-    twice = raw.unionByName(raw.withColumn("country", F.lit("Elsewhere")))
-    with pytest.raises(DuplicateKeyError):
-        build_models(orgs, twice, materialize_tables=True).mart_company_performance
