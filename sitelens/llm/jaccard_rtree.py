@@ -17,15 +17,15 @@ all documents, so a passage that a third of the documents share comes last
 everywhere. This loses no link whatever the counts are, for all documents
 use the same order.
 
-Large groups of near copies: each set is first compared with a pivot for
-each of its rare shingles, the smallest set that has it, then (where many
+Large groups of near copies: each set is first compared with one pivot, the
+smallest holder of most of its rare shingles, then (where many
 sets hold a shingle and are not yet connected) with a few other pivots drawn
-by a hash, at most ``_STAR_PIVOTS`` a set in either round. A shingle whose holders are all in one component needs no more comparisons; the
+by a hash, at most ``_STAR_PIVOTS`` a set. A shingle whose holders are all in one component needs no more comparisons; the
 trees only look for pairs between different components. A holder for which no
 other is of a fitting size is left out. Shingles with very many holders are
 dealt to several trees, a tree for each pair of parts.
 
-Number of links: two linked sets are always of one component, so once the
+Number of links (only where asked for): two linked sets are always of one component, so once the
 components are known, each set is compared exactly with the sets of its
 component. A task has the sets of some small components, or two parts of a
 large one (its sets by bands of size, only equal and adjacent bands can link,
@@ -63,7 +63,9 @@ LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
-#: Pivots that a set is compared with in a round, and the holders a shingle must have for the second round.
+#: About how many sets share a tree if their shingles have few holders.
+_SHARED_ROWS = 256
+#: Pivots that a set is compared with in the second round, and the holders a shingle must have for it.
 _STAR_PIVOTS, _STAR_HOLDERS = 5, 8
 #: Sets of a part of a component and, but for a single larger set, about how many shingles they have.
 _PART_SETS, _PART_SHINGLES = 512, 1 << 20
@@ -412,10 +414,11 @@ def link_counts(found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: s
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 85,
-                       salt: bytes = b"", count_links: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links (all other
-    documents it links with, copies too; left out without ``count_links``),
-    text_hash (xxhash64 of the text) and component (a number of the component, null without words)."""
+                       salt: bytes = b"", count_links: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, n_links (with
+    ``count_links``: all other documents it links with, copies too; this takes the
+    square of a component), text_hash (xxhash64 of the text) and component (a
+    number of the component, null without words)."""
     rows = staged(document_sets(docs, id_col, text_col, width, salt), "jaccard_documents", batch_rows=2000)
     sets = rows.filter("bucket IS NULL").drop("bucket", "seen")
     frequencies = np.zeros(FREQUENCIES, np.int64)
@@ -454,20 +457,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def pairs_of(x: str, y: str) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    # The rounds with pivots only save work for the trees, so a set's first few pivots will do.
-    pivots = shared.filter("sid <> pivot").groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, _STAR_PIVOTS).alias("pivots"))
-    links = linked(pivots.select("sid", F.explode("pivots").alias("pivot")).select(*pairs_of("sid", "pivot")).distinct())
-    rows, open_keys = rooted(links)
-    rows = rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
+    # The rounds with pivots only save work for the trees, so a set's most frequent pivot will do.
+    pivots = shared.filter("sid <> pivot").groupBy("sid").agg(F.mode("pivot", deterministic=True).alias("pivot"))
+    links = linked(pivots.select(*pairs_of("sid", "pivot")).distinct())
+    first_rows, open_keys = rooted(links)
+    rows = first_rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
     seeds = range(_STAR_PIVOTS)
     picks = rows.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
     own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
         F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
     star = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
-    links = staged(links.unionByName(linked(star.select(*pairs_of("sid", "pick.sid")).distinct())).distinct(), "jaccard_links")
-
-    rows, open_keys = rooted(links)
-    rows = rows.join(open_keys, "key")
+    second = linked(star.select(*pairs_of("sid", "pick.sid")).distinct())
+    discard(first_rows)
+    both = staged(links.unionByName(second).distinct(), "jaccard_links")
+    discard(links, second)
+    links = both
+
+    root_rows, open_keys = rooted(links)
+    discard(shared)
+    rows = root_rows.join(open_keys, "key")
     by_size = Window.partitionBy("key").orderBy("n")
     several = F.col("holders") > 2  # of two holders, the smaller one must have the shingle among its first
 
@@ -479,8 +487,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     few = (rows.filter(F.col("holders") <= _TREE_ROWS)
            .withColumn("fits", fits(F.lag, F.lag("first").over(by_size)) | fits(F.lead, F.col("first")))
            .filter("fits").drop("fits", "first"))
-    members = staged(few.unionByName(rows.filter(F.col("holders") > _TREE_ROWS).drop("first")), "jaccard_members")
-    trees = max(1, -(-members.count() // _TREE_ROWS))
+    stored = members = staged(few.unionByName(rows.filter(F.col("holders") > _TREE_ROWS).drop("first")), "jaccard_members")
+    discard(root_rows)
+    trees = max(1, -(-members.count() // _SHARED_ROWS))
     parts = F.ceil(F.col("holders") / _TREE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
     # Small keys share trees; a key of several parts has a tree for each pair of its parts.
@@ -501,7 +510,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     described = classes.select("sid", "n", "counts").join(visited, "sid")
     candidates = tree_pairs(members.join(described, "sid"), threshold).distinct()
     more = verified(candidates, classes, docs, id_col, text_col, width, threshold)
-    links = staged(links.unionByName(more).distinct(), "jaccard_links")
+    discard(stored)
+    both = staged(links.unionByName(more).distinct(), "jaccard_links")
+    discard(links, more)
+    links = both
 
     of_set = classes.select("sid", F.col("rep.doc_id").alias("least_id"), "copies")
     found = staged(components(links), "jaccard_found")
@@ -513,6 +525,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     n_links = [(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")] if count_links else []
     answer = staged(answer.select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component", "least_id").alias("component"), *n_links),
                     "jaccard_answer")
+    discard(links, found, classes)
     return (sets.join(answer, "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),

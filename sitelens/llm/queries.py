@@ -146,7 +146,7 @@ FROM places LEFT JOIN fits USING (page_id)
 @_register
 def op8_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @_register

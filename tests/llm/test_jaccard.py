@@ -104,7 +104,7 @@ def test_links_equal_all_pairs(spark, frame, monkeypatch, part_sets):
     rows = corpus(part_sets, 80) + near + [(6000 + i, near[i % 5][1]) for i in range(15)] + AWKWARD
     sets = [shingle_set(t, 4) for _, t in rows]
     want = [sum(1 for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 85 * len(a | b)) for i, a in enumerate(sets)]
-    got = jaccard_rtree.jaccard_components(frame(rows)).collect()
+    got = jaccard_rtree.jaccard_components(frame(rows), count_links=True).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in got) == sorted(
         (str(d), len(s), n) for (d, _), s, n in zip(rows, sets, want))
     assert max(want) > 20
