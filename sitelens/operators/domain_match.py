@@ -2,8 +2,9 @@
 
 The company side is small after the country and domain filters, so it is
 broadcast - but only after its row count has been measured against a byte
-budget. Beyond the budget the join falls back to a shuffle (sort-merge)
-join on the precomputed key, where AQE's skew handling splits a hot domain.
+budget. Beyond the budget the join is a shuffle (sort-merge) join on the
+precomputed key, in which domains that hold many traffic rows are measured
+and dealt to several tasks (``operators.skew``).
 """
 
 from __future__ import annotations
@@ -11,12 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.operators.skew import salted_join
+
 MATCH_KEY = "_match_key"
 #: How many rows a row stands for, in tables where keys repeat.
 WEIGHT = "_weight"
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
+#: Columns of traffic rows that tell those of one domain apart.
+SPREAD_BY = ("web_traffic_id",)
+
+
 def match_key(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.lower(F.trim(c))
@@ -50,25 +57,26 @@ def fits_broadcast(df: DataFrame, budget_bytes: int) -> bool:
 
 
 def domain_join(small: DataFrame, small_domain, big: DataFrame, big_domain,
-                budget_bytes: int = DEFAULT_BROADCAST_BYTES, how: str = "inner") -> DataFrame:
-    """Join ``small`` and ``big`` on ``lower(trim(domain))`` of each side."""
+                budget_bytes: int = DEFAULT_BROADCAST_BYTES, how: str = "inner", spread_by=SPREAD_BY) -> DataFrame:
+    """Join ``small`` and ``big`` on ``lower(trim(domain))`` of each side. ``spread_by``:
+    columns of ``big`` that tell the rows of a hot domain apart."""
     s = small.withColumn(MATCH_KEY, match_key(small_domain))
     b = big.withColumn(MATCH_KEY, match_key(big_domain))
     if fits_broadcast(s, budget_bytes):
-        s = F.broadcast(s)
-    return b.join(s, MATCH_KEY, how).drop(MATCH_KEY)
+        return b.join(F.broadcast(s), MATCH_KEY, how).drop(MATCH_KEY)
+    return salted_join(b, s, MATCH_KEY, spread_by, how).drop(MATCH_KEY)
 
 
 def keep_matching(big: DataFrame, big_domain, keys: DataFrame,
-                  budget_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                  budget_bytes: int = DEFAULT_BROADCAST_BYTES, spread_by=SPREAD_BY) -> DataFrame:
     """Rows of ``big`` whose ``lower(trim(domain))`` is one of ``keys[MATCH_KEY]``
     (a semi join: each row at most once, whatever the number of matching
     companies). The distinct keys are broadcast only after measuring them."""
     b = big.withColumn(MATCH_KEY, match_key(big_domain))
     k = keys.select(MATCH_KEY).distinct()
     if fits_broadcast(k, budget_bytes):
-        k = F.broadcast(k)
-    return b.join(k, MATCH_KEY, "left_semi")
+        return b.join(F.broadcast(k), MATCH_KEY, "left_semi")
+    return salted_join(b, k, MATCH_KEY, spread_by, "left_semi")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

@@ -14,13 +14,16 @@ count it n times; ``company_traffic_rows`` writes the rows out.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.keys import surrogate_key
 from sitelens.operators.domain_match import (
-    DEFAULT_BROADCAST_BYTES, MATCH_KEY, WEIGHT, domain_join, fits_broadcast, keep_matching, keep_matching_by_key, match_key,
+    DEFAULT_BROADCAST_BYTES, MATCH_KEY, SPREAD_BY, WEIGHT, domain_join, fits_broadcast, keep_matching, keep_matching_by_key, match_key,
 )
+from sitelens.operators.skew import ByKey
 from sitelens.schemas import COMPANY_WEB_BRIDGE, enforce
 
 # Domains that never identify a business, and match metadata.
@@ -106,3 +109,21 @@ def matched_traffic(keyed_orgs: DataFrame, traffic: DataFrame, broadcast_budget:
         return keep_matching(matchable_traffic(traffic), "cleaned_site_domain", keyed_orgs, broadcast_budget)
     return keep_matching_by_key(traffic, matchable_traffic(traffic), "cleaned_site_domain", "web_traffic_id", repeated,
                                 keyed_orgs, broadcast_budget)
+
+
+def matched_by_key(keyed_orgs: DataFrame, stored: ByKey, broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> ByKey:
+    """``matched_traffic`` over traffic stored by match key: the semi join keeps the
+    buckets, only company keys are exchanged or (within the budget) broadcast."""
+    keys = keyed_orgs.select(MATCH_KEY).distinct()
+    if fits_broadcast(keys, broadcast_budget):
+        return replace(stored, cold=stored.cold.join(F.broadcast(keys), MATCH_KEY, "left_semi"),
+                       hot=stored.hot.join(F.broadcast(keys), MATCH_KEY, "left_semi"))
+    return stored.joined(keys, SPREAD_BY, "left_semi")
+
+
+def bridge_by_key(orgs: DataFrame, stored: ByKey) -> DataFrame:
+    """The bridge over traffic stored by match key, without exchange of the bucketed rows."""
+    companies = matchable_organizations(orgs).withColumn(MATCH_KEY, match_key("standardized_domain"))
+    cold, hot = (part.drop("standardized_domain", "root_domain", "_enhanced_at") for part in (stored.cold, stored.hot))
+    joined = replace(stored, cold=cold, hot=hot).joined(companies, SPREAD_BY).rows().drop(MATCH_KEY)
+    return bridge_from(_assessed(joined.withColumnRenamed("standardized_domain", "organization_domain")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.metrics import ratio_if_positive, safe_div, tier
 from sitelens.operators.aggregates import label_counts, rows_of, top_label, total
 from sitelens.operators.domain_match import MATCH_KEY, weight_of
+from sitelens.operators.skew import ByKey, by_key
 from sitelens.plans.company import age_segment, gender_segment
 from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_CATEGORY, enforce
@@ -58,17 +59,23 @@ def _finish(g: DataFrame) -> DataFrame:
     return enforce(out, MART_CATEGORY)
 
 
-def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str) -> DataFrame:
+def _weighted_mode(pairs: DataFrame, value: str, weight: str, out: str, distinct: str) -> DataFrame:
     """Per category, the non-NULL ``value`` with the largest total ``weight``
-    (smallest value on a tie): one small aggregate per (category, value)."""
+    (smallest value on a tie), and the number of distinct values: one small
+    aggregate per (category, value) serves both."""
     totals = (pairs.filter(F.col(value).isNotNull()).groupBy("main_category", value)
               .agg(F.sum(weight).alias("_w")))
     return totals.groupBy("main_category").agg(
-        F.min_by(F.col(value), F.struct((-F.col("_w")).alias("w"), F.col(value).alias("v"))).alias(out))
+        F.min_by(F.col(value), F.struct((-F.col("_w")).alias("w"), F.col(value).alias("v"))).alias(out),
+        F.count(F.lit(1)).alias(distinct))
 
 
-def domain_categories(matched: DataFrame) -> DataFrame:
+def domain_categories(matched: DataFrame | ByKey) -> DataFrame:
     """Matched traffic aggregated once per (match key, category)."""
+    return by_key(matched, _domain_categories)
+
+
+def _domain_categories(matched: DataFrame) -> DataFrame:
     v, weight = F.col("total_visits"), weight_of(matched)
     cat = F.col("site_main_category").alias("main_category")
     squares = v.cast("decimal(38,0)") * v.cast("decimal(38,0)")
@@ -131,18 +138,16 @@ def category_insights_by_domain(keyed_orgs: DataFrame, per_key: DataFrame) -> Da
     companies = comp.groupBy("main_category").agg(
         F.count(F.lit(1)).alias("total_companies"),
         F.count_if(F.col("is_investor")).alias("investor_companies"),
-        F.count_distinct("standardized_city").alias("unique_cities"),
-        F.count_distinct("standardized_region").alias("unique_regions"),
     )
-    region = _weighted_mode(comp, "standardized_region", "_n", "dominant_region")
-    city = _weighted_mode(comp, "standardized_city", "_n", "dominant_city")
+    region = _weighted_mode(comp, "standardized_region", "_n", "dominant_region", "unique_regions")
+    city = _weighted_mode(comp, "standardized_city", "_n", "dominant_city", "unique_cities")
 
     def on_category(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
         b = b.withColumnRenamed("main_category", "_c")
         return a.join(b, a["main_category"].eqNullSafe(b["_c"]), how).drop("_c")
 
     g = on_category(on_category(on_category(market, companies, "inner"), region, "left"), city, "left")
-    g = g.filter(F.col("total_companies") >= 1)
+    g = g.filter(F.col("total_companies") >= 1).fillna(0, ["unique_cities", "unique_regions"])
     avg_v = F.col("avg_company_visits")
     companies_n = F.col("total_companies")
     g = g.withColumns({

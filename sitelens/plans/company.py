@@ -9,6 +9,7 @@ from sitelens.functions.metrics import argmax_label, ratio_if_positive
 from sitelens.functions.periods import yyyymm
 from sitelens.operators.domain_match import MATCH_KEY, weight_of
 from sitelens.operators.aggregates import first_row, label_counts, mean, top_label, total, traffic_row_order
+from sitelens.operators.skew import ByKey, by_key
 from sitelens.plans.traffic import LEADER_LABELS, PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_COMPANY, enforce
 
@@ -97,16 +98,21 @@ def _finish(g: DataFrame) -> DataFrame:
     return enforce(out, MART_COMPANY)
 
 
-def company_performance_by_domain(keyed_orgs: DataFrame, matched: DataFrame) -> DataFrame:
+def company_performance_by_domain(keyed_orgs: DataFrame, matched: DataFrame | ByKey) -> DataFrame:
     """Same mart without forming company x traffic pairs.
 
     Every company's rows are exactly the traffic rows of its match key, so
     the per-company aggregate equals the per-key aggregate: aggregate the
     matched traffic once per key (map-side combined, skew-safe), then attach
     the companies to their key's single row. The wide numeric columns and the
-    first row are two aggregates over the same partitioning."""
-    by_key, weight = matched.groupBy(MATCH_KEY), weight_of(matched)
-    per_key = (by_key.agg(*numeric_aggs(weight))
-               .join(by_key.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month"))), MATCH_KEY))
+    first row are two aggregates over the same partitioning, which traffic
+    stored by key has already."""
+
+    def results(rows: DataFrame) -> DataFrame:
+        grouped, weight = rows.groupBy(MATCH_KEY), weight_of(rows)
+        return (grouped.agg(*numeric_aggs(weight))
+                .join(grouped.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month"))), MATCH_KEY))
+
+    per_key = by_key(matched, results)
     companies = keyed_orgs.select("organization_id", *COMPANY_ATTRS, "match_confidence_score", MATCH_KEY)
     return _finish(companies.join(per_key, MATCH_KEY, "inner"))

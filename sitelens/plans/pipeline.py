@@ -13,15 +13,19 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES, repeated_keys
-from sitelens.plans.bridge import company_traffic, company_traffic_rows, company_web_bridge, keyed_organizations, matched_traffic
+from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES, MATCH_KEY, match_key, repeated_keys
+from sitelens.operators.skew import ByKey, write_by_key
+from sitelens.operators.tables import remove_table
+from sitelens.plans.bridge import (
+    company_traffic, company_traffic_rows, company_web_bridge, keyed_organizations, matchable_traffic, matched_by_key, matched_traffic,
+)
 from sitelens.plans.category import category_insights_by_domain, domain_categories
 from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.staging import stg_organizations, stg_traffic
 from sitelens.plans.timeseries import company_timeseries_by_domain
 from sitelens.plans.traffic import traffic_enhanced
-from sitelens.session import materialize, scale_conf, write_table
+from sitelens.session import materialize, scale_conf, shared_table_path, write_table
 from sitelens.sources.adapter import load_sources
 
 
@@ -40,13 +44,18 @@ class Models:
     matches a company, each row once) and attach companies after
     aggregating per domain, so they never form company x traffic pairs; only
     the bridge model, whose rows are those pairs, does. ``unique_traffic``
-    says that ``web_traffic_id`` is known to be unique, which saves a count."""
+    says that ``web_traffic_id`` is known to be unique, which saves a count.
+
+    With ``buckets`` the matchable traffic is stored once in that many buckets of
+    the match key (``operators.skew``): neither the domain match nor the marts'
+    aggregates exchange traffic rows then."""
 
     def __init__(self, raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES, traffic: DataFrame | None = None,
-                 materialize_tables: bool = False, organizations: DataFrame | None = None, unique_traffic: bool = False):
+                 materialize_tables: bool = False, organizations: DataFrame | None = None, unique_traffic: bool = False,
+                 buckets: int | None = None):
         self._raw_orgs, self._raw_traffic = raw_orgs, raw_traffic
-        self._unique_traffic = unique_traffic
+        self._unique_traffic, self._buckets = unique_traffic, buckets
         self._budget = broadcast_budget
         self._traffic, self._organizations = traffic, organizations
         self._materialize = materialize_tables
@@ -59,6 +68,13 @@ class Models:
         self.scratch.append(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def remove_scratch(self) -> None:
+        """Remove the layers written so far; tables built from them stay."""
+        if "traffic_by_domain" in self.__dict__:
+            self.traffic_by_domain.forget()
+        for path in self.scratch:
+            remove_table(self._raw_traffic.sparkSession, path)
+
     def table(self, name: str) -> DataFrame:
         """Model ``name`` as a written table (the state tests run against, after a
         build); written once per ``Models``, lazy models stay as they are."""
@@ -112,7 +128,17 @@ class Models:
         return keyed_organizations(self.organizations_enhanced)
 
     @cached_property
-    def matched_traffic(self) -> DataFrame:
+    def traffic_by_domain(self) -> ByKey:
+        """Matchable traffic stored by match key."""
+        keyed = matchable_traffic(self.traffic_enhanced).withColumn(MATCH_KEY, match_key("cleaned_site_domain"))
+        path = shared_table_path(keyed.sparkSession, "traffic_by_domain")
+        self.scratch.append(path)
+        return write_by_key(keyed, MATCH_KEY, self._buckets, path)
+
+    @cached_property
+    def matched_traffic(self) -> DataFrame | ByKey:
+        if self._buckets and self.repeated_traffic is None:
+            return matched_by_key(self.keyed_organizations, self.traffic_by_domain, self._budget)
         return self._table(matched_traffic(self.keyed_organizations, self.traffic_enhanced, self._budget, self.repeated_traffic),
                            "matched_traffic")
 
@@ -142,11 +168,12 @@ class Models:
 def build_models(raw_orgs: DataFrame, raw_traffic: DataFrame,
                  broadcast_budget: int = DEFAULT_BROADCAST_BYTES,
                  traffic: DataFrame | None = None, materialize_tables: bool = False,
-                 organizations: DataFrame | None = None, unique_traffic: bool = False) -> Models:
+                 organizations: DataFrame | None = None, unique_traffic: bool = False,
+                 buckets: int | None = None) -> Models:
     """All models over the given raw inputs. ``traffic`` may be an already
     materialized enhanced-traffic table (the incremental target), and
     ``organizations`` the enhanced organizations."""
-    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables, organizations, unique_traffic)
+    return Models(raw_orgs, raw_traffic, broadcast_budget, traffic, materialize_tables, organizations, unique_traffic, buckets)
 
 
 _BUILDS: dict[tuple[str, str, bool], Models] = {}
@@ -176,7 +203,8 @@ TABLE_MODELS = ["organizations_enhanced", "company_web_bridge", "mart_company_pe
 
 def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source: str, out_dir: str,
                  run_checks: bool = True, fail_on_error: bool = False, input_bytes: int | None = None,
-                 strict: bool = False, lookback_months: int = 0, full_refresh: bool = False) -> DataFrame | None:
+                 strict: bool = False, lookback_months: int = 0, full_refresh: bool = False,
+                 buckets: int | None = None) -> DataFrame | None:
     """Full build (the project's ``run`` + ``test``).
 
     Staging models stay views (lazy). Enhanced traffic is loaded
@@ -188,9 +216,10 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     ``out_dir/<model>``, so readers keep the former table until the new one is
     complete. Scratch layers are removed at the end.
     Returns the check results (one row per declared check) when ``run_checks``.
-    ``input_bytes`` (size of the traffic input) sizes shuffles and file splits.
+    ``input_bytes`` (size of the traffic input) sizes shuffles and file splits;
+    ``buckets`` stores the matchable traffic by domain first (see ``Models``).
     """
-    from sitelens.operators.tables import remove_table, replace_table
+    from sitelens.operators.tables import replace_table
     from sitelens.operators.quality import raise_on_errors, run_suite
     from sitelens.plans.checks import SUITE
     from sitelens.sources.raw import read_organizations, read_traffic
@@ -208,13 +237,12 @@ def run_pipeline(spark: SparkSession, organizations_source: str, traffic_source:
     replace_table(organizations_enhanced(stg_organizations(raw_orgs)), f"{out}/organizations_enhanced")
     models = build_models(raw_orgs, raw_traffic, traffic=traffic, materialize_tables=True,
                           organizations=spark.read.parquet(f"{out}/organizations_enhanced"),
-                          unique_traffic=known_unique(spark, f"{out}/traffic_enhanced"))
+                          unique_traffic=known_unique(spark, f"{out}/traffic_enhanced"), buckets=buckets)
     written = {"traffic_enhanced": traffic, "organizations_enhanced": models.organizations_enhanced}
     for name in TABLE_MODELS[1:]:
         replace_table(getattr(models, name), f"{out}/{name}")
         written[name] = spark.read.parquet(f"{out}/{name}")
-    for path in models.scratch:
-        remove_table(spark, path)
+    models.remove_scratch()
     if not run_checks:
         return None
     tables = {"organization_summary": raw_orgs, "global_growth": raw_traffic,

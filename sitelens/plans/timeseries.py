@@ -10,6 +10,7 @@ from sitelens.functions.metrics import clamp, safe_div, tier
 from sitelens.functions.periods import months_span, yyyymm
 from sitelens.operators.aggregates import first_row, label_counts, mean, top_label, traffic_row_order
 from sitelens.operators.domain_match import MATCH_KEY, weight_of
+from sitelens.operators.skew import ByKey, by_key
 from sitelens.plans.company import period_text
 from sitelens.plans.traffic import PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_TIMESERIES, enforce
@@ -86,16 +87,20 @@ def _boundary_columns(g: DataFrame) -> DataFrame:
     )
 
 
-def timeseries_boundaries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
+def timeseries_boundaries_by_domain(keyed_orgs: DataFrame, matched: DataFrame | ByKey,
                                     min_months: int = MIN_MONTHS) -> DataFrame:
     """Same boundaries without company x traffic pairs: aggregate matched traffic
     once per match key, keep keys with enough months, attach companies. The
     wide numeric columns and the boundary rows are two aggregates over the same
-    partitioning."""
-    by_key, weight = matched.groupBy(MATCH_KEY), weight_of(matched)
-    periods = (by_key.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month")))
-               .filter(F.col("months_available") >= min_months))
-    per_key = by_key.agg(*numeric_aggs(weight)).join(periods, MATCH_KEY)
+    partitioning, which traffic stored by key has already."""
+
+    def results(rows: DataFrame) -> DataFrame:
+        grouped, weight = rows.groupBy(MATCH_KEY), weight_of(rows)
+        periods = (grouped.agg(*period_aggs(traffic_row_order(weight), yyyymm("traffic_year", "traffic_month")))
+                   .filter(F.col("months_available") >= min_months))
+        return grouped.agg(*numeric_aggs(weight)).join(periods, MATCH_KEY)
+
+    per_key = by_key(matched, results)
     companies = keyed_orgs.select(*GROUP_KEYS, "match_confidence_score", MATCH_KEY)
     return _boundary_columns(companies.join(per_key, MATCH_KEY, "inner"))
 
@@ -134,7 +139,7 @@ def add_growth(b: DataFrame) -> DataFrame:
     })
 
 
-def company_timeseries_by_domain(keyed_orgs: DataFrame, matched: DataFrame,
+def company_timeseries_by_domain(keyed_orgs: DataFrame, matched: DataFrame | ByKey,
                                  min_months: int = MIN_MONTHS) -> DataFrame:
     return enforce(add_growth(timeseries_boundaries_by_domain(keyed_orgs, matched, min_months)),
                    MART_TIMESERIES)

@@ -17,11 +17,13 @@ from sitelens.functions.domains import root_domain, standardize_domain
 from sitelens.functions.metrics import safe_div, tier
 from sitelens.functions.periods import months_span, period_label, yyyymm
 from sitelens.operators.aggregates import first_by, last_by
-from sitelens.operators.domain_match import MATCH_KEY
+from sitelens.operators.domain_match import MATCH_KEY, match_key
 from sitelens.operators.quality import run_suite
+from sitelens.operators.skew import write_by_key
 from sitelens.operators.upsert import newer_than, upsert
-from sitelens.plans.bridge import matchable_organizations
+from sitelens.plans.bridge import bridge_by_key, company_web_bridge, matchable_organizations, matchable_traffic, matched_by_key
 from sitelens.plans.checks import SUITE
+from sitelens.plans.company import company_performance_by_domain
 from sitelens.plans.pipeline import models_for
 from sitelens.plans.timeseries import GROWTH_TIERS
 from sitelens.plans.traffic import enhance_traffic
@@ -328,6 +330,35 @@ def q_fanout(spark, sf_dir):
         (F.col("organizations") * F.col("traffic_rows")).alias("bridge_rows"))
 
 
+# The domain match beyond the broadcast budget: hot domains dealt to several tasks,
+# and traffic stored in buckets of the match key, which is not exchanged.
+_MATCH_COLS = PROJECTIONS["domain_match"][1]
+
+
+@register("domain_match_salted", lambda: oracle.model_query("bridge", _MATCH_COLS))
+def q_domain_match_salted(spark, sf_dir):
+    m = models_for(spark, sf_dir)
+    return company_web_bridge(m.organizations_enhanced, m.traffic_enhanced, broadcast_budget=0).select(*_MATCH_COLS)
+
+
+def _stored_by_key(spark, sf_dir):
+    m = models_for(spark, sf_dir)
+    keyed = matchable_traffic(m.traffic_enhanced).withColumn(MATCH_KEY, match_key("cleaned_site_domain"))
+    return m, write_by_key(keyed, MATCH_KEY, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@register("domain_match_bucketed", lambda: oracle.model_query("bridge", _MATCH_COLS))
+def q_domain_match_bucketed(spark, sf_dir):
+    m, stored = _stored_by_key(spark, sf_dir)
+    return bridge_by_key(m.organizations_enhanced, stored).select(*_MATCH_COLS)
+
+
+@register("company_mart_bucketed", lambda: oracle.model_query("mart_company", oracle.MODEL_CTES["mart_company_performance"][1]))
+def q_company_mart_bucketed(spark, sf_dir):
+    m, stored = _stored_by_key(spark, sf_dir)
+    return company_performance_by_domain(m.keyed_organizations, matched_by_key(m.keyed_organizations, stored, 0))
+
+
 _CT_COLS = ["organization_id", "web_traffic_id", "site_domain", "traffic_year", "traffic_month", "total_visits",
             "overall_quality_score", "desktop_direct_visits", "age_18_24_share"]
 
