@@ -7,15 +7,21 @@ counts. ``unique`` is one grouped count per column and ``relationships`` a
 grouped count per child key followed by an anti join of unique keys. The
 result is a DataFrame, never collected here:
 ``(model, check_name, column_name, severity, failures)``.
+
+``WatchedChecks`` counts a model's row checks while its rows are written, so
+they cost no scan of the table (``DataFrame.observe``: the counts come with the
+write's own tasks, each partition once).
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "expression")
@@ -106,6 +112,39 @@ def run_checks(model: str, df: DataFrame, checks: Sequence[Check],
     return reduce(DataFrame.unionByName, parts)
 
 
+class WatchedChecks:
+    """The row-wise checks of one model, counted by the write of its rows: write
+    ``attach(rows)`` as it is (nothing but the write may follow), once, then read ``counts``."""
+
+    def __init__(self, model: str, checks: Iterable[Check]):
+        self.model = model
+        self.checks = [c for c in checks if c.kind in ROW_KINDS]
+        self._seen = Observation(f"row checks {uuid.uuid4().hex}")
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self._seen, *[F.count_if(failing_rows(c)).alias(f"_c{i}") for i, c in enumerate(self.checks)]) if self.checks else rows
+
+    def counts(self) -> list[int]:
+        """Failures of each check; waits for the write."""
+        found = self._seen.get if self.checks else {}
+        return [found[f"_c{i}"] for i in range(len(self.checks))]
+
+    def scanned(self, rows: DataFrame) -> list[int]:
+        """The same counts by a scan (one aggregate)."""
+        if not self.checks:
+            return []
+        return list(rows.agg(*[F.count_if(failing_rows(c)) for c in self.checks]).first())
+
+    def results(self, spark, counts: Sequence[int]) -> DataFrame:
+        rows = [(self.model, c.label, c.column or "", c.severity, n) for c, n in zip(self.checks, counts, strict=True)]
+        return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+    @property
+    def signature(self) -> str:
+        """Changes with the rules."""
+        return hashlib.md5(repr(self.checks).encode()).hexdigest()
+
+
 def run_suite(models: Mapping[str, DataFrame], suite: Mapping[str, Iterable[Check]],
               kinds: Sequence[str] | None = None) -> DataFrame:
     """Run every model's checks (optionally only some kinds) as one DataFrame."""

@@ -7,6 +7,7 @@ tables; ``ORACLE[name]()`` returns the equivalent SQL text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,18 @@ from sitelens.functions.metrics import safe_div, tier
 from sitelens.functions.periods import months_span, period_label, yyyymm
 from sitelens.operators.aggregates import first_by, last_by
 from sitelens.operators.domain_match import MATCH_KEY, match_key
-from sitelens.operators.quality import run_suite
+from sitelens.operators.quality import ROW_KINDS, WatchedChecks, run_suite
 from sitelens.operators.skew import write_by_key
 from sitelens.operators.upsert import newer_than, upsert
 from sitelens.plans.bridge import bridge_by_key, company_web_bridge, matchable_organizations, matchable_traffic, matched_by_key
 from sitelens.plans.checks import SUITE
 from sitelens.plans.company import company_performance_by_domain
+from sitelens.plans.organizations import organizations_enhanced
 from sitelens.plans.pipeline import models_for
 from sitelens.plans.timeseries import GROWTH_TIERS
-from sitelens.plans.traffic import enhance_traffic
+from sitelens.plans.traffic import enhance_traffic, traffic_enhanced
 from sitelens.schemas import AUDIT_COLUMNS, ORG_RAW, TRAFFIC_RAW
+from sitelens.session import write_table
 from sitelens.sources.adapter import load_sources, read_table
 
 ROUND_BITS = oracle.ROUND_BITS
@@ -520,3 +523,22 @@ for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepte
     def _run(spark, sf_dir, kinds=(_kind,)):
         return run_suite(check_models(spark, sf_dir), SUITE, kinds)
     register(f"dq_{_kind}", (lambda k: (lambda: oracle.checks_query(SUITE, (k,))))(_kind))(_run)
+
+
+# Row checks counted by the writes of the tables themselves.
+_WATCHED = ["organizations_enhanced", "traffic_enhanced", "company_web_bridge", "mart_company_performance", "mart_company_timeseries",
+            "mart_category_insights"]
+_ROW_SUITE = {name: [c for c in SUITE[name] if c.kind in ROW_KINDS] for name in _WATCHED}
+
+
+@register("dq_while_writing", lambda: oracle.checks_query(_ROW_SUITE, ROW_KINDS))
+def q_dq_while_writing(spark, sf_dir):
+    """The enhanced tables and the marts are written again, and nothing is read back for their row checks."""
+    m = models_for(spark, sf_dir)
+    rows = {"organizations_enhanced": organizations_enhanced(m.stg_organizations), "traffic_enhanced": traffic_enhanced(m.stg_traffic)}
+    parts = []
+    for name in _WATCHED:
+        watched = WatchedChecks(name, SUITE[name])
+        write_table(watched.attach(rows[name] if name in rows else getattr(m, name)), f"watched_{name}")
+        parts.append(watched.results(spark, watched.counts()))
+    return reduce(DataFrame.unionByName, parts)

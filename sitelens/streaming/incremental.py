@@ -31,12 +31,14 @@ recorded in the target.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.operators import manifest
+from sitelens.operators.quality import WatchedChecks
 from sitelens.operators.tables import data_files, read_if_exists, recover, replace_table
 from sitelens.operators.upsert import DuplicateKeyError, after, high_water_mark, in_months, late_rows, newer_than, upsert
 from sitelens.plans.staging import stg_traffic
@@ -49,12 +51,15 @@ PARTITIONS = ["traffic_year", "traffic_month"]
 
 
 class LoadResult(NamedTuple):
-    """Rows written, their months, and the batch's rows at or before the former
-    mark that the target still does not hold (staged columns; None for a first load or a refresh)."""
+    """Rows written, their months, the batch's rows at or before the former
+    mark that the target still does not hold (staged columns; None for a first load
+    or a refresh), and how the rows went in: ``whole`` (a first load or a refresh),
+    ``append`` (new months only), ``merge`` or ``nothing``."""
 
     loaded: int
     months: list[tuple[int, int]]
     late: DataFrame | None
+    how: str = "nothing"
 
 
 # The mark recorded at each commit, in a folder Spark's file listing skips
@@ -75,8 +80,10 @@ def _record_mark(spark: SparkSession, target_path: str, mark: tuple[int, int]) -
 
 
 def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str, strict: bool = False,
-                   lookback_months: int = 0, full_refresh: bool = False, refuse_duplicates: bool = False) -> LoadResult:
-    """One incremental run into the table at ``target_path``.
+                   lookback_months: int = 0, full_refresh: bool = False, refuse_duplicates: bool = False,
+                   watch: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> LoadResult:
+    """One incremental run into the table at ``target_path``. ``watch`` is applied
+    to the rows of a whole or appending write, right before it.
 
     The high-water mark comes from the mark recorded at the last commit (a
     one-row read instead of touching every file of a large target); without
@@ -99,13 +106,18 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
     if refuse_duplicates and any(f.most > 1 for f in found.values()):
         raise DuplicateKeyError(f"batch has duplicate {KEY} values")
     held = {} if full_refresh or target is None else manifest.recorded(spark, target_path)
+    how = "nothing"
     if full_refresh:
-        replace_table(batch, target_path, PARTITIONS)
+        replace_table(watch(batch), target_path, PARTITIONS)
+        how = "whole"
     elif target is None:
         mode = "errorifexists" if _missing(spark, target_path) else "append"  # an empty folder may stand there
-        batch.write.mode(mode).partitionBy(*PARTITIONS).parquet(target_path)
+        watch(batch).write.mode(mode).partitionBy(*PARTITIONS).parquet(target_path)
+        how = "whole"
     elif rows:
-        found |= _merge_months(spark, target, batch, months, target_path)
+        merged = _merge_months(spark, target, batch, months, target_path, watch)
+        found |= merged
+        how = "merge" if merged else "append"
     if rows:
         held |= found
         manifest.record(spark, target_path, held)
@@ -119,7 +131,7 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
             late = spark.read.schema(rows_late.schema).parquet(write_table(rows_late, "late_traffic"))
         else:
             late = spark.createDataFrame([], rows_late.schema)
-    return LoadResult(rows, months, late)
+    return LoadResult(rows, months, late, how)
 
 
 def known_unique(spark: SparkSession, target_path: str) -> bool:
@@ -129,6 +141,36 @@ def known_unique(spark: SparkSession, target_path: str) -> bool:
     return all(m in held and held[m].most == 1 for m in months)
 
 
+# ---------------------------------------------------------------- row checks
+# Failures of each row check over the whole table, with the rows they were counted over.
+CHECKS_DIR = "_row_checks"
+_CHECKS_SCHEMA = "signature string, rows long, counts array<long>"
+
+
+def load_checked(spark: SparkSession, raw_batch: DataFrame, target_path: str, checks: WatchedChecks, **options) -> tuple[LoadResult, list[int]]:
+    """``load_increment``, and the row checks' failures over the whole table: those
+    recorded at the last run and those that the write of new months counts.
+    The table is scanned only after a merge, or where the record does not fit the
+    rules or the table (as its manifest has it)."""
+    held = read_if_exists(spark, f"{target_path.rstrip('/')}/{CHECKS_DIR}", _CHECKS_SCHEMA)
+    last = None if held is None else held.first()
+    before = sum(f.rows for f in manifest.recorded(spark, target_path).values())
+    done = load_increment(spark, raw_batch, target_path, watch=checks.attach, **options)
+    known = last is not None and last["signature"] == checks.signature and last["rows"] == before
+    if done.how == "whole":
+        counts = checks.counts()
+    elif done.how == "append" and known:
+        counts = [a + b for a, b in zip(last["counts"], checks.counts(), strict=True)]
+    elif done.how == "nothing" and known:
+        return done, list(last["counts"])
+    else:
+        counts = checks.scanned(spark.read.parquet(target_path))
+    rows = sum(f.rows for f in manifest.recorded(spark, target_path).values())
+    (spark.createDataFrame([(checks.signature, rows, counts)], _CHECKS_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{CHECKS_DIR}"))
+    return done, counts
+
+
 def _missing(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
@@ -140,9 +182,9 @@ def _missing(spark: SparkSession, path: str) -> bool:
 
 
 def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, months: list[tuple[int, int]],
-                  path: str) -> dict[tuple[int, int], manifest.Fingerprint]:
+                  path: str, watch: Callable[[DataFrame], DataFrame]) -> dict[tuple[int, int], manifest.Fingerprint]:
     """Append the months the target lacks; merge and replace the others, whose
-    fingerprints afterwards are returned."""
+    fingerprints afterwards are returned. ``watch`` sees the rows if all are appended."""
     batch = batch.select(*target.columns)
     touched = target.filter(in_months(months, *PARTITIONS))
     held = sorted(tuple(r) for r in touched.select(*PARTITIONS).distinct().collect())  # partition values only
@@ -154,7 +196,8 @@ def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, mont
         found = manifest.fingerprints(merged, KEY, *PARTITIONS)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
     if new:
-        batch.filter(in_months(new, *PARTITIONS)).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+        rows = batch.filter(in_months(new, *PARTITIONS))
+        (rows if held else watch(rows)).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
     return found
 
 
@@ -243,4 +286,4 @@ def _committed(spark: SparkSession, checkpoint_location: str) -> bool:
         raise
 
 
-__all__ = ["LoadResult", "RefreshRefused", "known_unique", "load_increment", "start_stream"]
+__all__ = ["LoadResult", "RefreshRefused", "known_unique", "load_checked", "load_increment", "start_stream"]
