@@ -14,7 +14,8 @@ about 2^64 comparisons.) The table must be written by the loader alone.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
 from decimal import Decimal
 from typing import NamedTuple
 
@@ -34,7 +35,7 @@ class Fingerprint(NamedTuple):
 
 # In a folder Spark's file listing skips (leading underscore), so reading the table never sees it.
 MANIFEST_DIR = "_month_manifest"
-_SCHEMA = "year int, month int, rows long, most long, keys decimal(38,0)"
+_SCHEMA = "year int, month int, rows long, most long, keys decimal(38,0), stamp string"
 
 
 def fingerprints(df: DataFrame, key: str, year: str, month: str) -> dict[Month, Fingerprint]:
@@ -46,14 +47,27 @@ def fingerprints(df: DataFrame, key: str, year: str, month: str) -> dict[Month,
     return {(r["_y"], r["_m"]): Fingerprint(r["n"], r["most"], r["k"]) for r in rows}
 
 
+def _rows(spark: SparkSession, path: str) -> list:
+    table = read_if_exists(spark, f"{path.rstrip('/')}/{MANIFEST_DIR}", _SCHEMA)
+    return [] if table is None else table.collect()
+
+
 def recorded(spark: SparkSession, path: str) -> dict[Month, Fingerprint]:
     """The fingerprints recorded for the table at ``path`` (none if nothing is)."""
-    table = read_if_exists(spark, f"{path.rstrip('/')}/{MANIFEST_DIR}", _SCHEMA)
-    return {} if table is None else {(r["year"], r["month"]): Fingerprint(r["rows"], r["most"], r["keys"]) for r in table.collect()}
+    return {(r["year"], r["month"]): Fingerprint(r["rows"], r["most"], r["keys"]) for r in _rows(spark, path)}
+
+
+def stamps(spark: SparkSession, path: str) -> dict[Month, str]:
+    """The stamps of the months' last writes."""
+    return {(r["year"], r["month"]): r["stamp"] for r in _rows(spark, path)}
 
 
-def record(spark: SparkSession, path: str, months: Mapping[Month, Fingerprint]) -> None:
-    rows = [(*m, *f) for m, f in sorted(months.items())]
+def record(spark: SparkSession, path: str, months: Mapping[Month, Fingerprint], written: Iterable[Month] | None = None) -> None:
+    """Record ``months`` in place of what is recorded; those ``written`` (else all) get a new stamp."""
+    stamp = uuid.uuid4().hex
+    kept = {} if written is None else stamps(spark, path)
+    fresh = set(months) if written is None else set(written)
+    rows = [(*m, *f, stamp if m in fresh else kept.get(m, stamp)) for m, f in sorted(months.items())]
     spark.createDataFrame(rows, _SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{MANIFEST_DIR}")
 
 

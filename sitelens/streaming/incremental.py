@@ -120,7 +120,7 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
         how = "merge" if merged else "append"
     if rows:
         held |= found
-        manifest.record(spark, target_path, held)
+        manifest.record(spark, target_path, held, found)
         _record_mark(spark, target_path, max(max(months), mark or max(months)))
     late = None
     if mark is not None:
