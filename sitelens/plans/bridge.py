@@ -23,6 +23,7 @@ from sitelens.functions.keys import surrogate_key
 from sitelens.operators.domain_match import (
     DEFAULT_BROADCAST_BYTES, MATCH_KEY, SPREAD_BY, WEIGHT, domain_join, fits_broadcast, keep_matching, keep_matching_by_key, match_key,
 )
+from sitelens.operators.lookup import without_listed
 from sitelens.operators.skew import ByKey
 from sitelens.schemas import COMPANY_WEB_BRIDGE, enforce
 
@@ -36,11 +37,15 @@ ORG_COLUMNS = ["organization_id", "organization_name", "organization_permalink",
                "organization_created_at", "organization_updated_at"]
 
 
-def matchable_organizations(orgs: DataFrame) -> DataFrame:
+def matchable_organizations(orgs: DataFrame, blocked: DataFrame | None = None,
+                            broadcast_budget: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Companies with a domain of their own. ``blocked``: the domains that identify no
+    business as a table (one column, lower case), instead of the short fixed list."""
     d = F.col("standardized_domain")
-    return (orgs.select(*ORG_COLUMNS)
-            .filter(d.isNotNull() & (F.trim(d) != "")
-                    & ~F.lower(F.trim(d)).isin(*NON_BUSINESS_DOMAINS)))
+    named = orgs.select(*ORG_COLUMNS).filter(d.isNotNull() & (F.trim(d) != ""))
+    if blocked is None:
+        return named.filter(~F.lower(F.trim(d)).isin(*NON_BUSINESS_DOMAINS))
+    return without_listed(named, match_key(d), blocked, ["organization_id"], broadcast_budget)
 
 
 def matchable_traffic(traffic: DataFrame) -> DataFrame:

@@ -15,10 +15,12 @@ from pyspark.sql.types import DoubleType
 
 from sitelens import oracle
 from sitelens.functions.domains import root_domain, standardize_domain
+from sitelens.functions.geo import CITY_VARIANTS, REGION_VARIANTS
 from sitelens.functions.metrics import safe_div, tier
 from sitelens.functions.periods import months_span, period_label, yyyymm
 from sitelens.operators.aggregates import first_by, last_by
 from sitelens.operators.domain_match import MATCH_KEY, match_key
+from sitelens.operators.lookup import canonical_by_table, without_listed
 from sitelens.operators.quality import ROW_KINDS, WatchedChecks, run_suite
 from sitelens.operators.skew import write_by_key
 from sitelens.operators.upsert import newer_than, upsert
@@ -502,6 +504,32 @@ def q_incremental_full_refresh(spark, sf_dir):
     return spark.read.parquet(path).select(*_LOADED_COLS)
 
 
+# Lists and dictionaries as tables, beyond the broadcast budget.
+@register("block_list_pages", lambda: (
+    f"WITH hosts AS (SELECT page_id, url, {oracle.std_domain('url')} AS host FROM pages), "
+    "listed AS (SELECT host FROM hosts WHERE host IS NOT NULL GROUP BY host HAVING count(*) >= 3) "
+    "SELECT page_id, url FROM hosts WHERE host IS NULL OR host NOT IN (SELECT host FROM listed)"))
+def q_block_list_pages(spark, sf_dir):
+    """Pages of hosts that are not on the list of those with three pages or more."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    host = standardize_domain("url")
+    listed = pages.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 3").select("host")
+    return without_listed(pages, host, listed, ["page_id"], budget_bytes=0)
+
+
+def _places(spark, variants):
+    return spark.createDataFrame([(v, c) for c, vs in variants.items() for v in vs], "variant string, canonical string")
+
+
+@register("canonical_places_by_table", lambda: oracle.model_query("orgs_enh", [
+    "organization_id", "organization_city", "organization_region", "standardized_city", "standardized_region"]))
+def q_canonical_places_by_table(spark, sf_dir):
+    orgs = models_for(spark, sf_dir).organizations_enhanced.select("organization_id", "organization_city", "organization_region")
+    for place, variants in (("city", CITY_VARIANTS), ("region", REGION_VARIANTS)):
+        orgs = canonical_by_table(orgs, f"organization_{place}", f"standardized_{place}", _places(spark, variants), ["organization_id"], 0)
+    return orgs
+
+
 # The marts from monthly state: a load of all months but the newest year, then of
 # the rest, the state brought up to date after each.
 _STATES: dict[tuple[str, str], str] = {}
