@@ -11,7 +11,11 @@ bytes are a token, the lowest rank first. Decoding joins token rows with the
 vocabulary and concatenates bytes in order by an ordered aggregate.
 
 A piece longer than ``LONG_PIECE`` bytes (a run of dashes, a word without
-spaces) takes the same steps in a loop of statements, each contracting all
+spaces) is first cut wherever two neighbouring bytes stand side by side in no
+token: no merge ever joins across such a place, so the parts are merged each
+for itself, with the same result. A word of 100 KB of random letters falls into
+parts of a few bytes. A part that is still longer (one letter repeated, words run together)
+takes the same steps in a loop of statements, each contracting all
 occurrences of the pair of minimum rank from left to right, since a
 recursive query keeps the rows of all its steps. Both end in the same
 tokens: a contraction never makes a pair of lower rank in a vocabulary whose
@@ -109,6 +113,10 @@ class Codec:
         cuts = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t))
                 if t[:k] in ranks and t[k:] in ranks]
         self._table("merges", ["a", "b", "rank"], [np.array(x, np.int32) for x in zip(*cuts)] or [np.zeros(0, np.int32)] * 3)
+        self.beside = np.zeros((256, 256), bool)  # bytes that stand side by side in a token
+        for t in ranks:
+            inner = np.frombuffer(t, np.uint8)
+            self.beside[inner[:-1], inner[1:]] = True
         # A token's bytes as the 256 first code points, so that any bytes make a string.
         self._table("vocabulary", ["tok", "bytes"], [np.array(list(ranks.values()), np.int32), [t.decode("latin-1") for t in ranks]])
 
@@ -146,10 +154,22 @@ class Codec:
         """Put the tokens of these distinct pieces into the younger cache."""
         raw = {p: p.encode() for p in pieces}
         short = [p for p in pieces if len(raw[p]) <= LONG_PIECE]
-        long = [p for p in pieces if len(raw[p]) > LONG_PIECE]
-        for group, is_long in ((short, False), (long, True)):
-            for a, b in blocks([len(raw[p]) for p in group], 1 << 18):
-                self.young.update(zip(group[a:b], self._merged([raw[p] for p in group[a:b]], is_long)))
+        for a, b in blocks([len(raw[p]) for p in short], 1 << 18):
+            self.young.update(zip(short[a:b], self._merged([raw[p] for p in short[a:b]], False)))
+        if len(short) < len(pieces):
+            parts = {p: self._parts(raw[p]) for p in pieces if len(raw[p]) > LONG_PIECE}
+            distinct, merged = list(dict.fromkeys(chain.from_iterable(parts.values()))), {}
+            for is_long in (False, True):
+                group = [x for x in distinct if (len(x) > LONG_PIECE) == is_long]
+                for a, b in blocks([len(x) for x in group], 1 << 18):
+                    merged.update(zip(group[a:b], self._merged(group[a:b], is_long)))
+            self.young.update((p, b"".join(map(merged.__getitem__, x))) for p, x in parts.items())
+
+    def _parts(self, piece: bytes) -> list[bytes]:
+        """The piece cut where no merge can join."""
+        x = np.frombuffer(piece, np.uint8)
+        cuts = (np.flatnonzero(~self.beside[x[:-1], x[1:]]) + 1).tolist()
+        return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.split(t) for t in texts]

@@ -33,6 +33,22 @@ def test_codec_equals_the_library(peer, cache):
         assert codec.decode(ids) == [t.encode() for t in rows[at:at + 10]]
 
 
+@pytest.mark.parametrize("word", ["random", "one letter", "base64", "repeated", "bytes"])
+def test_long_words_end_and_equal_the_library(peer, word):
+    import base64
+    import time
+
+    rng = random.Random(8)
+    n = 100_000
+    text = {"random": lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)), "one letter": lambda: "z" * n,
+            "base64": lambda: base64.b64encode(rng.randbytes(3 * n // 4)).decode(), "repeated": lambda: "antidisestablishment" * (n // 20),
+            "bytes": lambda: "".join(rng.choices("éüñ日本語𝄞ż", k=n // 3))}[word]()
+    codec = bpe_sql.Codec(bpe_sql.read_vocabulary(PATH), public_tokenizers.PATTERN)
+    began = time.time()
+    ids = codec.encode([text])
+    assert ids[0].tolist() == peer.encode_ordinary(text) and time.time() - began < 60
+
+
 def test_frames(spark, frame, peer):
     rows = [*enumerate(texts(), 100), *AWKWARD]
     shared = bpe_sql.broadcast_vocabulary(spark, PATH)
