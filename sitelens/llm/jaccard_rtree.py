@@ -64,7 +64,7 @@ FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
 #: About how many sets share a tree if their shingles have few holders.
-_SHARED_ROWS = 256
+_SHARED_ROWS = 1000
 #: Pivots that a set is compared with in the second round, and the holders a shingle must have for it.
 _STAR_PIVOTS, _STAR_HOLDERS = 5, 8
 #: Sets of a part of a component and, but for a single larger set, about how many shingles they have.
