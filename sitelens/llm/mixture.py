@@ -156,7 +156,8 @@ def training_order(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def by_first_use(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``mixed`` range-sorted by the position of their first use, as
-    ``training_order`` first takes them; documents without a use come last."""
-    keys = [F.get("uses", F.lit(0))["position"].asc_nulls_last(), F.col(id_col).asc_nulls_first(), F.col("size")]
-    return mix.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """The rows of ``mixed`` with the ``position`` of their first use, range-sorted by it, as
+    ``training_order`` first takes them; documents without a use have none and come last."""
+    keys = [F.col("position").asc_nulls_last(), F.col(id_col).asc_nulls_first(), F.col("size")]
+    first = mix.withColumn("position", F.get("uses", F.lit(0))["position"])
+    return first.repartitionByRange(*keys).sortWithinPartitions(*keys)

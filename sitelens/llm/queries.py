@@ -44,7 +44,21 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture.by_first_use(mixture.mixed(_table(spark, sf_dir, "documents")))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def _position_sql(share: str, kind: str) -> str:
+    """SQL of a source's training position at a share of its demand: its schedule's integral, inverted."""
+    whens = []
+    for i, knots in enumerate(mixture.SCHEDULES):
+        steps = [(t0, t1, r0, (r1 - r0) / (t1 - t0), (t1 - t0) * (r0 + r1) / 2) for (t0, r0), (t1, r1) in zip(knots, knots[1:])]
+        whole, before = sum(s[4] for s in steps), 0.0
+        for t0, t1, r0, slope, area in steps:
+            need = f"({share} * {whole}::DOUBLE - {before}::DOUBLE)"
+            root = f"{t0}::DOUBLE + {need} * 2 / (sqrt(greatest({r0 * r0}::DOUBLE + {need} * {2 * slope}::DOUBLE, 0::DOUBLE)) + {r0}::DOUBLE)"
+            whens.append(f"WHEN {kind} = {i} AND {share} <= {(before + area) / whole}::DOUBLE THEN least(greatest({root}, {t0}::DOUBLE), {t1}::DOUBLE)")
+            before += area
+    return f"CASE {' '.join(whens)} ELSE 1::DOUBLE END"
 
 
 ORACLE["op2_mixture"] = r"""
@@ -52,9 +66,9 @@ WITH RECURSIVE docs AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
            ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS k FROM documents),
 sources AS (
-    SELECT source, sum(size)::BIGINT AS source_size,
-           ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
-    FROM docs GROUP BY source),
+    SELECT *, ([5.0, 2.0, 1.0])[kind + 1]::DOUBLE AS weight FROM (
+        SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT AS kind
+        FROM docs GROUP BY source)),
 levels(i, level) AS (
     SELECT 0, sum(source_size)::DOUBLE / sum(weight) FROM sources
     UNION ALL
@@ -63,12 +77,14 @@ levels(i, level) AS (
     FROM levels WHERE i < 12),
 targets AS (SELECT s.*, least(3.0 * source_size, weight * (SELECT arg_max(level, i) FROM levels)) AS target FROM sources s),
 placed AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, least(floor(t.target / t.source_size), 3)::BIGINT AS passes,
+    SELECT d.doc_id, d.size, t.source_size, t.target, t.kind, least(floor(t.target / t.source_size), 3)::BIGINT AS passes,
            coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
     FROM docs d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, size, source_size, target,
-       (passes * size + least(size, greatest(round(target - passes * source_size)::BIGINT - start, 0)))::BIGINT AS taken
+       (passes * size + least(size, greatest(round(target - passes * source_size)::BIGINT - start, 0)))::BIGINT AS taken,
+       CASE WHEN passes > 0 OR least(size, round(target)::BIGINT - start) > 0 OR (size = 0 AND start < target)
+            THEN """ + _position_sql("(CASE WHEN target > 0 THEN start / target ELSE 0 END)", "kind") + r""" END AS position
 FROM placed
 """
 
@@ -129,7 +145,7 @@ ORACLE["op7_url_rules"] = r"""
 WITH parts AS (
     SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 hosts AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM parts),
-places AS (SELECT page_id, lower(raw) AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
+places AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
 rules(rule, rhost, rpath, rverdict) AS (
     VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
