@@ -4,7 +4,13 @@ A rule is a regular expression over ``host + path`` together with literal
 tokens (runs of ``a-z0-9``) that every match must contain as whole tokens.
 Each rule is filed under the one of its tokens that is rarest in the URLs at
 hand; a URL's tokens fetch the rules filed under them, and only those run
-their regular expression. All of it is DataFrame functions.
+their regular expression. All of it is DataFrame functions. Rules come as
+``Rule`` objects or as a table of any size (columns of ``RULE_COLUMNS``, say
+from ``site_rules`` over a table of host/path texts). Rules without a token meet
+every URL; they are copied to ``SALTS`` keys, one of which each URL has.
+
+Only A-Z are lower-cased, in tokens as in hosts, and only a-z and 0-9 make
+tokens and words of hosts; any other character ends them.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path
 and gets the default verdict; of several fitting host/path rules the longest
@@ -31,6 +37,10 @@ SITE_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/
 BLOCKED_HOST_WORDS = ["ads", "casino", "lottery", "pills", "porn", "spam", "viagra", "warez", "xxx"]
 
 
+RULE_COLUMNS = ("rule_name", "regex", "rule_verdict", "weight", "tokens")
+SALTS = 64
+
+
 @dataclass(frozen=True)
 class Rule:
     """``tokens`` may be empty: such a rule is tried on every URL."""
@@ -48,8 +58,9 @@ def site_rule(text: str, verdict: str) -> Rule:
     host = host.translate(str.maketrans(UPPER, LOWER))
     whole = host + slash + rest
     # The last run of letters and digits may go on in the URL; others are whole tokens.
-    tokens = re.findall(r"[a-z0-9]+(?=[^a-z0-9])" if slash else r"[a-z0-9]+", whole.lower())
-    return Rule(text, r"^(?:[^/]*\.)?\Q" + whole + r"\E" + ("" if slash else "(?:/|$)"), verdict, tuple(tokens), len(text))
+    tokens = re.findall(r"[a-z0-9]+(?=[^a-z0-9])" if slash else r"[a-z0-9]+", whole.translate(str.maketrans(UPPER, LOWER)))
+    quoted = r"\Q" + whole.replace(r"\E", r"\E\\E\Q") + r"\E"  # a quote that the text itself ends goes on after it
+    return Rule(text, r"^(?:[^/]*\.)?" + quoted + ("" if slash else "(?:/|$)"), verdict, tuple(tokens), len(text))
 
 
 def host_word_rule(word: str) -> Rule:
@@ -77,9 +88,25 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def site_rules(table: DataFrame, text_col: str = "rule", verdict_col: str = "verdict") -> DataFrame:
+    """The rules of a table of host/path texts and verdicts, as ``site_rule`` makes them; null and empty texts are no
+    rules, a repeated text counts once, with its greatest verdict."""
+    table = table.filter(F.col(text_col) != "").groupBy(F.col(text_col).alias("rule_name")).agg(F.max(verdict_col).alias("rule_verdict"))
+    host = F.substring_index("rule_name", "/", 1)
+    slash = F.instr("rule_name", "/") > 0
+    whole = F.concat(F.translate(host, UPPER, LOWER), F.substr("rule_name", F.length(host) + 1))
+    lower = F.translate(whole, UPPER, LOWER)
+    quoted = F.concat(F.lit("\\Q"), F.replace(whole, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    return table.select(
+        "rule_name", F.concat(F.lit(r"^(?:[^/]*\.)?"), quoted, F.when(slash, "").otherwise("(?:/|$)")).alias("regex"), "rule_verdict",
+        F.length("rule_name").alias("weight"),
+        F.when(slash, F.regexp_extract_all(lower, F.lit("([a-z0-9]+)(?=[^a-z0-9])"))).otherwise(
+            F.regexp_extract_all(lower, F.lit("([a-z0-9]+)"))).alias("tokens"))
+
+
 def rule_index(rules: DataFrame, token_counts: DataFrame) -> DataFrame:
     """Each rule once, with the rarest of its tokens as ``token`` (ties: the
-    smallest; no token: the empty one, which every URL has)."""
+    smallest; no token: the empty one)."""
     tokens = rules.select("rule_name", F.explode("tokens").alias("token")).distinct()
     ranked = (tokens.join(token_counts, "token", "left")
               .groupBy("rule_name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("rarest")))
@@ -87,28 +114,31 @@ def rule_index(rules: DataFrame, token_counts: DataFrame) -> DataFrame:
             .select("rule_name", "regex", "rule_verdict", "weight", F.coalesce("rarest.token", F.lit("")).alias("token")))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule] | None = None, default: str = "allow",
+def judge_urls(pages: DataFrame, rules: Sequence[Rule] | DataFrame | None = None, default: str = "allow",
                id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, verdict, pattern.
 
     Verdicts are found for distinct (host, path) pairs, so a page that is
     linked a million times is judged once; the answer is joined back.
     """
-    rules = default_rules() if rules is None else list(rules)
+    rules = default_rules() if rules is None else rules
     host, path = url_parts(F.col(url_col))
     judged = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    if not rules:
+    if not isinstance(rules, DataFrame) and not rules:
         return judged.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"),
                              F.lit(None).cast("string").alias("pattern"))
     places = judged.select("host", "path").distinct()
-    token = F.explode(F.array_distinct(F.split(F.lower(F.concat("host", "path")), "[^a-z0-9]+")))
+    token = F.explode(F.array_distinct(F.split(F.translate(F.concat("host", "path"), UPPER, LOWER), "[^a-z0-9]+")))
     tokens = places.select("host", "path", token.alias("token"))
-    book = rule_table(pages.sparkSession, rules)
+    book = rules.select(*RULE_COLUMNS) if isinstance(rules, DataFrame) else rule_table(pages.sparkSession, rules)
     wanted = book.select(F.explode("tokens").alias("token")).distinct()
     counts = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     index = rule_index(book, counts)
-    # Splitting at either end leaves an empty token in most URLs; make it one in all.
-    fetched = (tokens.filter("token != ''").unionByName(places.withColumn("token", F.lit("")))
+    # The key of rules without a token is "/" and a number, which no token is.
+    salts = F.when(F.col("token") != "", F.array("token")).otherwise(F.array(*[F.lit(f"/{i}") for i in range(SALTS)]))
+    index = index.withColumn("token", F.explode(salts))
+    salted = places.withColumn("token", F.concat(F.lit("/"), F.pmod(F.xxhash64("host", "path"), F.lit(SALTS))))
+    fetched = (tokens.filter("token != ''").unionByName(salted)
                .join(index, "token").filter(F.expr("rlike(concat(host, path), regex)")))
     best = fetched.groupBy("host", "path").agg(
         F.max(F.when(F.col("weight") > 0, F.struct("weight", "rule_name", "rule_verdict"))).alias("site"),

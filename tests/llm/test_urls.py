@@ -51,3 +51,23 @@ def test_rarest_token(spark):
     rules = url_rules.rule_table(spark, [url_rules.site_rule("example.net/en/", "allow")])
     counts = spark.createDataFrame([("example", 9), ("net", 5), ("en", 7)], "token string, n long")
     assert url_rules.rule_index(rules, counts).first()["token"] == "net"
+
+
+def test_other_letters_end_tokens_and_words(spark):
+    got = judged(spark, ["http://ads\u212a.com/", "http://ads\u00e9.com/", "http://adsk.com/", "http://\u00c9.NET/"])
+    assert [got[i][0] for i in range(4)] == ["ads\u212a.com", "ads\u00e9.com", "adsk.com", "\u00c9.net"]
+    assert [got[i][3] for i in range(4)] == ["block", "block", "allow", "block"]
+
+
+def test_rules_from_a_table(spark):
+    texts = [*url_rules.SITE_RULES, ("Example.ORG/A\\Eb", "block"), ("com", "block"), ("example.com/en", "allow"), ("\u65e5\u672c/", "block")]
+    table = spark.createDataFrame([*texts, (None, "block"), ("", "block"), ("com", "allow")], "rule string, verdict string")
+    made = {r["rule_name"]: (r["regex"], r["rule_verdict"], r["weight"], tuple(r["tokens"])) for r in url_rules.site_rules(table).collect()}
+    own = [url_rules.site_rule(*x) for x in texts]
+    assert made == {r.name: (r.regex, r.verdict, r.weight, r.tokens) for r in own}
+    urls = [u for u, _ in CASES] + ["http://example.org/A\\Ebc", "http://x.com/", "http://x.com/english", "http://example.com/english",
+                                    "http://\u65e5\u672c/x"]
+    got = judged(spark, urls, rules=url_rules.site_rules(table))
+    assert got == judged(spark, urls, rules=own)
+    assert [got[len(CASES) + i][2] for i in range(5)] == ["Example.ORG/A\\Eb", "com", "com", "example.com/en", "\u65e5\u672c/"]
+    assert set(judged(spark, urls, rules=url_rules.site_rules(table.limit(0))).values()) >= {("a.net", "", None, "allow")}
