@@ -143,7 +143,11 @@ def knn_join(table: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: s
     book = spark.sparkContext.broadcast((p[cell_ids], radius, low_cell, low_distance, cell_ids, parts, leader))
 
     queries = placed.filter(is_query).select("vec_id", "v", "cell").distinct()
-    per_leader = math.ceil(max(1, n_queries) / len(leaders) / GROUP_ROWS)
+    # Every leader's queries are dealt to groups by their own number, so a cell with a third of them gives many groups.
+    led = np.zeros(len(leaders), np.int64)
+    for cell, n in queries.groupBy("cell").count().collect():  # MAX_PIVOTS rows at most
+        led[leader[cell]] += n
+    groups = F.element_at(F.create_map(*[F.lit(int(x)) for i, n in enumerate(led) for x in (i, max(1, -(-n // GROUP_ROWS)))]), F.col("leader"))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, _, _, _, _, leader = book.value
@@ -151,7 +155,7 @@ def knn_join(table: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: s
             g = leader[b.column(2).to_numpy()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(g)], ["query_id", "q", "leader"])
 
-    deal = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(per_leader)).cast("int")
+    deal = F.pmod(F.xxhash64("query_id", F.lit(1)), groups).cast("int")
     grouped = queries.mapInArrow(group, "query_id long, q binary, leader int").withColumn("deal", deal)
     grouped = materialize(grouped, "knn_queries")
 

@@ -47,3 +47,20 @@ def test_large_components_stay_exact():
     q = np.array([[2 ** 30, -3]])
     x = np.array([[2 ** 31, 5], [1, 1]])
     assert voronoi_knn.products(q, x).tolist() == [[2 ** 61 - 15, 2 ** 30 - 3]]
+
+
+def test_a_third_of_the_queries_in_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(voronoi_knn, "PART_ROWS", 64)
+    monkeypatch.setattr(voronoi_knn, "GROUP_ROWS", 8)
+    best = voronoi_knn.best_in_part
+
+    def bounded(q, x, ids, count):
+        assert len(q) <= 24
+        return best(q, x, ids, count)
+
+    monkeypatch.setattr(voronoi_knn, "best_in_part", bounded)
+    rng = random.Random(4)
+    rows = [(i, [1.0 + rng.gauss(0, 0.01)] * 4 if i % 3 == 0 else [rng.gauss(0, 3) for _ in range(4)]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = voronoi_knn.knn_join(frame, F.col("vec_id") % 5 == 0, k=4)
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == expected(rows, 4, 64)
