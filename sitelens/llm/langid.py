@@ -7,8 +7,8 @@ Features are the 1- to 3-grams of the lower-cased text, hashed into
 inverse document frequency. Document frequencies come from all training
 documents. The classifier itself is fitted on a bounded sample of them:
 about ``SAMPLE`` documents, spread evenly over all labels but at least
-``PER_LABEL`` for each (or all it has), and chosen by a hash of the id; of a sample
-document's buckets the ``MAX_TERMS`` heaviest count. A fifth of the sample
+``PER_LABEL`` for each (or all it has), and chosen by a hash of the id; all buckets of
+a sample document count (at most ``BUCKETS``, six bytes each on the driver). A fifth of the sample
 is kept from the fit and sets the temperature. Every prediction reads the
 whole text, and only the text.
 
@@ -37,7 +37,6 @@ SAMPLE = 4000
 PER_LABEL = 40
 #: More labels than there are languages: the column holds something else.
 MOST_LABELS = 10_000
-MAX_TERMS = 8192
 MIN_SCORE = 0.5
 UNDETERMINED = "und"
 _SCALE = 20.0  # keeps feature values near 1, so the penalties below fit
@@ -130,10 +129,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
                 counts = term_counts(t or "")
                 at = np.flatnonzero(counts)
                 x = (counts[at] / max(1, counts.sum()) * weights[at] * _SCALE).astype(np.float32)
-                if len(at) > MAX_TERMS:
-                    top = np.sort(np.argsort(-x, kind="stable")[:MAX_TERMS])
-                    at, x = at[top], x[top]
-                where.append(at.astype(np.uint32).tobytes())
+                where.append(at.astype(np.uint16).tobytes())
                 values.append(x.tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(where, pa.binary()), pa.array(values, pa.binary())],
                                              ["draw", "lang", "buckets", "vals"])
@@ -143,7 +139,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
             .mapInArrow(vectors, "draw long, lang string, buckets binary, vals binary").collect())
     number = {label: i for i, label in enumerate(labels)}
     rows.sort(key=lambda r: (r[0], r[1], bytes(r[2]), bytes(r[3])))
-    return labels, [(number[r[1]], np.frombuffer(r[2], np.uint32).astype(np.int64), np.frombuffer(r[3], np.float32)) for r in rows]
+    return labels, [(number[r[1]], np.frombuffer(r[2], np.uint16).astype(np.int64), np.frombuffer(r[3], np.float32)) for r in rows]
 
 
 def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], n_labels: int, epochs: int = 3, alpha: float = 0.5,
