@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import site
 import tempfile
@@ -118,10 +119,13 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Let Spark send this package to the executors, once per application, unless
-    their Python finds it anyway: installed, on PYTHONPATH, or in the working folder."""
+    their Python finds it anyway: it is installed, or a local master's workers find it
+    where the driver does. A cluster's executors need not have the driver's PYTHONPATH or working folder."""
     package = Path(__file__).resolve().parents[1]
     root = str(package.parent)
-    found = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages()]
+    found = site.getsitepackages()
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        found += [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
     app = spark.sparkContext.applicationId
     if app in _SHIPPED or root in {os.path.realpath(p) for p in found if p}:
         return
