@@ -3,7 +3,7 @@
 A line's place in a tree of fixed depth is its number of tokens and its first
 ``LEAD`` tokens, tokens with digits masked. Within such a leaf a token is
 constant at its position if enough texts have the very same one there (digits
-included); all other tokens are
+included; a text counts once for each different line); all other tokens are
 variable fields, shown as ``<*>``. The tokens so generalised are the line's
 template. A template of which enough tokens are constant and which enough
 different texts share recurs, and its lines are dropped from all documents.

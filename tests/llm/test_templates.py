@@ -1,3 +1,7 @@
+import random
+import re
+from collections import defaultdict
+
 import pytest
 from conftest import AWKWARD
 
@@ -89,3 +93,69 @@ def test_half_of_a_template_may_be_fields(spark, frame):
 def test_same_digits_are_constant(spark, frame):
     rows = [(i, f"{body(i)}\nCopyright 2024 Example Inc page {'abcdefgh'[i]}") for i in range(8)]  # 5 of 6 with the year, 4 without
     assert all(r["text"] == body(i) for i, r in run(spark, frame, rows).items())
+
+
+def brute(rows, least=5):
+    """The method on lists: the kept text and the number of dropped lines of each row."""
+    lines = lambda text: [x.strip(" ") for x in text.split("\n")]
+    leaf = lambda line: (line.count(" "), re.sub(r"\S*[0-9]\S*", "<*>", " ".join(line.split(" ")[:3])))
+    held = defaultdict(set)  # the texts of each line
+    for _, text in rows:
+        for line in lines(text) if text is not None else ():
+            held[line].add(text)
+    held.pop("", None)
+    seen = defaultdict(int)
+    for line, texts in held.items():
+        for at, token in enumerate(line.split(" ")):
+            seen[leaf(line), at, token] += len(texts)
+    template, shared = {}, defaultdict(set)
+    for line, texts in held.items():
+        tokens = line.split(" ")
+        shown = [t if seen[leaf(line), at, t] >= least else None for at, t in enumerate(tokens)]
+        constant = sum(t is not None for t in shown)
+        if constant >= 2 and 2 * constant >= len(tokens):
+            template[line] = (leaf(line), *shown)
+            shared[template[line]] |= texts
+    template = {x: t for x, t in template.items() if len(shared[t]) >= least}
+    template |= {x: (x,) for x, texts in held.items() if len(texts) >= least and x not in template}
+    carrier = {}
+    for doc_id, text in rows:
+        for line in lines(text) if text is not None else ():
+            if line in template:
+                t = template[line]
+                carrier[t] = min(carrier.get(t, (True, 0)), (doc_id is None, doc_id or 0))
+    out = []
+    for doc_id, text in rows:
+        goes = [x in template and carrier[template[x]] != (doc_id is None, doc_id or 0) for x in lines(text)] if text is not None else []
+        kept = None if text is None else "\n".join(x for x, gone in zip(text.split("\n"), goes) if not gone)
+        out.append((str(doc_id), str(kept), len(goes), sum(goes)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_recurring_lines_equal_brute_force(spark, frame, seed):
+    rng = random.Random(seed)
+    words = [a + b for a in "abcdefgh" for b in "stuvwxyz"]
+    forms = ["Page {} of {} printed", "Posted by {} on day {}", "{} {} all rights reserved", "Copyright 2024 {}", "So be.", "view {} {} {}", " trim me {} "]
+
+    def line():
+        if rng.random() < 0.5:
+            return " ".join(rng.choices(words, k=rng.randint(1, 6)))
+        return rng.choice(forms).format(*(rng.choice([rng.choice(words), str(rng.randint(0, 12))]) for _ in range(3)))
+
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(0, 8)))) for i in range(60)]
+    rows += [(100 + i, rows[0][1]) for i in range(8)] + [(None, rows[3][1] + "\nSo be."), (200, None), (201, ""), (202, "\n\n")]
+    got = line_templates.drop_all_recurring_lines(frame(rows)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_dropped"]) for r in got) == brute(rows)
+
+
+def test_all_lines_of_awkward_rows_and_an_empty_table(spark, frame):
+    got = line_templates.drop_all_recurring_lines(frame(AWKWARD)).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in got) == sorted(str(x) for x in AWKWARD)
+    assert line_templates.drop_all_recurring_lines(frame([])).count() == 0
+
+
+def test_a_very_long_line_recurs_too(spark, frame):
+    long = "token " * 50_000 + "end"
+    got = drop_all(spark, frame, [(i, f"{body(i)}\n{long}") for i in range(6)])
+    assert got[0]["n_dropped"] == 0 and all(got[i]["text"] == body(i) for i in range(1, 6))
