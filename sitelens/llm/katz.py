@@ -55,8 +55,9 @@ END = np.uint64(0xA4D6E1F20B3C5D79)
 
 @dataclass
 class Katz:
-    """words: (bucket, word, n, log_p, total, log_alpha); bigrams: (bucket, pair, n);
-    both partitioned by bucket. discounts: d(c) of words and of bigrams for c up
+    """words: (bucket, word, n, log_p, total, log_alpha); bigrams: (bucket, pairs,
+    counts), a row for each bucket that holds its sorted keys and their counts
+    packed; both partitioned by bucket. discounts: d(c) of words and of bigrams for c up
     to MAX_DISCOUNTED; over: what a word's discounted count is divided by."""
 
     words: DataFrame
@@ -240,15 +241,19 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
         # Bigrams too rare to keep are told by their number alone.
         rare = np.bincount(n[~keep], minlength=min_count)
         rare_at = np.flatnonzero(rare)
+        left, right, n = left[keep], right[keep], n[keep]
         out = pd.DataFrame({
-            "bucket": part["bucket"].iloc[0], "context": np.append(left[keep].view(np.int64), np.zeros(len(rare_at), np.int64)),
-            "word": np.append(right[keep].view(np.int64), np.zeros(len(rare_at), np.int64)),
-            "pair": np.append(pair_key(left[keep], right[keep]).view(np.int64), np.zeros(len(rare_at), np.int64)),
-            "n": np.append(n[keep], rare_at), "kinds": np.append(np.ones(keep.sum(), np.int64), rare[rare_at])})
+            "bucket": part["bucket"].iloc[0], "context": np.append(left.view(np.int64), np.zeros(len(rare_at), np.int64)),
+            "word": np.append(right.view(np.int64), np.zeros(len(rare_at), np.int64)),
+            "n": np.append(n, rare_at), "kinds": np.append(np.ones(len(n), np.int64), rare[rare_at]), "pairs": None, "counts": None})
+        # The bucket's part of the model goes packed with its first row.
+        keys = pair_key(left, right)
+        order = np.argsort(keys, kind="stable")
+        out.at[0, "pairs"], out.at[0, "counts"] = pack_sorted(keys[order]), planes(n[order])
         return out
 
     grams = (texts.mapInArrow(pairs, "bucket long, book binary, context binary, word binary, n binary").groupBy("bucket")
-             .applyInPandas(add, "bucket long, context long, word long, pair long, n long, kinds long"))
+             .applyInPandas(add, "bucket long, context long, word long, n long, kinds long, pairs binary, counts binary"))
     grams = staged(grams, "katz_grams", batch_rows=DOCUMENT_ROWS)
     kinds = {r["n"]: r["kinds"] for r in grams.filter(few).groupBy("n").agg(F.sum("kinds").alias("kinds")).collect()}
     d2 = _good_turing(kinds, min_count)
@@ -266,7 +271,7 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
              .select(F.shiftright(upper * bucket, 32).alias("bucket"), "word", F.coalesce("n", F.lit(0)).alias("n"),
                      "log_p", "total", F.coalesce("log_alpha", F.lit(0.0)).alias("log_alpha")))
     words_table = staged(table.repartition("bucket"), "katz_unigrams", ["bucket"])
-    pairs_table = staged(kept.select("bucket", "pair", "n").repartition("bucket"), "katz_bigrams", ["bucket"])
+    pairs_table = staged(grams.filter("pairs IS NOT NULL").select("bucket", "pairs", "counts"), "katz_bigrams", ["bucket"])
     discard(counted, grams)
     return Katz(words_table, pairs_table, buckets, tokens, types, float(np.log10(1 - used / over)) if over else 0.0,
                 float(over), d1, d2)
@@ -319,8 +324,8 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
         return at, table[at] == keys if len(table) else np.zeros(len(keys), bool)
 
     def answer_pairs(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        table = table.iloc[np.argsort(table["pair"].to_numpy().view(np.uint64))]
-        own, n = table["pair"].to_numpy().view(np.uint64), table["n"].to_numpy()
+        own = np.concatenate([np.zeros(0, np.uint64), *map(unpack_sorted, table["pairs"])])
+        n = np.concatenate([np.zeros(0, np.int64), *(unplanes(x, np.int64) for x in table["counts"])])
         out = []
         for keys in asked["keys"]:
             at, there = found(own, keys)
@@ -341,7 +346,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                 out[c].append(planes(values.view(np.int64)))
         return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], **out})
 
-    pair_answers = staged(asks(True).groupBy("bucket").cogroup(model.bigrams.select("bucket", "pair", "n").groupBy("bucket"))
+    pair_answers = staged(asks(True).groupBy("bucket").cogroup(model.bigrams.groupBy("bucket"))
                           .applyInPandas(answer_pairs, "chunk long, bucket long, n binary"), "katz_pair_answers")
     word_answers = staged(asks(False).groupBy("bucket").cogroup(model.words.select("bucket", "word", "n", "total", "log_alpha").groupBy("bucket"))
                           .applyInPandas(answer_words, "chunk long, bucket long, n binary, more binary, log_alpha binary"),
