@@ -3,12 +3,13 @@
 A document is its set of distinct word shingles; two documents link when
 100 * |intersection| >= threshold * |union|. The shingles are hashed into
 groups, and a set's point holds how many of its shingles fall in each. A set
-has 32 groups, or more if it is larger (one for 4 to 8 shingles), up to
+has 64 groups, or more if it is larger (one for 2 to 4 shingles), up to
 ``MOST_GROUPS``; groups are nested, so points of different size classes are
 compared by adding up the finer one's groups. The coordinate minima of two points, summed, are an upper bound of the
 intersection, of two bounding boxes' upper corners an upper bound for all
 pairs in them: an R-tree over the points skips box pairs whose bound is too
-low, and only surviving pairs are compared shingle by shingle.
+low (with half the groups, the points then with all), and only surviving
+pairs are compared shingle by shingle.
 
 Which points meet in one tree: sets that can link share one of their rarest
 shingles (a set's ``size - ceil(threshold * size) + 1`` rarest cannot all be missing from a
@@ -20,7 +21,8 @@ use the same order.
 Large groups of near copies: each set is first compared with one pivot, the
 smallest holder of most of its rare shingles, then (where many
 sets hold a shingle and are not yet connected) with a few other pivots drawn
-by a hash, at most ``_STAR_PIVOTS`` a set. A shingle whose holders are all in one component needs no more comparisons; the
+by a hash, at most ``_STAR_PIVOTS`` a set. Sets that linked with most of these
+are centres; the sets still not connected are compared with as many of them. A shingle whose holders are all in one component needs no more comparisons; the
 trees only look for pairs between different components. A holder for which no
 other is of a fitting size is left out. Shingles with very many holders are
 dealt to several trees, a tree for each pair of parts.
@@ -58,7 +60,7 @@ from pyspark.sql import functions as F
 from sitelens.llm.graph import components
 from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
 
-LEAST_GROUPS, MOST_GROUPS = 32, 4096
+LEAST_GROUPS, MOST_GROUPS = 64, 8192
 LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
 FREQUENCIES = 1 << 16
 LEAF = 32
@@ -67,6 +69,8 @@ _TREE_ROWS = 2000
 _SHARED_ROWS = 1000
 #: Pivots that a set is compared with in the second round, and the holders a shingle must have for it.
 _STAR_PIVOTS, _STAR_HOLDERS = 5, 8
+#: A set that links with so many of its pivots is a centre.
+_CENTRE_LINKS = 3
 #: Sets of a part of a component and, but for a single larger set, about how many shingles they have.
 _PART_SETS, _PART_SHINGLES = 512, 1 << 20
 _OVERLAP_COLUMNS = 4096
@@ -118,12 +122,12 @@ def rarest(grams: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def level_of(n: int) -> int:
-    """The size class of a set: the first whose largest size, 8 * LEAST_GROUPS << level, is not below it."""
-    return min(LEVELS, ((max(n, 1) - 1) // (8 * LEAST_GROUPS)).bit_length())
+    """The size class of a set: the first whose largest size, 4 * LEAST_GROUPS << level, is not below it."""
+    return min(LEVELS, ((max(n, 1) - 1) // (4 * LEAST_GROUPS)).bit_length())
 
 
 def level_column(n: Column) -> Column:
-    return sum(((n > (8 * LEAST_GROUPS << i)).cast("int") for i in range(LEVELS)), F.lit(0))
+    return sum(((n > (4 * LEAST_GROUPS << i)).cast("int") for i in range(LEVELS)), F.lit(0))
 
 
 def point(grams: np.ndarray) -> np.ndarray:
@@ -131,9 +135,23 @@ def point(grams: np.ndarray) -> np.ndarray:
     return np.bincount((grams >> np.uint64(32)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
 
 
-def folded(counts: bytes, groups: int) -> np.ndarray:
+def packed(counts: np.ndarray) -> bytes:
+    """A point as bytes: two counts a byte where all are below 16, else four bytes a count."""
+    if counts.max() > 15:
+        return b"\1" + counts.astype(np.int32).tobytes()
+    return b"\0" + (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+
+
+def unpacked(counts: bytes) -> np.ndarray:
+    if counts[0]:
+        return np.frombuffer(counts, np.int32, offset=1)
+    both = np.frombuffer(counts, np.uint8, offset=1)
+    return np.stack([both & 15, both >> 4], 1).ravel().astype(np.int32)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """A point with its groups added up to ``groups``."""
-    return np.frombuffer(counts, np.int32).reshape(-1, groups).sum(0, dtype=np.int32)
+    return counts.reshape(-1, groups).sum(0, dtype=np.int32)
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt: bytes) -> DataFrame:
@@ -151,7 +169,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt:
                 n.append(len(g))
                 sid.append(int.from_bytes(d[:8], "little", signed=True))
                 check.append(int.from_bytes(d[8:], "little", signed=True))
-                counts.append(point(g).tobytes())
+                counts.append(packed(point(g)))
                 every.append((g & np.uint64(FREQUENCIES - 1)).astype(np.int32))
             for g in every:
                 seen += np.bincount(g, minlength=FREQUENCIES) if len(g) > 20000 else 0
@@ -216,7 +234,8 @@ def within_bound(pairs: DataFrame, threshold: int) -> DataFrame:
             for na, ca, nb, cb in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
                 fits = 100 * min(na, nb) >= threshold * max(na, nb)
                 if fits:
-                    groups = min(len(ca), len(cb)) // 4
+                    ca, cb = unpacked(ca), unpacked(cb)
+                    groups = min(len(ca), len(cb))
                     shared = int(np.minimum(folded(ca, groups), folded(cb, groups)).sum())
                     fits = shared * (100 + threshold) >= (na + nb) * threshold
                 keep.append(fits)
@@ -286,11 +305,14 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
         sid, root, own = part["sid"].to_numpy(), part["root"].to_numpy(), part["own_level"].to_numpy()
         level, found = part["level"].iloc[0], [np.zeros((0, 2), np.int64)]
         if len(set(root)) > 1 and (own == level).any():
-            points = np.array([folded(c, LEAST_GROUPS << level) for c in part["counts"]])
+            points, sizes = np.array([folded(unpacked(c), LEAST_GROUPS << level) for c in part["counts"]]), part["n"].to_numpy()
+            coarse = points.reshape(len(points), 2, -1).sum(1)
             here, trees = part["tree_a"].iloc[0], [frozenset(t) for t in part["trees"]]
-            for i, j in Tree(points, part["n"].to_numpy(), threshold).pairs():
+            for i, j in Tree(coarse, sizes, threshold).pairs():
                 keep = (root[i] != root[j]) & ((own[i] == level) | (own[j] == level))
                 i, j = i[keep], j[keep]
+                keep = np.minimum(points[i], points[j]).sum(1) * (100 + threshold) >= (sizes[i] + sizes[j]) * threshold
+                i, j = i[keep], j[keep]
                 first = np.array([min(trees[x] & trees[y]) == here for x, y in zip(i.tolist(), j.tolist())], bool)
                 found.append(np.stack([sid[i][first], sid[j][first]], 1))
         both = np.concatenate(found)
@@ -461,20 +483,40 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pivots = shared.filter("sid <> pivot").groupBy("sid").agg(F.mode("pivot", deterministic=True).alias("pivot"))
     links = linked(pivots.select(*pairs_of("sid", "pivot")).distinct())
     first_rows, open_keys = rooted(links)
-    rows = first_rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
     seeds = range(_STAR_PIVOTS)
-    picks = rows.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
-    own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
-        F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
-    star = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
-    second = linked(star.select(*pairs_of("sid", "pick.sid")).distinct())
-    discard(first_rows)
+
+    def star(rows: DataFrame, heads: DataFrame) -> DataFrame:
+        """(sid, a, b): sets with some of ``heads`` that hold a shingle of theirs and are of other components."""
+        picks = heads.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("sid", F.lit(i)), "sid", "root")).alias(f"pick{i}") for i in seeds])
+        own = rows.join(picks, "key").groupBy("sid", "root").agg(*[
+            F.min(F.when(F.col(f"pick{i}.root") != F.col("root"), F.col(f"pick{i}"))).alias(f"pick{i}") for i in seeds])
+        picked = own.select("sid", F.explode(F.array(*[f"pick{i}" for i in seeds])).alias("pick")).filter("pick IS NOT NULL")
+        return staged(picked.select("sid", *pairs_of("sid", "pick.sid")).distinct(), "jaccard_star")
+
+    def many_held(rows: DataFrame, open_keys: DataFrame) -> DataFrame:
+        return rows.join(open_keys.filter(F.col("holders") >= _STAR_HOLDERS).select("key"), "key")
+
+    rows = many_held(first_rows, open_keys)
+    drawn = star(rows, rows)
+    second = linked(drawn.select("a", "b").distinct())
+    centres = staged(drawn.join(second, ["a", "b"]).groupBy("sid").count().filter(F.col("count") >= _CENTRE_LINKS).select("sid"),
+                     "jaccard_centres")
+    discard(first_rows, drawn)
     both = staged(links.unionByName(second).distinct(), "jaccard_links")
     discard(links, second)
     links = both
 
     root_rows, open_keys = rooted(links)
-    discard(shared)
+    if not centres.isEmpty():
+        rows = many_held(root_rows, open_keys)
+        drawn = star(rows, rows.join(centres, "sid"))
+        third = linked(drawn.select("a", "b").distinct())
+        discard(root_rows, drawn)
+        both = staged(links.unionByName(third).distinct(), "jaccard_links")
+        discard(links, third)
+        links = both
+        root_rows, open_keys = rooted(links)
+    discard(shared, centres)
     rows = root_rows.join(open_keys, "key")
     by_size = Window.partitionBy("key").orderBy("n")
     several = F.col("holders") > 2  # of two holders, the smaller one must have the shingle among its first

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import AWKWARD
 
@@ -108,3 +109,29 @@ def test_links_equal_all_pairs(spark, frame, monkeypatch, part_sets):
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in got) == sorted(
         (str(d), len(s), n) for (d, _), s, n in zip(rows, sets, want))
     assert max(want) > 20
+
+
+def test_copies_around_a_centre_need_no_pairs(spark, frame, monkeypatch):
+    """Copies of one text that link with it, but few with each other."""
+    words = [f"v{i}" for i in range(150)]
+    rows = [(0, " ".join(words))]
+    for k in range(1, 101):
+        own = list(words)
+        at = 4 + 6 * (k % 23)  # two copies with other places share 135 of 159 shingles
+        own[at], own[at + 2] = f"x{k}", f"y{k}"
+        rows.append((k, " ".join(own)))
+    compared, verified = [], jaccard_rtree.verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(jaccard_rtree, "verified", counted)
+    got = jaccard_rtree.jaccard_components(frame(rows)).select("doc_id", "component_id").collect()
+    assert {tuple(r) for r in got} == {(k, 0) for k in range(101)}
+    assert sum(compared) < 12 * len(rows), compared
+
+
+def test_packed_points():
+    for counts in (np.arange(64) % 16, np.arange(64), np.zeros(64, np.int64), np.full(8192, 70_000)):
+        assert np.array_equal(jaccard_rtree.unpacked(jaccard_rtree.packed(counts.astype(np.int32))), counts)
