@@ -3,12 +3,12 @@
 A document is its set of distinct word shingles; two documents link when
 100 * |intersection| >= threshold * |union|. The shingles are hashed into
 groups, and a set's point holds how many of its shingles fall in each. A set
-has 64 groups, or more if it is larger (one for 2 to 4 shingles), up to
+has 256 groups, or more if it is larger (one for each shingle or two), up to
 ``MOST_GROUPS``; groups are nested, so points of different size classes are
 compared by adding up the finer one's groups. The coordinate minima of two points, summed, are an upper bound of the
 intersection, of two bounding boxes' upper corners an upper bound for all
 pairs in them: an R-tree over the points skips box pairs whose bound is too
-low (with half the groups, the points then with all), and only surviving
+low (with an eighth of the groups, for the largest sets half; the points then with all), and only surviving
 pairs are compared shingle by shingle.
 
 Which points meet in one tree: sets that can link share one of their rarest
@@ -62,6 +62,8 @@ from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
 
 LEAST_GROUPS, MOST_GROUPS = 64, 8192
 LEVELS = (MOST_GROUPS // LEAST_GROUPS).bit_length() - 1
+#: Times the groups of a size class that its points have, up to ``MOST_GROUPS``; trees have half of the class's groups.
+FINE = 4
 FREQUENCIES = 1 << 16
 LEAF = 32
 _TREE_ROWS = 2000
@@ -130,8 +132,12 @@ def level_column(n: Column) -> Column:
     return sum(((n > (4 * LEAST_GROUPS << i)).cast("int") for i in range(LEVELS)), F.lit(0))
 
 
+def groups_of(level: int) -> int:
+    return min(FINE * LEAST_GROUPS << level, MOST_GROUPS)
+
+
 def point(grams: np.ndarray) -> np.ndarray:
-    groups = LEAST_GROUPS << level_of(len(grams))
+    groups = groups_of(level_of(len(grams)))
     return np.bincount((grams >> np.uint64(32)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
 
 
@@ -154,6 +160,23 @@ def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(-1, groups).sum(0, dtype=np.int32)
 
 
+def matrix(packed_points: list[bytes], groups: int, sizes: np.ndarray) -> np.ndarray:
+    """Points as rows of ``groups`` counts, in integers that hold their sums."""
+    out = np.empty((len(packed_points), groups), np.uint16 if sizes.max() < 1 << 16 else np.int32)
+    kinds = np.array([len(p) if p[0] == 0 else 0 for p in packed_points])
+    for kind in np.unique(kinds):
+        rows = np.flatnonzero(kinds == kind)
+        if kind:  # unpacked and folded together
+            both = np.frombuffer(b"".join([packed_points[i] for i in rows]), np.uint8).reshape(len(rows), kind)[:, 1:]
+            counts = np.empty((len(rows), 2 * both.shape[1]), np.uint8)
+            counts[:, ::2], counts[:, 1::2] = both & 15, both >> 4
+            out[rows] = counts.reshape(len(rows), -1, groups).sum(1, dtype=out.dtype) if counts.shape[1] > groups else counts
+        else:
+            for i in rows:
+                out[i] = folded(unpacked(packed_points[i]), groups)
+    return out
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int, salt: bytes) -> DataFrame:
     """Rows of documents (doc_id, n, sid, check, text_hash, counts), and after
     each task's documents its shingle counts (bucket, seen)."""
@@ -251,6 +274,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, threshold: int):
         self.points, self.sizes, self.threshold = points, sizes, threshold
+        self.by_group = np.ascontiguousarray(points.T)
         self.boxes: list[tuple] = []  # (upper corner, least size, largest size, children or rows)
         self.root = self._build(np.arange(len(points)))
 
@@ -274,7 +298,7 @@ class Tree:
         while todo:
             x, y = todo.pop()
             (hi_x, least_x, most_x, below_x), (hi_y, least_y, most_y, below_y) = self.boxes[x], self.boxes[y]
-            if (np.minimum(hi_x, hi_y).sum() * (100 + threshold) < (least_x + least_y) * threshold
+            if (np.minimum(hi_x, hi_y).sum(dtype=np.int64) * (100 + threshold) < (least_x + least_y) * threshold
                     or 100 * most_x < threshold * least_y or 100 * most_y < threshold * least_x):
                 continue
             inner_x, inner_y = isinstance(below_x, tuple), isinstance(below_y, tuple)
@@ -286,7 +310,7 @@ class Tree:
                 todo += [(x, below_y[0]), (x, below_y[1])]
             else:
                 a, b = self.sizes[below_x][:, None], self.sizes[below_y][None, :]
-                shared = np.minimum(self.points[below_x][:, None, :], self.points[below_y][None, :, :]).sum(-1)
+                shared = np.minimum(self.by_group[:, below_x, None], self.by_group[:, None, below_y]).sum(0, dtype=self.points.dtype).astype(np.int64)
                 fits = ((shared * (100 + threshold) >= (a + b) * threshold)
                         & (100 * np.minimum(a, b) >= threshold * np.maximum(a, b)))
                 i, j = np.nonzero(fits)
@@ -305,15 +329,16 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
         sid, root, own = part["sid"].to_numpy(), part["root"].to_numpy(), part["own_level"].to_numpy()
         level, found = part["level"].iloc[0], [np.zeros((0, 2), np.int64)]
         if len(set(root)) > 1 and (own == level).any():
-            points, sizes = np.array([folded(unpacked(c), LEAST_GROUPS << level) for c in part["counts"]]), part["n"].to_numpy()
-            coarse = points.reshape(len(points), 2, -1).sum(1)
-            here, trees = part["tree_a"].iloc[0], [frozenset(t) for t in part["trees"]]
+            sizes = part["n"].to_numpy()
+            points = matrix(part["counts"].tolist(), groups_of(level), sizes)
+            coarse = points.reshape(len(points), -1, LEAST_GROUPS // 2 << level).sum(1, dtype=points.dtype)
+            here, trees = part["tree_a"].iloc[0], part["trees"].tolist()
             for i, j in Tree(coarse, sizes, threshold).pairs():
                 keep = (root[i] != root[j]) & ((own[i] == level) | (own[j] == level))
                 i, j = i[keep], j[keep]
-                keep = np.minimum(points[i], points[j]).sum(1) * (100 + threshold) >= (sizes[i] + sizes[j]) * threshold
+                keep = np.minimum(points[i], points[j]).sum(1, dtype=np.int64) * (100 + threshold) >= (sizes[i] + sizes[j]) * threshold
                 i, j = i[keep], j[keep]
-                first = np.array([min(trees[x] & trees[y]) == here for x, y in zip(i.tolist(), j.tolist())], bool)
+                first = np.array([min(set(trees[x]) & set(trees[y])) == here for x, y in zip(i.tolist(), j.tolist())], bool)
                 found.append(np.stack([sid[i][first], sid[j][first]], 1))
         both = np.concatenate(found)
         return pd.DataFrame({"a": np.minimum(both[:, 0], both[:, 1]), "b": np.maximum(both[:, 0], both[:, 1])})

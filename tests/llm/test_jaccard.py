@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import AWKWARD
 
@@ -135,3 +136,30 @@ def test_copies_around_a_centre_need_no_pairs(spark, frame, monkeypatch):
 def test_packed_points():
     for counts in (np.arange(64) % 16, np.arange(64), np.zeros(64, np.int64), np.full(8192, 70_000)):
         assert np.array_equal(jaccard_rtree.unpacked(jaccard_rtree.packed(counts.astype(np.int32))), counts)
+
+
+def test_points_as_a_matrix():
+    counts = [np.arange(64) % 16, np.arange(128) % 16, np.arange(64) * 30, np.arange(256) % 3]
+    packed = [jaccard_rtree.packed(c.astype(np.int32)) for c in counts]
+    for largest in (60_000, 70_000):
+        got = jaccard_rtree.matrix(packed, 64, np.array([largest] * 4))
+        assert [r.tolist() for r in got] == [jaccard_rtree.folded(c, 64).tolist() for c in counts]
+
+
+def test_sets_below_the_threshold_are_no_candidates():
+    """Sets of 180 shingles of which two share 163 are mostly told apart by their points."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 63, 163, dtype=np.uint64)
+    counts = [jaccard_rtree.packed(jaccard_rtree.point(np.concatenate([common, rng.integers(0, 1 << 63, 17, dtype=np.uint64)])))
+              for _ in range(60)]
+    part = pd.DataFrame({"tree_a": 7, "tree_b": -1, "tree_c": 0, "level": 0, "sid": range(60), "root": range(60), "own_level": 0,
+                         "n": 180, "counts": counts, "trees": [[7]] * 60})
+
+    class Members:
+        def groupBy(self, *keys):
+            return self
+
+        def applyInPandas(self, run, schema):
+            return run(part)
+
+    assert len(jaccard_rtree.tree_pairs(Members(), 85)) < 400  # of 1770
