@@ -8,7 +8,7 @@ piece's leftmost pair of minimum rank, and ends where no pair is left. The
 merge table holds, for each token, every way to cut it into two tokens, which
 is the rule the public rank files are meant for: a pair may merge if its
 bytes are a token, the lowest rank first. Decoding joins token rows with the
-vocabulary and concatenates bytes in order by an ordered aggregate.
+vocabulary and orders them by place; their bytes then stand one after the other.
 
 A piece longer than ``LONG_PIECE`` bytes (a run of dashes, a word without
 spaces) is first cut wherever two neighbouring bytes stand side by side in no
@@ -62,9 +62,9 @@ WITH RECURSIVE state(step, piece, pos, tok) AS (
            CASE WHEN s.pos = p.pick % {_SPAN} THEN (p.pick // {_SPAN})::INTEGER ELSE s.tok END
     FROM state s JOIN pairs p ON p.piece = s.piece
     WHERE s.pos <> p.pick % {_SPAN} + 1))
-SELECT piece, pos, tok FROM state
-QUALIFY step = max(step) OVER (PARTITION BY piece)
-ORDER BY piece, pos
+SELECT s.piece, s.pos, s.tok FROM state s
+JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) last ON last.piece = s.piece AND last.step = s.step
+ORDER BY s.piece, s.pos
 """
 
 _LONG_STEP = """
@@ -81,8 +81,7 @@ WHERE NOT EXISTS (SELECT 1 FROM taken x WHERE x.piece = s.piece AND x.pos = s.po
 """
 
 _DECODE = """
-SELECT t.row, array_to_string(list(v.bytes ORDER BY t.pos), '') AS bytes
-FROM tokens t JOIN vocabulary v ON v.tok = t.tok GROUP BY t.row
+SELECT t.pos, v.bytes FROM tokens t JOIN vocabulary v ON v.tok = t.tok ORDER BY t.pos
 """
 
 
@@ -117,8 +116,7 @@ class Codec:
         for t in ranks:
             inner = np.frombuffer(t, np.uint8)
             self.beside[inner[:-1], inner[1:]] = True
-        # A token's bytes as the 256 first code points, so that any bytes make a string.
-        self._table("vocabulary", ["tok", "bytes"], [np.array(list(ranks.values()), np.int32), [t.decode("latin-1") for t in ranks]])
+        self._table("vocabulary", ["tok", "bytes"], [np.array(list(ranks.values()), np.int32), pa.array(list(ranks), pa.binary())])
 
     def _table(self, name: str, columns: list[str], values: list) -> None:
         self.db.register("given", pa.table(dict(zip(columns, values))))
@@ -184,11 +182,18 @@ class Codec:
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
         sizes = np.array([len(r) for r in rows], np.int64)
         flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        self.db.register("tokens", pa.table({"row": np.repeat(np.arange(len(rows), dtype=np.int32), sizes),
-                                             "pos": np.arange(len(flat), dtype=np.int64), "tok": flat.astype(np.int32)}))
-        got = dict(self.db.execute(_DECODE).fetchall())
+        self.db.register("tokens", pa.table({"pos": np.arange(len(flat), dtype=np.int64), "tok": flat.astype(np.int32)}))
+        got = self.db.execute(_DECODE).to_arrow_table().combine_chunks()
         self.db.unregister("tokens")
-        return [got.get(i, "").encode("latin-1") for i in range(len(rows))]
+        if not len(got):
+            return [b""] * len(rows)
+        column = got.column("bytes").chunk(0).cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+        # An array's values stand one after the other: a row's bytes are those from its first token's to its last one's.
+        at = offsets[np.searchsorted(got.column("pos").to_numpy(), np.concatenate([[0], np.cumsum(sizes)]))].tolist()
+        data = memoryview(data)
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
 
 
 _CODECS: dict[tuple[int, str], tuple[object, Codec]] = {}

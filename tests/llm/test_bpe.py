@@ -70,3 +70,9 @@ def test_empty_table(spark, frame):
 def test_a_vocabulary_must_have_all_bytes():
     with pytest.raises(ValueError):
         bpe_sql.Codec({b"a": 0}, public_tokenizers.PATTERN)
+
+
+def test_rows_without_tokens_decode_to_nothing():
+    codec = bpe_sql.Codec(bpe_sql.read_vocabulary(PATH), public_tokenizers.PATTERN)
+    for rows in ([], [""], ["", "é\x00 a", "", "", "日本 語", ""]):
+        assert codec.decode(codec.encode(rows)) == [t.encode() for t in rows]
