@@ -36,12 +36,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sitelens.llm.textops import as_bytes, discard, id_type, mix64, staged
+from sitelens.llm.textops import as_bytes, as_strings, discard, id_type, mix64, staged
 
 MAX_DISCOUNTED = 5
 MIN_COUNT = 1
@@ -107,11 +108,6 @@ def _slices(sorted_keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]
 
 
 # ---------------------------------------------------------------- chunks
-def _words(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), END)
-
-
 @dataclass
 class Chunk:
     vocabulary: np.ndarray  # sorted distinct words
@@ -120,9 +116,19 @@ class Chunk:
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Chunk:
-        rows = [_words(t) for t in texts]
-        vocabulary, tokens = np.unique(np.concatenate(rows), return_inverse=True)
-        return cls(vocabulary, tokens.astype(np.int32), np.array([len(r) for r in rows], np.int64))
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(as_strings(texts)))
+        words = parts.flatten().dictionary_encode()
+        known = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        code, row = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), parts.value_lengths().to_numpy())
+        # Each distinct word is hashed once; words of one hash are one word.
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+        blank = pc.index(words.dictionary, "").as_py()
+        if blank >= 0:  # what the split finds beside white space at a text's ends
+            code, row, hashes[blank] = code[code != blank], row[code != blank], END
+        vocabulary, place = np.unique(np.append(hashes, END), return_inverse=True)
+        tokens = np.full(len(code) + len(texts), place[-1], np.int32)
+        tokens[np.arange(len(code)) + row] = place[code]
+        return cls(vocabulary, tokens, np.bincount(row, minlength=len(texts)) + 1)
 
     def first(self) -> np.ndarray:
         """Whether each token begins a document."""
@@ -141,12 +147,22 @@ class Chunk:
         left, right, of = self.pairs()
         known = np.append(self.vocabulary, START)  # -1 is the last place
         keys = pair_key(known[left], known[right])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         return keys[order], known[left][order], known[right][order], right[order], rank[of]
 
 
+def _together(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """An order in which equal pairs of hashes are neighbours."""
+    upper = (left >> np.uint64(32) << np.uint64(32)) | (right >> np.uint64(32))
+    order = np.argsort(upper)
+    x, y, z = upper[order], left[order], right[order]
+    if ((x[1:] == x[:-1]) & ((y[1:] != y[:-1]) | (z[1:] != z[:-1]))).any():  # different pairs of the same upper halves
+        return np.lexsort((right, left))
+    return order
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[list, list[bytes]]]:
     """Rows of a task in groups of about CHUNK_BYTES of text: Arrow slices of the ids, texts."""
     ids, texts, size = [], [], 0
@@ -227,12 +243,13 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
                  pa.array(rights, pa.binary()), pa.array([planes(n[a:b]) for _, a, b in cut], pa.binary())],
                 ["bucket", "book", "context", "word", "n"])
 
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        books = [unpack_sorted(x) for x in part["book"]]
-        left = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, part["context"])])
-        right = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, part["word"])])
-        n = np.concatenate([unplanes(x, np.uint32) for x in part["n"]]).astype(np.int64)
-        order = np.lexsort((right, left))
+    def add(part: pa.Table) -> pa.Table:
+        cells = {c: part.column(c).to_pylist() for c in ("book", "context", "word", "n")}
+        books = [unpack_sorted(x) for x in cells["book"]]
+        left = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, cells["context"])])
+        right = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, cells["word"])])
+        n = np.concatenate([unplanes(x, np.uint32) for x in cells["n"]]).astype(np.int64)
+        order = _together(left, right)
         left, right = left[order], right[order]
         first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
         n = np.add.reduceat(n[order], first)
@@ -242,18 +259,21 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
         rare = np.bincount(n[~keep], minlength=min_count)
         rare_at = np.flatnonzero(rare)
         left, right, n = left[keep], right[keep], n[keep]
-        out = pd.DataFrame({
-            "bucket": part["bucket"].iloc[0], "context": np.append(left.view(np.int64), np.zeros(len(rare_at), np.int64)),
-            "word": np.append(right.view(np.int64), np.zeros(len(rare_at), np.int64)),
-            "n": np.append(n, rare_at), "kinds": np.append(np.ones(len(n), np.int64), rare[rare_at]), "pairs": None, "counts": None})
+        rows = len(n) + len(rare_at)
         # The bucket's part of the model goes packed with its first row.
         keys = pair_key(left, right)
-        order = np.argsort(keys, kind="stable")
-        out.at[0, "pairs"], out.at[0, "counts"] = pack_sorted(keys[order]), planes(n[order])
-        return out
+        order = np.argsort(keys)
+        packed = [pa.concat_arrays([pa.array([x], pa.binary()), pa.nulls(rows - 1, pa.binary())])
+                  for x in (pack_sorted(keys[order]), planes(n[order]))]
+        return pa.table({
+            "bucket": np.full(rows, part.column("bucket")[0].as_py()),
+            "context": np.append(left.view(np.int64), np.zeros(len(rare_at), np.int64)),
+            "word": np.append(right.view(np.int64), np.zeros(len(rare_at), np.int64)),
+            "n": np.append(n, rare_at), "kinds": np.append(np.ones(len(n), np.int64), rare[rare_at]),
+            "pairs": packed[0], "counts": packed[1]})
 
     grams = (texts.mapInArrow(pairs, "bucket long, book binary, context binary, word binary, n binary").groupBy("bucket")
-             .applyInPandas(add, "bucket long, context long, word long, n long, kinds long, pairs binary, counts binary"))
+             .applyInArrow(add, "bucket long, context long, word long, n long, kinds long, pairs binary, counts binary"))
     grams = staged(grams, "katz_grams", batch_rows=DOCUMENT_ROWS)
     kinds = {r["n"]: r["kinds"] for r in grams.filter(few).groupBy("n").agg(F.sum("kinds").alias("kinds")).collect()}
     d2 = _good_turing(kinds, min_count)

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import AWKWARD
 
@@ -112,3 +113,23 @@ def test_single_bigrams_are_held_by_default(spark, frame):
     got = {r["doc_id"]: r["score"] for r in katz.score(frame(list(enumerate(texts))), katz.train(frame(list(enumerate(texts))))).collect()}
     for i, t in enumerate(texts):
         assert got[i] == pytest.approx(sum(math.log10(direct.p2(h, w)) for h, w in zip(["<s>", *tokens(t)], tokens(t))), abs=1e-8)
+
+
+def test_a_chunk_hashes_each_distinct_word_once(monkeypatch):
+    real, hashed = katz.xxhash.xxh3_64_intdigest, []
+    monkeypatch.setattr(katz.xxhash, "xxh3_64_intdigest", lambda w: hashed.append(w) or real(w))
+    texts = [(t or "").encode() for _, t in AWKWARD] + [b" The cat\x0bthe CAT ", b"", b"the\r\nthe"] * 3
+    chunk = katz.Chunk.of(texts)
+    assert len(hashed) == len(set(hashed))
+    rows = [[*map(real, t.lower().split()), int(katz.END)] for t in texts]
+    assert chunk.lengths.tolist() == [len(r) for r in rows]
+    assert chunk.vocabulary[chunk.tokens].tolist() == [h for r in rows for h in r]
+    assert chunk.vocabulary.tolist() == sorted({h for r in rows for h in r})
+
+
+def test_pairs_of_the_same_upper_halves_stand_together():
+    left = np.array([1, 2, 1, 2, 1 << 40, 1], np.uint64)
+    right = np.array([5, 5, 5, 5, 5, 6], np.uint64)
+    order = katz._together(left, right)
+    ordered = list(zip(left[order].tolist(), right[order].tolist()))
+    assert [p for i, p in enumerate(ordered) if not i or ordered[i - 1] != p] == list(dict.fromkeys(ordered))
