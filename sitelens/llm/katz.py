@@ -49,7 +49,7 @@ MIN_COUNT = 1
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 #: Rows of documents, and of chunks with their answers, that a task's Python gets at a time.
-DOCUMENT_ROWS, CHUNK_ROWS = 1000, 2
+DOCUMENT_ROWS, CHUNK_ROWS = 1000, 1
 START = np.uint64(0x5B3C9D1E2F4A6B71)
 END = np.uint64(0xA4D6E1F20B3C5D79)
 
@@ -83,12 +83,27 @@ def unplanes(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().reshape(-1).view(dtype)
 
 
+def pack(x: np.ndarray) -> bytes:
+    """``planes`` of integers from 0 up, without the places that none of them needs, after their number."""
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize)[:, :width].T.tobytes()
+
+
+def unpack(data: bytes, dtype) -> np.ndarray:
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, np.dtype(dtype).itemsize), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    return out.reshape(-1).view(dtype)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return keys[:1].tobytes() + pack(np.diff(keys)) if len(keys) else b""
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+    if not data:
+        return np.zeros(0, np.uint64)
+    return np.cumsum(np.append(np.frombuffer(data[:8], np.uint64), unpack(data[8:], np.uint64)), dtype=np.uint64)
 
 
 def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -125,32 +140,45 @@ class Chunk:
         blank = pc.index(words.dictionary, "").as_py()
         if blank >= 0:  # what the split finds beside white space at a text's ends
             code, row, hashes[blank] = code[code != blank], row[code != blank], END
+        lengths = np.bincount(row, minlength=len(texts)) + 1
+        del parts, words, known
+        pa.default_memory_pool().release_unused()
         vocabulary, place = np.unique(np.append(hashes, END), return_inverse=True)
         tokens = np.full(len(code) + len(texts), place[-1], np.int32)
         tokens[np.arange(len(code)) + row] = place[code]
-        return cls(vocabulary, tokens, np.bincount(row, minlength=len(texts)) + 1)
+        return cls(vocabulary, tokens, lengths)
 
-    def first(self) -> np.ndarray:
-        """Whether each token begins a document."""
-        out = np.zeros(len(self.tokens), bool)
-        out[np.cumsum(self.lengths) - self.lengths] = True
-        return out
+    def begin(self) -> np.ndarray:
+        """The first token of each document."""
+        return np.cumsum(self.lengths) - self.lengths
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (context, word) as places in the vocabulary, -1 being the start, and for each token its pair."""
-        context = np.where(self.first(), -1, np.append(-1, self.tokens[:-1])).astype(np.int64)
-        code, of = np.unique((context + 1) * (len(self.vocabulary) + 1) + self.tokens, return_inverse=True)
-        return code // (len(self.vocabulary) + 1) - 1, code % (len(self.vocabulary) + 1), of
-
-    def pair_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``pairs`` sorted by key: keys, context hashes, word hashes, places, pair of each token."""
+        base = len(self.vocabulary) + 1
+        code = np.zeros(len(self.tokens), np.int64)
+        code[1:] = self.tokens[:-1]
+        code[1:] += 1
+        code[self.begin()] = 0
+        code *= base
+        code += self.tokens
+        order = np.argsort(code)
+        code = code[order]
+        new = np.append(True, code[1:] != code[:-1])
+        of = np.empty(len(code), np.int32)
+        of[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order
+        code = code[new]
+        return (code // base).astype(np.int32) - 1, (code % base).astype(np.int32), of
+
+    def pair_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``pairs`` sorted by key, with their keys before them."""
         left, right, of = self.pairs()
         known = np.append(self.vocabulary, START)  # -1 is the last place
         keys = pair_key(known[left], known[right])
         order = np.argsort(keys)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        return keys[order], known[left][order], known[right][order], right[order], rank[of]
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return keys[order], left[order], right[order], rank[of]
 
 
 def _together(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -229,26 +257,30 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _gathered(batches, 0):
             chunk = Chunk.of(texts)
-            keys, left, right, _, of = chunk.pair_keys()
-            n = np.bincount(of, minlength=len(keys)).astype(np.uint32)
+            keys, left, right, of = chunk.pair_keys()
+            n = np.bincount(of, minlength=len(keys))
             cut = _slices(keys, buckets)
+            known = np.append(chunk.vocabulary, START)
+            left, right = known[left], known[right]
+            del texts, chunk, keys, of
             book, lefts, rights = [], [], []
             for _, a, b in cut:
                 own, at = np.unique(np.concatenate([left[a:b], right[a:b]]), return_inverse=True)
                 book.append(pack_sorted(own))
-                lefts.append(planes(at[:b - a].astype(np.uint32)))
-                rights.append(planes(at[b - a:].astype(np.uint32)))
+                lefts.append(pack(at[:b - a]))
+                rights.append(pack(at[b - a:]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[0] for c in cut], pa.int64()), pa.array(book, pa.binary()), pa.array(lefts, pa.binary()),
-                 pa.array(rights, pa.binary()), pa.array([planes(n[a:b]) for _, a, b in cut], pa.binary())],
+                 pa.array(rights, pa.binary()), pa.array([pack(n[a:b]) for _, a, b in cut], pa.binary())],
                 ["bucket", "book", "context", "word", "n"])
 
     def add(part: pa.Table) -> pa.Table:
-        cells = {c: part.column(c).to_pylist() for c in ("book", "context", "word", "n")}
-        books = [unpack_sorted(x) for x in cells["book"]]
-        left = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, cells["context"])])
-        right = np.concatenate([b[unplanes(x, np.uint32)] for b, x in zip(books, cells["word"])])
-        n = np.concatenate([unplanes(x, np.uint32) for x in cells["n"]]).astype(np.int64)
+        bucket = part.column("bucket")[0].as_py()
+        books = [unpack_sorted(x.as_py()) for x in part.column("book")]
+        left = np.concatenate([b[unpack(x.as_py(), np.uint32)] for b, x in zip(books, part.column("context"))])
+        right = np.concatenate([b[unpack(x.as_py(), np.uint32)] for b, x in zip(books, part.column("word"))])
+        n = np.concatenate([unpack(x.as_py(), np.int64) for x in part.column("n")])
+        del part, books
         order = _together(left, right)
         left, right = left[order], right[order]
         first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
@@ -263,10 +295,12 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -
         # The bucket's part of the model goes packed with its first row.
         keys = pair_key(left, right)
         order = np.argsort(keys)
+        pa.default_memory_pool().release_unused()
         packed = [pa.concat_arrays([pa.array([x], pa.binary()), pa.nulls(rows - 1, pa.binary())])
-                  for x in (pack_sorted(keys[order]), planes(n[order]))]
+                  for x in (pack_sorted(keys[order]), pack(n[order]))]
+        del keys, order
         return pa.table({
-            "bucket": np.full(rows, part.column("bucket")[0].as_py()),
+            "bucket": np.full(rows, bucket),
             "context": np.append(left.view(np.int64), np.zeros(len(rare_at), np.int64)),
             "word": np.append(right.view(np.int64), np.zeros(len(rare_at), np.int64)),
             "n": np.append(n, rare_at), "kinds": np.append(np.ones(len(n), np.int64), rare[rare_at]),
@@ -313,7 +347,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
             ids = pa.concat_arrays([x.cast(arrow_id) for x in ids])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part + i]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 pa.array([c.lengths.tobytes()], pa.binary()), pa.array([planes(c.tokens)], pa.binary()),
+                 pa.array([c.lengths.tobytes()], pa.binary()), pa.array([pack(c.tokens)], pa.binary()),
                  pa.array([pack_sorted(c.vocabulary)], pa.binary())], ["chunk", "ids", "lengths", "tokens", "vocabulary"])
 
     chunks = staged(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
@@ -321,7 +355,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
         batch_rows=DOCUMENT_ROWS)
 
     def unpacked(batch: pa.RecordBatch, i: int) -> Chunk:
-        return Chunk(unpack_sorted(batch.column(4)[i].as_py()), unplanes(batch.column(3)[i].as_py(), np.int32),
+        return Chunk(unpack_sorted(batch.column(4)[i].as_py()), unpack(batch.column(3)[i].as_py(), np.int32),
                      np.frombuffer(batch.column(2)[i].as_py(), np.int64))
 
     def asks(of_pairs: bool):
@@ -345,25 +379,26 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
 
     def answer_pairs(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         own = np.concatenate([np.zeros(0, np.uint64), *map(unpack_sorted, table["pairs"])])
-        n = np.concatenate([np.zeros(0, np.int64), *(unplanes(x, np.int64) for x in table["counts"])])
+        n = np.concatenate([np.zeros(0, np.int64), *(unpack(x, np.int64) for x in table["counts"])])
         out = []
         for keys in asked["keys"]:
             at, there = found(own, keys)
-            out.append(planes(np.where(there, n[at], 0) if len(n) else np.zeros(len(at), np.int64)))
+            out.append(pack(np.where(there, n[at], 0) if len(n) else np.zeros(len(at), np.int64)))
         return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], "n": out})
 
     def answer_words(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         table = table.iloc[np.argsort(table["word"].to_numpy().view(np.uint64))]
         own = table["word"].to_numpy().view(np.uint64)
         n, alpha = table["n"].to_numpy(), table["log_alpha"].to_numpy()
-        more = np.nan_to_num(table["total"].to_numpy().astype(float)).astype(np.int64) - n  # 0 or 1, but for the start
+        # 0 or 1, but for the start; a word that is no context needs none.
+        more = np.nan_to_num(table["total"].to_numpy().astype(float) - n).astype(np.int64)
         out: dict[str, list[bytes]] = {"n": [], "more": [], "log_alpha": []}
         for keys in asked["keys"]:
             at, there = found(own, keys)
             for c, column in (("n", n), ("more", more), ("log_alpha", alpha)):
                 values = np.zeros(len(at), column.dtype)
                 values[there] = column[at[there]]
-                out[c].append(planes(values.view(np.int64)))
+                out[c].append(planes(values) if c == "log_alpha" else pack(values))
         return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], **out})
 
     pair_answers = staged(asks(True).groupBy("bucket").cogroup(model.bigrams.groupBy("bucket"))
@@ -380,30 +415,34 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
         """d(c) c of each count."""
         return np.where(n <= MAX_DISCOUNTED, np.array(d)[np.minimum(n, MAX_DISCOUNTED)] * n, n)
 
-    def joined(cell, name: str, kind) -> np.ndarray:
-        return np.concatenate([unplanes(x[name], np.int64) for x in cell]).view(kind)
+    def joined(cells: pa.StructArray, name: str, read, kind) -> np.ndarray:
+        return np.concatenate([read(x.as_py(), kind) for x in cells.field(name)])
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 c = unpacked(b, i)
-                pairs, words = b.column(5)[i].as_py(), b.column(6)[i].as_py()
-                _, left, _, right, of = c.pair_keys()
-                held = joined(pairs, "n", np.int64)
-                asked = np.sort(np.append(c.vocabulary, START))
-                count, more, log_alpha = (joined(words, n, k) for n, k in (("n", np.int64), ("more", np.int64), ("log_alpha", np.float64)))
+                _, left, right, of = c.pair_keys()
+                held, words = joined(b.column(5)[i].values, "n", unpack, np.int64), b.column(6)[i].values
+                count, more, log_alpha = (joined(words, *x) for x in (
+                    ("n", unpack, np.int64), ("more", unpack, np.int64), ("log_alpha", unplanes, np.float64)))
                 total = count + more
-                word = np.searchsorted(asked, c.vocabulary)  # place of each word in the answers
+                # The place of each word, and of the start, in the answers.
+                order = np.argsort(np.append(c.vocabulary, START))
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
+                word, context, own = place[:-1], place[left], place[right]
+                del left, right, order
                 # The recursion, once for each distinct bigram: its own estimate, or backoff to the word's.
-                context, own = np.searchsorted(asked, left), word[right]
                 with np.errstate(divide="ignore", invalid="ignore"):
                     lower = np.where(count > 0, np.log10(weighted(count, word_discounts) / over), log_unknown)
                     upper = np.log10(weighted(held, discounts) / total[context])
                 log_pair = np.where(held > 0, upper, log_alpha[context] + lower[own])
+                del upper, held, context, own
                 log_base = np.log10((count[word] + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
-                begin = np.cumsum(c.lengths) - c.lengths
-                sums = [np.add.reduceat(x, begin) for x in (
-                    (count[word] > 0)[c.tokens].astype(np.int64), log_base[c.tokens], log_pair[of])]
+                begin = c.begin()
+                sums = [np.add.reduceat(x[at], begin) for x, at in (
+                    ((count[word] > 0).astype(np.int64), c.tokens), (log_base, c.tokens), (log_pair, of))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(1)[i].values, pa.array(c.lengths), *[pa.array(x) for x in sums]],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"])

@@ -2,11 +2,13 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from conftest import AWKWARD
+from pyspark.sql import functions as F
 
 from sitelens.llm import katz
 
@@ -133,3 +135,46 @@ def test_pairs_of_the_same_upper_halves_stand_together():
     order = katz._together(left, right)
     ordered = list(zip(left[order].tolist(), right[order].tolist()))
     assert [p for i, p in enumerate(ordered) if not i or ordered[i - 1] != p] == list(dict.fromkeys(ordered))
+
+
+def test_packed_integers_come_back():
+    for x in ([], [0], [0, 0, 255], [256, 3], [5, 1 << 62], [(1 << 63) - 1]):
+        x = np.array(x, np.int64)
+        back = katz.unpack(katz.pack(x), np.int64)
+        assert back.dtype == x.dtype and back.tolist() == x.tolist()
+        keys = x.view(np.uint64)
+        back = katz.unpack_sorted(katz.pack_sorted(np.sort(keys)))
+        assert back.dtype == keys.dtype and back.tolist() == sorted(keys.tolist())
+    keys = np.array([0, (1 << 64) - 1], np.uint64)
+    assert katz.unpack_sorted(katz.pack_sorted(keys)).tolist() == keys.tolist()
+    assert len(katz.pack(np.full(100, 300, np.int64))) == 201
+
+
+def test_cells_are_no_wider_than_their_numbers(spark, frame, monkeypatch):
+    real, size = katz.staged, {}
+
+    def staged(df, name, *args, **more):
+        out = real(df, name, *args, **more)
+        size.update({(name, c): out.agg(F.sum(F.octet_length(c))).first()[0] for c, kind in out.dtypes if kind == "binary"})
+        return out
+
+    monkeypatch.setattr(katz, "staged", staged)
+    texts = corpus(8, 400)
+    docs, direct = frame(list(enumerate(texts))).coalesce(1), Direct(texts, 1)
+    assert katz.score(docs, katz.train(docs)).count() == 400
+    # Bigram counts need two bytes here, words of the chunk one; with eight and four a large cell fills the executor.
+    assert size["katz_bigrams", "counts"] <= 2 * len(direct.pairs) + 1
+    assert size["katz_pair_answers", "n"] <= 2 * len(direct.pairs) + 1
+    assert size["katz_chunks", "tokens"] <= direct.n + 1
+    assert size["katz_word_answers", "n"] <= 2 * (len(direct.words) + 1) + 1
+
+
+def test_a_chunk_needs_few_bytes_a_token():
+    rng = np.random.default_rng(3)
+    words = rng.zipf(1.3, 200_000) % 50_000
+    chunk = katz.Chunk.of([" ".join(map(str, words[i:i + 100])).encode() for i in range(0, len(words), 100)])
+    tracemalloc.start()
+    chunk.pair_keys()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(chunk.tokens)
