@@ -10,7 +10,9 @@ and replaces their partitions. A run that breaks off leaves older stamps, so
 the next one derives those months again.
 
 Where ``web_traffic_id`` repeats, a row's weight (see ``plans.bridge``) is known
-within its month, for the key has the month in it.
+within its month, for the key has the month in it. So many months go through in
+several passes, each with its share of the rows, and what a pass exchanges is
+gone before the next.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ from sitelens.functions.periods import yyyymm
 from sitelens.operators import manifest
 from sitelens.operators.aggregates import label_counts, rows_of, total, traffic_row_order
 from sitelens.operators.domain_match import DEFAULT_BROADCAST_BYTES, MATCH_KEY, WEIGHT, fits_broadcast, match_key, repeated_keys, weight_of
-from sitelens.operators.tables import read_if_exists
+from sitelens.operators.tables import read_if_exists, remove_table
 from sitelens.operators.upsert import in_months
 from sitelens.plans import company, timeseries
 from sitelens.plans.bridge import matchable_traffic
 from sitelens.plans.traffic import LEADER_LABELS, PLATFORM_LABELS, QUALITY_LABELS
 from sitelens.schemas import MART_TIMESERIES, enforce
+from sitelens.session import dropping_shuffles, write_table
 
 KEYS = [MATCH_KEY, "traffic_year", "traffic_month"]
 LABELS = {"_qt": ("quality_tier", QUALITY_LABELS), "_pp": ("platform_preference", PLATFORM_LABELS),
@@ -42,12 +45,23 @@ def _counted(c: str, weight: str | None) -> Column:
     return F.count(c) if weight is None else F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col(weight))), F.lit(0))
 
 
-def weighted_by_key(traffic: DataFrame) -> DataFrame:
-    """Matchable traffic with its match key; with weights where ``web_traffic_id`` repeats."""
+#: Passes over the months to derive, each with at least so many rows.
+PASSES, PASS_ROWS = 8, 500_000
+
+
+def weighted_by_key(traffic: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+    """Matchable traffic with its match key; with weights where ``web_traffic_id`` repeats
+    (these values are written to a folder that ``scratch`` gets; without any, no row is joined)."""
     def keyed(rows: DataFrame) -> DataFrame:
         return matchable_traffic(rows).withColumn(MATCH_KEY, match_key("cleaned_site_domain"))
 
-    repeated = repeated_keys(traffic, "web_traffic_id")
+    found = repeated_keys(traffic, "web_traffic_id")
+    path = write_table(found, "repeated_traffic")
+    if scratch is not None:
+        scratch.append(path)
+    repeated = traffic.sparkSession.read.schema(found.schema).parquet(path)
+    if repeated.isEmpty():
+        return keyed(traffic).withColumn(WEIGHT, F.lit(1).cast("long"))
     partners = keyed(traffic).join(repeated, "web_traffic_id", "left_semi").groupBy("web_traffic_id", MATCH_KEY).agg(
         F.count(F.lit(1)).alias(WEIGHT))
     several = traffic.join(repeated, "web_traffic_id", "left_semi").join(partners, "web_traffic_id")
@@ -115,6 +129,20 @@ def company_timeseries_from_state(keyed_orgs: DataFrame, state: DataFrame, min_m
     return enforce(timeseries.add_growth(boundaries), MART_TIMESERIES)
 
 
+def _passes(months: list[tuple[int, int]], rows: dict[tuple[int, int], int]) -> list[list[tuple[int, int]]]:
+    """The months in runs of about an eighth of their rows, or of ``PASS_ROWS`` if that is more."""
+    share = max(PASS_ROWS, -(-sum(rows.get(m, 0) for m in months) // PASSES))
+    found: list[list[tuple[int, int]]] = []
+    left = 0
+    for m in months:
+        if not found or left < rows.get(m, 0):
+            found.append([])
+            left = share
+        found[-1].append(m)
+        left -= rows.get(m, 0)
+    return found
+
+
 def update_state(spark: SparkSession, traffic_path: str, state_path: str) -> list[tuple[int, int]]:
     """Bring the state at ``state_path`` up to the traffic loaded at ``traffic_path``;
     the months derived anew are returned."""
@@ -131,10 +159,16 @@ def update_state(spark: SparkSession, traffic_path: str, state_path: str) -> lis
     if gone:
         months = sorted(now)
     if months:
-        rows = monthly_state(weighted_by_key(traffic.filter(in_months(months))))
         mode = "static" if gone or not then else "dynamic"
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy("traffic_year", "traffic_month").parquet(state_path))
+        for some in _passes(months, {m: f.rows for m, f in manifest.recorded(spark, traffic_path).items()}):
+            scratch: list[str] = []
+            rows = monthly_state(weighted_by_key(traffic.filter(in_months(some)), scratch))
+            with dropping_shuffles(spark):
+                (rows.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd")
+                 .partitionBy("traffic_year", "traffic_month").parquet(state_path))
+            for path in scratch:
+                remove_table(spark, path)
+            mode = "dynamic"
         (spark.createDataFrame([(*m, s) for m, s in sorted(now.items())], _STAMPS_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(notes))
     return months

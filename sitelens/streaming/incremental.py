@@ -112,7 +112,7 @@ def load_increment(spark: SparkSession, raw_batch: DataFrame, target_path: str,
         how = "whole"
     elif target is None:
         mode = "errorifexists" if _missing(spark, target_path) else "append"  # an empty folder may stand there
-        watch(batch).write.mode(mode).partitionBy(*PARTITIONS).parquet(target_path)
+        watch(batch).write.mode(mode).option("compression", "zstd").partitionBy(*PARTITIONS).parquet(target_path)
         how = "whole"
     elif rows:
         merged = _merge_months(spark, target, batch, months, target_path, watch)
@@ -194,10 +194,11 @@ def _merge_months(spark: SparkSession, target: DataFrame, batch: DataFrame, mont
         merged = upsert(target.filter(in_months(held, *PARTITIONS)), batch.filter(in_months(held, *PARTITIONS)), KEY)
         merged = materialize(merged, "traffic_merged")  # it reads the partitions it will replace
         found = manifest.fingerprints(merged, KEY, *PARTITIONS)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+         .partitionBy(*PARTITIONS).parquet(path))
     if new:
         rows = batch.filter(in_months(new, *PARTITIONS))
-        (rows if held else watch(rows)).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+        (rows if held else watch(rows)).write.mode("append").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(path)
     return found
 
 
