@@ -4,6 +4,7 @@ import os
 import time
 
 from conftest import SF_SMALL
+from sitelens import registry
 from sitelens.plans import state
 from sitelens.plans.state import monthly_state, update_state, weighted_by_key
 from sitelens.registry import comparable
@@ -56,3 +57,12 @@ def test_unique_keys_are_not_joined(spark, scratch):
     rows = weighted_by_key(spark.read.parquet(traffic))
     assert "Join" not in plan(rows) and "Exchange" not in plan(rows)
     assert rows.filter("_weight <> 1").isEmpty()
+
+
+def test_a_loaded_table_is_gone_once_its_state_is_kept(spark, monkeypatch):
+    loaded = []
+    monkeypatch.setattr(registry, "_STATES", {})
+    monkeypatch.setattr(registry, "load_increment", lambda s, b, path, **o: (loaded.append(path), load_increment(s, b, path, **o))[1])
+    rows = registry.QUERIES["company_mart_from_state"](spark, SF_SMALL)
+    assert len(loaded) == 2 and not os.path.exists(loaded[0].removeprefix("file:"))
+    assert rows.count() > 0
