@@ -3,15 +3,18 @@
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from sitelens import registry
+from sitelens.operators import skew
 from sitelens.plans import state
 from sitelens.plans.state import monthly_state, update_state, weighted_by_key
 from sitelens.registry import comparable
 from sitelens.sources.adapter import load_sources
 from sitelens.streaming.incremental import load_increment
 from test_adapter import held, shuffle_bytes
-from test_skew import plan
+from test_skew import plan, skewed
 
 
 def settled(spark, most):
@@ -66,3 +69,21 @@ def test_a_loaded_table_is_gone_once_its_state_is_kept(spark, monkeypatch):
     rows = registry.QUERIES["company_mart_from_state"](spark, SF_SMALL)
     assert len(loaded) == 2 and not os.path.exists(loaded[0].removeprefix("file:"))
     assert rows.count() > 0
+
+
+def test_buckets_written_in_passes_equal_one(spark, monkeypatch):
+    rows = skewed(spark, 6000)
+    before = shuffle_bytes(spark)
+    one = skew.write_by_key(rows, "k", 12)
+    monkeypatch.setattr(skew, "PASS_ROWS", 100)
+    several = skew.write_by_key(rows, "k", 12)
+    assert settled(spark, before + 100_000) <= before + 100_000
+    for part in ("cold", "hot"):
+        a, b = getattr(one, part), getattr(several, part)
+        assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    files = [f.rsplit("_", 1)[1].split(".")[0] for f in several.cold.inputFiles()]
+    assert len(files) == len(set(files)) <= 12  # a file for each bucket, as from one pass
+    assert len({r[0] for r in several.cold.select(F.regexp_extract(F.input_file_name(), "part-.....-(.{36})", 1)).distinct().collect()}) == 4
+    assert "Exchange" not in plan(several.cold.groupBy("k").count())
+    again = skew.read_by_key(spark, os.path.dirname(several.cold.inputFiles()[0].removeprefix("file://").rstrip("/")).removesuffix("/cold"))
+    assert again.cold.count() == several.cold.count()
