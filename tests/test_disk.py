@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from sitelens import registry
 from sitelens.operators import skew
-from sitelens.plans import state
+from sitelens.plans import pipeline, state
 from sitelens.plans.state import monthly_state, update_state, weighted_by_key
 from sitelens.registry import comparable
+from sitelens.session import write_table
 from sitelens.sources.adapter import load_sources
 from sitelens.streaming.incremental import load_increment
 from test_adapter import held, shuffle_bytes
@@ -87,3 +88,19 @@ def test_buckets_written_in_passes_equal_one(spark, monkeypatch):
     assert "Exchange" not in plan(several.cold.groupBy("k").count())
     again = skew.read_by_key(spark, os.path.dirname(several.cold.inputFiles()[0].removeprefix("file://").rstrip("/")).removesuffix("/cold"))
     assert again.cold.count() == several.cold.count()
+
+
+def test_repeated_keys_in_passes_equal_one(spark, monkeypatch):
+    orgs, raw = load_sources(spark, SF_SMALL, by_country=True)
+    one = pipeline.build_models(orgs, raw, materialize_tables=True)
+    rows = one.matched_traffic
+    monkeypatch.setattr(pipeline, "PASS_KEYS", 50)
+    several = pipeline.build_models(orgs, raw, materialize_tables=True)
+    written = []
+    monkeypatch.setattr(pipeline, "write_table", lambda df, name, **o: (written.append((name, df)), write_table(df, name, **o))[1])
+    a, b = comparable(rows), comparable(several.matched_traffic)
+    parts = [df for name, df in written if name == "matched_traffic"]
+    assert 2 < len(parts) <= 8 and len(several.scratch) == len(set(several.scratch))
+    assert sum(df.count() for df in parts) == a.count() and max(df.count() for df in parts) < a.count() / 2
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.filter("_weight > 1").count() > 0
+    assert sorted(map(str, comparable(one.mart_category_insights).collect())) == sorted(map(str, comparable(several.mart_category_insights).collect()))
