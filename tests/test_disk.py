@@ -3,6 +3,7 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -104,3 +105,19 @@ def test_repeated_keys_in_passes_equal_one(spark, monkeypatch):
     assert sum(df.count() for df in parts) == a.count() and max(df.count() for df in parts) < a.count() / 2
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.filter("_weight > 1").count() > 0
     assert sorted(map(str, comparable(one.mart_category_insights).collect())) == sorted(map(str, comparable(several.mart_category_insights).collect()))
+
+
+@pytest.mark.parametrize("name", ["several_countries_bridge"])
+def test_a_query_leaves_its_table_layers_only(spark, scratch, monkeypatch, name):
+    """From the test tables on: no shuffle files, no checkpoints, no copies made on the way."""
+    monkeypatch.setattr("sitelens.sources.adapter._MATERIALIZED", {})
+    monkeypatch.setattr("sitelens.sources.adapter._derivation_key", lambda *_: f"test-{os.path.basename(scratch)}")
+    monkeypatch.setattr(pipeline, "_BUILDS", {})
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    shuffles, before = shuffle_bytes(spark), set(os.listdir(f"{folder}/tables")) if os.path.isdir(f"{folder}/tables") else set()
+    rdds = {d for d in os.listdir(folder) if d.startswith("rdd-")}
+    assert registry.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert settled(spark, shuffles + 100_000) <= shuffles + 100_000
+    assert {d for d in os.listdir(folder) if d.startswith("rdd-")} <= rdds
+    layers = {d.rsplit("-", 1)[0] for d in set(os.listdir(f"{folder}/tables")) - before}
+    assert layers <= {"organizations_enhanced", "traffic_enhanced", "key_counts"}
