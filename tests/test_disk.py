@@ -107,7 +107,7 @@ def test_repeated_keys_in_passes_equal_one(spark, monkeypatch):
     assert sorted(map(str, comparable(one.mart_category_insights).collect())) == sorted(map(str, comparable(several.mart_category_insights).collect()))
 
 
-@pytest.mark.parametrize("name", ["several_countries_bridge", "domain_match_salted", "engagement_leader"])
+@pytest.mark.parametrize("name", ["several_countries_bridge", "domain_match_salted", "engagement_leader", "overall_quality"])
 def test_a_query_leaves_its_table_layers_only(spark, scratch, monkeypatch, name):
     """From the test tables on: no shuffle files, no checkpoints, no copies made on the way."""
     monkeypatch.setattr("sitelens.sources.adapter._MATERIALIZED", {})
